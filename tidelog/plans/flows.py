@@ -13,7 +13,7 @@ from tidelog.operators.enrich import enrich_columns, lookup_enrich
 from tidelog.operators.incremental import incremental_extract
 from tidelog.operators.ordering import SERVER, drop_system_without_metadata, resolve_table_map, tx_sequence
 from tidelog.operators.records import to_notices
-from tidelog.operators.routing import Lookup, Routes, Rule, apply_rules, drop_unrouted, route_rules, route_topic
+from tidelog.operators.routing import Lookup, Routes, Rule, apply_rules, drop_unrouted, route_topic, rule_matches
 from tidelog.operators.scan import BLOCK_BITS
 from tidelog.sources.sinks import messages
 
@@ -62,25 +62,18 @@ def extract(
 def apply_rule_set(events: DataFrame, rules: Sequence[Rule], lookups: dict[int, Lookup] | None = None) -> DataFrame:
     """Full-mode events through all rules; ``lookups`` gives, per rule number, the source of its ``resultset`` query.
 
-    Each look-up is one join over all events of its rule; its rows become ``Result``.
+    Each look-up is one join over all events; only those whose rule asked for it carry a key.
     """
+    matches = rule_matches(rules)
     done = apply_rules(events, rules).withColumn("ResultRows", F.lit(None).cast("string"))
     for number, lookup in (lookups or {}).items():
-        data_keys = {f"_k{i}": (name, column) for i, (name, column) in enumerate(lookup.on.items())}
-        keyed = route_rules(events, [rules[number]]).withColumns(
-            {k: F.col("Data")[name] for k, (name, _) in data_keys.items()}
-        )
-        source = lookup.source.withColumns({f"_s{k}": F.col(c).cast("string") for k, (_, c) in data_keys.items()})
-        found = lookup_enrich(keyed, source, {k: f"_s{k}" for k in data_keys}, "_rows")
-        rows = F.transform("_rows", lambda r: r.dropFields(*[f"_s{k}" for k in data_keys]))
-        hits = found.select(*_identity(events), F.to_json(rows).alias("_found"))
-        done = (
-            done.join(hits, _identity(events), "left")
-            .withColumn("ResultRows", F.coalesce("ResultRows", "_found"))
-            .drop("_found")
+        asked = matches[number] & F.col("BoundSql").isNotNull()
+        pairs = [(f"_k{i}", name, column) for i, (name, column) in enumerate(lookup.on.items())]
+        keyed = done.withColumns({k: F.when(asked, F.col("Data")[name]) for k, name, _ in pairs})
+        source = lookup.source.withColumns({k: F.col(column).cast("string") for k, _, column in pairs})
+        found = lookup_enrich(keyed, source, {k: k for k, _, _ in pairs}, "_rows")
+        rows = F.transform("_rows", lambda r: r.dropFields(*[k for k, _, _ in pairs]))
+        done = found.withColumn("ResultRows", F.when(asked, F.to_json(rows)).otherwise(F.col("ResultRows"))).drop(
+            "_rows", *[k for k, _, _ in pairs]
         )
     return done
-
-
-def _identity(events: DataFrame) -> list[str]:
-    return [c for c in ("server_id", "pos", "row_no") if c in events.columns]
