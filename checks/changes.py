@@ -166,7 +166,10 @@ def coalesce_changes(spark, d):
 def coalesce_by_database(spark, d):
     merged = C.coalesce_by_database(notices(spark, d).select("Database", "ts", "pos"), "ts", HOUR_MS // 2, block_gaps=64)
     return merged.select(
-        F.col("Database").alias("db"), F.col("pos").alias("first_pos"), "n_merged", F.col("ts").alias("first_ts")
+        F.col("Database").alias("db"),
+        F.col("pos").alias("first_pos"),
+        "n_merged",
+        F.timestamp_micros("window_start").cast("timestamp_ntz").alias("first_ts"),
     )
 
 
@@ -256,10 +259,11 @@ def consumer_progress(spark, d):
 @check(
     "o8_commit_points",
     f"{anchored(MESSAGE_LOG, ['KafkaTopic'], 'ts', 'interval 6 hour', 'KafkaOffset')} "
-    "select KafkaTopic, a as ts, first_pos + 1 as committed_offset from merged",
+    "select KafkaTopic, a as commit_ts, first_pos + 1 as committed_offset from merged",
 )
 def commit_points(spark, d):
-    return C.commit_points(over(spark, d, MESSAGE_LOG, "events"), "ts", 6 * HOUR_MS)
+    points = C.commit_points(over(spark, d, MESSAGE_LOG, "events"), "ts", 6 * HOUR_MS)
+    return points.withColumn("commit_ts", F.col("commit_ts").cast("timestamp_ntz"))
 
 
 PUBLISH_SQL = (

@@ -138,7 +138,12 @@ def query_catalog(spark, d):
     from tidelog.operators.coalesce import coalesce_by_database
 
     merged = coalesce_by_database(order_notices(spark, d), "ts", INTERVAL_MIN * 60_000)
-    runs = merged.withColumn("run_ts", F.timestamp_micros(F.col("window_start") + F.lit(INTERVAL_MIN * 60_000_000)))
+    runs = merged.withColumns(
+        {
+            "ts": F.timestamp_micros("window_start"),
+            "run_ts": F.timestamp_micros(F.col("window_start") + F.lit(INTERVAL_MIN * 60_000_000)),
+        }
+    )
     jobs = I.query_catalog(runs, {"orders": "select 1", "parts": "select 2"})
     return jobs.select("Database", "task_id", plain("ts_start"), plain("ts_end"))
 

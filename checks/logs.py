@@ -69,7 +69,7 @@ def transaction_state(spark, d):
     ),
 )
 def event_offset(spark, d):
-    stamped = T.event_offset(T.tx_sequence(raw_log(spark, d), block_bits=BITS), "s0:1-9", block_bits=BITS)
+    stamped = T.event_offset(raw_log(spark, d), "s0:1-9", block_bits=BITS)
     return stamped.select(
         "pos",
         "server_id",

@@ -90,27 +90,28 @@ def anchored_windows(
     block_gaps: int = BLOCK_GAPS,
     totals: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Rows that open a window of ``df``, with ``window_start``, ``window_last`` and ``totals`` summed per window.
+    """Windows per key: ``window_start``, the ``order`` of the first row, ``window_last`` and ``totals`` summed.
 
     ``at`` is a bigint column; a window holds the rows with ``at`` up to ``gap``
-    above its first one. Of rows with equal key and ``at`` the one with the lowest
-    ``order`` stands for all. Without totals only the opening rows are looked for,
-    which saves the last aggregation.
+    above its first one. Of rows with equal key and ``at`` the lowest ``order``
+    counts as first. Only keys, times, orders and totals are moved. Without totals
+    only the openings are looked for, which saves the last aggregation.
     """
     keys, totals = list(keys), totals or {}
     counts = bool(totals)
     sums = [f"_sum{i}" for i in range(len(totals))]
     group = [*keys, "_block"]
     length = max(gap, 1) * block_gaps
-    payload = [c for c in df.columns if c not in keys]
     thin = (
-        df.withColumn("_at", at)
+        df.select(
+            *keys,
+            at.alias("_at"),
+            F.col(order).alias("_first"),
+            *[total.cast("bigint").alias(name) for name, total in zip(sums, totals.values())],
+        )
         .withColumn("_block", ((F.col("_at") - F.pmod("_at", F.lit(length))) / F.lit(length)).cast("bigint"))
         .groupBy(*group, "_at")
-        .agg(
-            F.min_by(F.struct(*payload), order).alias("_row"),
-            *[F.sum(total.cast("bigint")).alias(name) for name, total in zip(sums, totals.values())],
-        )
+        .agg(F.min("_first").alias("_first"), *[F.sum(name).alias(name) for name in sums])
     )
     key_fields = [f for f in thin.schema.fields if f.name in group]
 
@@ -149,14 +150,13 @@ def anchored_windows(
 
     carried = thin.groupBy(*group).applyInArrow(steps, step_schema).groupBy(*keys).applyInArrow(follow, carry_schema)
 
-    row_type = thin.schema["_row"].dataType
     out_schema = T.StructType(
         [
             *[f for f in key_fields if f.name != "_block"],
-            T.StructField("_start", T.LongType()),
-            T.StructField("_row", row_type),
+            T.StructField("window_start", T.LongType()),
+            T.StructField(order, thin.schema["_first"].dataType),
             *[T.StructField(name, T.LongType()) for name in sums],
-            T.StructField("_last", T.LongType()),
+            T.StructField("window_last", T.LongType()),
         ]
     )
 
@@ -165,38 +165,46 @@ def anchored_windows(
         times = rows.column("_at").to_numpy()
         anchor = state.column("_open")[0].as_py()
         opened = window_starts(times, gap, anchor)
-        starts, picked = times[opened], opened.tolist()
-        edges = opened
+        starts, picked, edges = times[opened], opened.tolist(), opened
         if counts and (len(opened) == 0 or opened[0] > 0):
             # rows ahead of the first opening belong to the window the block began with
             starts, picked, edges = np.r_[anchor, starts], [None, *picked], np.r_[0, opened]
         ends = np.r_[edges[1:], len(times)].astype(np.int64)
         columns = _key_table(key[: len(keys)], keys, rows.schema, len(picked))
-        columns["_start"] = pa.array(starts, pa.int64())
-        columns["_row"] = rows.column("_row").combine_chunks().take(pa.array(picked, pa.int64()))
+        columns["window_start"] = pa.array(starts, pa.int64())
+        columns[order] = rows.column("_first").combine_chunks().take(pa.array(picked, pa.int64()))
         for name in sums:
             columns[name] = pa.array(np.add.reduceat(rows.column(name).to_numpy(), edges), pa.int64())
-        columns["_last"] = pa.array(times[ends - 1] if len(edges) else [], pa.int64())
+        columns["window_last"] = pa.array(times[ends - 1] if len(edges) else [], pa.int64())
         return pa.table(columns)
 
     opened = thin.groupBy(*group).cogroup(carried.groupBy(*group)).applyInArrow(windows, out_schema)
-    if counts:
-        opened = opened.groupBy(*keys, "_start").agg(
-            F.first("_row", ignorenulls=True).alias("_row"),
-            *[F.sum(name).alias(name) for name in sums],
-            F.max("_last").alias("_last"),
+    if not counts:
+        return opened.drop("window_last")
+    return (
+        opened.groupBy(*keys, "window_start")
+        .agg(
+            F.min(order).alias(order),
+            *[F.sum(name).alias(total) for name, total in zip(sums, totals)],
+            F.max("window_last").alias("window_last"),
         )
-    extra = [F.col(name).alias(total) for name, total in zip(sums, totals)]
-    if counts:
-        extra.append(F.col("_last").alias("window_last"))
-    return opened.select(
-        *[F.col(k) for k in keys],
-        *[F.col("_row").getField(c).alias(c) for c in payload],
-        F.col("_start").alias("window_start"),
-        *extra,
     )
 
 
+def with_first_rows(df: DataFrame, windows: DataFrame, keys: Sequence[str], at: Column, order: str) -> DataFrame:
+    """Windows with all columns of their first row.
+
+    The windows are few where much is merged, and then the wide rows are not moved
+    at all. Rows that agree in key, time and order count as one.
+    """
+    at_key = [*keys, "_at", order]
+    rows, w = df.withColumn("_at", at).alias("r"), windows.withColumnRenamed("window_start", "_at").alias("w")
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"w.{c}")) for c in keys]
+    same += [F.col(f"r.{c}") == F.col(f"w.{c}") for c in ("_at", order)]
+    extra = [F.col(f"w.{c}") for c in windows.columns if c not in (*keys, order, "window_start")]
+    return rows.join(w, same).select("r.*", *extra).dropDuplicates(at_key).withColumnRenamed("_at", "window_start")
+
+
 def micros(ts: str) -> Column:
     """Microseconds of a timestamp column (of either kind, read as UTC)."""
     return F.unix_micros(F.col(ts).cast("timestamp"))
@@ -213,7 +221,8 @@ def coalesce_changes(
 ) -> DataFrame:
     """First change of every burst per key: at most one per ``gap_ms`` (never below 100 ms)."""
     gap = max(gap_ms, GAP_FLOOR_MS) * 1000
-    return anchored_windows(df, keys, micros(ts), gap, order, block_gaps, _merged() if counts else None)
+    windows = anchored_windows(df, keys, micros(ts), gap, order, block_gaps, _merged() if counts else None)
+    return with_first_rows(df, windows, keys, micros(ts), order)
 
 
 def _merged() -> dict[str, Column]:
@@ -228,7 +237,10 @@ def coalesce_by_database(
     database: str = "Database",
     block_gaps: int = BLOCK_GAPS,
 ) -> DataFrame:
-    """One pending notice per database: the first, standing for all that arrive within the interval."""
+    """One pending notice per database: the first, standing for all that arrive within the interval.
+
+    ``window_start`` is its time in microseconds.
+    """
     return anchored_windows(df, [database], micros(ts), interval_ms * 1000, order, block_gaps, _merged())
 
 
@@ -291,10 +303,12 @@ def bounded_batches(
 
 def commit_points(messages: DataFrame, ts: str = "ts", interval_ms: int = COMMIT_GAP_MS) -> DataFrame:
     """Offsets committed per topic partition when at most one commit per interval is made."""
-    anchored = anchored_windows(
-        messages.select("KafkaTopic", ts, "KafkaOffset"), ["KafkaTopic"], micros(ts), interval_ms * 1000, "KafkaOffset"
+    points = anchored_windows(messages, ["KafkaTopic"], micros(ts), interval_ms * 1000, "KafkaOffset")
+    return points.select(
+        "KafkaTopic",
+        F.timestamp_micros("window_start").alias("commit_ts"),
+        (F.col("KafkaOffset") + 1).alias("committed_offset"),
     )
-    return anchored.select("KafkaTopic", ts, (F.col("KafkaOffset") + 1).alias("committed_offset"))
 
 
 def throughput(sends: DataFrame, batch: str = "batch_id", rows: str = "n_rows", ms: str = "at_ms") -> DataFrame:

@@ -141,9 +141,13 @@ def extraction_windows(
     order: str = "pos",
 ) -> DataFrame:
     """Coalesced, filtered notices with the window each release reads."""
-    kept = drop_ignored_databases(notices.select("Database", ts, order), ignore)
-    merged = coalesce_by_database(kept, ts, interval_ms, order)
-    releases = merged.withColumn("run_ts", F.timestamp_micros(F.col("window_start") + F.lit(interval_ms * 1000)))
+    merged = coalesce_by_database(drop_ignored_databases(notices, ignore), ts, interval_ms, order)
+    releases = merged.withColumns(
+        {
+            ts: F.timestamp_micros("window_start"),
+            "run_ts": F.timestamp_micros(F.col("window_start") + F.lit(interval_ms * 1000)),
+        }
+    )
     return advance_windows(initial_watermark(releases, progress, ts), "run_ts", lag_ms)
 
 

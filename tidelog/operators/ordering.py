@@ -177,86 +177,80 @@ def start_position(
 
 
 def event_offset(
-    numbered: DataFrame,
+    events: DataFrame,
     base_set: str = "",
     order: str = "pos",
     keys: Sequence[str] = SERVER,
     block_bits: int = BLOCK_BITS,
 ) -> DataFrame:
-    """Row events with the offset stamped on them.
+    """Numbered row events with the offset stamped on them.
 
     ``gtid_set`` holds ``base_set`` and all transactions that started before the
     event's own; ``incomplete`` holds the event's own gtid and sequence number.
-    One row per transaction and source uuid is ordered and summed up, then joined
-    to the events of that transaction.
+    The sets are made from the start events alone, one row per transaction and
+    source uuid, then joined to the events of each transaction.
     """
     if not keys:
-        single = numbered.withColumn("_server", F.lit(0))
+        single = events.withColumn("_server", F.lit(0))
         return event_offset(single, base_set, order, ("_server",), block_bits).drop("_server")
+    keys, source_keys = list(keys), [*keys, "uuid"]
     base = parse_gtid_text(base_set)
-    starts = numbered.filter(F.col("event_type") == "GTID").select(
+    starts = events.filter(F.col("event_type") == "GTID").select(
         *keys, order, O.gtid_uuid("gtid").alias("own"), O.gtid_txn("gtid").alias("txn")
     )
-    sources = starts.select(*keys, F.col("own").alias("uuid")).distinct()
+    sources = starts.select(*keys, F.col("own").alias("uuid"))
     if base:
         known = F.array(*[F.lit(u) for u in dict.fromkeys(u for u, _, _ in base)])
-        sources = sources.unionByName(starts.select(*keys).distinct().withColumn("uuid", F.explode(known))).distinct()
-    marks = starts.join(sources, list(keys))
+        sources = sources.distinct().select(*keys, F.explode(F.array_append(known, F.col("uuid"))).alias("uuid"))
+    marks = starts.join(sources.distinct(), keys)
     own = F.col("own") == F.col("uuid")
-    source_keys = [*keys, "uuid"]
     marks = fill_forward(marks, "seen", F.col("txn"), own, order, source_keys, block_bits, strict=True)
-    opens = own & (F.col("seen").isNull() | (F.col("txn") != F.col("seen") + 1))
 
-    # a new interval starts only at gaps and fail-overs, so these rows are as few as the set's text is long
+    # A new interval starts at gaps and fail-overs only. There are as many as the text of the set is long,
+    # so joining them by range costs no more than writing the sets down.
     by_log = W.partitionBy(*source_keys).orderBy(order)
-    interval = F.struct(F.col("_last_lo").alias("lo"), F.col("seen").alias("hi"))
-    openings = (
-        marks.filter(opens)
-        .withColumn("_last_lo", F.lag("txn").over(by_log))
-        .withColumn(
-            "closed",
-            F.collect_list(F.when(F.col("seen").isNotNull(), interval)).over(
-                by_log.rowsBetween(W.unboundedPreceding, 0)
-            ),
+    interval = F.struct(F.lag("txn").over(by_log).alias("lo"), F.col("seen").alias("hi"))
+    spans = (
+        marks.filter(own & (F.col("seen").isNull() | (F.col("txn") != F.col("seen") + 1)))
+        .withColumn("_ended", F.when(F.col("seen").isNotNull(), interval))
+        .select(
+            *source_keys,
+            F.col(order).alias("_from"),
+            F.lead(order).over(by_log).alias("_to"),
+            F.col("txn").alias("lo"),
+            F.collect_list("_ended").over(by_log.rowsBetween(W.unboundedPreceding, 0)).alias("closed"),
         )
-        .select(*source_keys, order, "closed")
-    )
-    marks = marks.join(openings, [*source_keys, order], "left")
-    marks = fill_forward(
-        marks,
-        "state",
-        F.struct("closed", F.col("txn").alias("lo")),
-        F.col("closed").isNotNull(),
-        order,
-        source_keys,
-        block_bits,
-        strict=True,
     )
+    m, s = marks.alias("m"), spans.alias("s")
+    inside = [F.col(f"m.{k}") == F.col(f"s.{k}") for k in source_keys]
+    inside += [
+        F.col(f"m.{order}") > F.col("s._from"),
+        F.col("s._to").isNull() | (F.col(f"m.{order}") <= F.col("s._to")),
+    ]
     none = F.array().cast("array<struct<lo:bigint,hi:bigint>>")
-    from_base = F.coalesce(
-        F.transform(
+    from_base = none
+    if base:
+        from_base = F.transform(
             F.filter(F.array(*[_interval(*i) for i in base]), lambda i: i["uuid"] == F.col("uuid")),
             lambda i: F.struct(i["lo"].alias("lo"), i["hi"].alias("hi")),
         )
-        if base
-        else none,
-        none,
-    )
     current = F.when(
-        F.col("state").isNotNull(),
-        F.concat(
-            F.col("state.closed"), F.array(F.struct(F.col("state.lo").alias("lo"), F.col("seen").alias("hi")))
-        ),
+        F.col("lo").isNotNull(),
+        F.concat("closed", F.array(F.struct(F.col("lo"), F.col("seen").alias("hi")))),
     )
     ranges = O.merge_ranges(F.concat(from_base, F.coalesce(current, none)))
     sets = (
-        marks.withColumn("_text", F.concat_ws(":", "uuid", F.nullif(O.format_ranges(ranges), F.lit(""))))
+        m.join(s, inside, "left")
+        .select("m.*", "s.lo", "s.closed")
+        .withColumn("_ranges", O.format_ranges(ranges))
+        .withColumn("_member", F.when(F.col("_ranges") != "", F.concat_ws(":", "uuid", "_ranges")))
         .groupBy(*keys, order)
-        .agg(F.sort_array(F.collect_list(F.when(F.size(ranges) > 0, F.col("_text")))).alias("_members"))
+        .agg(F.sort_array(F.collect_list("_member")).alias("_members"))
         .select(*keys, F.col(order).alias("tx_start"), F.array_join("_members", ",").alias("gtid_set"))
     )
     return (
-        numbered.filter(P.is_row_event())
+        tx_sequence(events, order, keys, block_bits)
+        .filter(P.is_row_event())
         .join(sets, [*keys, "tx_start"], "left")
         .withColumn("incomplete", F.when(F.col("gtid").isNotNull(), F.create_map("gtid", "seq_no")))
     )

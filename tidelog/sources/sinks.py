@@ -80,7 +80,9 @@ def write_documents(
     """Function for ``foreachBatch`` that upserts each micro-batch by id."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert_documents(documents(batch, names, id_column, order, date_column, months_per_shard), path, id_column, order)
+        docs = documents(batch, names, id_column, order, date_column, months_per_shard).persist()
+        upsert_documents(docs, path, id_column, order)
+        docs.unpersist()
 
     return write
 

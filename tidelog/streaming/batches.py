@@ -93,8 +93,9 @@ class LogBatches:
         df.write.mode("overwrite").parquet(f"{self.path}/{name}/{batch_id}")
 
     def numbered(self, events: DataFrame, batch_id: int) -> DataFrame:
+        """Numbered events, persisted because state and result both read them; unpersist when done."""
         before = self._state("open", batch_id - 1)
-        numbered = tx_sequence(events, self.order, self.keys, self.bits, before)
+        numbered = tx_sequence(events, self.order, self.keys, self.bits, before).persist()
         tail = (
             numbered.withColumn("_seq", F.coalesce("seq_no", F.lit(0).cast("bigint")))
             .groupBy(*self.keys)
@@ -130,7 +131,8 @@ class LogBatches:
         """Function for ``foreachBatch``: numbered, resolved row events of each micro-batch go to ``then``."""
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            log = batch.filter(P.keep_row_events())
-            then(self.resolved(self.numbered(log, batch_id), batch_id), batch_id)
+            numbered = self.numbered(batch.filter(P.keep_row_events()), batch_id)
+            then(self.resolved(numbered, batch_id), batch_id)
+            numbered.unpersist()
 
         return write
