@@ -1,4 +1,5 @@
 import datetime as dt
+import glob
 import os
 
 import pytest
@@ -60,17 +61,21 @@ def orders(spark, *rows):
     return spark.createDataFrame([(i, n, dt.date.fromisoformat(d)) for i, n, d in rows], "cust int, no int, made date")
 
 
+def times(path):
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/**/*.parquet", recursive=True)}
+
+
 def test_documents_are_upserted_by_id_and_shard(spark, tmp_path):
     path = str(tmp_path / "docs")
     write = sinks.write_documents(path, ["_id", "no", "made"], "_id", "no", "made")
     write(orders(spark, (1, 1, "2020-01-01"), (1, 2, "2020-05-01"), (2, 3, "2020-06-01"), (3, 4, "2021-01-01")), 0)
-    untouched = {f: os.stat(f"{path}/shard=2021/{f}").st_mtime_ns for f in os.listdir(f"{path}/shard=2021")}
+    untouched = times(f"{path}/shard=2021")
     second = orders(spark, (2, 9, "2020-07-01"), (5, 5, "2020-07-01"), (1, 1, "2020-01-01"))
     for batch_id in (1, 1):  # a repeated batch changes nothing
         write(second, batch_id)
         got = sorted((r._id, r.no, r.shard) for r in spark.read.parquet(path).collect())
         assert got == [(1, 2, 2020), (2, 9, 2020), (3, 4, 2021), (5, 5, 2020)]
-    assert untouched == {f: os.stat(f"{path}/shard=2021/{f}").st_mtime_ns for f in os.listdir(f"{path}/shard=2021")}
+    assert untouched == times(f"{path}/shard=2021")
 
 
 def test_lanes(spark, tmp_path):

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.operators.scan import BLOCK_BITS, running_sum
+from tidelog.session import settle, small_side
 
 GAP_FLOOR_MS = 100
 GAP_DEFAULT_MS = 3000
@@ -192,11 +193,7 @@ def anchored_windows(
 
 
 def with_first_rows(df: DataFrame, windows: DataFrame, keys: Sequence[str], at: Column, order: str) -> DataFrame:
-    """Windows with all columns of their first row.
-
-    The windows are few where much is merged, and then the wide rows are not moved
-    at all. Rows that agree in key, time and order count as one.
-    """
+    """Windows with all columns of their first row. Rows that agree in key, time and order count as one."""
     at_key = [*keys, "_at", order]
     rows, w = df.withColumn("_at", at).alias("r"), windows.withColumnRenamed("window_start", "_at").alias("w")
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"w.{c}")) for c in keys]
@@ -218,10 +215,17 @@ def coalesce_changes(
     order: str = "pos",
     block_gaps: int = BLOCK_GAPS,
     counts: bool = True,
+    expect_few: bool = False,
 ) -> DataFrame:
-    """First change of every burst per key: at most one per ``gap_ms`` (never below 100 ms)."""
+    """First change of every burst per key: at most one per ``gap_ms`` (never below 100 ms).
+
+    With ``expect_few`` the windows are written down and measured first; if they are
+    small, the wide rows are looked up by broadcast and none of them is shuffled.
+    """
     gap = max(gap_ms, GAP_FLOOR_MS) * 1000
     windows = anchored_windows(df, keys, micros(ts), gap, order, block_gaps, _merged() if counts else None)
+    if expect_few:
+        windows = small_side(settle(windows))
     return with_first_rows(df, windows, keys, micros(ts), order)
 
 

@@ -1,8 +1,8 @@
 """Look-ups as joins: column names, schema versions and bound queries.
 
-No side is broadcast by hint. Sizes are known to the optimizer (file statistics) or
-measured while running (adaptive execution); it broadcasts what is below the
-session's threshold and otherwise shuffles, splitting skewed keys.
+Catalogs are written down and measured first; below a bound they are broadcast, so
+that events of a busy table stay where they are. Look-up sources are left to the
+optimizer, which knows the size of files and splits skewed keys of shuffled joins.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidelog.session import settle, small_side
+
 TABLE = ("db", "tbl")
 
 
@@ -45,7 +47,8 @@ def _with_fallback(joined: DataFrame, n_columns: Column) -> DataFrame:
 
 def enrich_columns(events: DataFrame, catalog: DataFrame, n_columns: Column, keys: Sequence[str] = TABLE) -> DataFrame:
     """Events with the ``columns`` and ``column_types`` of their table and ``has_metadata``."""
-    return _with_fallback(events.join(table_columns(catalog, keys), list(keys), "left"), n_columns)
+    columns = small_side(settle(table_columns(catalog, keys)))
+    return _with_fallback(events.join(columns, list(keys), "left"), n_columns)
 
 
 def enrich_columns_versioned(
@@ -59,7 +62,7 @@ def enrich_columns_versioned(
     spans = table_columns(versions, [*keys, "valid_from"]).withColumn(
         "valid_to", F.lead("valid_from").over(W.partitionBy(*keys).orderBy("valid_from"))
     )
-    e, s = events.alias("e"), spans.alias("s")
+    e, s = events.alias("e"), small_side(settle(spans)).alias("s")
     valid = [F.col(f"e.{k}") == F.col(f"s.{k}") for k in keys]
     valid += [
         F.col(f"e.{order}") >= F.col("s.valid_from"),

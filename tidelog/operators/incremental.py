@@ -12,6 +12,7 @@ from tidelog.functions.patterns import ignored_databases, names_in
 from tidelog.functions.templates import render_query
 from tidelog.operators.coalesce import DATABASE_GAP_MS, coalesce_by_database
 from tidelog.operators.records import tag_tenant, type_result_set
+from tidelog.session import settle, small_side
 
 PROGRESS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
 
@@ -88,38 +89,39 @@ def delta_join(
     database: str = "Database",
     unit: str = "DAY",
     until: Column | None = None,
-    prune: bool = False,
 ) -> DataFrame:
     """Source rows changed inside the windows of their database, with the window's bounds.
 
-    Windows are spread over calendar units and joined on (database, unit), so a
-    database that owns most rows is split by time and no row meets windows of other
-    days. A window without end reads up to ``until`` (default: now). ``prune`` adds
-    the outer bounds of all windows to the scan of the source, at the price of
-    computing the windows twice.
+    The windows are written down first. Their outer bounds go into the scan of the
+    source as plain values, which skips files and partitions outside; if the windows
+    are small they are broadcast and the source is not moved. They are spread over
+    calendar units and joined on (database, unit), so that otherwise a database that
+    owns most rows is split by time, and no row meets windows of other units. A
+    window without end reads up to ``until`` (default: now).
     """
     step = {"HOUR": "1 HOUR", "DAY": "1 DAY", "MONTH": "1 MONTH"}[unit]
     end = F.coalesce(F.col("ts_end"), until if until is not None else F.current_timestamp())
-    bounds = windows.select(database, "ts_start", end.alias("ts_end")).filter(F.col("ts_start") < F.col("ts_end"))
-    at = F.col(ts).cast("timestamp")
-    if prune:
-        outer = bounds.agg(F.min("ts_start").alias("lo"), F.max("ts_end").alias("hi"))
-        kind = source.schema[ts].dataType
-        source = source.filter(
-            (F.col(ts) >= outer.select(F.col("lo").cast(kind)).scalar())
-            & (F.col(ts) < outer.select(F.col("hi").cast(kind)).scalar())
-        )
+    bounds = settle(
+        windows.select(database, "ts_start", end.alias("ts_end")).filter(F.col("ts_start") < F.col("ts_end"))
+    )
+    outer = bounds.agg(F.min(F.unix_micros("ts_start")).alias("lo"), F.max(F.unix_micros("ts_end")).alias("hi")).first()
+    kind = source.schema[ts].dataType
+    lo, hi = (F.timestamp_micros(F.lit(v).cast("bigint")).cast(kind) for v in outer)
     spread = bounds.withColumn(
         "_unit",
         F.explode(F.sequence(F.date_trunc(unit, "ts_start"), F.date_trunc(unit, "ts_end"), F.expr(f"INTERVAL {step}"))),
     )
-    rows = source.withColumn("_unit", F.date_trunc(unit, at)).alias("r")
-    w = spread.alias("w")
+    rows = (
+        source.filter((F.col(ts) >= lo) & (F.col(ts) < hi))
+        .withColumn("_unit", F.date_trunc(unit, F.col(ts).cast("timestamp")))
+        .alias("r")
+    )
+    w, at = small_side(spread).alias("w"), F.col(f"r.{ts}").cast("timestamp")
     inside = (
         (F.col(f"r.{database}") == F.col(f"w.{database}"))
         & (F.col("r._unit") == F.col("w._unit"))
-        & (F.col(f"r.{ts}").cast("timestamp") >= F.col("w.ts_start"))
-        & (F.col(f"r.{ts}").cast("timestamp") < F.col("w.ts_end"))
+        & (at >= F.col("w.ts_start"))
+        & (at < F.col("w.ts_end"))
     )
     return rows.join(w, inside).select("r.*", "w.ts_start", "w.ts_end").drop("_unit")
 

@@ -100,6 +100,17 @@ def parse_gtid_text(gtid_set: str) -> list[tuple[str, int, int]]:
     return intervals
 
 
+def merged_ranges(intervals: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """Intervals of one offset's text, sorted, touching ones joined."""
+    out: list[tuple[str, int, int]] = []
+    for uuid, lo, hi in sorted(intervals):
+        if out and out[-1][0] == uuid and lo <= out[-1][2] + 1:
+            out[-1] = (uuid, out[-1][1], max(hi, out[-1][2]))
+        else:
+            out.append((uuid, lo, hi))
+    return out
+
+
 def merge_intervals(intervals: DataFrame, bucket: int = 1_000_000) -> DataFrame:
     """Union of (uuid, lo, hi) intervals: touching and overlapping ones become one.
 
@@ -125,16 +136,16 @@ def merge_intervals(intervals: DataFrame, bucket: int = 1_000_000) -> DataFrame:
 def skip_gtid_set(events: DataFrame, gtid_set: str, gtid: str = "gtid") -> DataFrame:
     """Events of transactions outside the set; events without a gtid stay.
 
-    The set is an offset's text, so its intervals are a local relation that the
-    optimizer sizes itself.
+    The set is an offset's text; its intervals are written into the plan, where the
+    optimizer sees how few they are.
     """
-    spark = events.sparkSession
-    intervals = merge_intervals(
-        spark.createDataFrame(parse_gtid_text(gtid_set), "uuid string, lo bigint, hi bigint")
-    ).alias("done")
+    intervals = [_interval(*i) for i in merged_ranges(parse_gtid_text(gtid_set))]
+    if not intervals:
+        return events
+    done = events.sparkSession.range(1).select(F.inline(F.array(*intervals))).alias("done")
     uuid, txn = O.gtid_uuid(F.col(gtid)), O.gtid_txn(F.col(gtid))
     return events.join(
-        intervals,
+        done,
         (uuid == F.col("done.uuid")) & (txn >= F.col("done.lo")) & (txn <= F.col("done.hi")),
         "left_anti",
     )
@@ -206,27 +217,28 @@ def event_offset(
     own = F.col("own") == F.col("uuid")
     marks = fill_forward(marks, "seen", F.col("txn"), own, order, source_keys, block_bits, strict=True)
 
-    # A new interval starts at gaps and fail-overs only. There are as many as the text of the set is long,
-    # so joining them by range costs no more than writing the sets down.
+    # A new interval starts at gaps and fail-overs only. Each is spread over the blocks of log it lasts for, so
+    # that it meets its transactions block by block; an event meets as many as the text of its set is long.
     by_log = W.partitionBy(*source_keys).orderBy(order)
     interval = F.struct(F.lag("txn").over(by_log).alias("lo"), F.col("seen").alias("hi"))
+    ends = starts.groupBy(*keys).agg(F.max(order).alias("_end"))
     spans = (
-        marks.filter(own & (F.col("seen").isNull() | (F.col("txn") != F.col("seen") + 1)))
+        marks.join(ends, keys)
+        .filter(own & (F.col("seen").isNull() | (F.col("txn") != F.col("seen") + 1)))
         .withColumn("_ended", F.when(F.col("seen").isNotNull(), interval))
         .select(
             *source_keys,
             F.col(order).alias("_from"),
-            F.lead(order).over(by_log).alias("_to"),
+            F.coalesce(F.lead(order).over(by_log), F.col("_end")).alias("_to"),
             F.col("txn").alias("lo"),
             F.collect_list("_ended").over(by_log.rowsBetween(W.unboundedPreceding, 0)).alias("closed"),
         )
     )
-    m, s = marks.alias("m"), spans.alias("s")
-    inside = [F.col(f"m.{k}") == F.col(f"s.{k}") for k in source_keys]
-    inside += [
-        F.col(f"m.{order}") > F.col("s._from"),
-        F.col("s._to").isNull() | (F.col(f"m.{order}") <= F.col("s._to")),
-    ]
+    first, last = F.shiftright("_from", block_bits), F.shiftright("_to", block_bits)
+    s = spans.withColumn("_block", F.explode(F.sequence(first, last))).alias("s")
+    m = marks.withColumn("_block", F.shiftright(order, block_bits)).alias("m")
+    inside = [F.col(f"m.{k}") == F.col(f"s.{k}") for k in [*source_keys, "_block"]]
+    inside += [F.col(f"m.{order}") > F.col("s._from"), F.col(f"m.{order}") <= F.col("s._to")]
     none = F.array().cast("array<struct<lo:bigint,hi:bigint>>")
     from_base = none
     if base:

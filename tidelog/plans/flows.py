@@ -11,13 +11,34 @@ from tidelog.functions import patterns as P
 from tidelog.operators.coalesce import GAP_DEFAULT_MS, coalesce_changes
 from tidelog.operators.enrich import enrich_columns, lookup_enrich
 from tidelog.operators.incremental import incremental_extract
-from tidelog.operators.ordering import SERVER, drop_system_without_metadata, resolve_table_map, tx_sequence
-from tidelog.operators.records import to_notices
+from tidelog.operators.ordering import (
+    SERVER,
+    drop_system_without_metadata,
+    event_offset,
+    resolve_table_map,
+    start_position,
+)
+from tidelog.operators.records import to_notices, to_records
 from tidelog.operators.routing import Lookup, Routes, Rule, apply_rules, drop_unrouted, route_topic, rule_matches
 from tidelog.operators.scan import BLOCK_BITS
 from tidelog.sources.sinks import messages
 
 
+def known_events(
+    log: DataFrame,
+    catalog: DataFrame,
+    n_columns: Column,
+    include: str | None = None,
+    ignore: str | None = None,
+    keys: Sequence[str] = SERVER,
+    block_bits: int = BLOCK_BITS,
+) -> DataFrame:
+    """Wanted row events with their table and columns; system tables without metadata are left out."""
+    resolved = resolve_table_map(log, keys=keys, block_bits=block_bits)
+    wanted = resolved.filter(P.table_filter(include, ignore, "db", "tbl"))
+    return drop_system_without_metadata(enrich_columns(wanted, catalog, n_columns), F.col("has_metadata"))
+
+
 def publish(
     log: DataFrame,
     catalog: DataFrame,
@@ -29,19 +50,40 @@ def publish(
     keys: Sequence[str] = SERVER,
     block_bits: int = BLOCK_BITS,
 ) -> DataFrame:
-    """Raw log to (topic, key, value) messages, one per burst of changes of a table.
+    """Raw log to (topic, key, value) messages, one set of notices per burst of changes of a table.
 
-    The table filter runs after transactions are numbered and tables are known, and
-    before anything is merged.
+    A notice has no transaction in it, so the log need not be numbered here.
     """
-    numbered = tx_sequence(log.filter(P.keep_row_events()), keys=keys, block_bits=block_bits)
-    resolved = resolve_table_map(numbered, keys=keys, block_bits=block_bits)
-    wanted = resolved.filter(P.table_filter(include, ignore, "db", "tbl"))
-    known = drop_system_without_metadata(enrich_columns(wanted, catalog, n_columns), F.col("has_metadata"))
+    known = known_events(log, catalog, n_columns, include, ignore, keys, block_bits)
     merged = coalesce_changes(known, ["db", "tbl"], "ts", gap_ms, counts=False)
     return publish_notices(to_notices(merged), routes)
 
 
+def full_records(
+    log: DataFrame,
+    catalog: DataFrame,
+    n_columns: Column,
+    include: str | None = None,
+    ignore: str | None = None,
+    saved: str | None = None,
+    base_set: str = "",
+    keys: Sequence[str] = SERVER,
+    block_bits: int = BLOCK_BITS,
+) -> DataFrame:
+    """Raw log to full change records with images and offsets, continuing after a ``saved`` gtid offset.
+
+    Transactions are numbered and tables found on the whole log, before anything is left out.
+    """
+    stamped = event_offset(log, base_set, keys=keys, block_bits=block_bits).drop("db", "tbl")
+    tables = resolve_table_map(log, keys=keys, block_bits=block_bits).select(*keys, "pos", "db", "tbl")
+    events = stamped.join(tables, [*keys, "pos"])
+    if saved:
+        events = start_position(events, saved)
+    wanted = events.filter(P.table_filter(include, ignore, "db", "tbl"))
+    known = drop_system_without_metadata(enrich_columns(wanted, catalog, n_columns), F.col("has_metadata"))
+    return to_records(known)
+
+
 def publish_notices(notices: DataFrame, routes: Routes) -> DataFrame:
     return messages(drop_unrouted(notices.withColumn("topic", route_topic(routes))))
 
@@ -69,8 +111,18 @@ def apply_rule_set(events: DataFrame, rules: Sequence[Rule], lookups: dict[int,
     for number, lookup in (lookups or {}).items():
         asked = matches[number] & F.col("BoundSql").isNotNull()
         pairs = [(f"_k{i}", name, column) for i, (name, column) in enumerate(lookup.on.items())]
-        keyed = done.withColumns({k: F.when(asked, F.col("Data")[name]) for k, name, _ in pairs})
-        source = lookup.source.withColumns({k: F.col(column).cast("string") for k, _, column in pairs})
+        # events that ask for nothing have no key; a number spreads them instead of one task getting all
+        plain = [F.col(c) for c, kind in events.dtypes if "map<" not in kind and "variant" not in kind]
+        pairs.append(("_ask", "", ""))
+        keyed = done.withColumns(
+            {
+                **{k: F.when(asked, F.col("Data")[name]) for k, name, _ in pairs[:-1]},
+                "_ask": F.when(asked, F.lit(0).cast("bigint")).otherwise(F.pmod(F.xxhash64(*plain), F.lit(100_000)) + 1),
+            }
+        )
+        source = lookup.source.withColumns(
+            {**{k: F.col(column).cast("string") for k, _, column in pairs[:-1]}, "_ask": F.lit(0).cast("bigint")}
+        )
         found = lookup_enrich(keyed, source, {k: k for k, _, _ in pairs}, "_rows")
         rows = F.transform("_rows", lambda r: r.dropFields(*[k for k, _, _ in pairs]))
         done = found.withColumn("ResultRows", F.when(asked, F.to_json(rows)).otherwise(F.col("ResultRows"))).drop(

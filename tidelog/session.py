@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BROADCAST_BYTES = 64 << 20
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -29,3 +32,21 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         root = tempfile.mkdtemp(prefix="tidelog-")
         spark.conf.set(CHECKPOINT_CONF, root)
     return os.path.join(root, *parts) if parts else root
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """The rows written once to the shared folder and read from there: later uses neither compute nor wait for them."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_dir(df.sparkSession, "checkpoints"))
+    return df.checkpoint()
+
+
+def small_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Marked for broadcast if its rows, measured as text, stay below the bound; else left to a shuffle join.
+
+    The optimizer does not know the size of what came from a list, a database or a
+    long computation, and would shuffle the large side before it finds out.
+    """
+    size = df.agg(F.sum(F.length(F.to_json(F.struct(*df.columns))))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df

@@ -23,39 +23,40 @@ def read_raw(
     return raw.withColumn("value", F.col("value").cast("string")) if "value" in raw.columns else raw
 
 
-def _parsed(raw: DataFrame, value: str) -> tuple[DataFrame, Column]:
-    parsed = raw.withColumn(
-        "_m", F.from_json(value, MESSAGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    ).withColumn("_ts", F.col("_m.Timestamp").try_cast("bigint"))
-    valid = (
-        F.btrim(F.col(value), F.lit(BLANKS)).startswith("{")
-        & F.col("_m").isNotNull()
-        & F.col("_m._corrupt").isNull()
-        & (F.col("_m.Timestamp").isNull() | F.col("_ts").isNotNull())
-    )
-    return parsed, F.coalesce(valid, F.lit(False))
+def _readable(value: str) -> Column:
+    """Array with the parsed message, empty if it cannot be read. Exploding it parses each message only once."""
+    parsed = F.from_json(value, MESSAGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+
+    def valid(m: Column) -> Column:
+        time_fits = m["Timestamp"].isNull() | m["Timestamp"].try_cast("bigint").isNotNull()
+        return m.isNotNull() & m["_corrupt"].isNull() & time_fits
+
+    is_object = F.btrim(F.col(value), F.lit(BLANKS)).startswith("{")
+    return F.when(is_object, F.filter(F.array(parsed), valid))
 
 
 def parse_messages(raw: DataFrame, value: str = "value") -> DataFrame:
     """Message fields with ``KafkaTopic`` (topic/partition) and ``KafkaOffset``; unreadable messages are left out."""
-    parsed, valid = _parsed(raw, value)
     from_kafka = {"topic", "partition", "offset"} <= set(raw.columns)
     where = F.concat_ws("/", "topic", F.col("partition").cast("string")) if from_kafka else F.lit(None).cast("string")
-    return parsed.filter(valid).select(
+    return raw.select(
+        F.explode(_readable(value)).alias("_m"),
+        where.alias("KafkaTopic"),
+        (F.col("offset") if from_kafka else F.lit(None).cast("bigint")).alias("KafkaOffset"),
+    ).select(
         "_m.Type",
         "_m.Database",
         "_m.Table",
-        F.col("_ts").alias("Timestamp"),
+        F.col("_m.Timestamp").cast("bigint").alias("Timestamp"),
         "_m.Data",
-        where.alias("KafkaTopic"),
-        (F.col("offset") if from_kafka else F.lit(None).cast("bigint")).alias("KafkaOffset"),
+        "KafkaTopic",
+        "KafkaOffset",
     )
 
 
 def quarantine(raw: DataFrame, value: str = "value") -> DataFrame:
     """The messages that ``parse_messages`` leaves out, as they came."""
-    parsed, valid = _parsed(raw, value)
-    return parsed.filter(~valid).select(*raw.columns)
+    return raw.filter(F.coalesce(F.size(_readable(value)), F.lit(0)) <= 0)
 
 
 def read_change_messages(

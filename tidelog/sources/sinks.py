@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidelog.functions.patterns import any_of
 from tidelog.functions.records import message_envelope, message_key
 from tidelog.operators.incremental import latest_per_key, shard
 from tidelog.operators.records import project_positional
@@ -52,21 +53,33 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def upsert_documents(docs: DataFrame, path: str, id_column: str, order: str) -> None:
-    """Merge documents into the parquet snapshot at ``path``, rewriting only the shards they belong to.
+def upsert_documents(docs: DataFrame, path: str, id_column: str, order: str, buckets: int = 32) -> None:
+    """Merge documents into the parquet snapshot at ``path``.
 
-    The rewrite is staged and moved into place when the job commits, so a lost
-    executor or a repeated batch leaves the same result.
+    A shard is cut into ``buckets`` by id, and only the (shard, bucket) folders that
+    get a document are rewritten. The rewrite is staged and moved into place when the
+    job commits, so a lost executor or a repeated batch leaves the same result.
     """
     spark = docs.sparkSession
+    docs = docs.withColumn("bucket", F.pmod(F.xxhash64(id_column), F.lit(buckets)).cast("int"))
     merged = docs
     if _exists(spark, path):
-        # a shard is a span of months: this list is short by nature
-        touched = [r[0] for r in docs.select("shard").distinct().collect()]
-        old = spark.read.schema(docs.schema).parquet(path).filter(F.col("shard").isin(*touched))
+        # a shard is a span of months: this list of folders is short by nature
+        touched: dict[int, list[int]] = {}
+        for r in docs.select("shard", "bucket").distinct().collect():
+            touched.setdefault(r.shard, []).append(r.bucket)
+        folders = [(F.col("shard") == s) & F.col("bucket").isin(*b) for s, b in touched.items()]
+        old = spark.read.schema(docs.schema).parquet(path).filter(any_of(*folders))
         both = old.withColumn("_new", F.lit(0)).unionByName(docs.withColumn("_new", F.lit(1)))
-        merged = latest_per_key(both, ["shard", id_column], [F.col(order).desc(), F.col("_new").desc()]).drop("_new")
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
+        newest = [F.col(order).desc(), F.col("_new").desc()]
+        merged = latest_per_key(both, ["shard", "bucket", id_column], newest).drop("_new")
+    (
+        merged.repartition("shard", "bucket")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("shard", "bucket")
+        .parquet(path)
+    )
 
 
 def write_documents(
@@ -76,12 +89,13 @@ def write_documents(
     order: str,
     date_column: str,
     months_per_shard: int = 12,
+    buckets: int = 32,
 ) -> Callable[[DataFrame, int], None]:
     """Function for ``foreachBatch`` that upserts each micro-batch by id."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         docs = documents(batch, names, id_column, order, date_column, months_per_shard).persist()
-        upsert_documents(docs, path, id_column, order)
+        upsert_documents(docs, path, id_column, order, buckets)
         docs.unpersist()
 
     return write
