@@ -2,10 +2,12 @@ import datetime as dt
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tidelog.operators import coalesce as C
+from tidelog.operators.groups import whole_groups
 
 START = dt.datetime(2024, 1, 1)
 
@@ -49,18 +51,55 @@ def test_windows_across_blocks(spark, gap, block_gaps):
     assert sorted((tuple(r) for r in bare.select("k", "window_start", "pos").collect()), key=str) == [w[:3] for w in brute(rows, gap)]
 
 
+def opened_by_hand(times, gap, anchor):
+    out = []
+    for t in times:
+        if anchor is None or t > anchor + gap:
+            anchor = t
+            out.append(t)
+    return out
+
+
 def test_block_steps_lead_to_the_right_exit():
     rng = np.random.default_rng(5)
-    for _ in range(200):
+    for _ in range(100):
         gap = int(rng.integers(1, 12))
-        begin, length = 100, gap * int(rng.integers(1, 6))
-        times = np.unique(rng.integers(begin, begin + length, size=int(rng.integers(1, 40))))
-        froms, outs = C.block_exits(times, begin, gap)
-        assert froms == sorted(froms) and len(froms) <= gap + 2
-        for anchor in range(begin - 2 * gap, begin):
-            opened = C.window_starts(times, gap, anchor)
-            exit_ = outs[int(np.searchsorted(froms, anchor + gap, side="right")) - 1]
-            assert (anchor if exit_ is None else exit_) == (int(times[opened[-1]]) if len(opened) else anchor)
+        length = gap * int(rng.integers(1, 6))
+        numbers = rng.integers(-3, 50, size=4)
+        parts = [np.unique(rng.integers(n * length, (n + 1) * length, size=int(rng.integers(1, 40)))) for n in numbers]
+        starts = np.cumsum([0, *[len(p) for p in parts[:-1]]])
+        blocks = C.Blocks(np.concatenate(parts), starts, numbers * length, gap, length)
+        group, froms, outs, passes = blocks.steps()
+        for back in range(1, 3 * gap):
+            anchors = numbers * length - back
+            opens = blocks.opened(anchors, np.ones(4, dtype=bool))
+            for g, part in enumerate(parts):
+                want = opened_by_hand(part, gap, anchors[g])
+                assert part[opens[blocks.group == g]].tolist() == want
+                mine = np.argsort(froms[group == g], kind="stable")
+                step = mine[int(np.searchsorted(froms[group == g][mine], anchors[g] + gap, side="right")) - 1]
+                exit_ = anchors[g] if passes[group == g][step] else outs[group == g][step]
+                assert exit_ == (want[-1] if want else anchors[g])
+        opens = blocks.opened(np.zeros(4, dtype=np.int64), np.zeros(4, dtype=bool))
+        for g, part in enumerate(parts):
+            assert part[opens[blocks.group == g]].tolist() == opened_by_hand(part, gap, None)
+
+
+def test_groups_over_batch_borders():
+    rng = np.random.default_rng(1)
+    for _ in range(100):
+        sizes = rng.integers(1, 9, size=int(rng.integers(1, 9)))
+        key = np.repeat(np.arange(len(sizes)), sizes)
+        table = pa.table({"a": pa.array([None if k == 0 else f"k{k // 2}" for k in key], pa.string()), "b": key % 2, "i": np.arange(len(key))})
+        cuts = np.sort(rng.integers(0, len(key) + 1, size=int(rng.integers(0, 6))))
+        edges = [0, *cuts.tolist(), len(key)]
+        batches = [b for lo, hi in zip(edges, edges[1:]) for b in table.slice(lo, hi - lo).to_batches()]
+        seen, at = [], 0
+        for part, starts in whole_groups(iter(batches), ["a", "b"]):
+            assert part.column("i").to_pylist() == list(range(at, at + part.num_rows))
+            seen += [at + int(s) for s in starts]
+            at += part.num_rows
+        assert at == len(key) and seen == np.flatnonzero(np.r_[True, key[1:] != key[:-1]]).tolist()
 
 
 def changes(spark, rows):

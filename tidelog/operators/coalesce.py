@@ -11,12 +11,13 @@ the one before, so the log of a key is cut into blocks of time:
 3. these rows are followed block by block for each key,
 4. each (key, block), now knowing what is open when it begins, emits its windows.
 
-Steps 2 and 4 read the same shuffled rows.
+Steps 2 and 4 take up many small groups of a partition at once, so that thousands of
+quiet tables cost no more than one busy table with as many rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelog.operators.groups import whole_groups
 from tidelog.operators.scan import BLOCK_BITS, running_sum
 from tidelog.session import settle, small_side
 
@@ -36,50 +38,71 @@ BLOCK_GAPS = 256
 _NEVER = np.iinfo(np.int64).min
 
 
-def _next_open(times: np.ndarray, gap: int) -> np.ndarray:
-    """Index of the change that opens the next window if ``i`` opens one."""
-    return np.searchsorted(times, times + gap, side="right")
-
-
-def block_exits(times: np.ndarray, begin: int, gap: int) -> tuple[list[int], list[int | None]]:
-    """How the window open before a block decides the one open after it.
-
-    Returns steps ``(from, exit)``: an anchor ``a`` takes the last step with
-    ``from <= a + gap``; exit None leaves ``a`` itself open.
-    """
-    n = len(times)
-    jump = _next_open(times, gap)
-    jump = np.where(jump < n, jump, np.arange(n))
-    while True:
-        further = jump[jump]
-        if np.array_equal(further, jump):
-            break
-        jump = further
-    first = np.searchsorted(times, begin + gap - 1, side="right")
-    exits = times[jump[: min(first + 1, n)]]
-    change = np.flatnonzero(np.diff(exits)) + 1
-    starts = [0, *change.tolist()]
-    froms = [_NEVER if i == 0 else int(times[i - 1]) for i in starts]
-    outs: list[int | None] = [int(exits[i]) for i in starts]
-    if first >= n:
-        froms.append(int(times[-1]))
-        outs.append(None)
-    return froms, outs
-
-
-def window_starts(times: np.ndarray, gap: int, anchor: int | None) -> np.ndarray:
-    """Indexes of the changes that open a window, given the anchor open before them."""
-    n = len(times)
-    i = 0 if anchor is None else int(np.searchsorted(times, anchor + gap, side="right"))
-    opened = []
-    while i < n:
+def window_starts(times: np.ndarray, gap: int) -> np.ndarray:
+    """Indexes of the sorted times that open a window, the first one included."""
+    opened, i = [], 0
+    while i < len(times):
         opened.append(i)
         i = int(np.searchsorted(times, times[i] + gap, side="right"))
     return np.asarray(opened, dtype=np.int64)
 
 
-def _key_table(key: tuple, names: list[str], schema: pa.Schema, n: int) -> dict[str, pa.Array]:
-    return {name: pa.array([k.as_py()] * n, schema.field(name).type) for name, k in zip(names, key)}
+class Blocks:
+    """Sorted times of several (key, block) groups laid end to end.
+
+    Every group gets a stretch of its own on one line, wide enough that a gap never
+    reaches from one group into the next; so one search serves all groups.
+    """
+
+    def __init__(self, times: np.ndarray, starts: np.ndarray, begins: np.ndarray, gap: int, length: int):
+        n = len(times)
+        self.times, self.starts, self.begins, self.gap = times, starts, begins, gap
+        self.ends = np.r_[starts[1:], n]
+        self.group = np.repeat(np.arange(len(starts)), self.ends - starts)
+        self.base = np.arange(len(starts), dtype=np.int64) * (length + gap + 1)
+        self.line = times - begins[self.group] + self.base[self.group]
+        following = np.searchsorted(self.line, self.line + gap, side="right")
+        self.following = np.where(following < self.ends[self.group], following, -1)
+
+    def steps(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """How the window open before a block decides the one open after it.
+
+        Returns (group, from, exit, passes): an anchor ``a`` takes the last step of the
+        group with ``from <= a + gap``; where ``passes``, ``a`` itself stays open.
+        """
+        n = len(self.times)
+        here = np.arange(n)
+        jump = np.where(self.following >= 0, self.following, here)
+        while True:
+            further = jump[jump]
+            if np.array_equal(further, jump):
+                break
+            jump = further
+        exits = self.times[jump]
+        # the first row above the highest time an earlier anchor can reach is the last that may open first
+        last = np.searchsorted(self.line, self.base + self.gap - 1, side="right")
+        is_first = np.zeros(n, dtype=bool)
+        is_first[self.starts] = True
+        differs = np.r_[True, exits[1:] != exits[:-1]]
+        rows = np.flatnonzero((here <= last[self.group]) & (is_first | differs))
+        passing = np.flatnonzero(last >= self.ends)
+        group = np.r_[self.group[rows], passing]
+        before = np.where(is_first[rows], _NEVER, self.times[np.maximum(rows - 1, 0)])
+        froms = np.r_[before, self.times[self.ends[passing] - 1]]
+        outs = np.r_[exits[rows], np.zeros(len(passing), dtype=np.int64)]
+        return group, froms, outs, np.r_[np.zeros(len(rows), dtype=bool), np.ones(len(passing), dtype=bool)]
+
+    def opened(self, anchors: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """Which rows open a window, given each group's anchor from before (where ``known``)."""
+        reach = np.maximum(np.where(known, anchors - self.begins + self.gap, -1), -1)
+        at = np.searchsorted(self.line, reach + self.base, side="right")
+        at = at[at < self.ends]
+        opens = np.zeros(len(self.times), dtype=bool)
+        while len(at):
+            opens[at] = True
+            at = self.following[at]
+            at = at[at >= 0]
+        return opens
 
 
 def anchored_windows(
@@ -116,40 +139,54 @@ def anchored_windows(
     )
     key_fields = [f for f in thin.schema.fields if f.name in group]
 
+    def laid_out(table: pa.Table, starts: np.ndarray) -> Blocks:
+        begins = table.column("_block").to_numpy()[starts] * length
+        return Blocks(table.column("_at").to_numpy(), starts, begins, gap, length)
+
     step_schema = T.StructType(
         [*key_fields, T.StructField("_from", T.LongType()), T.StructField("_exit", T.LongType())]
     )
 
-    def steps(key: tuple, table: pa.Table) -> pa.Table:
-        times = np.sort(table.column("_at").to_numpy())
-        froms, outs = block_exits(times, key[-1].as_py() * length, gap)
-        columns = _key_table(key, group, table.schema, len(froms))
-        columns["_from"] = pa.array(froms, pa.int64())
-        columns["_exit"] = pa.array(outs, pa.int64())
-        return pa.table(columns)
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_groups(batches, group):
+            which, froms, outs, passes = laid_out(table, starts).steps()
+            columns = {name: table.column(name).take(pa.array(starts[which])) for name in group}
+            columns["_from"] = pa.array(froms, pa.int64())
+            columns["_exit"] = pa.array(outs, pa.int64(), mask=passes)
+            yield from pa.table(columns).to_batches()
 
     carry_schema = T.StructType([*key_fields, T.StructField("_open", T.LongType())])
 
-    def follow(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.sort_by([("_block", "ascending"), ("_from", "ascending")])
-        blocks = table.column("_block").to_numpy()
-        froms = table.column("_from").to_numpy()
-        outs = table.column("_exit").to_pylist()
-        first_rows = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]])
-        bounds = [*first_rows.tolist(), len(blocks)]
-        opened: list[int | None] = []
-        anchor: int | None = None
-        for lo, hi in zip(bounds, bounds[1:]):
-            opened.append(anchor)
-            reach = _NEVER if anchor is None else anchor + gap
-            out = outs[lo + int(np.searchsorted(froms[lo:hi], reach, side="right")) - 1]
-            anchor = anchor if out is None else out
-        columns = _key_table(key, keys, table.schema, len(opened))
-        columns["_block"] = pa.array(blocks[first_rows], pa.int64())
-        columns["_open"] = pa.array(opened, pa.int64())
-        return pa.table(columns)
-
-    carried = thin.groupBy(*group).applyInArrow(steps, step_schema).groupBy(*keys).applyInArrow(follow, carry_schema)
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, key_starts in whole_groups(batches, keys):
+            blocks = table.column("_block").to_numpy()
+            froms = table.column("_from").to_numpy()
+            outs = table.column("_exit").to_pylist()
+            is_start = np.r_[True, blocks[1:] != blocks[:-1]]
+            is_start[key_starts] = True
+            firsts = np.flatnonzero(is_start)
+            new_key = np.isin(firsts, key_starts).tolist()
+            opened: list[int | None] = []
+            anchor: int | None = None
+            for lo, hi, new in zip(firsts.tolist(), [*firsts[1:].tolist(), len(blocks)], new_key):
+                anchor = None if new else anchor
+                opened.append(anchor)
+                reach = _NEVER if anchor is None else anchor + gap
+                out = outs[lo if hi == lo + 1 else lo + int(np.searchsorted(froms[lo:hi], reach, side="right")) - 1]
+                anchor = anchor if out is None else out
+            columns = {name: table.column(name).take(pa.array(firsts)) for name in group}
+            columns["_open"] = pa.array(opened, pa.int64())
+            yield from pa.table(columns).to_batches()
+
+    carried = (
+        thin
+        .repartition(*group)
+        .sortWithinPartitions(*group, "_at")
+        .mapInArrow(steps, step_schema)
+        .repartition(*keys)
+        .sortWithinPartitions(*group, "_from")
+        .mapInArrow(follow, carry_schema)
+    )
 
     out_schema = T.StructType(
         [
@@ -161,45 +198,60 @@ def anchored_windows(
         ]
     )
 
-    def windows(key: tuple, rows: pa.Table, state: pa.Table) -> pa.Table:
-        rows = rows.take(np.argsort(rows.column("_at").to_numpy(), kind="stable"))
-        times = rows.column("_at").to_numpy()
-        anchor = state.column("_open")[0].as_py()
-        opened = window_starts(times, gap, anchor)
-        starts, picked, edges = times[opened], opened.tolist(), opened
-        if counts and (len(opened) == 0 or opened[0] > 0):
-            # rows ahead of the first opening belong to the window the block began with
-            starts, picked, edges = np.r_[anchor, starts], [None, *picked], np.r_[0, opened]
-        ends = np.r_[edges[1:], len(times)].astype(np.int64)
-        columns = _key_table(key[: len(keys)], keys, rows.schema, len(picked))
-        columns["window_start"] = pa.array(starts, pa.int64())
-        columns[order] = rows.column("_first").combine_chunks().take(pa.array(picked, pa.int64()))
-        for name in sums:
-            columns[name] = pa.array(np.add.reduceat(rows.column(name).to_numpy(), edges), pa.int64())
-        columns["window_last"] = pa.array(times[ends - 1] if len(edges) else [], pa.int64())
-        return pa.table(columns)
-
-    opened = thin.groupBy(*group).cogroup(carried.groupBy(*group)).applyInArrow(windows, out_schema)
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for mixed, heads in whole_groups(batches, group):
+            # the state row, which has no time, is the first of each group
+            anchors = mixed.column("_open").take(pa.array(heads))
+            known = anchors.is_valid().to_numpy()
+            anchors = anchors.fill_null(0).to_numpy()
+            is_row = np.ones(mixed.num_rows, dtype=bool)
+            is_row[heads] = False
+            table, starts = mixed.filter(pa.array(is_row)).combine_chunks(), heads - np.arange(len(heads))
+            blocks = laid_out(table, starts)
+            opens = blocks.opened(anchors, known)
+            edges = opens.copy()
+            edges[starts] = True  # rows ahead of a block's first opening belong to the window it began with
+            rows = np.flatnonzero(edges)
+            ends = np.r_[rows[1:], len(opens)]
+            columns = {name: table.column(name).take(pa.array(rows)) for name in keys}
+            begun = np.where(opens[rows], blocks.times[rows], anchors[blocks.group[rows]])
+            columns["window_start"] = pa.array(begun, pa.int64())
+            picked = pa.array(rows, pa.int64(), mask=~opens[rows])
+            columns[order] = table.column("_first").take(picked)
+            for name in sums:
+                columns[name] = pa.array(np.add.reduceat(table.column(name).to_numpy(), rows), pa.int64())
+            columns["window_last"] = pa.array(blocks.times[ends - 1], pa.int64())
+            made = pa.table(columns)
+            yield from (made if counts else made.filter(pa.array(opens[rows]))).to_batches()
+
+    opened = (
+        thin.unionByName(carried, allowMissingColumns=True)
+        .repartition(*group)
+        .sortWithinPartitions(*group, F.col("_at").asc_nulls_first())
+        .mapInArrow(windows, out_schema)
+    )
     if not counts:
         return opened.drop("window_last")
-    return (
-        opened.groupBy(*keys, "window_start")
-        .agg(
-            F.min(order).alias(order),
-            *[F.sum(name).alias(total) for name, total in zip(sums, totals)],
-            F.max("window_last").alias("window_last"),
-        )
+    return opened.groupBy(*keys, "window_start").agg(
+        F.min(order).alias(order),
+        *[F.sum(name).alias(total) for name, total in zip(sums, totals)],
+        F.max("window_last").alias("window_last"),
     )
 
 
 def with_first_rows(df: DataFrame, windows: DataFrame, keys: Sequence[str], at: Column, order: str) -> DataFrame:
     """Windows with all columns of their first row. Rows that agree in key, time and order count as one."""
-    at_key = [*keys, "_at", order]
-    rows, w = df.withColumn("_at", at).alias("r"), windows.withColumnRenamed("window_start", "_at").alias("w")
-    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"w.{c}")) for c in keys]
-    same += [F.col(f"r.{c}") == F.col(f"w.{c}") for c in ("_at", order)]
-    extra = [F.col(f"w.{c}") for c in windows.columns if c not in (*keys, order, "window_start")]
-    return rows.join(w, same).select("r.*", *extra).dropDuplicates(at_key).withColumnRenamed("_at", "window_start")
+    place = F.struct(*keys, "_at", order).alias("_place")  # equal even where a key is null
+    rows = df.withColumn("_at", at).select("*", place).alias("r")
+    extra = [c for c in windows.columns if c not in (*keys, order, "window_start")]
+    w = windows.withColumnRenamed("window_start", "_at").select(*extra, place).alias("w")
+    return (
+        rows.join(w, F.col("r._place") == F.col("w._place"))
+        .select("r.*", *[F.col(f"w.{c}") for c in extra])
+        .dropDuplicates(["_place"])
+        .drop("_place")
+        .withColumnRenamed("_at", "window_start")
+    )
 
 
 def micros(ts: str) -> Column:

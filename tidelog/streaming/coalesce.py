@@ -48,7 +48,7 @@ class AnchoredWindows(StatefulProcessor):
     def _advance(self, key: tuple, changes: pd.DataFrame, watermark_ms: int) -> Iterator[pd.DataFrame]:
         changes = changes.groupby("at", sort=True, as_index=False).agg({"first": "min", "n": "sum"})
         times = changes["at"].to_numpy()
-        opened = window_starts(times, self.gap, None)
+        opened = window_starts(times, self.gap)
         due = times[opened] + self.gap < watermark_ms * 1000
         n_due = int(due.sum())
         kept_from = int(opened[n_due]) if n_due < len(opened) else len(times)
