@@ -115,11 +115,13 @@ def delta_join(spark, d):
     return rows.select("o_orderkey", plain("ts_start"), plain("ts_end"))
 
 
-@check(
-    "i4_incremental_extract",
+EXTRACT_SQL = (
     f"{WINDOWS_SQL} select o.o_orderkey, o.o_totalprice, o.o_orderdate, o.o_orderstatus as \"dbName\" from windows w join orders o "
-    "on o.o_orderstatus = w.db and o.o_orderdate >= w.ts_start and o.o_orderdate < w.ts_end",
+    "on o.o_orderstatus = w.db and o.o_orderdate >= w.ts_start and o.o_orderdate < w.ts_end"
 )
+
+
+@check("i4_incremental_extract", EXTRACT_SQL)
 def incremental_extract(spark, d):
     source = table(spark, d, "orders").selectExpr("o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus as Database")
     return I.incremental_extract(

@@ -7,15 +7,18 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.changes import ANCHORED_TABLES, HOUR_MS, ROUTES, TOPIC_SQL
+from checks.changes import ANCHORED_TABLES, HOUR_MS, PUBLISH_SQL, ROUTES, TOPIC_SQL
+from checks.extraction import EXTRACT_SQL, SETTINGS, order_notices, progress
 from checks.logs import numbered_sql
-from checks.registry import check, changelog, notices, raw_log, with_changelog, with_raw_log
+from checks.registry import changelog, check, notices, raw_log, table, with_changelog, with_raw_log
 from tidelog.functions import offsets as O
 from tidelog.operators.routing import route_topic
+from tidelog.plans import flows
 from tidelog.session import shared_dir
 from tidelog.sources import sinks
 from tidelog.streaming import batches as B
 from tidelog.streaming import coalesce as C
+from tidelog.streaming import extract as E
 
 
 def _folder(spark, name: str) -> str:
@@ -32,6 +35,12 @@ def _staged(spark, df, name: str, parts: int, order: str = "pos") -> str:
     return path
 
 
+def _far_ahead(log, path: str, **names) -> None:
+    """One more row a year later, so that all windows before it end."""
+    ahead = log.agg((F.max("ts") + F.expr("INTERVAL '365' DAY")).alias("ts"), (F.max("pos") + 1).alias("pos"))
+    ahead.select(*[F.lit(v).alias(c) for c, v in names.items()], "ts", "pos").write.parquet(f"{path}/part=9")
+
+
 def _stream(spark, path: str, schema: T.StructType, one_by_one: bool = True):
     reader = spark.readStream.schema(schema)
     if one_by_one:
@@ -59,10 +68,7 @@ def coalesce_changes_stream(spark, d):
     """Streamed in four files; a row a year ahead, left out of the result, lets the last windows pass."""
     log = changelog(spark, d).select("db", "tbl", "ts", "pos")
     path = _staged(spark, log, "coalesce", 4)
-    ahead = log.agg((F.max("ts") + F.expr("INTERVAL '365' DAY")).alias("ts"), (F.max("pos") + 1).alias("pos")).select(
-        F.lit("").alias("db"), F.lit("").alias("tbl"), "ts", "pos"
-    )
-    ahead.write.parquet(f"{path}/part=9")
+    _far_ahead(log, path, db="", tbl="")
     stream = _stream(spark, path, log.schema)
     merged = C.coalesce_changes_stream(stream, ["db", "tbl"], "ts", HOUR_MS, "1 day")
     return (
@@ -79,6 +85,38 @@ def coalesce_changes_stream(spark, d):
     )
 
 
+@check("publish_notices_stream", PUBLISH_SQL)
+def publish_notices_stream(spark, d):
+    """The flagship on a stream: filter, route, merge, envelope."""
+    log = notices(spark, d).select("Type", "Database", "Table", "ts", "pos")
+    path = _staged(spark, log, "publish", 3)
+    _far_ahead(log, path, Type="", Database="lppz", Table="end of log")
+    changes = _stream(spark, path, log.schema)
+    published = flows.publish_stream(changes, ROUTES, "%.%", "sys_info.%,%.error", HOUR_MS, "1 day")
+    return _drain(published, _folder(spark, "published"))
+
+
+@check("incremental_extract_stream", EXTRACT_SQL)
+def incremental_extract_stream(spark, d):
+    """Notices streamed in three files; windows go on from micro-batch to micro-batch."""
+    log = order_notices(spark, d).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    path, out = _staged(spark, log, "extract", 3), _folder(spark, "extracted")
+    _far_ahead(log, path, Database="none")
+    source = table(spark, d, "orders").selectExpr("o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus as Database")
+    pending = E.pending_notices(_stream(spark, path, log.schema), "sys_info.%", SETTINGS["interval_ms"], "30 days")
+    extract = E.ExtractBatches(spark, f"{out}/state", lambda: source, "o_orderdate", progress(spark), SETTINGS["lag_ms"])
+    query = (
+        pending.writeStream.foreachBatch(
+            extract.writer(lambda rows, n: rows.write.mode("overwrite").parquet(f"{out}/rows/batch={n}"))
+        )
+        .option("checkpointLocation", f"{out}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{out}/rows").drop("batch")
+
+
 @check("c6_dedup_changes_stream", with_changelog("select distinct db, tbl from changelog"))
 def dedup_changes_stream(spark, d):
     """With a delay longer than the log, one change per table passes."""

@@ -169,3 +169,13 @@ def test_tumbling_form(spark):
     df = changes(spark, [("a", "t", 0, 1), ("a", "t", 59_999, 2), ("a", "t", 60_000, 3)])
     got = C.coalesce_tumbling(df, ["Database", "Table"], "ts", "1 minute").orderBy("pos").collect()
     assert [(r.pos, r.n_merged) for r in got] == [(1, 2), (3, 1)]
+
+
+def test_changes_without_a_time_are_kept(spark):
+    df = spark.createDataFrame(
+        [("a", "t", None, 1), ("a", "t", START, 2), (None, "t", START, 3)], "Database string, Table string, ts timestamp, pos bigint"
+    )
+    assert sorted(r.pos for r in C.coalesce_changes(df).collect()) == [1, 2, 3]
+    few = C.coalesce_changes(df, expect_few=True, counts=False)
+    assert sorted(r.pos for r in few.collect()) == [1, 2, 3]
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()

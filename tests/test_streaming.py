@@ -9,6 +9,7 @@ from tidelog.operators import coalesce as C
 from tidelog.operators import ordering as T
 from tidelog.streaming import batches as B
 from tidelog.streaming import coalesce as S
+from tidelog.streaming import extract as E
 
 START = dt.datetime(2024, 1, 1)
 SCHEMA = "Database string, Table string, ts timestamp, pos bigint"
@@ -137,3 +138,32 @@ def test_progress_survives_a_repeated_batch(spark, tmp_path):
     for _ in range(2):
         table.save(df.filter("server_id = 2").withColumn("pos", F.col("pos") + 1).withColumn("offset", F.lit("b.1:4")), 2)
         assert sorted((r.server_id, r.offset) for r in table.load().collect()) == [(1, "b.1:9"), (2, "b.1:4")]
+
+
+def test_extraction_goes_on_where_the_batch_before_ended(spark, tmp_path):
+    at = lambda s: START + dt.timedelta(seconds=s)
+    source = spark.createDataFrame([(i, at(i), "a") for i in range(0, 100, 10)] + [(7, at(7), "b")], "id int, made timestamp, Database string")
+    progress = spark.createDataFrame([("a", "2024-01-01 00:00:05.000")], "dbName string, job_time string")
+    seen = {}
+    extract = E.ExtractBatches(spark, str(tmp_path), lambda: source, "made", progress)
+    write = extract.writer(lambda rows, n: seen.__setitem__(n, sorted((r.dbName, r.id) for r in rows.collect())))
+
+    def releases(*runs):
+        return spark.createDataFrame([(db, at(t), at(run)) for db, t, run in runs], "Database string, ts timestamp, run_ts timestamp")
+
+    write(releases(("a", 8, 20), ("a", 25, 35)), 0)
+    for _ in range(2):  # repeated after a failure
+        write(releases(("b", 0, 10)), 1)
+    write(releases(("a", 40, 50)), 2)
+    assert seen == {0: [("a", 10), ("a", 20), ("a", 30)], 1: [("b", 7)], 2: [("a", 40)]}
+
+
+def test_first_change_keeps_its_columns_in_a_stream(spark, tmp_path):
+    path = str(tmp_path)
+    schema = SCHEMA + ", Type string, n int"
+    at = lambda s: START + dt.timedelta(seconds=s)
+    write(spark, path, 0, [("d", "t", at(1), 2, "UPDATE", None), ("d", "t", at(0), 1, "INSERT", 5), ("d", "t", at(0), 0, None, 7)], schema)
+    write(spark, path, 1, [("d", "t", at(9), 3, "DELETE", 8), ("", "", at(3600), 4, "", 0)], schema)
+    merged = S.coalesce_changes_stream(source(spark, path, schema), watermark="1 second", carry=["Type", "n"])
+    got = run(merged, path)
+    assert sorted((r.pos, r.n_merged, r.Type, r.n) for r in got.collect()) == [(0, 3, None, 7), (3, 1, "DELETE", 8)]

@@ -46,7 +46,7 @@ def get_path(df: DataFrame, column: str, path: str) -> Column:
     """Value at ``path``, null where it cannot be reached; a top-level key equal to the whole path wins."""
     dtype, value = df.schema[column].dataType, F.col(column)
     if isinstance(dtype, T.VariantType):
-        json_path = "$" + "".join(f"[{s}]" if isinstance(s, int) else f".{s}" for s in split_path(path))
+        json_path = "$" + "".join(f"[{s}]" if isinstance(s, int) else f"['{s}']" for s in split_path(path))
         return F.try_variant_get(value, json_path, "string")
     if isinstance(dtype, T.StructType) and path in dtype.names:
         return value.getField(path)

@@ -50,7 +50,7 @@ def evaluate(expression: str, data: str = "Data") -> Column:
     """Rule expression over a text map: ``#x`` is the value of ``x``, ``+`` joins texts."""
     sql = []
     for quoted, null_test, name, sign, other in re.findall(
-        r"('[^']*')|([!=]=\s*null\b)|#(\w+)|(&&|\|\||==|\+)|(.)", expression, re.S
+        r"('[^']*'|\"[^\"]*\")|([!=]=\s*null\b)|#(\w+)|(&&|\|\||==|\+)|(.)", expression, re.S
     ):
         if quoted:
             sql.append(quoted)

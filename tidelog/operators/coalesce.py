@@ -255,8 +255,8 @@ def with_first_rows(df: DataFrame, windows: DataFrame, keys: Sequence[str], at:
 
 
 def micros(ts: str) -> Column:
-    """Microseconds of a timestamp column (of either kind, read as UTC)."""
-    return F.unix_micros(F.col(ts).cast("timestamp"))
+    """Microseconds of a timestamp column (of either kind, read as UTC); a change without a time counts as 1970."""
+    return F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(0).cast("bigint"))
 
 
 def coalesce_changes(

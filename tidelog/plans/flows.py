@@ -22,6 +22,7 @@ from tidelog.operators.records import to_notices, to_records
 from tidelog.operators.routing import Lookup, Routes, Rule, apply_rules, drop_unrouted, route_topic, rule_matches
 from tidelog.operators.scan import BLOCK_BITS
 from tidelog.sources.sinks import messages
+from tidelog.streaming.coalesce import coalesce_changes_stream
 
 
 def known_events(
@@ -59,6 +60,23 @@ def publish(
     return publish_notices(to_notices(merged), routes)
 
 
+def publish_stream(
+    changes: DataFrame,
+    routes: Routes,
+    include: str | None = None,
+    ignore: str | None = None,
+    gap_ms: int = GAP_DEFAULT_MS,
+    watermark: str = "10 seconds",
+) -> DataFrame:
+    """Stream of resolved changes (Type, Database, Table, ts, pos) to a stream of (topic, key, value).
+
+    ``LogBatches`` makes such changes out of a raw log.
+    """
+    wanted = changes.filter(P.table_filter(include, ignore)).filter(route_topic(routes).isNotNull())
+    merged = coalesce_changes_stream(wanted, gap_ms=gap_ms, watermark=watermark, carry=["Type"])
+    return publish_notices(merged.withColumn("Timestamp", F.floor(F.col("window_start") / 1000).cast("bigint")), routes)
+
+
 def full_records(
     log: DataFrame,
     catalog: DataFrame,

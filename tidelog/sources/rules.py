@@ -78,16 +78,10 @@ def rules_table(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_rules(df: DataFrame, xml: str, keep: Sequence[str]) -> DataFrame:
     """Rule rows of event elements held as text in a column."""
-    parsed = df.select(*keep, F.from_xml(xml, F.lit(f"struct<{_struct(EVENT)}>")).alias("_e"))
+    parsed = df.select(*keep, F.from_xml(xml, EVENT).alias("_e"))
     return flatten_rules(parsed.select(*keep, "_e.*"), keep)
 
 
-def _struct(fields: str) -> str:
-    import re
-
-    return re.sub(r"(^|, )(`?\w+`?) ", r"\1\2:", fields)
-
-
 def compile_rules(rows: DataFrame) -> list[Rule]:
     """Rules for the routing operators out of a rule table; rules are configuration and few."""
     events: dict[int, dict] = {}

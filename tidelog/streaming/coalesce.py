@@ -13,6 +13,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,24 +31,34 @@ def use_rocksdb(spark: SparkSession) -> SparkSession:
 
 
 class AnchoredWindows(StatefulProcessor):
-    """Holds (time, lowest order, count) of a key's open changes and releases windows by event time."""
+    """Holds a key's open changes (time, lowest order, count, carried columns) and releases windows by event time."""
 
-    def __init__(self, keys: list[str], gap: int):
+    def __init__(self, keys: list[str], gap: int, carried: T.StructType):
         self.keys = keys
         self.gap = gap
+        self.carried = carried
+        self.columns = ["change_at", "change_first", "change_n", *carried.names]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField(c, T.LongType()) for c in ("at", "first", "n")])
+        numbers = [T.StructField(c, T.LongType()) for c in ("change_at", "change_first", "change_n")]
         self.handle = handle
-        self.pending = handle.getListState("pending", schema)
+        self.pending = handle.getListState("pending", T.StructType([*numbers, *self.carried.fields]))
 
     def _held(self) -> pd.DataFrame:
         rows = list(self.pending.get()) if self.pending.exists() else []
-        return pd.DataFrame(rows, columns=["at", "first", "n"], dtype="int64")
+        held = pd.DataFrame(rows, columns=self.columns)
+        return held.astype({c: "int64" for c in ("change_at", "change_first", "change_n")})
+
+    def _plain(self, values: pd.Series, name: str) -> list:
+        """Python values of a column; pandas turns whole numbers next to nulls into floats."""
+        whole = name not in self.carried.names or isinstance(self.carried[name].dataType, T.IntegralType)
+        return [None if pd.isna(v) else int(v) if whole else v for v in values.tolist()]
 
     def _advance(self, key: tuple, changes: pd.DataFrame, watermark_ms: int) -> Iterator[pd.DataFrame]:
-        changes = changes.groupby("at", sort=True, as_index=False).agg({"first": "min", "n": "sum"})
-        times = changes["at"].to_numpy()
+        changes = changes.sort_values(["change_at", "change_first"], kind="stable")
+        counts = changes.groupby("change_at", sort=True)["change_n"].sum()
+        changes = changes.drop_duplicates("change_at").assign(change_n=counts.to_numpy())
+        times = changes["change_at"].to_numpy()
         opened = window_starts(times, self.gap)
         due = times[opened] + self.gap < watermark_ms * 1000
         n_due = int(due.sum())
@@ -55,7 +66,8 @@ class AnchoredWindows(StatefulProcessor):
         for expiry in list(self.handle.listTimers()):
             self.handle.deleteTimer(expiry)
         if kept_from < len(times):
-            self.pending.put([tuple(int(v) for v in r) for r in changes.iloc[kept_from:].itertuples(index=False)])
+            rest = changes.iloc[kept_from:]
+            self.pending.put(list(zip(*[self._plain(rest[c], c) for c in self.columns])))
             self.handle.registerTimer(int((times[kept_from] + self.gap) // 1000 + 1))
         else:
             self.pending.clear()
@@ -63,14 +75,17 @@ class AnchoredWindows(StatefulProcessor):
             starts, ends = opened[:n_due], np.r_[opened[1:n_due], kept_from].astype(int)
             out = {name: [part] * n_due for name, part in zip(self.keys, key)}
             out["window_start"] = times[starts]
-            out["first"] = changes["first"].to_numpy()[starts]
-            out["n_merged"] = np.add.reduceat(changes["n"].to_numpy()[:kept_from], starts)
+            out["change_first"] = changes["change_first"].to_numpy()[starts]
+            out["n_merged"] = np.add.reduceat(changes["change_n"].to_numpy()[:kept_from], starts)
             out["window_last"] = times[ends - 1]
+            for name in self.carried.names:
+                out[name] = pd.Series(self._plain(changes[name].iloc[starts], name), dtype=object)
             yield pd.DataFrame(out)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = [pdf[["at", "first", "n"]] for pdf in rows]
-        yield from self._advance(key, pd.concat([self._held(), *new]), timerValues.getCurrentWatermarkInMs())
+        new = [pdf[self.columns] for pdf in rows]
+        held = self._held()
+        yield from self._advance(key, pd.concat([held, *new] if len(held) else new), timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         yield from self._advance(key, self._held(), timerValues.getCurrentWatermarkInMs())
@@ -86,37 +101,43 @@ def coalesce_changes_stream(
     gap_ms: int = GAP_DEFAULT_MS,
     watermark: str = "10 seconds",
     order: str = "pos",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Windows of ``coalesce_changes`` on a stream: keys, ``window_start``, order of the first change, count, last.
 
-    Changes with equal key and time are combined in each task before they are
-    shuffled to their key's state.
+    ``carry`` names columns of the first change to keep. Changes with equal key and
+    time are combined in each task before they are shuffled to their key's state.
     """
-    keys = list(keys)
+    keys, carry = list(keys), list(carry)
     gap = max(gap_ms, GAP_FLOOR_MS) * 1000
     use_rocksdb(df.sparkSession)
-    slim = df.select(*keys, micros(ts).alias("at"), F.col(order).cast("bigint").alias("first"), F.lit(1).cast("bigint").alias("n"))
-    key_fields = [slim.schema[k] for k in keys]
+    slim = df.select(
+        *keys,
+        micros(ts).alias("change_at"),
+        F.col(order).cast("bigint").alias("change_first"),
+        F.lit(1).cast("bigint").alias("change_n"),
+        *carry,
+    )
+    carried = T.StructType([slim.schema[c] for c in carry])
 
     def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with_nulls = pc.ScalarAggregateOptions(skip_nulls=False)
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            merged = table.group_by([*keys, "at"]).aggregate([("first", "min"), ("n", "sum")])
-            merged = merged.rename_columns([*keys, "at", "first", "n"]) if merged.column_names[0] in keys else merged
+            table = pa.Table.from_batches([batch]).sort_by("change_first")
+            rest = [("change_first", "first"), ("change_n", "sum"), *[(c, "first", with_nulls) for c in carry]]
+            merged = table.group_by([*keys, "change_at"], use_threads=False).aggregate(rest)
+            names = {f"{c}_{how}": c for c, how, *_ in rest}
+            merged = merged.rename_columns([names.get(c, c) for c in merged.column_names])
             yield from merged.select(table.column_names).to_batches()
 
-    thinned = slim.mapInArrow(thin, slim.schema).withColumn("event_time", F.timestamp_micros("at"))
-    out = T.StructType(
-        [
-            *key_fields,
-            *[T.StructField(c, T.LongType()) for c in ("window_start", "first", "n_merged", "window_last")],
-        ]
-    )
+    thinned = slim.mapInArrow(thin, slim.schema).withColumn("event_time", F.timestamp_micros("change_at"))
+    numbers = [T.StructField(c, T.LongType()) for c in ("window_start", "change_first", "n_merged", "window_last")]
+    out = T.StructType([*[slim.schema[k] for k in keys], *numbers, *carried.fields])
     return (
         thinned.withWatermark("event_time", watermark)
         .groupBy(*keys)
-        .transformWithStateInPandas(AnchoredWindows(keys, gap), out, "Append", "EventTime")
-        .withColumnRenamed("first", order)
+        .transformWithStateInPandas(AnchoredWindows(keys, gap, carried), out, "Append", "EventTime")
+        .withColumnRenamed("change_first", order)
     )
 
 
