@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import CHANGELOG, RAW_LOG, changelog, check, named, over, raw_log, with_changelog, with_raw_log
+from checks.registry import RAW_LOG, changelog, check, over, raw_log, with_changelog, with_raw_log
 from tidelog.functions import offsets as O
 from tidelog.functions import patterns as P
 from tidelog.operators import enrich as E
 from tidelog.operators import ordering as T
+from tidelog.plans import flows
 
 BITS = 12
 
@@ -322,3 +323,104 @@ def lookup_rows(spark, d):
     events = over(spark, d, "select event_id, user_id from {events}", "events")
     found = E.lookup_rows(events, customers, {"user_id": "c_custkey"})
     return found.select("event_id", "c_custkey", "c_mktsegment")
+
+
+# A catalog for half of the tables, and one or two rows in each row event: (id, user) after or before the change.
+KNOWN = "tbl in ('click', 'view', 'error')"
+
+N_ROWS = "event_id % 2 + 1"
+
+
+def image_log(spark, d):
+    """The raw log with the row images that its row events carry."""
+    images = (
+        "transform(sequence(0, cast(event_id % 2 as int)), i -> named_struct("
+        "'before', case when event_id % 4 in (1, 2) then array(cast(event_id * 10 + i as string), concat('o', i)) end, "
+        "'after', case when event_id % 4 <> 2 then array(cast(event_id * 10 + i as string)) end))"
+    )
+    return raw_log(spark, d).withColumns(
+        {
+            "rows": F.when(P.is_row_event(), F.expr(images)),
+            "included": F.expr("case when event_id % 4 <> 2 then array(0) else cast(array() as array<int>) end"),
+            "included_before": F.expr("case when event_id % 4 in (1, 2) then array(0, 1) else cast(array() as array<int>) end"),
+        }
+    )
+
+
+def half_catalog(spark, d):
+    columns = F.array(
+        F.struct(F.lit(0).alias("ordinal"), F.lit("id").alias("column"), F.lit("bigint").alias("mysql_type")),
+        F.struct(F.lit(1).alias("ordinal"), F.lit("user").alias("column"), F.lit("text").alias("mysql_type")),
+    )
+    tables = over(
+        spark,
+        d,
+        "select distinct case user_id % 4 when 0 then 'db1' when 1 then 'DB2' when 2 then 'mysql' else 'lppz' end as db, "
+        "event_type as tbl from {events}",
+        "events",
+    )
+    return tables.filter(KNOWN).select("db", "tbl", F.inline(columns))
+
+
+WANTED_SQL = f"db <> 'lppz' and not (db = 'mysql' and not ({KNOWN}))"
+
+TYPE_SQL = "case when event_type like '%WRITE%' then 'INSERT' when event_type like '%UPDATE%' then 'UPDATE' else 'DELETE' end"
+
+
+@check(
+    "full_records_from_log",
+    numbered_sql(
+        f"select r.server_id as \"ServerId\", r.g as \"GTID\", cast(r.seq_no as bigint) as \"SeqNo\", cast(i as int) as row_no, "
+        f"{TYPE_SQL} as \"Type\", db as \"Database\", tbl as \"Table\", "
+        f"case when event_id % 4 <> 2 then cast(event_id * 10 + i as varchar) end as new_id, "
+        f"case when event_id % 4 in (1, 2) then cast(event_id * 10 + i as varchar) end as old_id, "
+        f"case when event_id % 4 in (1, 2) then concat('o', i) end as old_user, {KNOWN} as known, "
+        "concat('{\"gtidSet\":\"', case when n = 1 then '' else concat('s', server_id, ':1', case when n = 2 then '' else concat('-', n - 1) end) end, "
+        "'\",\"incompleteTransactions\":{\"', g, '\":', cast(seq_no as bigint), '}}') as \"Offset\" "
+        f"from (select *, cast(split_part(g, ':', 2) as bigint) as n, unnest(range(0, {N_ROWS})) as i from resolved where {WANTED_SQL}) r"
+    ),
+)
+def full_records_from_log(spark, d):
+    """Raw log to full change records: numbered, stamped, resolved, filtered, named, split into rows."""
+    records = flows.full_records(
+        image_log(spark, d), half_catalog(spark, d), F.lit(2), "%.%", "lppz.%", block_bits=BITS
+    )
+    data, old = F.col("Data"), F.col("OldData")
+    return records.select(
+        "ServerId",
+        "GTID",
+        "SeqNo",
+        "row_no",
+        "Type",
+        "Database",
+        "Table",
+        F.coalesce(data["id"], data["col_0"]).alias("new_id"),
+        F.coalesce(old["id"], old["col_0"]).alias("old_id"),
+        F.coalesce(old["user"], old["col_1"]).alias("old_user"),
+        F.coalesce(F.map_contains_key(data, "id"), F.map_contains_key(old, "id")).alias("known"),
+        "Offset",
+    )
+
+
+@check(
+    "publish_from_log",
+    "with recursive raw_log as (" + RAW_LOG.replace("{events}", "events") + f"), {NUMBERED}, "
+    f"wanted as (select pos, db, tbl, ts, event_id, {TYPE_SQL} as type from resolved where {WANTED_SQL}), "
+    "w as (select db, tbl, min(ts) as a from wanted group by db, tbl union all "
+    "select w.db, w.tbl, min(b.ts) from w join wanted b on b.db = w.db and b.tbl = w.tbl and b.ts > w.a + interval 2 hour group by w.db, w.tbl), "
+    "firsts as (select b.*, row_number() over (partition by b.db, b.tbl, b.ts order by b.pos) as r from w join wanted b on b.db = w.db and b.tbl = w.tbl and b.ts = w.a) "
+    "select case when db = 'db1' then 'first' else 'rest' end as topic, concat(db, '.', tbl) as key, concat('{\"Type\":\"', type, "
+    "'\",\"Database\":\"', db, '\",\"Table\":\"', tbl, '\",\"Timestamp\":', epoch_us(ts) // 1000, '}') as value "
+    f"from (select *, unnest(range(0, {N_ROWS})) as i from firsts where r = 1)",
+)
+def publish_from_log(spark, d):
+    """Raw log to messages: resolved, filtered, named, merged by table, routed; one notice per row of the first event."""
+    return flows.publish(
+        image_log(spark, d),
+        half_catalog(spark, d),
+        F.lit(2),
+        [("first", "db1.%"), ("rest", "%.%")],
+        ignore="lppz.%",
+        gap_ms=7_200_000,
+        block_bits=BITS,
+    )

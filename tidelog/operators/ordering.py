@@ -12,25 +12,30 @@ from pyspark.sql import functions as F
 from tidelog.functions import offsets as O
 from tidelog.functions import patterns as P
 from tidelog.operators.scan import BLOCK_BITS, fill_forward, number_transactions
+from tidelog.session import settle, small_side
 
 SERVER = ("server_id",)
 
 
 def resolve_table_map(
-    events: DataFrame, order: str = "pos", keys: Sequence[str] = SERVER, block_bits: int = BLOCK_BITS
+    events: DataFrame,
+    order: str = "pos",
+    keys: Sequence[str] = SERVER,
+    block_bits: int = BLOCK_BITS,
+    keep_all: bool = False,
 ) -> DataFrame:
-    """Row events with the (db, tbl) that the latest earlier table map gave to their table id."""
+    """Row events with the (db, tbl) that the latest earlier table map gave to their table id.
+
+    ``keep_all`` leaves the other events in, as they are, for operators that need them later.
+    """
     is_map = F.col("event_type") == "TABLE_MAP"
-    mapped = events.filter(is_map | P.is_row_event())
-    named = fill_forward(
-        mapped, "_table", F.struct("db", "tbl"), is_map, order, [*keys, "table_id"], block_bits
-    )
-    return (
-        named.filter(P.is_row_event())
-        .withColumn("db", F.col("_table.db"))
-        .withColumn("tbl", F.col("_table.tbl"))
-        .drop("_table")
-    )
+    log = events if keep_all else events.filter(is_map | P.is_row_event())
+    named = fill_forward(log, "_table", F.struct("db", "tbl"), is_map, order, [*keys, "table_id"], block_bits)
+    if not keep_all:
+        named = named.filter(P.is_row_event())
+    return named.withColumns(
+        {c: F.when(P.is_row_event(), F.col(f"_table.{c}")).otherwise(F.col(c)) for c in ("db", "tbl")}
+    ).drop("_table")
 
 
 def tx_sequence(
@@ -187,33 +192,31 @@ def start_position(
     return resume_filter(skip_gtid_set(events, gtid_set), offset)
 
 
-def event_offset(
+def gtid_sets(
     events: DataFrame,
     base_set: str = "",
     order: str = "pos",
     keys: Sequence[str] = SERVER,
     block_bits: int = BLOCK_BITS,
 ) -> DataFrame:
-    """Numbered row events with the offset stamped on them.
+    """Per transaction (``tx_start``: its start event's order) the set of ``base_set`` and all that started before it.
 
-    ``gtid_set`` holds ``base_set`` and all transactions that started before the
-    event's own; ``incomplete`` holds the event's own gtid and sequence number.
-    The sets are made from the start events alone, one row per transaction and
-    source uuid, then joined to the events of each transaction.
+    Made from the start events alone: one row per transaction and source uuid.
     """
-    if not keys:
-        single = events.withColumn("_server", F.lit(0))
-        return event_offset(single, base_set, order, ("_server",), block_bits).drop("_server")
     keys, source_keys = list(keys), [*keys, "uuid"]
     base = parse_gtid_text(base_set)
     starts = events.filter(F.col("event_type") == "GTID").select(
         *keys, order, O.gtid_uuid("gtid").alias("own"), O.gtid_txn("gtid").alias("txn")
     )
-    sources = starts.select(*keys, F.col("own").alias("uuid"))
+    # a handful of rows: the uuids that ever wrote to a server's log, and where that log ends
+    seen = starts.groupBy(*keys, F.col("own").alias("uuid")).agg(F.max(order).alias("_end"))
+    written = settle(seen)
+    ends = written.groupBy(*keys).agg(F.max("_end").alias("_end"))
+    sources = written.select(*keys, "uuid")
     if base:
         known = F.array(*[F.lit(u) for u in dict.fromkeys(u for u, _, _ in base)])
-        sources = sources.distinct().select(*keys, F.explode(F.array_append(known, F.col("uuid"))).alias("uuid"))
-    marks = starts.join(sources.distinct(), keys)
+        sources = sources.select(*keys, F.explode(F.array_append(known, F.col("uuid"))).alias("uuid")).distinct()
+    marks = starts.join(small_side(sources), keys)
     own = F.col("own") == F.col("uuid")
     marks = fill_forward(marks, "seen", F.col("txn"), own, order, source_keys, block_bits, strict=True)
 
@@ -221,9 +224,8 @@ def event_offset(
     # that it meets its transactions block by block; an event meets as many as the text of its set is long.
     by_log = W.partitionBy(*source_keys).orderBy(order)
     interval = F.struct(F.lag("txn").over(by_log).alias("lo"), F.col("seen").alias("hi"))
-    ends = starts.groupBy(*keys).agg(F.max(order).alias("_end"))
     spans = (
-        marks.join(ends, keys)
+        marks.join(small_side(ends), keys)
         .filter(own & (F.col("seen").isNull() | (F.col("txn") != F.col("seen") + 1)))
         .withColumn("_ended", F.when(F.col("seen").isNotNull(), interval))
         .select(
@@ -251,7 +253,7 @@ def event_offset(
         F.concat("closed", F.array(F.struct(F.col("lo"), F.col("seen").alias("hi")))),
     )
     ranges = O.merge_ranges(F.concat(from_base, F.coalesce(current, none)))
-    sets = (
+    return (
         m.join(s, inside, "left")
         .select("m.*", "s.lo", "s.closed")
         .withColumn("_ranges", O.format_ranges(ranges))
@@ -260,14 +262,32 @@ def event_offset(
         .agg(F.sort_array(F.collect_list("_member")).alias("_members"))
         .select(*keys, F.col(order).alias("tx_start"), F.array_join("_members", ",").alias("gtid_set"))
     )
+
+
+def stamp_offset(numbered: DataFrame, sets: DataFrame, keys: Sequence[str] = SERVER) -> DataFrame:
+    """Numbered row events with ``gtid_set`` and ``incomplete``: their own gtid and sequence number."""
     return (
-        tx_sequence(events, order, keys, block_bits)
-        .filter(P.is_row_event())
+        numbered.filter(P.is_row_event())
         .join(sets, [*keys, "tx_start"], "left")
         .withColumn("incomplete", F.when(F.col("gtid").isNotNull(), F.create_map("gtid", "seq_no")))
     )
 
 
+def event_offset(
+    events: DataFrame,
+    base_set: str = "",
+    order: str = "pos",
+    keys: Sequence[str] = SERVER,
+    block_bits: int = BLOCK_BITS,
+) -> DataFrame:
+    """Row events of a raw log, numbered and with the offset stamped on them."""
+    if not keys:
+        single = events.withColumn("_server", F.lit(0))
+        return event_offset(single, base_set, order, ("_server",), block_bits).drop("_server")
+    sets = gtid_sets(events, base_set, order, keys, block_bits)
+    return stamp_offset(tx_sequence(events, order, keys, block_bits), sets, keys)
+
+
 def _interval(uuid: str, lo: int, hi: int) -> Column:
     return F.struct(
         F.lit(uuid).alias("uuid"), F.lit(lo).cast("bigint").alias("lo"), F.lit(hi).cast("bigint").alias("hi")

@@ -14,9 +14,11 @@ from tidelog.operators.incremental import incremental_extract
 from tidelog.operators.ordering import (
     SERVER,
     drop_system_without_metadata,
-    event_offset,
+    gtid_sets,
     resolve_table_map,
+    stamp_offset,
     start_position,
+    tx_sequence,
 )
 from tidelog.operators.records import to_notices, to_records
 from tidelog.operators.routing import Lookup, Routes, Rule, apply_rules, drop_unrouted, route_topic, rule_matches
@@ -92,9 +94,9 @@ def full_records(
 
     Transactions are numbered and tables found on the whole log, before anything is left out.
     """
-    stamped = event_offset(log, base_set, keys=keys, block_bits=block_bits).drop("db", "tbl")
-    tables = resolve_table_map(log, keys=keys, block_bits=block_bits).select(*keys, "pos", "db", "tbl")
-    events = stamped.join(tables, [*keys, "pos"])
+    resolved = resolve_table_map(log, keys=keys, block_bits=block_bits, keep_all=True)
+    numbered = tx_sequence(resolved, keys=keys, block_bits=block_bits)
+    events = stamp_offset(numbered, gtid_sets(log, base_set, keys=keys, block_bits=block_bits), keys)
     if saved:
         events = start_position(events, saved)
     wanted = events.filter(P.table_filter(include, ignore, "db", "tbl"))

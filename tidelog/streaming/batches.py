@@ -41,6 +41,16 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def state_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    """What batch ``batch_id - 1`` left; only the first batch of a stream may start from nothing."""
+    if batch_id == 0:
+        return None
+    before = _read(spark, f"{path}/{batch_id - 1}")
+    if before is None:
+        raise ValueError(f"state of batch {batch_id - 1} is missing in {path}")
+    return before
+
+
 class ProgressTable:
     """High-water offset per key after each batch that had rows, one folder per batch id.
 
@@ -86,15 +96,12 @@ class LogBatches:
     ):
         self.spark, self.path, self.keys, self.order, self.bits = spark, path, list(keys), order, block_bits
 
-    def _state(self, name: str, batch_id: int) -> DataFrame | None:
-        return _read(self.spark, f"{self.path}/{name}/{batch_id}") if batch_id >= 0 else None
-
     def _keep(self, df: DataFrame, name: str, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/{name}/{batch_id}")
 
     def numbered(self, events: DataFrame, batch_id: int) -> DataFrame:
         """Numbered events, persisted because state and result both read them; unpersist when done."""
-        before = self._state("open", batch_id - 1)
+        before = state_before(self.spark, f"{self.path}/open", batch_id)
         numbered = tx_sequence(events, self.order, self.keys, self.bits, before).persist()
         tail = (
             numbered.withColumn("_seq", F.coalesce("seq_no", F.lit(0).cast("bigint")))
@@ -116,7 +123,7 @@ class LogBatches:
         """Row events with their tables; ``events`` as given to or returned by ``numbered``."""
         columns = [*self.keys, self.order, "event_type", "table_id", "db", "tbl"]
         maps = events.filter(F.col("event_type") == "TABLE_MAP").select(*columns)
-        before = self._state("maps", batch_id - 1)
+        before = state_before(self.spark, f"{self.path}/maps", batch_id)
         if before is not None:
             maps = maps.unionByName(before.select(*columns))
         last = maps.groupBy(*self.keys, "table_id", "event_type").agg(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidelog.operators.coalesce import DATABASE_GAP_MS
 from tidelog.operators.incremental import advance_windows, delta_join, drop_ignored_databases, initial_watermark
 from tidelog.operators.records import tag_tenant, type_result_set
-from tidelog.streaming.batches import _read
+from tidelog.streaming.batches import state_before
 from tidelog.streaming.coalesce import coalesce_changes_stream
 
 
@@ -54,7 +54,7 @@ class ExtractBatches:
         self.progress, self.lag_ms, self.unit = progress, lag_ms, unit
 
     def windows(self, releases: DataFrame, batch_id: int) -> DataFrame:
-        before = _read(self.spark, f"{self.path}/ends/{batch_id - 1}") if batch_id > 0 else None
+        before = state_before(self.spark, f"{self.path}/ends", batch_id)
         started = initial_watermark(releases, self.progress)
         if before is not None:
             ended = before.select("Database", F.col("ts_end").alias("_ended"))
