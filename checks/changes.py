@@ -18,7 +18,7 @@ HOUR_MS = 3_600_000
 
 ROUTES = [
     ("crm-customer", "db1.c%,db%.view,db3.%"),
-    ("crm-trade", "lppz.%,db6.%"),
+    ("crm-trade", "shop.%,db6.%"),
     ("errors", "%.err.r"),
 ]
 
@@ -41,12 +41,12 @@ def ignore_table(spark, d):
 @check(
     "f3_filter_algebra",
     with_changelog(
-        f"select pos from changelog where ({_matches('db1', '.*')} or {_matches('lppz', 'view')}) "
+        f"select pos from changelog where ({_matches('db1', '.*')} or {_matches('shop', 'view')}) "
         f"and not {_matches('.*', 'error')}"
     ),
 )
 def filter_algebra(spark, d):
-    either = P.any_of(P.include_table("db1.%", "db", "tbl"), P.include_table("lppz.view", "db", "tbl"))
+    either = P.any_of(P.include_table("db1.%", "db", "tbl"), P.include_table("shop.view", "db", "tbl"))
     keep = P.all_of(P.pass_all(), either, P.ignore_table("%.error", "db", "tbl"))
     return changelog(spark, d).filter(P.any_of(P.discard_all(), keep)).select("pos")
 
@@ -54,18 +54,18 @@ def filter_algebra(spark, d):
 @check(
     "f4_table_filter",
     with_changelog(
-        f"select pos, db, tbl from changelog where ({_matches('db.*', '.*')} or {_matches('lppz', 's.*p')}) "
+        f"select pos, db, tbl from changelog where ({_matches('db.*', '.*')} or {_matches('shop', 's.*p')}) "
         f"and not {_matches('db2', 'v.*')} and not {_matches('.*', 'error')}"
     ),
 )
 def table_filter(spark, d):
-    keep = P.table_filter("db%.%,,lppz.s%p", "db2.v%,%.error", "db", "tbl")
+    keep = P.table_filter("db%.%,,shop.s%p", "db2.v%,%.error", "db", "tbl")
     return changelog(spark, d).filter(keep).select("pos", "db", "tbl")
 
 
 @check("f5_ignored_databases", with_changelog("select pos, db from changelog where db not in ('sys_info', 'DB2')"))
 def ignored_databases(spark, d):
-    kept = I.drop_ignored_databases(changelog(spark, d), "sys_info.%,lppz,lppz.a.b,DB2.orders,db1", "db")
+    kept = I.drop_ignored_databases(changelog(spark, d), "sys_info.%,shop,shop.a.b,DB2.orders,db1", "db")
     return kept.select("pos", "db")
 
 
@@ -111,7 +111,7 @@ def row_and_control_events(spark, d):
 
 TOPIC_SQL = (
     f"case when {_matches('db1', 'c.*')} or {_matches('db.*', 'view')} or {_matches('db3', '.*')} then 'crm-customer' "
-    f"when {_matches('lppz', '.*')} or {_matches('db6', '.*')} then 'crm-trade' "
+    f"when {_matches('shop', '.*')} or {_matches('db6', '.*')} then 'crm-trade' "
     f"when {_matches('.*', 'err.r')} then 'errors' end"
 )
 
@@ -130,7 +130,7 @@ def unrouted(spark, d):
     "r2_all_matching_topics",
     with_changelog(
         f"select pos, 'crm-customer' as topic from changelog where {_matches('db1', 'c.*')} or {_matches('db.*', 'view')} "
-        f"union all select pos, 'crm-trade' from changelog where {_matches('lppz', '.*')} "
+        f"union all select pos, 'crm-trade' from changelog where {_matches('shop', '.*')} "
         f"union all select pos, 'errors' from changelog where {_matches('.*', 'err.r')}"
     ),
 )

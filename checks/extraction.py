@@ -8,7 +8,7 @@ from checks.registry import CHANGELOG, anchored, changelog, check, notices, over
 from tidelog.operators import incremental as I
 
 # Databases of the changelog stand for the three order statuses; sys_info has no orders.
-DATABASE_SQL = "case db when 'db1' then 'F' when 'DB2' then 'O' when 'lppz' then 'P' else 'sys_info' end"
+DATABASE_SQL = "case db when 'db1' then 'F' when 'DB2' then 'O' when 'shop' then 'P' else 'sys_info' end"
 
 # Times are moved so that the month of events covers the years of orders: one second is a minute and some.
 NOTICES = (
@@ -25,7 +25,7 @@ def order_notices(spark, d):
     start = F.lit("1995-01-01 00:00:00").cast("timestamp")
     return log.select(
         "pos",
-        F.when(F.col("db") == "db1", "F").when(F.col("db") == "DB2", "O").when(F.col("db") == "lppz", "P").otherwise("sys_info").alias("Database"),
+        F.when(F.col("db") == "db1", "F").when(F.col("db") == "DB2", "O").when(F.col("db") == "shop", "P").otherwise("sys_info").alias("Database"),
         F.timestamp_micros(F.unix_micros(start) + minutes * 60_000_000).alias("ts"),
     )
 

@@ -355,14 +355,14 @@ def half_catalog(spark, d):
     tables = over(
         spark,
         d,
-        "select distinct case user_id % 4 when 0 then 'db1' when 1 then 'DB2' when 2 then 'mysql' else 'lppz' end as db, "
+        "select distinct case user_id % 4 when 0 then 'db1' when 1 then 'DB2' when 2 then 'mysql' else 'shop' end as db, "
         "event_type as tbl from {events}",
         "events",
     )
     return tables.filter(KNOWN).select("db", "tbl", F.inline(columns))
 
 
-WANTED_SQL = f"db <> 'lppz' and not (db = 'mysql' and not ({KNOWN}))"
+WANTED_SQL = f"db <> 'shop' and not (db = 'mysql' and not ({KNOWN}))"
 
 TYPE_SQL = "case when event_type like '%WRITE%' then 'INSERT' when event_type like '%UPDATE%' then 'UPDATE' else 'DELETE' end"
 
@@ -383,7 +383,7 @@ TYPE_SQL = "case when event_type like '%WRITE%' then 'INSERT' when event_type li
 def full_records_from_log(spark, d):
     """Raw log to full change records: numbered, stamped, resolved, filtered, named, split into rows."""
     records = flows.full_records(
-        image_log(spark, d), half_catalog(spark, d), F.lit(2), "%.%", "lppz.%", block_bits=BITS
+        image_log(spark, d), half_catalog(spark, d), F.lit(2), "%.%", "shop.%", block_bits=BITS
     )
     data, old = F.col("Data"), F.col("OldData")
     return records.select(
@@ -420,7 +420,7 @@ def publish_from_log(spark, d):
         half_catalog(spark, d),
         F.lit(2),
         [("first", "db1.%"), ("rest", "%.%")],
-        ignore="lppz.%",
+        ignore="shop.%",
         gap_ms=7_200_000,
         block_bits=BITS,
     )

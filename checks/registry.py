@@ -41,7 +41,7 @@ def over(spark: SparkSession, sf_dir: str, sql: str, *tables: str) -> DataFrame:
 CHANGELOG = """
 select event_id as pos, ts,
   case event_id % 3 when 0 then 'INSERT' when 1 then 'UPDATE' else 'DELETE' end as type,
-  case user_id % 4 when 0 then 'db1' when 1 then 'DB2' when 2 then 'sys_info' else 'lppz' end as db,
+  case user_id % 4 when 0 then 'db1' when 1 then 'DB2' when 2 then 'sys_info' else 'shop' end as db,
   event_type as tbl,
   concat('u1:', cast(floor(event_id / 5.0) as bigint) + 1) as gtid,
   event_id % 5 + 1 as seq_no, user_id, value, props
@@ -60,7 +60,7 @@ select cast(floor(event_id / 5.0) as bigint) * 20 as pos, 'GTID' as event_type,
 from {events} where event_id % 5 = 0
 union all
 select cast(floor(event_id / 5.0) as bigint) * 20 + 1 + 3 * (event_id % 5), 'TABLE_MAP', null, event_id % 3,
-       case user_id % 4 when 0 then 'db1' when 1 then 'DB2' when 2 then 'mysql' else 'lppz' end, event_type, null, null, ts,
+       case user_id % 4 when 0 then 'db1' when 1 then 'DB2' when 2 then 'mysql' else 'shop' end, event_type, null, null, ts,
        cast(floor(event_id / 5.0) as bigint)
 from {events}
 union all

@@ -17,15 +17,15 @@ SCOPES = [
     Rule("db1", "click", "UPDATE"),
     Rule("db1", "purchase", "*"),
     Rule("*", "click", "DELETE"),
-    Rule("lppz", "signup", "delete"),
+    Rule("shop", "signup", "delete"),
 ]
 
 MATCHED = (
-    "select pos, 0 as rule_no from changelog where db not in ('db1', 'lppz') and tbl = 'click' "
-    "union all select pos, 1 from changelog where db not in ('db1', 'lppz') and tbl = 'view' and type = 'INSERT' "
+    "select pos, 0 as rule_no from changelog where db not in ('db1', 'shop') and tbl = 'click' "
+    "union all select pos, 1 from changelog where db not in ('db1', 'shop') and tbl = 'view' and type = 'INSERT' "
     "union all select pos, 2 from changelog where db = 'db1' and tbl = 'click' and type = 'UPDATE' "
     "union all select pos, 3 from changelog where db = 'db1' and tbl = 'purchase' "
-    "union all select pos, 4 from changelog where db not in ('db1', 'lppz') and tbl = 'click' and type = 'DELETE'"
+    "union all select pos, 4 from changelog where db not in ('db1', 'shop') and tbl = 'click' and type = 'DELETE'"
 )
 
 

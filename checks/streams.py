@@ -90,7 +90,7 @@ def publish_notices_stream(spark, d):
     """The flagship on a stream: filter, route, merge, envelope."""
     log = notices(spark, d).select("Type", "Database", "Table", "ts", "pos")
     path = _staged(spark, log, "publish", 3)
-    _far_ahead(log, path, Type="", Database="lppz", Table="end of log")
+    _far_ahead(log, path, Type="", Database="shop", Table="end of log")
     changes = _stream(spark, path, log.schema)
     published = flows.publish_stream(changes, ROUTES, "%.%", "sys_info.%,%.error", HOUR_MS, "1 day")
     return _drain(published, _folder(spark, "published"))

@@ -55,7 +55,7 @@ def test_whole_name_must_match_even_with_line_ends(spark):
 
 
 def test_ignored_databases():
-    assert P.ignored_databases("sys_info.%,lppz,lppz.a.b,DB2.orders,..x.y,") == ["sys_info", "DB2", "x"]
+    assert P.ignored_databases("sys_info.%,shop,shop.a.b,DB2.orders,..x.y,") == ["sys_info", "DB2", "x"]
     assert P.ignored_databases(None) == []
 
 

@@ -122,7 +122,8 @@ def ordinals_of_mask(mask: Column | str, n_columns: Column | int) -> Column:
     """Ordinals of the set bits, for tables of up to 63 columns."""
     m = _as_column(mask)
     n = F.lit(n_columns) if isinstance(n_columns, int) else n_columns
-    return F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.getbit(m, i) == 1)
+    ordinals = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    return F.filter(ordinals, lambda i: F.getbit(m, i) == 1)
 
 
 def before_after(

@@ -66,11 +66,11 @@ def to_records(events: DataFrame) -> DataFrame:
 
 
 def to_notices(events: DataFrame) -> DataFrame:
-    """Header-only records, one per row: of the images only their number is read."""
+    """Header-only records, one per row: of the images only their number is read (``n_rows`` may stand for ``rows``)."""
     headed = _headed(events)
-    return headed.select(
-        *[F.col(f"_{n}").alias(n) for n in R.HEADER_FIELDS], F.explode(F.sequence(F.lit(1), F.size("rows"))).alias("_n")
-    ).drop("_n")
+    n_rows = F.col("n_rows") if "n_rows" in events.columns else F.size("rows")
+    repeated = F.explode(F.array_repeat(F.lit(True), n_rows)).alias("_row")
+    return headed.select(*[F.col(f"_{n}").alias(n) for n in R.HEADER_FIELDS], repeated).drop("_row")
 
 
 def query_records(events: DataFrame, full: bool = True) -> DataFrame:

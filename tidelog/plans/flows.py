@@ -58,7 +58,8 @@ def publish(
     A notice has no transaction in it, so the log need not be numbered here.
     """
     known = known_events(log, catalog, n_columns, include, ignore, keys, block_bits)
-    merged = coalesce_changes(known, ["db", "tbl"], "ts", gap_ms, counts=False)
+    counted = known.withColumn("n_rows", F.size("rows")).drop("rows")
+    merged = coalesce_changes(counted, ["db", "tbl"], "ts", gap_ms, counts=False)
     return publish_notices(to_notices(merged), routes)
 
 

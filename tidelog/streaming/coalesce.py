@@ -144,10 +144,23 @@ def coalesce_changes_stream(
 def dedup_changes_stream(
     df: DataFrame, keys: Sequence[str] = ("Database", "Table"), ts: str = "ts", watermark: str = "10 seconds"
 ) -> DataFrame:
-    """First change per key at once; repeats within the watermark's delay are suppressed."""
-    return (
-        df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(keys))
-    )
+    """First change per key at once; repeats within the watermark's delay are suppressed.
+
+    Each task drops the repeats it sees itself, so that a busy key sends few rows to its state.
+    """
+    keys = list(keys)
+    timed = df.withColumn(ts, F.col(ts).cast("timestamp"))
+
+    def earliest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            order = pc.sort_indices(table, sort_keys=[(ts, "ascending")])
+            ranked = table.select(keys).take(order).append_column("row_no", order)
+            first = ranked.group_by(keys, use_threads=False).aggregate([("row_no", "first")])
+            yield from table.take(first.column("row_no_first")).to_batches()
+
+    thinned = timed.mapInArrow(earliest, timed.schema)
+    return thinned.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(keys)
 
 
 def late_changes(df: DataFrame, high_water, ts: str = "ts", delay: str = "10 seconds") -> DataFrame:
