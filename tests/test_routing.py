@@ -129,4 +129,6 @@ def test_templates(spark):
     at = F.lit("2016-08-18 12:01:02.120").cast("timestamp")
     sql = templates.render_query("$database '$ts_start' '$ts_end'", F.lit("d"), at, F.lit("2016-08-18 12:01:02").cast("timestamp"))
     assert df.select(sql).first()[0] == "d '2016-08-18 12:01:02.12' '2016-08-18 12:01:02.0'"
+    open_end = templates.render_query("$database > '$ts_start'", F.lit("d"), at, F.lit(None).cast("timestamp"))
+    assert df.select(open_end).first()[0] == "d > '2016-08-18 12:01:02.12'"
     assert df.select(templates.evaluate("#a!=null && #b=='x' && '#a == null' != #b")).first()[0] is True

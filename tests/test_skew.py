@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidelog.operators import coalesce as C
 from tidelog.operators import incremental as I
 from tidelog.operators import ordering as T
+from tidelog.session import tune
 
 N = 20_000
 
@@ -81,3 +82,14 @@ def test_busy_documents_are_cut_in_every_task(spark):
     df = spark.range(N).select((F.col("id") % 2).alias("k"), "id")
     plan = I.latest_per_key(df, ["k"], [F.col("id").desc()])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_partitions_follow_the_data(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        tune(spark, 10 << 40)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(10 * 1024 * 8)
+        tune(spark, 1)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

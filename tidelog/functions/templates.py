@@ -35,11 +35,11 @@ def check_query_template(template: str) -> str:
 
 
 def render_query(template: str, database: Column | str, ts_start: Column | str, ts_end: Column | str) -> Column:
-    """Template with ``$database``, ``$ts_start`` and ``$ts_end`` replaced, in this order."""
+    """Template with ``$database``, ``$ts_start`` and ``$ts_end`` replaced, in this order; an open end stays unreplaced."""
     text = F.lit(check_query_template(template))
     text = F.replace(text, F.lit("$database"), _as_column(database))
     text = F.replace(text, F.lit("$ts_start"), timestamp_text(ts_start))
-    return F.replace(text, F.lit("$ts_end"), timestamp_text(ts_end))
+    return F.replace(text, F.lit("$ts_end"), F.coalesce(timestamp_text(ts_end), F.lit("$ts_end")))
 
 
 # Signs of rule expressions and what they are in SQL.

@@ -19,6 +19,24 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def tune(spark: SparkSession, shuffled_bytes: int, partition_bytes: int = 128 << 20) -> SparkSession:
+    """Settings for a job that shuffles about ``shuffled_bytes``.
+
+    Partitions are sized to fit a task's memory whatever the cluster's size; small ones
+    are joined and skewed joins split while running.
+    """
+    partitions = max(spark.sparkContext.defaultParallelism, -(-shuffled_bytes // partition_bytes))
+    for name, value in {
+        "spark.sql.shuffle.partitions": partitions,
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": partition_bytes,
+        "spark.sql.files.maxPartitionBytes": partition_bytes,
+    }.items():
+        spark.conf.set(name, str(value))
+    return use_utc(spark)
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A path below the folder all executors share, as named by spark.checkpoint.dir.
 

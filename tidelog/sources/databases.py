@@ -31,6 +31,7 @@ def jdbc_options(
 ) -> dict[str, str]:
     """Options of a read of any SQL text.
 
+    More than one session statement needs a driver that takes several at once.
     ``split`` = (column, lower, upper, partitions) reads ranges of a column in
     parallel; without it one task reads the result.
     """
