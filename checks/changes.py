@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import CHANGELOG, anchored, changelog, check, notices, over, raw_log, statements, table, with_changelog
+from checks.registry import CHANGELOG, anchored, changelog, check, notices, over, raw_log, statements, with_changelog
 from checks.registry import STATEMENTS, named, with_raw_log
 from tidelog.functions import patterns as P
-from tidelog.functions import records as R
 from tidelog.operators import coalesce as C
 from tidelog.operators import incremental as I
 from tidelog.operators import ordering as T

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import CHANGELOG, anchored, changelog, check, notices, over, table, with_changelog
+from checks.registry import CHANGELOG, anchored, changelog, check, over, table, with_changelog
 from tidelog.operators import incremental as I
 
 # Databases of the changelog stand for the three order statuses; sys_info has no orders.

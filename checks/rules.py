@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import changelog, check, notices, over, table, with_changelog
+from checks.registry import check, notices, over, table, with_changelog
 from tidelog.functions import templates
 from tidelog.operators import routing
 from tidelog.operators.routing import Lookup, Rule, Transform

@@ -1,6 +1,5 @@
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
 from tidelog.operators import enrich as E
@@ -116,3 +115,13 @@ def test_lookups(spark):
     got = {r.id: sorted(x.name for x in r.Result) for r in E.lookup_enrich(events, source, {"u": "key"}).collect()}
     assert got == {1: ["x", "y"], 2: [], 3: []}
     assert sorted((r.id, r.name or "") for r in E.lookup_rows(events, source, {"u": "key"}).collect()) == [(1, "x"), (1, "y"), (2, ""), (3, "")]
+
+
+def test_a_busy_source_key_has_several_lists(spark):
+    events = spark.createDataFrame([(1, 7), (2, 9), (3, 8)], "id int, u int")
+    source = spark.createDataFrame([(7, f"x{i}") for i in range(50)] + [(9, "y")], "key int, name string")
+    got = E.lookup_enrich(events, source, {"u": "key"}, max_list=10).collect()
+    assert {(r.id, len(r.Result)) for r in got if r.id != 1} == {(2, 1), (3, 0)}
+    parts = [r for r in got if r.id == 1]
+    assert len(parts) > 1 and len({r.ResultPart for r in parts}) == len(parts)
+    assert sorted(x.name for r in parts for x in r.Result) == sorted(f"x{i}" for i in range(50))

@@ -2,7 +2,6 @@ import datetime as dt
 import glob
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from tidelog.functions.records import message_envelope

@@ -147,6 +147,6 @@ def apply_rule_set(events: DataFrame, rules: Sequence[Rule], lookups: dict[int,
         found = lookup_enrich(keyed, source, {k: k for k, _, _ in pairs}, "_rows")
         rows = F.transform("_rows", lambda r: r.dropFields(*[k for k, _, _ in pairs]))
         done = found.withColumn("ResultRows", F.when(asked, F.to_json(rows)).otherwise(F.col("ResultRows"))).drop(
-            "_rows", *[k for k, _, _ in pairs]
+            "_rows", "_rowsPart", *[k for k, _, _ in pairs]
         )
     return done
