@@ -109,7 +109,9 @@ def number_transactions(
             .drop("_rows", "_skip", "_starts", "_counted")
         )
 
-    rows = _with_block(events, order, block_bits).withColumn("_starts", starts).withColumn("_counted", counted)
+    rows = _with_block(events, order, block_bits).withColumns(
+        {"_starts": F.coalesce(starts, F.lit(False)), "_counted": F.coalesce(counted, F.lit(False))}
+    )
     tails = (
         numbered(rows.select(*group, order, "gtid", "_starts", "_counted"))
         .groupBy(*group)
