@@ -1,0 +1,76 @@
+"""Language identification: held-out accuracy, brute-force counts, odd texts."""
+
+import math
+import os
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from common import documents
+from pyspark.sql import functions as F
+
+from tidelog.llm import language
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def slow_grams(text):
+    low = [c.lower() if c.isalpha() else " " for c in text]
+    out = []
+    for n in language.ORDERS:
+        for i in range(-(n - 1), len(low)):
+            gram = [low[j] if 0 <= j < len(low) else " " for j in range(i, i + n)]
+            if gram[0] != " " or gram[-1] != " ":
+                out.append("".join(gram))
+    return out
+
+
+@pytest.mark.parametrize("chars", [1 << 20, 7])
+def test_grams_are_those_of_each_text(monkeypatch, chars):
+    monkeypatch.setattr(language, "CHARS", chars)
+    texts = ["Ab c", "", None, "x", "ab", "12 é!", "ÀÉ ab"]
+    found = {i: [] for i in range(len(texts))}
+    for at, buckets in language.gram_blocks(pa.array(texts)):
+        for i, b in zip(at, buckets):
+            found[i].append(b)
+    buckets = {}
+    for i, t in enumerate(texts):
+        want = slow_grams(t or "")
+        assert len(found[i]) == len(want)
+        buckets.update(zip(sorted(want), sorted(found[i]))) if len(set(want)) == 1 else None
+    assert len(found[1]) == len(found[2]) == 0
+    assert sorted(found[4]) != sorted(found[3])
+
+
+def test_odd_texts(spark):
+    docs = documents(spark, ["the cat", None, "", "123 !?", "der Hund", "the the"], extra="row,lang_pred,score")
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") == 4, "de").when(F.col("doc_id") != 5, "en"))
+    model = language.learn(docs, "text", "lang", by="doc_id")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(docs, "text", ["doc_id"], *model).select("row.doc_id", "lang_pred", "score").collect()}
+    assert got[1] == got[2] == got[3] == ("und", 0.0)
+    assert got[4][0] == "de" and got[5][0] == "en" and got[0][0] == "en"
+    assert all(0 <= s <= 1 for _, s in got.values())
+
+
+def test_nothing_to_learn_from(spark):
+    docs = documents(spark, ["abc", None])
+    model = language.learn(docs.where("false"), "text", "lang", by="doc_id")
+    assert {r.lang_pred for r in language.predict(docs, "text", ["doc_id"], *model).collect()} == {"und"}
+    assert language.predict(docs.where("false"), "text", ["doc_id"], *model).count() == 0
+
+
+def test_model_counts(spark):
+    docs = documents(spark, ["ab", "b"])
+    langs, table = language.learn(docs, "text", "lang", by="doc_id")
+    assert langs == ["en"] and table.shape == ((1 << 16) + 1, 1)
+    n = sum(len(slow_grams(t)) for t in ("ab", "b"))
+    assert math.isclose(np.exp(table[:-1]).sum(), 1) and math.isclose(table.min(), math.log(1 / (n + (1 << 16))))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not there")
+def test_held_out_accuracy(spark):
+    from tidelog.llm.queries import QUERIES
+
+    got = QUERIES["op7_language"](spark, SF_DIR).join(spark.read.parquet(f"{SF_DIR}/documents.parquet"), "doc_id")
+    right, n = got.where("held_out and lang is not null").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
+    assert n > 100 and right > 0.97
