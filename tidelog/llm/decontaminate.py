@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ArrayType, DataType, LongType, StructField, StructType
 
 from tidelog.llm.texts import blocks, fold_table, map_texts, shingles, word_hashes
 from tidelog.session import settle
@@ -21,7 +24,10 @@ SEEDS_AT_ONCE = 1 << 20  # benchmark seeds sent to the executors together: 16 MB
 # ASCII characters that are no letter or digit part words.
 SEPARATORS = bytes(c for c in range(128) if not chr(c).isalnum())
 
+WINDOW = 20  # tokens looked for first
+
 _BASE = np.uint64(0x5851F42D4C957F2D)
+_BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
 def token_lists(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -37,9 +43,9 @@ def _windows(tokens: np.ndarray, free: np.ndarray, size: int) -> tuple[np.ndarra
     """Starts of all runs of ``size`` unmarked tokens, and their rolling (Karp-Rabin) hashes."""
     if len(tokens) < size:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    powers = np.multiply.accumulate(np.full(len(tokens) + 1, _BASE))
-    sums = np.r_[np.uint64(0), np.cumsum(tokens * powers[:-1])]
-    rolling = (sums[size:] - sums[:-size]) * powers[::-1][: len(tokens) - size + 1]
+    powers, back = (np.multiply.accumulate(np.r_[np.uint64(1), np.full(len(tokens) - 1, x)]) for x in (_BASE, _BACK))
+    sums = np.r_[np.uint64(0), np.cumsum(tokens * powers)]
+    rolling = (sums[size:] - sums[:-size]) * back[: len(tokens) - size + 1]
     taken = np.r_[0, np.cumsum(~free)]
     starts = np.flatnonzero(taken[size:] == taken[:-size])
     return starts, rolling[starts]
@@ -49,13 +55,14 @@ def tiles(doc: np.ndarray, item: np.ndarray, least: int = MIN_WORDS) -> list[tup
     """Greedy string tiling by running Karp-Rabin: (start in doc, start in item, length) of each tile.
 
     Tiles are common runs of at least ``least`` tokens; none overlaps another on either
-    side. Runs are looked for by hashes of a window that shrinks from the item's length, each is
-    compared token by token and extended, and the longest free ones are marked first;
-    of equal ones the first in the item, then in the document.
+    side. The longest free run is always marked first; of equal ones the first in the item, then in the
+    document. Runs are looked for by hashes of a window, compared token by token and extended.
+    A run of more than two windows starts anew with a window of its length; when all runs of a window
+    are marked, what is left of those that were in the way of others included, it is halved.
     """
     found: list[tuple[int, int, int]] = []
     free_doc, free_item = np.ones(len(doc), bool), np.ones(len(item), bool)
-    size = max(least, len(item))
+    size = max(least, min(WINDOW, len(item)))
     while True:
         starts, hashes = _windows(item, free_item, size)
         at, theirs = _windows(doc, free_doc, size)
@@ -63,36 +70,36 @@ def tiles(doc: np.ndarray, item: np.ndarray, least: int = MIN_WORDS) -> list[tup
         low, high = (np.searchsorted(theirs[order], hashes, side) for side in ("left", "right"))
         matches = []
         for j, a, b in zip(starts, low, high):
-            for i in np.sort(at[order[a:b]]):
-                length = 0
+            for i in at[order[a:b]]:
                 most = min(len(doc) - i, len(item) - j)
-                while length < most and doc[i + length] == item[j + length] and free_doc[i + length] and free_item[j + length]:
-                    length += 1
+                same = (doc[i : i + most] == item[j : j + most]) & free_doc[i : i + most] & free_item[j : j + most]
+                length = most if same.all() else int(same.argmin())
                 if length >= size:
                     matches.append((-length, int(j), int(i)))
-        longest = -min(matches)[0] if matches else 0
-        if longest > 2 * size:  # begin again with the longer window
-            size = longest
+        if matches and -min(matches)[0] > 2 * size:
+            size = -min(matches)[0]
             continue
-        marked = False
-        for length, j, i in sorted(matches):
-            if free_doc[i : i - length].all() and free_item[j : j - length].all():
+        heapify(matches)
+        while matches:
+            length, j, i = heappop(matches)
+            free = free_doc[i : i - length] & free_item[j : j - length]
+            if free.all():
                 free_doc[i : i - length] = free_item[j : j - length] = False
                 found.append((i, j, -length))
-                marked = True
-        if marked and size > least:
-            continue  # parts of what was in the way may still be free at this size
+                continue
+            edges = np.flatnonzero(np.diff(np.r_[False, free, False].astype(np.int8)))
+            for start, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
+                if end - start >= size:
+                    heappush(matches, (start - end, j + start, i + start))
         if size == least:
-            if not marked:
-                return found
-            continue
+            return found
         size = max(least, size // 2)
 
 
 def _near_seeds(at: np.ndarray, size: int, reach: int) -> np.ndarray:
-    """Positions within ``reach`` tokens of a seed: all that a tile can cover."""
+    """Positions of the ``reach`` tokens of all seeds: all that a tile can cover."""
     steps = np.zeros(size + 1, np.int64)
-    np.add.at(steps, np.maximum(at - 0, 0), 1)
+    np.add.at(steps, at, 1)
     np.add.at(steps, np.minimum(at + reach, size), -1)
     return np.flatnonzero(np.cumsum(steps[:-1]) > 0)
 
@@ -110,28 +117,17 @@ def covered(doc: np.ndarray, item: np.ndarray, least: int = MIN_WORDS) -> int:
     return sum(length for _, _, length in tiles(np.concatenate(parts[:-1]), item, least))
 
 
-def overlaps(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", least: int = MIN_WORDS) -> DataFrame:
-    """For every row of ``docs`` and item that share ``least`` words in a row: (doc_id, item_id, item_words, covered).
-
-    ``covered`` counts the item's words that greedy string tiling covers. Null, empty and
-    shorter texts share nothing. Rows with the same id are taken one by one: equal items give a
-    row each, as equal documents do.
-
-    The items go to the executors in parts of at most SEEDS_AT_ONCE seeds, chosen by a hash of
-    the item; every part meets all documents, so that memory is bounded whatever the size of
-    the benchmark, and documents, which are the large side, are never moved.
-    """
+def _parts(items: DataFrame, item_id: str, text: str, least: int) -> Iterator:
+    """The items in broadcast parts of at most about SEEDS_AT_ONCE seeds, chosen by a hash of the text."""
 
     def counted(texts: pa.Array) -> list[pa.Array]:
-        return [pa.array([np.maximum(len(t) - least + 1, 0) for t in token_lists(texts)], pa.int64())]
+        return [pa.array([max(len(t) - least + 1, 0) for t in token_lists(texts)], pa.int64())]
 
-    picked = items.select(F.col(item_id).alias("item"), F.col(item_text).alias("text"))
+    picked = items.select(F.col(item_id).alias("item"), F.col(text).alias("text"))
     seeds = map_texts(picked, "text", ["item", "text"], [StructField("seeds", LongType())], counted).where("seeds > 0")
     seeds = settle(seeds.select("row.item", "row.text", "seeds"))
     total = seeds.agg(F.sum("seeds")).first()[0] or 0
     parts = -(-2 * total // SEEDS_AT_ONCE) or 1  # on average half full, as a hash deals unevenly
-    hits = StructType([StructField("item", items.schema[item_id].dataType), StructField("item_words", LongType()), StructField("covered", LongType())])
-    out = None
     for part in range(parts):
         own = seeds.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == part).select("item", "text").toArrow()
         lists = list(token_lists(own["text"].combine_chunks())) if own.num_rows else []
@@ -139,25 +135,54 @@ def overlaps(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: st
         which = np.repeat(np.arange(len(flat)), [len(f) for f in flat])
         values = np.concatenate([*flat, np.zeros(0, np.uint64)])
         order = np.argsort(values, kind="stable")
-        sent = docs.sparkSession.sparkContext.broadcast((own["item"].to_pylist(), lists, values[order], which[order]))
-
-        def compute(texts: pa.Array, sent=sent) -> list[pa.Array]:
-            ids, lists, values, which = sent.value
-            rows = []
-            for tokens in token_lists(texts):
-                found = []
-                if len(tokens) >= least and len(values):
-                    own = shingles(tokens, least)
-                    own = np.unique(own[np.isin(own, values)])
-                    low, high = (np.searchsorted(values, own, side) for side in ("left", "right"))
-                    for i in sorted({int(x) for a, b in zip(low, high) for x in which[a:b]}):
-                        if n := covered(tokens, lists[i], least):
-                            found.append({"item": ids[i], "item_words": len(lists[i]), "covered": n})
-                rows.append(found)
-            return [pa.array(rows, pa.list_(pa.struct([("item", own_type), ("item_words", pa.int64()), ("covered", pa.int64())])))]
-
-        own_type = own.schema.field("item").type
-        made = map_texts(docs, text, [doc_id], [StructField("hits", ArrayType(hits))], compute)
-        made = made.select(F.col(f"row.{doc_id}").alias("doc_id"), F.inline("hits")).withColumnRenamed("item", "item_id")
-        out = made if out is None else out.union(made)
-    return out
+        yield items.sparkSession.sparkContext.broadcast((own["item"].to_pylist(), lists, values[order], which[order]))
+
+
+def _hits(docs: DataFrame, text: str, keep: list[str], part, item_type: DataType, least: int) -> DataFrame:
+    """Columns ``row`` (of ``keep``) and ``hits``, one for each item of the part that has words in the text covered."""
+    one = StructType([StructField("item", item_type), StructField("item_words", LongType()), StructField("covered", LongType())])
+    kind = pa.list_(pa.struct([("item", to_arrow_type(item_type)), ("item_words", pa.int64()), ("covered", pa.int64())]))
+
+    def compute(texts: pa.Array) -> list[pa.Array]:
+        ids, lists, values, which = part.value
+        rows = []
+        for tokens in token_lists(texts):
+            found = []
+            if len(tokens) >= least and len(values):
+                own = shingles(tokens, least)
+                own = np.unique(own[np.isin(own, values)])
+                low, high = (np.searchsorted(values, own, side) for side in ("left", "right"))
+                for i in sorted({int(x) for a, b in zip(low, high) for x in which[a:b]}):
+                    if n := covered(tokens, lists[i], least):
+                        found.append({"item": ids[i], "item_words": len(lists[i]), "covered": n})
+            rows.append(found)
+        return [pa.array(rows, kind)]
+
+    return map_texts(docs, text, keep, [StructField("hits", ArrayType(one))], compute)
+
+
+def overlaps(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", least: int = MIN_WORDS) -> DataFrame:
+    """For every row of ``docs`` and item that share ``least`` words in a row: (doc_id, item_id, item_words, covered).
+
+    ``covered`` counts the item's words that greedy string tiling covers. Null and empty texts and those of fewer
+    words share nothing. Rows are taken one by one: equal items give a row each, as equal documents do.
+
+    The items go to the executors in parts of bounded size; every part meets all documents, so that memory is
+    bounded whatever the size of the benchmark, and the documents, which are the large side, are never moved.
+    """
+    kind = items.schema[item_id].dataType
+    made = [
+        _hits(docs, text, [doc_id], part, kind, least).select(F.col(f"row.{doc_id}").alias("doc_id"), F.inline("hits"))
+        for part in _parts(items, item_id, item_text, least)
+    ]
+    return reduce(DataFrame.union, made).withColumnRenamed("item", "item_id")
+
+
+def uncontaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", coverage: float = COVERAGE, least: int = MIN_WORDS) -> DataFrame:
+    """The rows of ``docs`` that cover less than ``coverage`` of the words of every item."""
+    columns = docs.columns
+    for part in _parts(items, item_id, item_text, least):
+        made = _hits(docs, text, columns, part, items.schema[item_id].dataType, least)
+        clean = made.where(~F.exists("hits", lambda h: h.covered >= coverage * h.item_words))
+        docs = clean.select(*(F.col("row").getField(c).alias(c) for c in columns))
+    return docs

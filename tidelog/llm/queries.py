@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import language, neardup
+from tidelog.llm import decontaminate, language, neardup, packing, pii, tokens
+
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")  # a folder that all executors have
+SEQUENCE_TOKENS = 2048
+LONG_TOKENS = 1024
+PSEUDONYM_KEY = "a key for the checks; give your own"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +33,28 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+@query("op1_decontaminate")
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents hold parts of which benchmark items, and do they hold enough of them to be contaminated?"""
+    docs, items = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")
+    found = decontaminate.overlaps(docs, items)
+    return found.withColumn("contaminated", F.col("covered") >= decontaminate.COVERAGE * F.col("item_words"))
+
+
+@query("op5_packing")
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where in which sequence of 2048 tokens is each piece of each document?"""
+    return packed(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    pieces = packing.token_pieces(docs, "text", ["doc_id"], f"{TOKENIZERS}/word_bpe_49k.json", SEQUENCE_TOKENS)
+    pieces = pieces.select(
+        "row.doc_id", "piece", "start", (F.octet_length("ids") / 4).cast("bigint").alias("length"), F.crc32("ids").alias("ids_crc32")
+    )
+    return packing.pack(pieces, "length", ["doc_id", "piece", "ids_crc32"], SEQUENCE_TOKENS)
+
+
 @query("op7_language")
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """In which language is each document, as learned from four fifths of them?"""
@@ -40,3 +68,18 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents share at least 80 per cent of their four-word shingles, directly or through others?"""
     return neardup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), n=4, percent=80)
+
+
+@query("op9_pseudonyms")
+def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents with numbers, dates, addresses and secrets replaced by pseudonyms of the same format."""
+    return pii.pseudonyms(table(spark, sf_dir, "documents", "doc_id", "text"), "text", PSEUDONYM_KEY)
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many tokens has each document, and is it over the limit?"""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    docs = docs.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint"))
+    found = tokens.count_tokens(docs, "text", ["doc_id", "n_bytes"], f"{TOKENIZERS}/byte_bpe_50k.json")
+    return found.select("row.*", "n_tokens", (F.col("n_tokens") > LONG_TOKENS).alias("over_limit"))
