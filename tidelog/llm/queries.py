@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import decontaminate, language, neardup, packing, pii, tokens
+from tidelog.llm import decontaminate, language, neardup, packing, pii, tokens, warc
+from tidelog.session import settle, shared_dir, small_side
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")  # a folder that all executors have
 SEQUENCE_TOKENS = 2048
@@ -41,6 +43,63 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("contaminated", F.col("covered") >= decontaminate.COVERAGE * F.col("item_words"))
 
 
+REVISIT_BYTES = 100  # payloads from this length on are written once
+
+
+@query(
+    "op2_warc",
+    """with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, strlen(html) as n, sha256(html) as digest from p),
+f as (select *, case when n >= 100 then min(page_id) over (partition by digest) end as first from d)
+select page_id, cast(n as bigint) as payload_bytes, digest as payload_digest,
+  case when first is not null and first is distinct from page_id then 'revisit' else 'response' end as record_type,
+  case when first is distinct from page_id then first end as refers_to from f""",
+)
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as archives, equal payloads once, and what is read back from these.
+
+    Null html is an empty payload. A page without an id is no other's response; one whose payload no page with
+    an id has is a response.
+    """
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    pages = pages.withColumn("payload", F.coalesce("html", F.lit("")).cast("binary"))
+    pages = pages.withColumn("digest", F.sha2("payload", 256)).withColumn("n", F.octet_length("payload"))
+    several = pages.where(F.col("n") >= REVISIT_BYTES).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("of"))
+    several = small_side(settle(several.where("of > 1 and first is not null").select("digest", "first")))
+    named = pages.join(several, "digest", "left").withColumn("again", F.coalesce(~F.col("first").eqNullSafe(F.col("page_id")) & F.col("first").isNotNull(), F.lit(False)))
+
+    def record_id(page_id: str) -> Column:
+        parts = F.regexp_replace(F.md5(F.coalesce(F.col(page_id).cast("string"), F.lit("")).cast("binary")), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+        return F.concat(F.lit("<urn:uuid:"), parts, F.lit(">"))
+
+    records = named.select(
+        F.when(F.col("again"), "revisit").otherwise("response").alias("record_type"),
+        record_id("page_id").alias("record_id"),
+        F.col("url").alias("target_uri"),
+        F.lit("1970-01-01T00:00:00Z").alias("date"),
+        F.when(F.col("again"), record_id("first")).alias("refers_to"),
+        F.concat(F.lit("sha256:"), "digest").alias("payload_digest"),
+        F.create_map(
+            F.lit("X-Page-Id"), F.col("page_id").cast("string"),
+            F.lit("X-Refers-To-Page-Id"), F.when(F.col("again"), F.col("first")).cast("string"),
+            F.lit("X-Payload-Length"), F.col("n").cast("string"),
+        ).alias("headers"),
+        F.when(~F.col("again"), F.col("payload")).alias("payload"),
+    )
+    folder = shared_dir(spark, f"warc-{uuid.uuid4().hex}")
+    warc.write_warc(records, folder)
+    # the payloads as read are measured and hashed anew; a revisit has none, but says what its response's is
+    again = F.col("record_type") == "revisit"
+    header = lambda name: F.element_at("headers", F.lit(name))
+    return warc.read_warc(spark, folder, types=["response", "revisit"]).select(
+        header("X-Page-Id").cast("bigint").alias("page_id"),
+        F.when(again, header("X-Payload-Length").cast("bigint")).otherwise(F.octet_length("payload").cast("bigint")).alias("payload_bytes"),
+        F.when(again, F.substring_index("payload_digest", ":", -1)).otherwise(F.sha2("payload", 256)).alias("payload_digest"),
+        "record_type",
+        header("X-Refers-To-Page-Id").cast("bigint").alias("refers_to"),
+    )
+
+
 @query("op5_packing")
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where in which sequence of 2048 tokens is each piece of each document?"""
