@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import decontaminate, language, neardup, packing, pii, tokens, warc
+from tidelog.llm import decontaminate, forest, language, neardup, packing, pii, tokens, warc
 from tidelog.session import settle, shared_dir, small_side
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")  # a folder that all executors have
@@ -100,6 +100,13 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_neighbours")
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which twenty vectors found are nearest to every twentieth one?"""
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return forest.neighbours(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 @query("op5_packing")
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where in which sequence of 2048 tokens is each piece of each document?"""
