@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import decontaminate, forest, language, neardup, packing, pii, tokens, warc
+from tidelog.llm import decontaminate, forest, language, neardup, packing, pii, substrings, tokens, warc
 from tidelog.session import settle, shared_dir, small_side
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")  # a folder that all executors have
@@ -100,6 +100,12 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_substrings")
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the strings of 50 bytes that a document with a smaller id has?"""
+    return substrings.repeated_strings(table(spark, sf_dir, "documents", "doc_id", "text"), length=50)
+
+
 @query("op4_neighbours")
 def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which twenty vectors found are nearest to every twentieth one?"""
