@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import decontaminate, forest, language, neardup, packing, pii, substrings, tokens, warc
+from tidelog.llm import decontaminate, forest, language, licenses, neardup, packing, pii, substrings, tokens, warc
 from tidelog.session import settle, shared_dir, small_side
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")  # a folder that all executors have
@@ -127,6 +127,12 @@ def packed(docs: DataFrame) -> DataFrame:
     return packing.pack(pieces, "length", ["doc_id", "piece", "ids_crc32"], SEQUENCE_TOKENS)
 
 
+@query("op6_licenses")
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which passages of which documents are license texts or notices?"""
+    return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"), "text", ["doc_id"]).select("row.*", "start", "license", "reduction", "missing", "added", "confirmed")
+
+
 @query("op7_language")
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """In which language is each document, as learned from four fifths of them?"""
