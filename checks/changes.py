@@ -16,8 +16,8 @@ from tidelog.plans import flows
 HOUR_MS = 3_600_000
 
 ROUTES = [
-    ("crm-customer", "db1.c%,db%.view,db3.%"),
-    ("crm-trade", "shop.%,db6.%"),
+    ("visits", "db1.c%,db%.view,db3.%"),
+    ("orders", "shop.%,sto_e.%"),
     ("errors", "%.err.r"),
 ]
 
@@ -109,8 +109,8 @@ def row_and_control_events(spark, d):
 
 
 TOPIC_SQL = (
-    f"case when {_matches('db1', 'c.*')} or {_matches('db.*', 'view')} or {_matches('db3', '.*')} then 'crm-customer' "
-    f"when {_matches('shop', '.*')} or {_matches('db6', '.*')} then 'crm-trade' "
+    f"case when {_matches('db1', 'c.*')} or {_matches('db.*', 'view')} or {_matches('db3', '.*')} then 'visits' "
+    f"when {_matches('shop', '.*')} or {_matches('sto.e', '.*')} then 'orders' "
     f"when {_matches('.*', 'err.r')} then 'errors' end"
 )
 
@@ -128,8 +128,8 @@ def unrouted(spark, d):
 @check(
     "r2_all_matching_topics",
     with_changelog(
-        f"select pos, 'crm-customer' as topic from changelog where {_matches('db1', 'c.*')} or {_matches('db.*', 'view')} "
-        f"union all select pos, 'crm-trade' from changelog where {_matches('shop', '.*')} "
+        f"select pos, 'visits' as topic from changelog where {_matches('db1', 'c.*')} or {_matches('db.*', 'view')} "
+        f"union all select pos, 'orders' from changelog where {_matches('shop', '.*')} "
         f"union all select pos, 'errors' from changelog where {_matches('.*', 'err.r')}"
     ),
 )

@@ -70,7 +70,7 @@ BRANCHES = Rule(
     "click",
     "*",
     branches=(
-        ("#nick==null", Transform("map", binds=(("nick", "#user+'_A1'"), ("path", "#user+'?'")), maps=(("_id", "#shop+#nick"),))),
+        ("#nick==null", Transform("map", binds=(("nick", "'guest-'+#user"), ("path", "#user+'?'")), maps=(("_id", "#shop+#nick"),))),
         ("#shop=='s1' && #nick!=null", Transform(binds=(("path", "#nick+'!'"),), maps=(("_id", "path"), ("who", "user")))),
         ("#shop=='s2' || #shop=='s1'", Transform(binds=(("path", "#path+'+'"),), maps=(("_id", "'late'+#shop"),))),
     ),
@@ -85,7 +85,7 @@ BRANCHES = Rule(
         "case when b1 then concat(shop, nick2) when b2 then path when b3 then concat('late', shop) end as _id, "
         "case when b2 and not b1 then usr end as who, case when not (b1 or b2 or b3) then 'select * from t' end as transformer from ("
         "select *, case when b2 then concat(nick2, '!') when b1 then concat(usr, '?') when not b3 then concat(shop, '-else') end as path from ("
-        "select *, nick is null as b1, shop = 's1' as b2, shop in ('s1', 's2') as b3, coalesce(nick, concat(usr, '_A1')) as nick2 "
+        "select *, nick is null as b1, shop = 's1' as b2, shop in ('s1', 's2') as b3, coalesce(nick, concat('guest-', usr)) as nick2 "
         f"from (select pos, {IMAGE} from changelog)))"
     ),
 )
@@ -226,4 +226,39 @@ def rules_with_lookup(spark, d):
     ]
     customers = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
     done = flows.apply_rule_set(full_events(spark, d), rules, {1: Lookup(customers, {"user": "c_custkey"})})
-    return done.select("pos", F.col("ResultRows").alias("rows_found"), F.col("Result")["_id"].alias("_id"))
+    rows = F.when(F.col("rule_no").isNotNull(), F.concat(F.lit("["), F.coalesce("ResultRow", F.lit("")), F.lit("]")))
+    return done.select("pos", rows.alias("rows_found"), F.col("Result")["_id"].alias("_id"))
+
+
+@check(
+    "rules_with_two_lookups",
+    with_changelog(
+        f"with_image as (select pos, db, tbl, user_id, {IMAGE} from changelog), "
+        "asks as (select pos, 0 as rule_no, concat('select * from ', db, '.orders where o_custkey = ', usr) as asked_sql, user_id from with_image "
+        "where tbl = 'click' and shop in ('s1', 's4') union all select pos, 1, concat('select * from ', db, '.customer where c_custkey = ', usr, case when shop in ('s1', 's4') then '0' else '' end), "
+        "case when shop in ('s1', 's4') then user_id * 10 else user_id end from with_image where tbl = 'click' and nick is null) "
+        "select e.pos, a.rule_no, a.asked_sql, case when a.rule_no = 0 then o.o_orderstatus else c.c_mktsegment end as found, "
+        "case when e.tbl = 'click' and e.shop in ('s1', 's4') then concat(e.usr, '?') else e.usr end as usr, "
+        "case when e.tbl = 'click' and a.rule_no is null then concat(e.shop, '!') end as _id "
+        "from with_image e left join asks a on a.pos = e.pos left join orders o on a.rule_no = 0 and o.o_custkey = a.user_id "
+        "left join customer c on a.rule_no = 1 and c.c_custkey = a.user_id "
+    ).replace(") with_image as", "), with_image as"),
+)
+def rules_with_two_lookups(spark, d):
+    """Two rules whose tests differ look up different tables; a later bind changes the key, and a key owns many rows, some of them equal."""
+    rules = [
+        Rule("*", "click", "*", branches=((None, Transform(binds=(("key", "user"),))), ("#shop=='s1' || #shop=='s4'", Transform("resultset", "select * from ${Database}.orders where o_custkey = ${key}", binds=(), maps=(("_id", "user"),))), ("#shop=='s1' || #shop=='s4'", Transform(binds=(("key", "#key+'0'"), ("user", "#user+'?'")))))),
+        Rule("*", "click", "*", branches=(("#nick==null", Transform("resultset", "select * from ${Database}.customer where c_custkey = ${key}")), (None, Transform("map", maps=(("_id", "#shop+'!'"),))))),
+    ]
+    orders = table(spark, d, "orders").select("o_custkey", "o_orderstatus")
+    customers = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    done = flows.apply_rule_set(full_events(spark, d), rules, {0: Lookup(orders, {"key": "o_custkey"}), 1: Lookup(customers, {"key": "c_custkey"})})
+    found = F.from_json("ResultRow", "o_orderstatus string, c_mktsegment string")
+    return done.select(
+        "pos",
+        "rule_no",
+        F.col("AskedSql").alias("asked_sql"),
+        F.coalesce(found["o_orderstatus"], found["c_mktsegment"]).alias("found"),
+        F.col("Data")["user"].alias("usr"),
+        F.col("Result")["_id"].alias("_id"),
+    )

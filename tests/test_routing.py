@@ -26,23 +26,19 @@ def test_first_route_wins(spark):
 
 
 XML = """<root>
-  <event database="*" table="ddl" type="QUERY"><if><transform type="sql" process="reload.people"/></if></event>
-  <event database="*" table="person" type="UPDATE">
-    <if test="#nick==null">
-      <transform type="">
-        <bind name="nick" value="#id+'?'"/>
-        <map name="_id" value="#shop+#nick"/>
-        <map name="at" value="changed"/>
-      </transform>
+  <event database="ledger" table="account" type="INSERT">
+    <if test="#state=='open' &amp;&amp; #owner!=null">
+      <transform type="map"><map name="key" value="#owner+'/'+#number"/></transform>
     </if>
-    <else>
-      <transform type="sql" process="select * from person">
-        <bind name="_id" value="#shop+#nick"/>
-      </transform>
-    </else>
+    <if test="#state=='frozen'">
+      <transform><bind name="note" value="'check '+#number"/><bind name="kept" value="state"/></transform>
+    </if>
+    <else><transform type="expr" process="#number+'!'"/></else>
   </event>
-  <event database="main" table="person" type="DELETE">
-    <transform type="resultset" process="select 1"><map name="_id" value="id"/></transform>
+  <event database="*" table="account" type="*"><else><transform type="sql" process="audit.any"/></else></event>
+  <event database="*" table="session" type="DELETE">
+    <transform type="map"><map name="lost" value="number"/></transform>
+    <if><transform type="resultset" process="select * from ${Database}.s where n = ${number}"/></if>
   </event>
 </root>"""
 
@@ -56,12 +52,12 @@ def rules(spark, tmp_path_factory):
 
 def test_rules_from_a_document(rules):
     assert [(r.database, r.table, r.type, len(r.branches)) for r in rules] == [
-        ("*", "ddl", "QUERY", 1), ("*", "person", "UPDATE", 1), ("main", "person", "DELETE", 0),
+        ("ledger", "account", "INSERT", 2), ("*", "account", "*", 0), ("*", "session", "DELETE", 1),
     ]
-    assert rules[1].branches[0][1].binds == (("nick", "#id+'?'"),)
-    assert rules[1].otherwise.kind == "sql"
+    assert rules[0].branches[1][1].binds == (("note", "'check '+#number"), ("kept", "state"))
+    assert rules[0].otherwise.kind == "expr" and rules[1].otherwise.process == "audit.any"
     # a transform right under the event is not read
-    assert rules[2].otherwise is None
+    assert rules[2].otherwise is None and rules[2].branches[0][1].maps == ()
 
 
 def events(spark):
@@ -70,12 +66,13 @@ def events(spark):
 
     return spark.createDataFrame(
         [
-            row(1, "shop", "person", "UPDATE", id="7", shop="s", nick=None, changed="now"),
-            row(2, "shop", "person", "UPDATE", id="8", shop="s", nick="n", changed="now"),
-            row(3, "main", "person", "UPDATE", id="9", shop="s", nick="n", changed="now"),
-            row(4, "main", "person", "DELETE", id="9"),
-            row(5, "shop", "ddl", "QUERY", Sql="x"),
-            row(6, "shop", "person", "update", id="1"),
+            row(1, "ledger", "account", "INSERT", number="7", state="open", owner="ann"),
+            row(2, "ledger", "account", "INSERT", number="8", state="open", owner=None),
+            row(3, "ledger", "account", "INSERT", number="9", state="frozen", owner="bo"),
+            row(4, "ledger", "account", "DELETE", number="9"),
+            row(5, "archive", "account", "DELETE", number="1"),
+            row(6, "archive", "session", "DELETE", number="2", Database="archive"),
+            row(7, "archive", "session", "delete", number="3"),
         ],
         "pos int, Type string, Database string, Table string, Data map<string,string>",
     )
@@ -83,24 +80,25 @@ def events(spark):
 
 def test_rules_applied(spark, rules):
     done = {r.pos: r for r in routing.apply_rules(events(spark), rules).collect()}
-    assert done[1].Data["nick"] == "7?" and done[1].Result == {"_id": "s7?", "at": "now"} and done[1].Transformer is None
-    assert done[2].Result is None and done[2].Data["_id"] == "sn" and done[2].Transformer == "select * from person"
-    assert done[3].Result is None and done[3].Transformer is None
-    assert done[5].Transformer == "reload.people" and done[6].Transformer is None
+    assert done[1].Result == {"key": "ann/7"} and done[1].Evaluated is None
+    assert done[2].Result is None and done[2].Evaluated == "8!"
+    assert done[3].Data["note"] == "check 9" and done[3].Data["kept"] == "frozen" and done[3].Evaluated is None
+    assert done[4].Transformer is None and done[5].Transformer == "audit.any"
+    assert done[6].BoundSql == "select * from archive.s where n = 2" and done[7].BoundSql is None
 
 
 def test_a_named_database_shadows_the_wildcard(spark, rules):
     matched = {(r.pos, r.rule_no) for r in routing.route_rules(events(spark), rules).collect()}
-    assert matched == {(1, 1), (2, 1), (4, 2), (5, 0)}
-    assert {r.pos for r in routing.unsubscribed(events(spark), rules).collect()} == {3, 6}
+    assert matched == {(1, 0), (2, 0), (3, 0), (5, 1), (6, 2)}
+    assert {r.pos for r in routing.unsubscribed(events(spark), rules).collect()} == {4, 7}
 
 
 def test_first_result_stays_and_later_branches_see_binds(spark):
     rule = Rule(
-        "*", "person", "*",
+        "*", "account", "*",
         branches=(
-            ("#id=='7'", Transform(binds=(("x", "#id+'!'"),), maps=(("a", "x"),))),
-            (None, Transform(binds=(("y", "#x+'?'"),), maps=(("a", "y"), ("b", "id")))),
+            ("#number=='7'", Transform(binds=(("x", "#number+'!'"),), maps=(("a", "x"),))),
+            (None, Transform(binds=(("y", "#x+'?'"),), maps=(("a", "y"), ("b", "number")))),
         ),
         otherwise=Transform("sql", "never"),
     )
@@ -109,13 +107,26 @@ def test_first_result_stays_and_later_branches_see_binds(spark):
     assert done[2].Result == {"a": None, "b": "8"} and done[2].Transformer is None
 
 
-def test_lookups_are_one_join(spark):
-    rule = Rule("*", "person", "UPDATE", branches=((None, Transform("resultset", "select * from ${Database}.c where id = ${id}")),))
-    source = spark.createDataFrame([(7, "seven"), (7, "sept"), (8, "eight")], "cid int, name string")
-    withdb = events(spark).withColumn("Data", F.map_concat("Data", F.create_map(F.lit("Database"), F.col("Database"))))
-    done = {r.pos: r for r in flows.apply_rule_set(withdb, [rule], {0: Lookup(source, {"id": "cid"})}).collect()}
-    assert done[2].BoundSql == "select * from shop.c where id = 8" and done[2].ResultRows == '[{"cid":8,"name":"eight"}]'
-    assert done[1].ResultRows.count("cid") == 2 and done[3].ResultRows == "[]" and done[4].ResultRows is None
+def test_lookups_are_asked_where_their_transform_ran(spark):
+    rules = [
+        Rule("*", "account", "*", branches=(("#state=='open'", Transform("resultset", "select * from ${Database}.c where id = ${number}", maps=(("_id", "number"),))), (None, Transform(binds=(("number", "#number+'0'"),))))),
+        Rule("*", "account", "*", branches=(("#state=='frozen' || #number=='90'", Transform("resultset", "select * from ${Database}.o where owner = ${owner}")),)),
+    ]
+    first = spark.createDataFrame([(7, "seven"), (7, "seven"), (9, "nine"), (70, "seventy")], "cid int, name string")
+    second = spark.createDataFrame([("bo", 1)], "who string, n int")
+    for lookups in ({0: Lookup(first, {"number": "cid"}), 1: Lookup(second, {"owner": "who"})}, {1: Lookup(second, {"owner": "who"}), 0: Lookup(first, {"number": "cid"})}):
+        done = flows.apply_rule_set(events(spark).where("Database = 'ledger'"), rules, lookups).collect()
+        got = sorted((r.pos, r.rule_no, r.AskedSql, r.ResultRow) for r in done)
+        seven = (1, 0, "select * from ${Database}.c where id = 7", '{"cid":7,"name":"seven"}')
+        assert got == [
+            seven, seven, (2, 0, "select * from ${Database}.c where id = 8", None),
+            (3, 1, "select * from ${Database}.o where owner = bo", '{"who":"bo","n":1}'),
+            (4, 1, "select * from ${Database}.o where owner = ${owner}", None),
+        ]
+        assert {r.Data["number"] for r in done if r.pos == 1} == {"70"}
+        assert {r.Result for r in done if r.pos < 3} == {None}  # the rows found are the result, no map is
+    asked_nothing = flows.apply_rule_set(events(spark).where("Table = 'session'"), rules)
+    assert {(r.pos, r.rule_no, r.ResultRow) for r in asked_nothing.collect()} == {(6, None, None), (7, None, None)}
 
 
 def test_templates(spark):

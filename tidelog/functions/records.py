@@ -90,23 +90,26 @@ def normalize_type(name: Column | str) -> Column:
 
 
 def spark_type(mysql_type: str) -> str:
-    """Spark type of a column type; decimals keep the precision they are declared with."""
+    """Spark type of a column type; decimals keep the precision they are declared with, as text beyond 38 digits."""
     base, paren, args = mysql_type.lower().partition("(")
-    if base == "decimal" and paren:
-        digits = [int(a) for a in args.split(")")[0].split(",")]
-        return f"decimal({digits[0]},{digits[1] if len(digits) > 1 else 0})"
+    if base == "decimal":
+        # without arguments it is ten whole digits
+        digits = [int(a) for a in args.split(")")[0].split(",")] if paren else [10]
+        return f"decimal({digits[0]},{digits[1] if len(digits) > 1 else 0})" if digits[0] <= 38 else "string"
     return MYSQL_TYPES.get(base, "string")
 
 
 def cast_image(image: Column | str, columns: list[tuple[str, str]]) -> Column:
-    """Typed struct of a text image, one field per ``(column, type)``; values that do not fit become null."""
+    """Typed struct of a text image, one field per ``(column, type)``; ``image_misfits`` names the values that do not fit and are null here."""
     values = _as_column(image)
     return F.struct(*[values[name].try_cast(spark_type(kind)).alias(name) for name, kind in columns])
 
 
-def read_text(value: Column | str) -> Column:
-    """Bytes of a text column as text."""
-    return F.decode(_as_column(value), "UTF-8")
+def image_misfits(image: Column | str, columns: list[tuple[str, str]]) -> Column:
+    """Names of the columns whose text is there but does not fit their type."""
+    values = _as_column(image)
+    wrong = [F.when(values[name].isNotNull() & values[name].try_cast(spark_type(kind)).isNull(), F.lit(name)) for name, kind in columns]
+    return F.array_compact(F.array(*wrong)) if wrong else F.array().cast("array<string>")
 
 
 def zip_columns(included: Column | str, names: Column | str, values: Column | str) -> Column:

@@ -78,28 +78,15 @@ def lookup_rows(events: DataFrame, source: DataFrame, on: dict[str, str]) -> Dat
     return e.join(s, [F.col(f"e.{a}") == F.col(f"s.{b}") for a, b in on.items()], "left").select("e.*", "s.*")
 
 
-def lookup_enrich(
-    events: DataFrame, source: DataFrame, on: dict[str, str], result: str = "Result", max_list: int = 100_000
-) -> DataFrame:
-    """Events with the list of source rows whose columns equal the event's.
+def lookup_enrich(events: DataFrame, source: DataFrame, on: dict[str, str], result: str = "Result") -> DataFrame:
+    """Events with the list of source rows whose columns equal the event's, for sources whose keys own few rows.
 
-    The lists are made once per source key, not per event. A key that owns more than
-    about ``max_list`` rows has them in several lists, and its events come once per
-    list: ``<result>Part`` counts them from 0. So every row is there, but never all
-    rows of a key in one place.
+    The lists are made once per source key, not per event. Where a key may own more rows than
+    one record should hold, ``lookup_rows`` gives the same pairs as rows.
     """
-    keys, part = list(on.values()), f"{result}Part"
-    lists_of_key = F.ceil(F.col("count") / F.lit(max_list)).cast("int")
-    busy = source.groupBy(*keys).count().filter(F.col("count") > max_list).select(*keys, lists_of_key.alias("_lists"))
-    split = source.withColumn(part, F.lit(0))
-    if not busy.isEmpty():
-        plain = [F.col(c) for c, kind in source.dtypes if "map<" not in kind and "variant" not in kind]
-        split = source.join(small_side(settle(busy)), keys, "left").withColumn(
-            part, F.pmod(F.xxhash64(*plain), F.coalesce("_lists", F.lit(1))).cast("int")
-        )
-    lists = split.groupBy(*keys, part).agg(F.collect_list(F.struct(*source.columns)).alias(result))
+    keys = list(on.values())
+    lists = source.groupBy(*keys).agg(F.collect_list(F.struct(*source.columns)).alias(result))
     e, s = events.alias("e"), lists.alias("s")
     none = F.array().cast(lists.schema[result].dataType)
-    return e.join(s, [F.col(f"e.{a}") == F.col(f"s.{b}") for a, b in on.items()], "left").select(
-        "e.*", F.coalesce(F.col(f"s.{result}"), none).alias(result), F.coalesce(F.col(f"s.{part}"), F.lit(0)).alias(part)
-    )
+    joined = e.join(s, [F.col(f"e.{a}") == F.col(f"s.{b}") for a, b in on.items()], "left")
+    return joined.select("e.*", F.coalesce(F.col(f"s.{result}"), none).alias(result))

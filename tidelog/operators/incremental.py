@@ -112,7 +112,8 @@ def delta_join(
         F.explode(F.sequence(F.date_trunc(unit, "ts_start"), F.date_trunc(unit, "ts_end"), F.expr(f"INTERVAL {step}"))),
     )
     rows = (
-        source.filter((F.col(ts) >= lo) & (F.col(ts) < hi))
+        # a coarse bound: as dates both ends lose their time, so the last day belongs to it
+        source.filter((F.col(ts) >= lo) & (F.col(ts) <= hi))
         .withColumn("_unit", F.date_trunc(unit, F.col(ts).cast("timestamp")))
         .alias("r")
     )

@@ -183,6 +183,8 @@ def start_position(
     if offset is None or offset == "":
         if from_beginning:
             return skip_gtid_set(events, purged) if gtid_mode else events
+        if not executed and not gtid_mode:
+            raise ValueError("to start from now without gtids, give the server's current file:pos as executed")
         offset = executed
     if not gtid_mode:
         file, _, pos = offset.rpartition(":")

@@ -103,9 +103,12 @@ def bind(df: DataFrame, name: str, value: str, when: Column | None = None, data:
 def map_output(
     df: DataFrame, maps: Sequence[tuple[str, str]], when: Column | None = None, data: str = "Data"
 ) -> DataFrame:
-    """``Result`` made of the named values, unless there is one already."""
+    """``Result`` made of the named values, unless there is one already, or rows of a look-up are to be it."""
     if not maps:
         return df
+    if "Asked" in df.columns:
+        free = F.col("Asked").isNull()
+        when = free if when is None else free & when
     made = F.map_from_arrays(
         F.array(*[F.lit(name) for name, _ in dict(maps).items()]),
         F.array(*[bound_value(value, data) for value in dict(maps).values()]),
@@ -113,10 +116,13 @@ def map_output(
     return df.withColumn("Result", F.coalesce("Result", made if when is None else F.when(when, made)))
 
 
-def transform_kind(df: DataFrame, kind: str | None, process: str | None, when: Column | None = None) -> DataFrame:
+def transform_kind(
+    df: DataFrame, kind: str | None, process: str | None, when: Column | None = None, rule_no: int = 0, data: str = "Data"
+) -> DataFrame:
     """``map`` does nothing, ``sql`` hands the text on as ``Transformer``, other kinds evaluate it as an expression.
 
-    ``resultset`` leaves its bound SQL text in ``BoundSql``; ``lookup_enrich`` does the query as one join.
+    ``resultset`` leaves its bound SQL text in ``BoundSql``, and in ``Asked`` what the query was asked with: rule,
+    text and the data as they are now, whatever later binds make of them. ``flows.apply_rule_set`` does the queries as joins.
     """
     if kind is None or kind == "map":
         return df
@@ -124,6 +130,10 @@ def transform_kind(df: DataFrame, kind: str | None, process: str | None, when: C
         name, value = "Transformer", F.lit(process)
     elif kind == "resultset":
         name, value = "BoundSql", bind_sql(process)
+        if "Asked" in df.columns:
+            ask = F.array(F.struct(F.lit(rule_no).alias("rule_no"), value.alias("sql"), F.col(data).alias("data")))
+            more = F.concat(F.coalesce("Asked", F.array().cast(ASKED)), ask.cast(ASKED))
+            df = df.withColumn("Asked", more if when is None else F.when(when, more).otherwise(F.col("Asked")))
     elif process:
         name, value = "Evaluated", evaluate(process).cast("string")
     else:
@@ -131,24 +141,26 @@ def transform_kind(df: DataFrame, kind: str | None, process: str | None, when: C
     return df.withColumn(name, value if when is None else F.when(when, value).otherwise(F.col(name)))
 
 
-STATE = ("Result", "Transformer", "BoundSql", "Evaluated")
+STATE = ("Result", "Transformer", "BoundSql", "Evaluated", "Asked")
+
+ASKED = "array<struct<rule_no:int,sql:string,data:map<string,string>>>"
 
 
 def _with_state(df: DataFrame) -> DataFrame:
-    kinds = {"Result": "map<string,string>"}
+    kinds = {"Result": "map<string,string>", "Asked": ASKED}
     return df.withColumns(
         {c: F.lit(None).cast(kinds.get(c, "string")) for c in STATE if c not in df.columns}
     )
 
 
-def _apply(df: DataFrame, t: Transform, when: Column) -> DataFrame:
+def _apply(df: DataFrame, t: Transform, when: Column, rule_no: int) -> DataFrame:
     for name, value in t.binds:
         df = bind(df, name, value, when)
-    df = transform_kind(df, t.kind, t.process, when)
+    df = transform_kind(df, t.kind, t.process, when, rule_no)
     return map_output(df, t.maps, when)
 
 
-def apply_if_else(df: DataFrame, rule: Rule, when: Column | None = None) -> DataFrame:
+def apply_if_else(df: DataFrame, rule: Rule, when: Column | None = None, rule_no: int = 0) -> DataFrame:
     """Branches of a rule in order, each on the data the earlier ones left; ``otherwise`` if no test held."""
     df = _with_state(df)
     scope = F.lit(True) if when is None else F.coalesce(when, F.lit(False))
@@ -156,10 +168,10 @@ def apply_if_else(df: DataFrame, rule: Rule, when: Column | None = None) -> Data
     for i, (test, transform) in enumerate(rule.branches):
         holds = F.coalesce(evaluate(test).cast("boolean"), F.lit(False)) if test else F.lit(True)
         flags.append(f"_ran{i}")
-        df = _apply(df.withColumn(flags[-1], scope & holds), transform, F.col(flags[-1]))
+        df = _apply(df.withColumn(flags[-1], scope & holds), transform, F.col(flags[-1]), rule_no)
     if rule.otherwise is not None:
         none_ran = reduce(lambda a, b: a & b, [~F.col(f) for f in flags], scope)
-        df = _apply(df.withColumn("_else", none_ran), rule.otherwise, F.col("_else")).drop("_else")
+        df = _apply(df.withColumn("_else", none_ran), rule.otherwise, F.col("_else"), rule_no).drop("_else")
     return df.drop(*flags)
 
 
@@ -167,6 +179,6 @@ def apply_rules(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Every matching rule applied to its events, in rule order, on one pass over the events."""
     matches = [f"_rule{i}" for i in range(len(rules))]
     df = _with_state(events).withColumns(dict(zip(matches, rule_matches(rules))))
-    for name, rule in zip(matches, rules):
-        df = apply_if_else(df, rule, F.col(name))
+    for i, (name, rule) in enumerate(zip(matches, rules)):
+        df = apply_if_else(df, rule, F.col(name), i)
     return df.drop(*matches)

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions import patterns as P
+from tidelog.functions.patterns import all_of
 from tidelog.operators.coalesce import GAP_DEFAULT_MS, coalesce_changes
-from tidelog.operators.enrich import enrich_columns, lookup_enrich
+from tidelog.operators.enrich import enrich_columns
 from tidelog.operators.incremental import incremental_extract
 from tidelog.operators.ordering import (
     SERVER,
@@ -21,7 +22,7 @@ from tidelog.operators.ordering import (
     tx_sequence,
 )
 from tidelog.operators.records import to_notices, to_records
-from tidelog.operators.routing import Lookup, Routes, Rule, apply_rules, drop_unrouted, route_topic, rule_matches
+from tidelog.operators.routing import Lookup, Routes, Rule, apply_rules, drop_unrouted, route_topic
 from tidelog.operators.scan import BLOCK_BITS
 from tidelog.sources.sinks import messages
 from tidelog.streaming.coalesce import coalesce_changes_stream
@@ -125,28 +126,26 @@ def extract(
 def apply_rule_set(events: DataFrame, rules: Sequence[Rule], lookups: dict[int, Lookup] | None = None) -> DataFrame:
     """Full-mode events through all rules; ``lookups`` gives, per rule number, the source of its ``resultset`` query.
 
-    Each look-up is one join over all events; only those whose rule asked for it carry a key.
+    One row per event, query it asked and row found, with ``rule_no``, ``AskedSql`` and the row as JSON in
+    ``ResultRow``; an event that asked nothing, or a query that found nothing, has one row without it. Queries are asked only where
+    their transform ran, with the data as they were then. Each look-up is one join over all events, in which only those
+    that asked carry a key, and however many rows a key owns, none is ever gathered in a list.
     """
-    matches = rule_matches(rules)
-    done = apply_rules(events, rules).withColumn("ResultRows", F.lit(None).cast("string"))
+    done = apply_rules(events, rules)
+    asked = done.withColumn("_asked", F.explode_outer("Asked")).withColumns(
+        {"rule_no": F.col("_asked.rule_no"), "AskedSql": F.col("_asked.sql"), "ResultRow": F.lit(None).cast("string")}
+    )
+    # rows that ask for nothing have a longer key than any source row; its number spreads them over tasks
+    plain = [F.col(c) for c, kind in events.dtypes if "map<" not in kind and "variant" not in kind]
+    spread = F.xxhash64(*plain).cast("string")
     for number, lookup in (lookups or {}).items():
-        asked = matches[number] & F.col("BoundSql").isNotNull()
-        pairs = [(f"_k{i}", name, column) for i, (name, column) in enumerate(lookup.on.items())]
-        # events that ask for nothing have no key; a number spreads them instead of one task getting all
-        plain = [F.col(c) for c, kind in events.dtypes if "map<" not in kind and "variant" not in kind]
-        pairs.append(("_ask", "", ""))
-        keyed = done.withColumns(
-            {
-                **{k: F.when(asked, F.col("Data")[name]) for k, name, _ in pairs[:-1]},
-                "_ask": F.when(asked, F.lit(0).cast("bigint")).otherwise(F.pmod(F.xxhash64(*plain), F.lit(100_000)) + 1),
-            }
+        values = [F.col("_asked.data")[name] for name in lookup.on]
+        mine = F.coalesce(all_of(F.col("rule_no") == number, *[v.isNotNull() for v in values]), F.lit(False))
+        keyed = asked.withColumn("_key", F.when(mine, F.array(*values)).otherwise(F.array(*[spread] * (len(values) + 1))))
+        columns = [F.col(c).cast("string") for c in lookup.on.values()]
+        rows = lookup.source.where(all_of(*[c.isNotNull() for c in columns])).select(
+            F.array(*columns).alias("_key"), F.to_json(F.struct(*lookup.source.columns)).alias("_found")
         )
-        source = lookup.source.withColumns(
-            {**{k: F.col(column).cast("string") for k, _, column in pairs[:-1]}, "_ask": F.lit(0).cast("bigint")}
-        )
-        found = lookup_enrich(keyed, source, {k: k for k, _, _ in pairs}, "_rows")
-        rows = F.transform("_rows", lambda r: r.dropFields(*[k for k, _, _ in pairs]))
-        done = found.withColumn("ResultRows", F.when(asked, F.to_json(rows)).otherwise(F.col("ResultRows"))).drop(
-            "_rows", "_rowsPart", *[k for k, _, _ in pairs]
-        )
-    return done
+        found = keyed.join(rows, "_key", "left")
+        asked = found.withColumn("ResultRow", F.coalesce("_found", "ResultRow")).drop("_found", "_key")
+    return asked.drop("_asked", "Asked")
