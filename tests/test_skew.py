@@ -44,6 +44,23 @@ def test_one_server(spark, spread):
     assert n == 4 and share < 0.5
 
 
+def test_one_transaction_keeps_its_offsets_spread(spark, spread):
+    log = spark.range(N).select(
+        F.lit(1).alias("server_id"),
+        (F.col("id") * 100).alias("pos"),
+        F.when(F.col("id") == 0, "GTID").otherwise("WRITE_ROWS").alias("event_type"),
+        F.when(F.col("id") == 0, "u:5").alias("gtid"),
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stamped = T.event_offset(log, "u:1-3", block_bits=14)
+        n, share = spread(stamped)
+        assert n == 4 and share < 0.5
+        assert [tuple(r) for r in stamped.groupBy("gtid_set").count().collect()] == [("u:1-3", N - 1)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_one_table_without_a_pause(spark, spread):
     log = spark.range(N).select(
         F.lit("d").alias("Database"),

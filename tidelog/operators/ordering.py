@@ -266,11 +266,21 @@ def gtid_sets(
     )
 
 
-def stamp_offset(numbered: DataFrame, sets: DataFrame, keys: Sequence[str] = SERVER) -> DataFrame:
-    """Numbered row events with ``gtid_set`` and ``incomplete``: their own gtid and sequence number."""
+def stamp_offset(
+    numbered: DataFrame, sets: DataFrame, keys: Sequence[str] = SERVER, order: str = "pos", block_bits: int = BLOCK_BITS
+) -> DataFrame:
+    """Numbered row events with ``gtid_set`` and ``incomplete``: their own gtid and sequence number.
+
+    A set is joined to the event that starts its transaction and carried forward from there, block by block, so that the
+    events of one large transaction stay spread.
+    """
+    started = numbered.join(sets.withColumnRenamed("tx_start", order), [*keys, order], "left").withColumnRenamed("gtid_set", "_started")
+    is_start = F.col("event_type") == "GTID"
+    carried = fill_forward(started, "_set", F.struct("_started"), is_start, order, keys, block_bits)
     return (
-        numbered.filter(P.is_row_event())
-        .join(sets, [*keys, "tx_start"], "left")
+        carried.filter(P.is_row_event())
+        .withColumn("gtid_set", F.col("_set._started"))
+        .drop("_set", "_started")
         .withColumn("incomplete", F.when(F.col("gtid").isNotNull(), F.create_map("gtid", "seq_no")))
     )
 
@@ -287,7 +297,7 @@ def event_offset(
         single = events.withColumn("_server", F.lit(0))
         return event_offset(single, base_set, order, ("_server",), block_bits).drop("_server")
     sets = gtid_sets(events, base_set, order, keys, block_bits)
-    return stamp_offset(tx_sequence(events, order, keys, block_bits), sets, keys)
+    return stamp_offset(tx_sequence(events, order, keys, block_bits), sets, keys, order, block_bits)
 
 
 def _interval(uuid: str, lo: int, hi: int) -> Column:

@@ -98,7 +98,7 @@ def full_records(
     """
     resolved = resolve_table_map(log, keys=keys, block_bits=block_bits, keep_all=True)
     numbered = tx_sequence(resolved, keys=keys, block_bits=block_bits)
-    events = stamp_offset(numbered, gtid_sets(log, base_set, keys=keys, block_bits=block_bits), keys)
+    events = stamp_offset(numbered, gtid_sets(log, base_set, keys=keys, block_bits=block_bits), keys, block_bits=block_bits)
     if saved:
         events = start_position(events, saved)
     wanted = events.filter(P.table_filter(include, ignore, "db", "tbl"))
