@@ -24,15 +24,15 @@ FORMS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "secret": r"(?<![A-Za-z])(?i:password|passwd|pwd|secret|token|api[_-]?key)[ ]?[=:][ ]?[\"']?[A-Za-z0-9+/_-]{8,128}(?![A-Za-z0-9])",
     "access_key": _NUM + "AKIA[0-9A-Z]{16}" + _END,
-    "iban": _NUM + "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _END,
+    "iban": _NUM + "[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)" + _END,
     "iso_date": r"(?<![0-9A-Za-z-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9A-Za-z]|-[0-9])",
     "slash_date": r"(?<![0-9A-Za-z/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9A-Za-z]|/[0-9])",
     "dot_date": r"(?<![0-9A-Za-z.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9A-Za-z]|\.[0-9])",
     "ip": r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])",
-    "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}"
-    r"|\([0-9]{3}\) ?[0-9]{3}[.-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})" + _END,
+    "phone": r"(?<![0-9A-Za-z+])(?:(?:\+1[ .-]?)?\([0-9]{3}\) ?[0-9]{3}[.-][0-9]{4}|(?:\+1[ .-])?[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}"
+    r"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3})" + _END,
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
-    "card": _NUM + "[0-9]{4}(?:[ -]?[0-9]{3,6}){2,4}" + _END,
+    "card": _NUM + "(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})" + _END,
 }
 ANY_FORM = "|".join(f"(?:{f})" for f in FORMS.values())
 
@@ -205,7 +205,7 @@ def pseudonyms(docs: DataFrame, text: str, key: str, new_text: str = "text", cou
     day/month where that is a date, else as month/day. Null texts stay null and count 0.
     All other columns stay as they are, but for those named ``new_text`` or ``count``.
     """
-    found = F.col(f"`{text}`").rlike("[0-9@=:]")
+    found = F.col(f"`{text}`").rlike("[0-9@=:]|AKIA")
     values = F.expr(f"transform(llm_found, t -> named_struct('old', t, 'new', {_pseudonym('t')}))")
     joined = F.expr("array_join(flatten(zip_with(llm_parts, llm_values, (p, v) -> array(p, coalesce(v.new, v.old, '')))), '')")
     columns = docs.columns
