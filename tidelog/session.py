@@ -12,6 +12,8 @@ BROADCAST_BYTES = 64 << 20
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+_LOCAL: dict[str, str] = {}  # by application, the folder of a local session without the setting
+
 
 def use_utc(spark: SparkSession) -> SparkSession:
     """Timestamps in logs, progress tables and SQL templates are read as UTC."""
@@ -41,14 +43,14 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A path below the folder all executors share, as named by spark.checkpoint.dir.
 
     Only a local session may go without the setting; it gets a temporary folder
-    once, kept in the session so that every later call sees the same one.
+    once, which every later call of the same application sees. The session's settings stay as they are.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="tidelog-")
-        spark.conf.set(CHECKPOINT_CONF, root)
+        root = _LOCAL.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="tidelog-")
+        _LOCAL[spark.sparkContext.applicationId] = root
     return os.path.join(root, *parts) if parts else root
 
 
