@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -190,14 +191,21 @@ def latest_per_key(changes: DataFrame, keys: Sequence[str], order: Sequence[Colu
 def merge_incremental(
     snapshot: DataFrame, delta: DataFrame, keys: Sequence[str], order: str, type: str = "Type"
 ) -> DataFrame:
-    """Snapshot with the last change per key applied: upserts replace or add rows, deletes remove them.
+    """Snapshot (one row per key) with the last change per key applied: upserts replace or add rows, deletes remove them.
 
-    At equal ``order`` a delta row wins over the snapshot.
+    At equal ``order`` a delta row wins over the snapshot. Only the delta is ranked; its keys meet the
+    snapshot, which stays where it is while they are few (``small_side``).
     """
-    old = snapshot.withColumn(type, F.lit("SNAPSHOT")).withColumn("_new", F.lit(0))
-    new = delta.withColumn("_new", F.lit(1))
-    last = latest_per_key(old.unionByName(new), keys, [F.col(order).desc(), F.col("_new").desc()])
-    return last.filter(F.col(type) != "DELETE").drop(type, "_new")
+    last = settle(latest_per_key(delta, keys, [F.col(order).desc()]))
+    changed = small_side(last.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(order).alias("_order")))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    newer = F.col(order) > F.col("_order")
+    both = snapshot.join(changed, same, "left")
+    kept = both.filter(F.col("_order").isNull() | newer).select(*snapshot.columns)
+    # changes older than what the snapshot holds
+    late = settle(snapshot.join(changed, same).filter(newer).select(*[F.col(k).alias(f"_{k}") for k in keys]))
+    winners = last.join(small_side(late), same, "left_anti").filter(F.col(type) != "DELETE")
+    return kept.unionByName(winners.drop(type))
 
 
 def shard(date: Column | str, months_per_shard: int = 12) -> Column:

@@ -61,10 +61,11 @@ class ProgressTable:
         self.spark, self.path, self.keys = spark, path, list(keys)
 
     def save(self, events: DataFrame, batch_id: int, offset: str = "offset", order: str = "pos") -> None:
-        rows = high_water_offset(events, offset, order, self.keys)
-        if rows.isEmpty():
-            return
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        # a row per key, kept so that the batch behind them is read once
+        rows = high_water_offset(events, offset, order, self.keys).persist()
+        if not rows.isEmpty():
+            rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        rows.unpersist()
 
     def load(self, order: str = "pos") -> DataFrame | None:
         """Last offset per key; None where nothing was saved yet."""

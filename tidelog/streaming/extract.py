@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidelog.operators.coalesce import DATABASE_GAP_MS
 from tidelog.operators.incremental import advance_windows, delta_join, drop_ignored_databases, initial_watermark
 from tidelog.operators.records import tag_tenant, type_result_set
+from tidelog.session import settle
 from tidelog.streaming.batches import state_before
 from tidelog.streaming.coalesce import coalesce_changes_stream
 
@@ -59,7 +60,7 @@ class ExtractBatches:
         if before is not None:
             ended = before.select("Database", F.col("ts_end").alias("_ended"))
             started = started.join(ended, "Database", "left").withColumn("ts_start", F.coalesce("_ended", "ts_start")).drop("_ended")
-        windows = advance_windows(started, "run_ts", self.lag_ms)
+        windows = settle(advance_windows(started, "run_ts", self.lag_ms))
         ends = windows.select("Database", "ts_end")
         if before is not None:
             ends = ends.unionByName(before)
