@@ -1,6 +1,7 @@
 """Repeated strings against all windows of all documents; suffix order against Python's."""
 
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -11,6 +12,8 @@ from tidelog.llm import substrings
 from tidelog.llm.substrings import repeated_strings
 from tidelog.llm.suffixes import anchors, sort_suffixes
 
+SF_DIR = "/root/testdata/sf0.001"
+
 
 def brute(ids, texts, length):
     first = {}
@@ -94,3 +97,11 @@ def test_suffixes_are_sorted():
         said = [(g, bytes(data[a : a + 10])) for g, a in zip(group[order], at[order])]
         assert sorted(order.tolist()) == list(range(150)) and said == sorted(said)
         assert equal.tolist() == [False] + [x == y for x, y in zip(said, said[1:])]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not there")
+def test_query_on_the_table(spark):
+    from tidelog.llm.queries import QUERIES
+
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    assert rows(QUERIES["op3_substrings"](spark, SF_DIR)) == brute([r.doc_id for r in docs], [r.text for r in docs], 50)

@@ -115,7 +115,7 @@ def _open_contexts(docs: DataFrame, length: int) -> DataFrame:
 def _runs(doc: np.ndarray, start: np.ndarray, length: int) -> pa.RecordBatch:
     """Spans of windows that follow each other."""
     new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1)]) if len(doc) else np.zeros(0, np.int64)
-    last = np.r_[new[1:], len(doc)] - 1
+    last = np.r_[new[1:], len(doc)][: len(new)] - 1
     return pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(start[new]), pa.array(start[last] + length)], names=["doc", "start", "end"])
 
 
