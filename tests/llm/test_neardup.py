@@ -5,6 +5,7 @@ import re
 import pytest
 from common import documents, edited, prose
 
+from tidelog.llm import graph, neardup
 from tidelog.llm.graph import components
 from tidelog.llm.neardup import DISTANCE, chunk_keys, near_duplicates, signatures, word_sets
 
@@ -58,9 +59,11 @@ def test_against_all_pairs(spark, texts):
     assert rows(near_duplicates(df, n=4)) == brute(ids, texts, 4, 80)
 
 
-def test_large_group_of_near_copies(spark):
+@pytest.mark.parametrize("at_once", [100_000, 3000])
+def test_large_group_of_near_copies(spark, monkeypatch, at_once):
+    monkeypatch.setattr(neardup, "ITEMS_AT_ONCE", at_once)  # one block, and several
     base = prose(1, 150)
-    texts = [" ".join(edited(base, s, 1 + s % 6)) for s in range(300)] + [" ".join(base)] * 50
+    texts = [" ".join(edited(base, s, 1 + s % 9)) for s in range(300)] + [" ".join(base)] * 50
     assert rows(near_duplicates(documents(spark, texts))) == brute(range(350), texts, 5, 80)
 
 
@@ -93,6 +96,22 @@ def test_chunks_guarantee_the_distance():
         assert np.intersect1d(chunk_keys(one[None]), chunk_keys(two[None])).size
 
 
+def test_pairs_are_compared_under_their_first_key():
+    import numpy as np
+
+    from tidelog.llm.neardup import _first_shared
+
+    draw = np.random.default_rng(6)
+    one = draw.integers(0, 3, (20, 32)).astype(np.uint16)
+    first, apart = _first_shared(one, one[:7])
+    keys = chunk_keys(one.astype(np.uint64))
+    for i in range(20):
+        for j in range(7):
+            shared = [k for k in range(32) if keys[i, k] == keys[j, k]]
+            assert first[i, j] == (min(int(keys[i, k]) >> 48 for k in shared) if shared else 32)
+            assert apart[i, j] == (one[i] != one[j]).sum()
+
+
 def test_signatures_estimate_similarity():
     import numpy as np
     import pyarrow as pa
@@ -104,7 +123,9 @@ def test_signatures_estimate_similarity():
     assert abs((one == two).mean() - true) < 0.25
 
 
-def test_components(spark):
+@pytest.mark.parametrize("at_once", [500_000, 15])
+def test_components(spark, monkeypatch, at_once):
+    monkeypatch.setattr(graph, "LINKS_AT_ONCE", at_once)
     links = [(1, 2), (2, 3), (9, 8), (8, 3), (20, 21), (21, 20), (5, 5)] + [(i, i + 1) for i in range(100, 140)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     want = {1: 1, 2: 1, 3: 1, 8: 1, 9: 1, 20: 20, 21: 20} | {i: 100 for i in range(100, 141)}
