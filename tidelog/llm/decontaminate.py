@@ -145,17 +145,25 @@ def _hits(docs: DataFrame, text: str, keep: list[str], part, item_type: DataType
 
     def compute(texts: pa.Array) -> list[pa.Array]:
         ids, lists, values, which = part.value
-        rows = []
-        for tokens in token_lists(texts):
-            found = []
-            if len(tokens) >= least and len(values):
-                own = shingles(tokens, least)
-                own = np.unique(own[np.isin(own, values)])
+        rows: list[list[dict]] = [[] for _ in range(len(texts))]
+        table = fold_table(SEPARATORS)
+        for first, data, offsets in blocks(pc.utf8_lower(texts)):
+            words, cuts, _ = word_hashes(data, offsets, table)
+            if len(words) < least or not len(values):
+                continue
+            # the seeds of all texts at once; those that reach into the next text are none
+            seeds = shingles(words, least)
+            at = np.minimum(np.searchsorted(values, seeds), len(values) - 1)
+            hit = np.flatnonzero(values[at] == seeds)
+            owner = np.searchsorted(cuts, hit, "right") - 1
+            inside = hit + least <= cuts[owner + 1]
+            hit, owner = hit[inside], owner[inside]
+            for i in np.unique(owner):
+                own = np.unique(seeds[hit[owner == i]])
                 low, high = (np.searchsorted(values, own, side) for side in ("left", "right"))
-                for i in sorted({int(x) for a, b in zip(low, high) for x in which[a:b]}):
-                    if n := covered(tokens, lists[i], least):
-                        found.append({"item": ids[i], "item_words": len(lists[i]), "covered": n})
-            rows.append(found)
+                for j in sorted({int(x) for a, b in zip(low, high) for x in which[a:b]}):
+                    if n := covered(words[cuts[i] : cuts[i + 1]], lists[j], least):
+                        rows[first + i].append({"item": ids[j], "item_words": len(lists[j]), "covered": n})
         return [pa.array(rows, kind)]
 
     return map_texts(docs, text, keep, [StructField("hits", ArrayType(one))], compute)

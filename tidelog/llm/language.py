@@ -16,7 +16,7 @@ UNKNOWN = "und"
 ORDERS = (1, 2, 3)
 BUCKET_BITS = 16
 SAMPLE_DOCS = 20_000  # of each language, for learning
-CHARS = 1 << 20  # worked on at once
+CHARS = 1 << 18  # worked on at once
 
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 

@@ -20,7 +20,7 @@ WORD_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 #: normal form changes, as tests prove one by one. A text with any other goes through the library whole.
 PLAIN = regex.compile(r"[\t-\r\x20-\x7e\xa0-įı-ɏ‐-‧‰-⁞€]")
 
-PIECES = 2_000_000  # remembered by a worker; beyond that it forgets all and goes on
+PIECES = 1_000_000  # remembered by a worker; beyond that it forgets all and goes on
 
 OTHER, LETTER, DIGIT, SPACE, ODD = range(5)
 
