@@ -115,6 +115,31 @@ def delta_join(spark, d):
     return rows.select("o_orderkey", plain("ts_start"), plain("ts_end"))
 
 
+# few windows, so that the outer bounds lie among the orders and cut a day
+LATE_WINDOWS = (
+    "select p_partkey, case p_partkey % 3 when 0 then 'F' when 1 then 'O' else 'P' end as db, p_partkey * 7 % 24 as hour, p_size as hours, "
+    "p_partkey * 3 % 900 as day from {part} where p_partkey % 5 = 1"
+)
+
+
+@check(
+    "e5_delta_join_dates",
+    f"with w as ({LATE_WINDOWS.replace('{part}', 'part')}), b as (select db, timestamp '1995-01-01 00:00:00' + to_days(cast(day as int)) + to_hours(hour) as s, hours from w) "
+    "select o.o_orderkey, b.s as ts_start, b.s + to_hours(hours) as ts_end from b join orders o on o.o_orderstatus = b.db "
+    "and cast(cast(o.o_orderdate as date) as timestamp) >= b.s and cast(cast(o.o_orderdate as date) as timestamp) < b.s + to_hours(hours)",
+)
+def delta_join_dates(spark, d):
+    """The change column is a date, and windows begin and end within a day."""
+    windows = over(spark, d, LATE_WINDOWS, "part").selectExpr(
+        "db as Database",
+        "timestamp '1995-01-01 00:00:00' + make_dt_interval(cast(day as int), hour) as ts_start",
+        "timestamp '1995-01-01 00:00:00' + make_dt_interval(cast(day as int), hour + hours) as ts_end",
+    )
+    source = table(spark, d, "orders").withColumnRenamed("o_orderstatus", "Database").withColumn("changed", F.to_date("o_orderdate"))
+    rows = I.delta_join(windows, source, "changed")
+    return rows.select("o_orderkey", plain("ts_start"), plain("ts_end"))
+
+
 EXTRACT_SQL = (
     f"{WINDOWS_SQL} select o.o_orderkey, o.o_totalprice, o.o_orderdate, o.o_orderstatus as \"dbName\" from windows w join orders o "
     "on o.o_orderstatus = w.db and o.o_orderdate >= w.ts_start and o.o_orderdate < w.ts_end"

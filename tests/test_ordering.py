@@ -195,3 +195,10 @@ def test_number_transactions_without_rows_in_a_block(spark):
     df = spark.createDataFrame([(1, 0, "g:1", True, False), (1, 1000, None, False, True)], "server_id int, pos bigint, gtid string, s boolean, c boolean")
     got = number_transactions(df, F.col("s"), F.col("c"), block_bits=1).orderBy("pos").collect()
     assert [(r.tx.gtid, r.seq_no) for r in got] == [("g:1", 0), ("g:1", 1)]
+
+
+def test_now_without_gtids_needs_a_position(spark):
+    numbered = spark.createDataFrame([(5, "WRITE_ROWS", None, 1)], "pos bigint, event_type string, gtid string, seq_no bigint")
+    with pytest.raises(ValueError, match="executed"):
+        T.start_position(numbered, gtid_mode=False)
+    assert T.start_position(numbered, gtid_mode=False, executed="bin.000000:4").count() == 1
