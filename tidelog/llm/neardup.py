@@ -200,16 +200,23 @@ def _links_of_unit(key: int, own: bool, sides: list[dict], percent: int) -> list
     return links
 
 
-def _links_between(apart: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) among members of a bucket (key, node, component, common, sign, items) that are in different components.
+def _links_between(apart: DataFrame, able: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among members of a bucket, ``apart`` (key, node, component), that are in different components.
 
     Buckets are cut into blocks of about ITEMS_AT_ONCE shingles, and each two blocks are compared in one task: however many
-    members a bucket has, a task holds two blocks, and only links leave it.
+    members a bucket has, a task holds two blocks, and only links leave it. The sets come with ``able`` (node, n_shingles, common,
+    sign, items) and join the rows last.
     """
-    sized = settle(apart.groupBy("key").agg((F.sum("n_shingles") / ITEMS_AT_ONCE).cast("bigint").alias("blocks")))
-    rows = apart.join(sized, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks") + 1))
+    thin = settle(apart.join(able.select("node", "n_shingles"), "node"))
+    sized = thin.groupBy("key").agg(
+        (F.sum("n_shingles") / ITEMS_AT_ONCE).cast("bigint").alias("blocks"), F.min("component").alias("x"), F.max("component").alias("y")
+    )
+    rows = thin.join(settle(sized.where("x < y").select("key", "blocks")), "key")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks") + 1))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks"))))
-    rows = rows.select("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "node", "component", "common", "sign", "items")
+    rows = rows.select("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "node", "component")
+    rows = rows.join(able.select("node", "common", "sign", "items"), "node")
+    rows = rows.select("key", "low", "high", "block", "node", "component", "common", "sign", "items")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_groups(batches, ["key", "low", "high"]):
@@ -280,7 +287,7 @@ def _near_links(docs: DataFrame, doc_id: str, text: str, nodes: DataFrame, n: in
     # common / size >= percent / 100, as the union is no smaller than the set itself
     able = able.where(f"100 * common >= {percent} * n_shingles").select("node", "n_shingles", "common", "sign")
     able = settle(able.join(sets, "node"))
-    return links.union(settle(_links_between(settle(apart.join(able, "node")), percent)))
+    return links.union(settle(_links_between(apart, able, percent)))
 
 
 def _items(sets: DataFrame) -> DataFrame:
