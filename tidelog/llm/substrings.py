@@ -24,10 +24,10 @@ _PLACE_BITS = 28  # of a number that holds an anchor's place among those of its
 
 def _contexts(data: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """Of each anchor: hash, number of context and place, first and last window. The context is the bytes of all its windows."""
-    places, hashes, first, last = anchors(data, length)
+    prefixes, back = prefix_hashes(data), _powers(len(data) + 1, _BACK)
+    places, hashes, first, last = anchors(data, length, prefixes)
     if not len(places):
         return hashes, np.zeros(0, np.int64), first, last
-    prefixes, back = prefix_hashes(data), _powers(len(data) + 1, _BACK)
     context = mix(span_hashes(prefixes, back, first, last - first + length)) >> np.uint64(_PLACE_BITS)
     return hashes, (context << np.uint64(_PLACE_BITS) | np.arange(len(places), dtype=np.uint64)).view(np.int64), first, last
 
@@ -95,7 +95,7 @@ def _open_contexts(docs: DataFrame, length: int) -> DataFrame:
                     windows.append(last[alone] - first[alone] + 1)
                     context += [text[a : b + length].tobytes() for a, b in zip(first[alone], last[alone])]
                     at = np.concatenate([np.arange(a, b + 1) for a, b in zip(first[crowded], last[crowded])] or [np.zeros(0, np.int64)])
-                    prefixes, back = prefix_hashes(text), _powers(len(text) + 1, _BACK)
+                    prefixes, back = (prefix_hashes(text), _powers(len(text) + 1, _BACK)) if len(at) else (None, None)
                     hashed = span_hashes(prefixes, back, at, length) if len(at) else np.zeros(0, np.uint64)
                     key.append(mix(hashed).view(np.int64))
                     # a second hash, of the halves, so that different windows are never taken for equal

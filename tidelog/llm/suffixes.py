@@ -12,13 +12,17 @@ _BASE = np.uint64(0x5851F42D4C957F2D)
 _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
-def _powers(n: int, base: np.uint64) -> np.ndarray:
-    return np.multiply.accumulate(np.r_[np.uint64(1), np.full(max(n, 1) - 1, base)])
+def _powers(n: int, base: np.uint64, known: dict[int, np.ndarray] = {}) -> np.ndarray:  # noqa: B006  grown once per worker
+    if len(known.get(int(base), ())) < n:
+        known[int(base)] = np.multiply.accumulate(np.r_[np.uint64(1), np.full(max(2 * n, 1 << 12), base)])
+    return known[int(base)][:n]
 
 
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
     """Polynomial hashes of all prefixes, one more than there are bytes."""
-    return np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(len(data), _BASE))]
+    out = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(len(data), _BASE), out=out[1:])
+    return out
 
 
 def span_hashes(prefixes: np.ndarray, back: np.ndarray, starts: np.ndarray, lengths) -> np.ndarray:
@@ -35,7 +39,7 @@ def _extreme(values: np.ndarray, width: int, take) -> np.ndarray:
     return take(values[: len(values) - (width - done)], values[width - done :]) if done < width else values
 
 
-def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(data: np.ndarray, length: int, prefixes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(place, hash, first window, last window) of each anchor of a text.
 
     A window is ``length`` bytes; its anchor is the first of its GRAM-byte strings with the smallest hash. Equal
@@ -44,21 +48,21 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
     if len(data) < length:
         none = np.zeros(0, np.int64)
         return none, none.astype(np.uint64), none, none
-    prefixes, back = prefix_hashes(data), _powers(len(data) + 1, _BACK)
-    at = np.arange(len(data) - GRAM + 1)
-    grams = mix(span_hashes(prefixes, back, at, GRAM))
+    prefixes, back = prefix_hashes(data) if prefixes is None else prefixes, _powers(len(data) + 1, _BACK)
+    grams = mix((prefixes[GRAM:] - prefixes[:-GRAM]) * back[: len(data) - GRAM + 1])
     width = length - GRAM + 1
     lowest = _extreme(grams, width, np.minimum)
-    # the first place of the smallest hash: that of the last window, unless the smallest has changed or fallen out
-    at = np.flatnonzero(_extreme(np.r_[np.zeros(width - 1, np.uint64), lowest, np.zeros(width - 1, np.uint64)], width, np.maximum) == grams)
+    padded = np.zeros(len(lowest) + 2 * (width - 1), np.uint64)
+    padded[width - 1 : len(padded) - (width - 1)] = lowest
+    chosen = _extreme(padded, width, np.maximum) == grams
+    at = np.flatnonzero(chosen)
     # at: all places that are the smallest of some window; a window's is the first one at or after its start
-    windows = np.arange(len(lowest))
-    nearest = np.searchsorted(at, windows)
+    nearest = (np.cumsum(chosen) - chosen)[: len(lowest)]
     while (wrong := grams[at[nearest]] != lowest).any():
         nearest = nearest + wrong
-    changes = np.flatnonzero(np.r_[True, nearest[1:] != nearest[:-1]])
+    changes = np.concatenate([[0], np.flatnonzero(nearest[1:] != nearest[:-1]) + 1])
     places = at[nearest[changes]]
-    return places, grams[places], changes, np.r_[changes[1:], len(windows)] - 1
+    return places, grams[places], changes, np.concatenate([changes[1:], [len(lowest)]]) - 1
 
 
 def extensions(prefixes: np.ndarray, back: np.ndarray, one: np.ndarray, two: np.ndarray, length: int) -> np.ndarray:
