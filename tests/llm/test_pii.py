@@ -128,6 +128,28 @@ def test_values_side_by_side(spark):
     assert got[0][0].endswith(" ABCD") and " 1234 " in got[0][0] and "AKIAZSV" not in got[1][0]
 
 
+def test_values_before_words_and_times(spark):
+    texts = [
+        "IBAN ES91 2100 0418 4502 0005 1332 BIC CAIXESBB",
+        "AT61 1904 3002 3457 3201 2024",
+        "AT61 1904 3002 3457 3201 2024 0001 and NO93 8601 1117 947 NOK 500",
+        "GB82 WEST 1234 5698 7654 32 ON 2024-05-01T10:00:00Z",
+        "from 1990-02-28T10:00 to 1990-02-28, not 1990-02-28Tx or 1990-02-28X",
+    ]
+    got = run(spark, texts)
+    assert [got[i][1] for i in range(5)] == [1, 1, 2, 2, 2]
+    assert got[0][0].endswith(" BIC CAIXESBB") and "2100 0418" not in got[0][0]
+    assert got[1][0].endswith(" 2024") and "1904 3002" not in got[1][0] and got[2][0].startswith(got[1][0] + " 0001 and NO")
+    assert got[2][0].endswith(" NOK 500") and "8601 1117" not in got[2][0]
+    assert "WEST 1234" not in got[3][0] and got[3][0].endswith("T10:00:00Z") and "2024-05-01" not in got[3][0]
+    one, two = re.findall(r"from (\S+)T10:00 to (\S+), not 1990-02-28Tx or 1990-02-28X", got[4][0])[0]
+    assert one == two != "1990-02-28"
+    for text in texts[:4]:
+        country = re.search("(ES|AT|NO|GB)[0-9]", text)
+        iban = run(spark, [text])[0][0][country.start() :].replace(" ", "")[: {"ES": 24, "AT": 20, "NO": 15, "GB": 22}[country[1]]]
+        assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+
+
 def test_empty_table(spark):
     df = pii.pseudonyms(documents(spark, ["x"]).where("false"), "text", KEY)
     assert df.collect() == [] and df.columns == ["doc_id", "text", "lang", "source", "n_chars", "n_replaced"]

@@ -20,12 +20,24 @@ HEX = "0123456789abcdef"
 # The forms looked for, in order of preference.
 _NUM = "(?<![0-9A-Za-z])"
 _END = "(?![0-9A-Za-z])"
+# characters of an IBAN by country, as registered or in use
+IBAN_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST",
+    26: "IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD", 28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+# In groups of four a value ends where its country says, not with the word that follows; others take all there is.
+_IBAN_GROUPS = "|".join(
+    f"(?:{'|'.join(countries.split())})[0-9]{{2}}(?: [A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (f" [A-Z0-9]{{{n % 4}}}" if n % 4 else "") + _END
+    for n, countries in IBAN_COUNTRIES.items()
+)
 FORMS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "secret": r"(?<![A-Za-z])(?i:password|passwd|pwd|secret|token|api[_-]?key)[ ]?[=:][ ]?[\"']?[A-Za-z0-9+/_-]{8,128}(?![A-Za-z0-9])",
     "access_key": _NUM + "AKIA[0-9A-Z]{16}" + _END,
-    "iban": _NUM + "[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)" + _END,
-    "iso_date": r"(?<![0-9A-Za-z-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9A-Za-z]|-[0-9])",
+    "iban": _NUM + f"(?=[A-Z]{{2}}[0-9]{{2}})(?:{_IBAN_GROUPS}|[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]{{11,30}}|(?: [A-Z0-9]{{4}}){{2,7}}(?: [A-Z0-9]{{1,3}})?){_END})",
+    "iso_date": r"(?<![0-9A-Za-z-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9A-SU-Za-su-z]|[Tt](?![0-9])|-[0-9])",
     "slash_date": r"(?<![0-9A-Za-z/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9A-Za-z]|/[0-9])",
     "dot_date": r"(?<![0-9A-Za-z.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9A-Za-z]|\.[0-9])",
     "ip": r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])",
