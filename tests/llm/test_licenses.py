@@ -53,6 +53,37 @@ def test_scan(spark):
     assert scan(docs.where("false"), "text", ["doc_id"]).collect() == []
 
 
+def confirmed(spark, texts):
+    got = {i: [] for i in range(len(texts))}
+    for r in scan(documents(spark, texts), "text", ["doc_id"]).orderBy("start").collect():
+        if r.confirmed:
+            got[r.row.doc_id].append((r.start, r.license))
+    return got
+
+
+def test_licenses_side_by_side(spark):
+    mit, apache, isc, notice = TEMPLATES["MIT"], TEMPLATES["Apache-2.0"], TEMPLATES["ISC"], "Licensed under CC BY 4.0."
+    edited = mit.replace("AUTHORS OR COPYRIGHT HOLDERS", "ACME CORPORATION")
+    other = mit.replace("free of charge", "for a fee")
+    within = mit.replace("THE SOFTWARE IS PROVIDED", f"{notice} THE SOFTWARE IS PROVIDED")
+    texts = [
+        f"Released under the MIT License.\n{notice}", f"{mit}\n{notice}\n{isc}", "\n".join([apache, mit] * 8), f"{edited} {other} {edited}",
+        within, f"{TEMPLATES['GPL-2.0-or-later']} {TEMPLATES['GPL-3.0-or-later']}", f"İ {notice} {notice}",
+    ]
+    got = confirmed(spark, texts)
+    names = {i: [name for _, name in x] for i, x in got.items()}
+    assert names == {
+        0: ["MIT (notice)", "CC-BY-4.0 (notice)"], 1: ["MIT", "CC-BY-4.0 (notice)", "ISC"], 2: ["Apache-2.0", "MIT"] * 8, 3: ["MIT"] * 3,
+        4: ["MIT", "CC-BY-4.0 (notice)"], 5: ["GPL-2.0-or-later", "GPL-3.0-or-later"], 6: ["CC-BY-4.0 (notice)"] * 2,
+    }
+    assert got[0][1][0] == texts[0].index("Licensed") and got[4][1][0] == within.index("Licensed")
+    assert [start for start, _ in got[3]] == [0, len(edited) + 1, len(edited) + len(other) + 2]
+
+
+def test_nothing_of_a_table_without_licenses(spark):
+    assert confirmed(spark, ["the license of " + " ".join(prose(i, 3000)) for i in range(3)]) == {0: [], 1: [], 2: []}
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not there")
 def test_notices_of_the_table(spark):
     from tidelog.llm.queries import QUERIES

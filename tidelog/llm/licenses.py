@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from difflib import SequenceMatcher
 
 import pyarrow as pa
@@ -15,8 +16,8 @@ from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, L
 from tidelog.llm.texts import map_texts
 
 LEVEL = 9
-RANKED = 4  # templates with the largest reductions whose wording is compared
 LEAST_REDUCTION = 0.3  # of a block's compressed size, for a template to be named at all
+SEED = 5  # words in a row, from which the places of a template are looked for
 MOST_DIFFERENCES = 0.1  # of a template's words, for it to be confirmed
 LINE_CHARS = 2000  # a longer line is cut around its cues
 GAP_LINES = 2  # between lines with cues that are one block
@@ -82,9 +83,8 @@ FINDING = StructType(
 )
 
 
-def candidate_blocks(text: str) -> list[tuple[int, str, str]]:
-    """(start, text, text with what is around) of the passages with cues: lines, joined where at most GAP_LINES lie
-    between; long lines are cut around cues."""
+def cue_spans(text: str) -> list[list[int]]:
+    """[start, end] of the passages with cues: lines, joined where at most GAP_LINES lie between; long lines are cut around cues."""
     spans: list[list[int]] = []
     for cue in re.finditer(CUES, text):
         start = text.rfind("\n", max(0, cue.start() - LINE_CHARS), cue.start()) + 1 or max(0, cue.start() - LINE_CHARS)
@@ -94,8 +94,13 @@ def candidate_blocks(text: str) -> list[tuple[int, str, str]]:
             spans[-1][1] = max(end, spans[-1][1])
         else:
             spans.append([start, end])
+    return spans
+
+
+def candidate_blocks(text: str) -> list[tuple[int, str, str]]:
+    """(start, text, text with what is around) of the passages with cues, in parts."""
     out = []
-    for start, end in spans:
+    for start, end in cue_spans(text):
         # a passage of many cues is looked at in parts, each of which overlaps the next one
         for begin in range(start, max(end - LINE_CHARS, start + 1), 2 * LINE_CHARS):
             stop = min(end, begin + 3 * LINE_CHARS)
@@ -103,21 +108,53 @@ def candidate_blocks(text: str) -> list[tuple[int, str, str]]:
     return out
 
 
+def surroundings(text: str) -> list[list[int]]:
+    """[start, end] of the passages with cues and what is around them, joined where they touch."""
+    out: list[list[int]] = []
+    for start, end in cue_spans(text):
+        start, end = max(0, start - AROUND_CHARS), min(len(text), end + AROUND_CHARS)
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(end, out[-1][1])
+        else:
+            out.append([start, end])
+    return out
+
+
+WORD = r"[a-z0-9]+(?:[.][0-9]+)*"
+
+
 def wording(text: str) -> list[str]:
-    return re.findall(r"[a-z0-9]+(?:[.][0-9]+)*", text.lower())
+    return re.findall(WORD, text.lower())
 
 
-def differences(template: list[str], block: list[str]) -> tuple[int, int]:
-    """How many words of the template the block lacks, and how many others it has between those that it has."""
+def placed_wording(text: str) -> tuple[list[str], list[tuple[int, int]]]:
+    """The words of a text, and where in it each of them starts and ends."""
+    lower = text.lower()
+    if len(lower) != len(text):
+        lower = "".join(c.lower()[0] for c in text)
+    found = list(re.finditer(WORD, lower))
+    return [m.group() for m in found], [m.span() for m in found]
+
+
+def matches(template: list[str], block: list[str]) -> list:
+    """The runs of words that a template and a block have in common, in order."""
     parts = [m for m in SequenceMatcher(None, block, template, autojunk=False).get_matching_blocks() if m.size]
     # a word that only happens to stand far from all others does not count as matched
-    parts = [m for m in parts if m.size > 1 or len(template) < 3] or parts
+    return [m for m in parts if m.size > 1 or len(template) < 3] or parts
+
+
+def counted(template: list[str], parts: list) -> tuple[int, int]:
     if not parts:
         return len(template), 0
     matched = sum(m.size for m in parts)
     return len(template) - matched, parts[-1].a + parts[-1].size - parts[0].a - matched
 
 
+def differences(template: list[str], block: list[str]) -> tuple[int, int]:
+    """How many words of the template the block lacks, and how many others it has between those that it has."""
+    return counted(template, matches(template, block))
+
+
 class Scanner:
     """The templates as dictionaries of a compressor."""
 
@@ -125,40 +162,109 @@ class Scanner:
         self.words = {name: wording(t) for name, t in templates.items()}
         self.plain = zstandard.ZstdCompressor(level=LEVEL)
         self.known = {}
+        # all runs of SEED words of each template (all its words, if none may differ), by their first word
+        self.seeds: dict[str, dict[tuple[str, ...], list[tuple[str, int]]]] = {}
         for name, t in templates.items():
             data = zstandard.ZstdCompressionDict(" ".join(t.split()).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.known[name] = zstandard.ZstdCompressor(level=LEVEL, dict_data=data)
+            words = self.words[name]
+            for i in range(len(words) - self.seed(name) + 1 if words else 0):
+                run = tuple(words[i : i + self.seed(name)])
+                self.seeds.setdefault(run[0], {}).setdefault(run, []).append((name, i))
+        self.lengths = {first: sorted({len(run) for run in runs}) for first, runs in self.seeds.items()}
+
+    def most(self, name: str) -> int:
+        """How many words may differ."""
+        return int(MOST_DIFFERENCES * len(self.words[name]))
+
+    def seed(self, name: str) -> int:
+        """Words in a row that any text has that is confirmed: d differences cut the words of a template in d + 1 runs at most."""
+        n, d = len(self.words[name]), self.most(name)
+        return min(SEED, -(-(n - d) // (d + 1)))
 
     def reductions(self, block: str) -> list[tuple[float, str]]:
         """By how much of its compressed size each template makes the block smaller, largest first."""
         data = " ".join(block.split()).encode()
         size = len(self.plain.compress(data))
-        return sorted(((1 - len(c.compress(data)) / size, name) for name, c in self.known.items()), key=lambda r: (-r[0], r[1]))
+        return sorted(((size - len(c.compress(data))) / size, name) for name, c in self.known.items())[::-1]
 
-    def best(self, block: str, around: str) -> dict | None:
-        """The template, of those that reduce the block most, whose wording differs least from it and what is around it."""
-        words = wording(around)
-        said, all_ = f" {' '.join(words)} ", self.reductions(block)
-        ranked = [(r, name) for r, name in all_[:RANKED] if r >= LEAST_REDUCTION]
-        # in a longer passage a short notice saves little of the whole; its wording tells
-        ranked += [(r, name) for r, name in all_ if (r, name) not in ranked and f" {' '.join(self.words[name])} " in said]
+    def confirmed(self, text: str, start: int = 0, end: int | None = None) -> list[dict]:
+        """All places between ``start`` and ``end`` whose wording is confirmed, in order.
+
+        What has the words of a longer template, or the same number with fewer differences, is no place of another one.
+        """
+        said, at = placed_wording(text[start:end])
+        hits: dict[str, list[tuple[int, int]]] = {}
+        for i, word in enumerate(said):
+            for n in self.lengths.get(word, ()):
+                for name, place in self.seeds[word].get(tuple(said[i : i + n]), ()):
+                    hits.setdefault(name, []).append((i - place, i))
         found = []
-        for r, name in ranked:
+        for name, pairs in hits.items():
+            words, most, seed = self.words[name], self.most(name), self.seed(name)
+            # the words that do not differ have so many seeds, all shifted by nearly the same number of words
+            least = max(1, len(words) - most - (seed - 1) * (most + 1))
+            shifts = sorted(shift for shift, _ in pairs)
+            tried = None
+            for shift in sorted(set(shifts)):
+                if bisect_right(shifts, shift + most) - bisect_left(shifts, shift - most) < least:
+                    continue
+                low = max(0, shift - most)
+                window = said[low : shift + len(words) + most]
+                parts = matches(words, window)
+                missing, added = counted(words, parts)
+                if missing + added <= most:
+                    taken = [low + k for m in parts for k in range(m.a, m.a + m.size)]
+                    if taken != tried:
+                        found.append((-len(words), missing + added, name, taken, missing, added))
+                    tried = taken
+        used: set[int] = set()
+        out = []
+        for _, _, name, taken, missing, added in sorted(found):
+            if used.isdisjoint(taken):
+                used.update(taken)
+                first, last = start + at[taken[0]][0], start + at[taken[-1]][1]
+                r = next(r for r, other in self.reductions(text[first:last]) if other == name)
+                out.append({"start": first, "end": last, "license": name, "reduction": r, "missing": missing, "added": added, "confirmed": True})
+        return sorted(out, key=lambda f: (f["start"], f["license"]))
+
+    def likely(self, block: str, around: str) -> dict | None:
+        """The template, of those that reduce the block enough, whose wording differs least from it and what is around it."""
+        words, found = wording(around), []
+        for r, name in self.reductions(block):
+            if r < LEAST_REDUCTION:
+                break
             missing, added = differences(self.words[name], words)
-            confirmed = missing + added <= MOST_DIFFERENCES * len(self.words[name])
-            found.append(((not confirmed, -len(self.words[name]) if confirmed else 0, missing + added, -r, name), r, missing, added, confirmed))
+            found.append(((missing + added) / max(1, len(self.words[name])), -r, name, missing, added))
         if not found:
             return None
-        (*_, name), r, missing, added, confirmed = min(found)
-        return {"license": name, "reduction": r, "missing": missing, "added": added, "confirmed": confirmed}
+        _, r, name, missing, added = min(found)
+        return {"license": name, "reduction": -r, "missing": missing, "added": added, "confirmed": False}
+
+    def best(self, block: str, around: str) -> dict | None:
+        """Of a block and what is around it: the confirmed template with most words, or else the likely one."""
+        confirmed = self.confirmed(around)
+        return max(confirmed, key=lambda f: len(self.words[f["license"]])) if confirmed else self.likely(block, around)
+
+    def findings(self, text: str) -> list[dict]:
+        """All confirmed places of a text, and the likely template of each block that has none."""
+        confirmed = [f for start, end in surroundings(text) for f in self.confirmed(text, start, end)]
+        out = list(confirmed)
+        for start, block, around in candidate_blocks(text):
+            begin, end = start - min(start, AROUND_CHARS), start - min(start, AROUND_CHARS) + len(around)
+            if not any(f["start"] < end and f["end"] > begin for f in confirmed) and (likely := self.likely(block, around)):
+                out.append({"start": start} | likely)
+        return [{k: v for k, v in f.items() if k != "end"} for f in sorted(out, key=lambda f: (f["start"], f["license"]))]
 
 
 def scan(docs: DataFrame, text: str, keep: list[str], templates: dict[str, str] = TEMPLATES) -> DataFrame:
-    """Columns ``row`` (of ``keep``), start, license, reduction, missing, added, confirmed: a row per passage like a license.
+    """Columns ``row`` (of ``keep``), start, license, reduction, missing, added, confirmed: a row per license, and per passage like one.
 
-    Passages with cue words are compressed with each template as a raw dictionary; of those that save most, the one whose
-    wording differs least is named, with the numbers of its words that are missing and of others between them. It is
-    confirmed if these are few. Null and empty texts and those without cues give no row; equal rows give equal ones.
+    In passages with cue words every place of every template is looked for whose wording differs little, and is confirmed,
+    with the numbers of words of the template that are missing and of others between them. Only where words belong to
+    several templates the longest one has them. A passage without a confirmed place is compressed with each template as a raw dictionary; of
+    those that save enough, the one whose wording differs least is named, not confirmed. ``start`` is where the words of a confirmed
+    template start, or the passage. Null and empty texts and those without cues give no row; equal rows give equal ones.
     """
     kind = pa.list_(pa.struct([("start", pa.int64()), ("license", pa.string()), ("reduction", pa.float64()), ("missing", pa.int32()), ("added", pa.int32()), ("confirmed", pa.bool_())]))
 
@@ -167,7 +273,7 @@ def scan(docs: DataFrame, text: str, keep: list[str], templates: dict[str, str]
         out: list[list[dict]] = [[] for _ in range(len(texts))]
         some = pc.fill_null(pc.match_substring_regex(texts, CUES), False)
         for i in pc.indices_nonzero(some).to_pylist():
-            out[i] = [{"start": start} | best for start, *block in candidate_blocks(texts[i].as_py()) if (best := scanner.best(*block))]
+            out[i] = scanner.findings(texts[i].as_py())
         return [pa.array(out, kind)]
 
     made = map_texts(docs, text, keep, [StructField("findings", ArrayType(FINDING))], compute)
