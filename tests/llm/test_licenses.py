@@ -80,6 +80,19 @@ def test_licenses_side_by_side(spark):
     assert [start for start, _ in got[3]] == [0, len(edited) + 1, len(edited) + len(other) + 2]
 
 
+def test_edited_licenses_in_long_lines(spark):
+    mit = " ".join(TEMPLATES["MIT"].split())
+    edited = mit.replace("THE AUTHORS OR COPYRIGHT HOLDERS", "ACME CORPORATION")
+    far = mit[: mit.index("THE SOFTWARE IS PROVIDED")]  # half of it
+    before, after = " ".join(prose(1, 4000))[:2000], " ".join(prose(2, 4000))[:2000]
+    texts = [f"{before} {x} {after}" for x in (edited, far)]
+    assert confirmed(spark, texts) == {0: [(2001, "MIT")], 1: []}
+    rows = scan(documents(spark, texts), "text", ["doc_id"]).where("row.doc_id = 1").collect()
+    assert [(r.license, r.confirmed) for r in rows] == [("MIT", False)]
+    scanner = Scanner(TEMPLATES)
+    assert dict((name, r) for r, name in scanner.reductions(texts[0]))["MIT"] > 0.8
+
+
 def test_nothing_of_a_table_without_licenses(spark):
     assert confirmed(spark, ["the license of " + " ".join(prose(i, 3000)) for i in range(3)]) == {0: [], 1: [], 2: []}
 

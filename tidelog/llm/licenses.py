@@ -16,7 +16,7 @@ from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, L
 from tidelog.llm.texts import map_texts
 
 LEVEL = 9
-LEAST_REDUCTION = 0.3  # of a block's compressed size, for a template to be named at all
+LEAST_REDUCTION = 0.3  # of a block's compressed size, or of a template's if smaller, for a template to be named at all
 SEED = 5  # words in a row, from which the places of a template are looked for
 MOST_DIFFERENCES = 0.1  # of a template's words, for it to be confirmed
 LINE_CHARS = 2000  # a longer line is cut around its cues
@@ -161,12 +161,13 @@ class Scanner:
     def __init__(self, templates: dict[str, str]):
         self.words = {name: wording(t) for name, t in templates.items()}
         self.plain = zstandard.ZstdCompressor(level=LEVEL)
-        self.known = {}
+        self.known, self.sizes = {}, {}
         # all runs of SEED words of each template (all its words, if none may differ), by their first word
         self.seeds: dict[str, dict[tuple[str, ...], list[tuple[str, int]]]] = {}
         for name, t in templates.items():
             data = zstandard.ZstdCompressionDict(" ".join(t.split()).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.known[name] = zstandard.ZstdCompressor(level=LEVEL, dict_data=data)
+            self.sizes[name] = len(self.plain.compress(" ".join(t.split()).encode()))
             words = self.words[name]
             for i in range(len(words) - self.seed(name) + 1 if words else 0):
                 run = tuple(words[i : i + self.seed(name)])
@@ -183,10 +184,10 @@ class Scanner:
         return min(SEED, -(-(n - d) // (d + 1)))
 
     def reductions(self, block: str) -> list[tuple[float, str]]:
-        """By how much of its compressed size each template makes the block smaller, largest first."""
+        """By how much of its compressed size, or of the template's if that is smaller, each template makes the block smaller, largest first."""
         data = " ".join(block.split()).encode()
         size = len(self.plain.compress(data))
-        return sorted(((size - len(c.compress(data))) / size, name) for name, c in self.known.items())[::-1]
+        return sorted(((size - len(c.compress(data))) / min(size, self.sizes[name]), name) for name, c in self.known.items())[::-1]
 
     def confirmed(self, text: str, start: int = 0, end: int | None = None) -> list[dict]:
         """All places between ``start`` and ``end`` whose wording is confirmed, in order.
