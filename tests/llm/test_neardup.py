@@ -85,6 +85,32 @@ def test_empty_table(spark):
     assert near_duplicates(documents(spark, ["x"]).where("false")).collect() == []
 
 
+def far_signatures(t):
+    """Two texts with 80 of 100 words in common, whose signatures share a key and differ in more than DISTANCE values."""
+    base = [f"w{t}x{i}" for i in range(90)]
+    return [" ".join(base), " ".join(base[:80] + [f"v{t}x{i}" for i in range(10)])]
+
+
+def test_near_sets_with_far_signatures(spark):
+    texts = [x for t in (2320, 3469, 9050) for x in far_signatures(t)]
+    assert rows(near_duplicates(documents(spark, texts), n=1)) == brute(range(6), texts, 1, 80)
+    assert {c for _, _, c, _ in brute(range(6), texts, 1, 80)} == {0, 2, 4}
+
+
+def test_near_sets_with_far_signatures_in_blocks():
+    import numpy as np
+    import pyarrow as pa
+
+    from tidelog.llm.neardup import _links_of_unit
+
+    sets = list(word_sets(pa.array(far_signatures(3469)), 1))
+    signs, sizes = signatures(sets), np.array([len(x) for x in sets])
+    assert (signs[0] != signs[1]).sum() > DISTANCE
+    side = {"node": np.array([1, 2]), "component": np.array([1, 2]), "common": sizes, "items": sets, "size": sizes, "sign": signs.astype(np.uint16)}
+    key = min(np.intersect1d(*chunk_keys(signs)), key=lambda k: int(k) >> 48)
+    assert _links_of_unit(int(key), True, [side, side], 80) == [(1, 2)]
+
+
 def test_chunks_guarantee_the_distance():
     import numpy as np
 

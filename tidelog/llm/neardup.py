@@ -133,17 +133,6 @@ def _sets(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, n: int) ->
     return settle(made.select(F.col("row.node").cast("bigint").alias("node"), "items"))
 
 
-def _differing(x: str, y: str) -> str:
-    """SQL: in how many 16-bit numbers two signatures differ. All bits of a number are gathered in its lowest one."""
-    terms = []
-    for i in range(VALUES // 4):
-        bits = f"({x}[{i}] ^ {y}[{i}])"
-        for shift in (8, 4, 2, 1):
-            bits = f"transform(array({bits}), z -> z | shiftrightunsigned(z, {shift}))[0]" if shift < 8 else f"({bits} | shiftrightunsigned({bits}, 8))"
-        terms.append(f"bit_count({bits} & {0x0001000100010001}L)")
-    return " + ".join(terms)
-
-
 def _first_shared(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For all pairs of two lists of signatures: number of the first key they share (VALUES: none), and values that differ."""
     first = np.full((len(one), len(two)), VALUES)
@@ -163,11 +152,11 @@ def _links_of_unit(key: int, own: bool, sides: list[dict], percent: int) -> list
     ``sides`` are two lists of nodes, or twice the same one (``own``). A pair is looked at under the first key it shares only.
     """
     one, two = sides
-    first, apart = _first_shared(one["sign"], two["sign"])
+    first, _ = _first_shared(one["sign"], two["sign"])
     sizes = np.minimum.outer(one["size"], two["size"]), np.maximum.outer(one["size"], two["size"])
     common = np.minimum.outer(one["common"], two["common"]), np.maximum.outer(one["common"], two["common"])
     lone = np.add.outer(one["size"] - one["common"], two["size"] - two["common"])
-    wanted = (first == key >> 48) & (apart <= DISTANCE) & (one["component"][:, None] != two["component"][None, :])
+    wanted = (first == key >> 48) & (one["component"][:, None] != two["component"][None, :])
     # what only one set has is in no intersection, but in the union
     wanted &= (100 * sizes[0] >= percent * sizes[1]) & (100 * common[0] >= percent * (lone + common[1]))
     if own:
@@ -268,8 +257,9 @@ def _near_links(docs: DataFrame, doc_id: str, text: str, nodes: DataFrame, n: in
     pairs = members.select("key", "node").join(centres, "key").where("node <> centre")
     pairs = settle(pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
     for side in ("a", "b"):
-        pairs = pairs.join(sizes.toDF(side, f"n_{side}", f"sign_{side}"), side)
-    near = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b) and {_differing('sign_a', 'sign_b')} <= {DISTANCE}"
+        pairs = pairs.join(sizes.select(F.col("node").alias(side), F.col("n_shingles").alias(f"n_{side}")), side)
+    # no bound on the differing numbers of a signature: it would lose pairs whose sets are near
+    near = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
     links = confirmed(settle(pairs.where(near).select("a", "b")))
 
     found = components(links)
@@ -314,7 +304,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     the same doc_id are one document and all have its component.
 
     Equal sets are one node, so that thousands of copies cost no pairs. Candidates are nodes
-    with a common chunk key and at most DISTANCE differing numbers; each is confirmed
+    with a common chunk key, which all have that differ in at most DISTANCE numbers; each is confirmed
     on the whole sets. Links that only join what others have joined already are not looked for, all others are.
     """
     features = map_texts(
