@@ -65,6 +65,21 @@ def test_rows_without_id_and_repeated_rows(spark, texts):
     assert rows(repeated_strings(documents(spark, some, ids))) == brute(ids, some, 50)
 
 
+def test_contexts_whose_hashes_share_36_bits(spark):
+    from tidelog.llm.suffixes import _BACK, _powers, prefix_hashes, span_hashes
+    from tidelog.llm.texts import mix
+
+    ends = "urxtjfixtryjxcerqxahpybz", "otihbydngksdgknhxkeyzdzs"  # around an anchor, and what differs on both sides of it
+    some = [f"{ends[0]}{a}uqgadjbavqlylrimtfcp{b}{ends[1]}" for a, b in (("tsjkek", "akagbi"), ("lrnodx", "ijjsex"), ("ouspjf", "qjxkkn"), ("gmyqaj", "hqefrk"))]
+    hashes = []
+    for text in some:
+        data = np.frombuffer(text.encode(), np.uint8)
+        hashes.append(int(mix(span_hashes(prefix_hashes(data), _powers(81, _BACK), np.array([0]), 80))[0]) >> 28)
+    assert hashes[0] == hashes[1] and hashes[2] == hashes[3]
+    got = rows(repeated_strings(documents(spark, some, [1, 2, 3, 4])))
+    assert got == brute([1, 2, 3, 4], some, 50) and not any(r[2] for r in got)
+
+
 def test_empty_table(spark):
     assert repeated_strings(documents(spark, ["x"]).where("false")).collect() == []
 

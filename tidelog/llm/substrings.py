@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.suffixes import _BACK, _powers, anchors, prefix_hashes, sort_suffixes, span_hashes
+from tidelog.llm.suffixes import _BACK, _SECOND_BACK, _powers, anchors, prefix_hashes, second_hashes, sort_suffixes, span_hashes
 from tidelog.llm.tables import stored
 from tidelog.llm.texts import blocks, mix
 from tidelog.operators.groups import whole_groups
@@ -19,17 +19,15 @@ from tidelog.session import settle, small_side
 LENGTH = 50  # bytes of a repeated string
 CROWD = 500  # contexts of one anchor that are sorted in one task; larger crowds are resolved window by window
 
-_PLACE_BITS = 28  # of a number that holds an anchor's place among those of its text, below 36 bits of its context's hash
-
 
 def _contexts(data: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Of each anchor: hash, number of context and place, first and last window. The context is the bytes of all its windows."""
+    """Of each anchor: its hash, and two independent hashes of its context, which is the bytes of all its windows."""
     prefixes, back = prefix_hashes(data), _powers(len(data) + 1, _BACK)
     places, hashes, first, last = anchors(data, length, prefixes)
     if not len(places):
-        return hashes, np.zeros(0, np.int64), first, last
-    context = mix(span_hashes(prefixes, back, first, last - first + length)) >> np.uint64(_PLACE_BITS)
-    return hashes, (context << np.uint64(_PLACE_BITS) | np.arange(len(places), dtype=np.uint64)).view(np.int64), first, last
+        return hashes, hashes, hashes
+    one = mix(span_hashes(prefixes, back, first, last - first + length))
+    return hashes, one, mix(span_hashes(second_hashes(data), _powers(len(data) + 1, _SECOND_BACK), first, last - first + length))
 
 
 def _anchor_rows(docs: DataFrame, length: int) -> DataFrame:
@@ -39,40 +37,38 @@ def _anchor_rows(docs: DataFrame, length: int) -> DataFrame:
             for first, data, offsets in blocks(batch.column(1)):
                 found = []
                 for i in range(len(offsets) - 1):
-                    hashes, numbers, *_ = _contexts(data[offsets[i] : offsets[i + 1]], length)
-                    found.append((hashes.view(np.int64), numbers, np.full(len(hashes), ids[first + i])))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], names=["anchor", "number", "doc"])
+                    hashes = [x.view(np.int64) for x in _contexts(data[offsets[i] : offsets[i + 1]], length)]
+                    found.append((*hashes, np.full(len(hashes[0]), ids[first + i]), np.arange(len(hashes[0]), dtype=np.int32)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], names=["anchor", "context", "second", "doc", "place"])
 
-    return docs.select("doc", "text").mapInArrow(run, "anchor bigint, number bigint, doc bigint")
+    return docs.select("doc", "text").mapInArrow(run, "anchor bigint, context bigint, second bigint, doc bigint, place int")
 
 
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From anchors sorted by hash, context and document: those whose whole context an earlier document has (``covered``),
-    and those of the first document with a context, if the anchor has another context, too."""
-    held = tuple(np.zeros(0, np.int64) for _ in range(3))  # the last context met, in its first document
+    """From anchors sorted by hash, both hashes of the context and document: those whose whole context an earlier document has
+    (``covered``), and those of the first document with a context, if the anchor has another context, too."""
+    held = tuple(np.zeros(0, np.int64) for _ in range(5))  # the last context met, in its first document
     other = False  # has the anchor of the held ones a context before theirs?
 
-    def out(anchor, number, doc, covered) -> pa.RecordBatch:
-        place = number & ((1 << _PLACE_BITS) - 1)
+    def out(anchor, doc, place, covered) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (anchor, doc, place, covered)], names=["anchor", "doc", "place", "covered"])
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        anchor, number, doc = (np.r_[h, batch.column(i).to_numpy()] for i, h in enumerate(held))
-        context = number >> _PLACE_BITS
-        new = np.r_[True, (anchor[1:] != anchor[:-1]) | (context[1:] != context[:-1])]
+        anchor, context, second, doc, place = (np.r_[h, batch.column(i).to_numpy()] for i, h in enumerate(held))
+        new = np.r_[True, (anchor[1:] != anchor[:-1]) | (context[1:] != context[:-1]) | (second[1:] != second[:-1])]
         starts, run = np.flatnonzero(new), np.cumsum(new) - 1
         same = anchor[starts[1:]] == anchor[starts[:-1]]
         before, after = np.r_[other, same], np.r_[same, False]
         first = doc == doc[starts][run]
         last = run == run[-1]
-        yield out(anchor[~first], number[~first], doc[~first], np.ones((~first).sum(), bool))
+        yield out(anchor[~first], doc[~first], place[~first], np.ones((~first).sum(), bool))
         open_ = first & ~last & (before | after)[run]
-        yield out(anchor[open_], number[open_], doc[open_], np.zeros(open_.sum(), bool))
-        held, other = tuple(x[first & last] for x in (anchor, number, doc)), bool(before[-1])
+        yield out(anchor[open_], doc[open_], place[open_], np.zeros(open_.sum(), bool))
+        held, other = tuple(x[first & last] for x in (anchor, context, second, doc, place)), bool(before[-1])
     if other:
-        yield out(*held, np.zeros(len(held[0]), bool))
+        yield out(held[0], held[3], held[4], np.zeros(len(held[0]), bool))
 
 
 def _open_contexts(docs: DataFrame, length: int) -> DataFrame:
@@ -86,7 +82,7 @@ def _open_contexts(docs: DataFrame, length: int) -> DataFrame:
                 key, second, doc, start, windows, context = [], [], [], [], [], []
                 for i in range(len(offsets) - 1):
                     text = data[offsets[i] : offsets[i + 1]]
-                    hashes, _, first, last = _contexts(text, length)
+                    _, hashes, first, last = anchors(text, length)
                     alone, crowded = (x[begin + i] for x in lists)
                     alone, crowded = alone[alone < len(hashes)], crowded[crowded < len(hashes)]
                     key.append(hashes[alone].view(np.int64))
@@ -155,7 +151,7 @@ def _results(rows: DataFrame, length: int) -> DataFrame:
                         steps[0], steps[-1] = 1, -1
                     elif places[row] or spans[row]:
                         if places[row]:
-                            _, _, first, last = _contexts(text, length)
+                            _, _, first, last = anchors(text, length)
                             at = np.array(places[row], np.int64)
                             at = at[at < len(first)]
                             np.add.at(steps, first[at], 1)
@@ -197,7 +193,7 @@ def repeated_strings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     own = rows.where("not copy and doc is not null")
 
     found = _anchor_rows(own, length).repartition("anchor")
-    found = found.sortWithinPartitions("anchor", F.shiftright("number", _PLACE_BITS), "doc")
+    found = found.sortWithinPartitions("anchor", "context", "second", "doc")
     judged = stored(found.mapInArrow(_judged, "anchor bigint, doc bigint, place bigint, covered boolean"))
     several = judged.where("not covered").groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n"))
     several = settle(several.where("low < high").select("anchor", (F.col("n") > CROWD).alias("crowd")))

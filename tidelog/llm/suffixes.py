@@ -10,6 +10,10 @@ GRAM = 20  # bytes of an anchor
 
 _BASE = np.uint64(0x5851F42D4C957F2D)
 _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
+# another hash, of another base and of random numbers in place of bytes
+_SECOND = np.uint64(0x2545F4914F6CDD1D)
+_SECOND_BACK = np.uint64(pow(int(_SECOND), -1, 1 << 64))
+_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 
 
 def _powers(n: int, base: np.uint64, known: dict[int, np.ndarray] = {}) -> np.ndarray:  # noqa: B006  grown once per worker
@@ -25,6 +29,13 @@ def prefix_hashes(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def second_hashes(data: np.ndarray) -> np.ndarray:
+    """Hashes of all prefixes that do not depend on those of ``prefix_hashes``."""
+    out = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTES[data] * _powers(len(data), _SECOND), out=out[1:])
+    return out
+
+
 def span_hashes(prefixes: np.ndarray, back: np.ndarray, starts: np.ndarray, lengths) -> np.ndarray:
     """Hashes of spans that do not depend on where they stand. ``back``: powers of the inverse base."""
     return (prefixes[starts + lengths] - prefixes[starts]) * back[starts]
