@@ -6,15 +6,17 @@ import os
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import decontaminate, forest, language, licenses, neardup, packing, pii, substrings, tokens, warc
+from tidelog.llm import decontaminate, forest, language, licenses, neardup, packing, pii, substrings, tokens, warc, whitening
 from tidelog.session import settle, shared_dir, small_side
 
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")  # a folder that all executors have
+TOKENIZERS = os.path.dirname(public_tokenizers.path("word_bpe_49k.json"))  # all executors have it
 SEQUENCE_TOKENS = 2048
 LONG_TOKENS = 1024
+COMPONENTS = 16
 PSEUDONYM_KEY = "a key for the checks; give your own"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,3 +163,23 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = docs.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint"))
     found = tokens.count_tokens(docs, "text", ["doc_id", "n_bytes"], f"{TOKENIZERS}/byte_bpe_50k.json")
     return found.select("row.*", "n_tokens", (F.col("n_tokens") > LONG_TOKENS).alias("over_limit"))
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vectors on a grid, projected on the leading components of their covariance, each with variance 1."""
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    rows = rows.select("vec_id", whitening.on_grid(F.col("embedding"), 64, 1_000_000).alias("x"))
+    fitted, several = whitening.fit(rows, "x", COMPONENTS)
+    made = whitening.whiten(rows, "x", ["vec_id"], fitted)
+    made = made.select("row.vec_id", F.col("deviation").cast("bigint").alias("deviation"), F.posexplode("whitened").alias("at", "whitened"))
+    explained = F.array(*(F.lit(float(e)) for e in fitted.explained)).cast("array<double>")
+    return made.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(fitted.n).cast("bigint").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(whitening.identity_error(fitted, several)).cast("double").alias("identity_error"),
+    )
