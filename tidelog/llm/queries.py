@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import decontaminate, forest, language, licenses, neardup, packing, pii, substrings, tokens, warc, whitening
+from tidelog.llm import decontaminate, forest, language, licenses, neardup, negatives, packing, pii, substrings, tokens, warc, whitening
 from tidelog.session import settle, shared_dir, small_side
 
 TOKENIZERS = os.path.dirname(public_tokenizers.path("word_bpe_49k.json"))  # all executors have it
@@ -183,3 +183,28 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get(explained, F.col("at")).alias("explained"),
         F.lit(whitening.identity_error(fitted, several)).cast("double").alias("identity_error"),
     )
+
+
+@query(
+    "op13_negatives",
+    """with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+  list_transform(embedding, lambda c: floor(256 * cast(c as double))) as x from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+s as (select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same,
+  cast(list_inner_product(a.x, r.x) as bigint) as score
+  from v a join v r on a.vec_id <> r.vec_id where a.vec_id % 100 = 0),
+p as (select anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, cast(row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as int) as rank,
+  vec_id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify rank <= 10""",
+)
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every hundredth vector and each of its five best positives, which ten rows of other labels score just below?"""
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select("vec_id", moved.alias("label"), whitening.on_grid(F.col("embedding"), 256, 0).alias("vector"))
+    return negatives.hard_negatives(rows, rows.where("vec_id % 100 = 0"))
