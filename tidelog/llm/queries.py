@@ -10,13 +10,15 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import decontaminate, forest, language, licenses, neardup, negatives, packing, pii, substrings, tokens, warc, whitening
+from tidelog.llm import decontaminate, forest, language, licenses, neardup, negatives, packing, pii, planes, substrings, tokens, warc, whitening
+from tidelog.llm.tables import delete_on_exit
 from tidelog.session import settle, shared_dir, small_side
 
 TOKENIZERS = os.path.dirname(public_tokenizers.path("word_bpe_49k.json"))  # all executors have it
 SEQUENCE_TOKENS = 2048
 LONG_TOKENS = 1024
 COMPONENTS = 16
+END_ID = 2
 PSEUDONYM_KEY = "a key for the checks; give your own"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +92,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     folder = shared_dir(spark, f"warc-{uuid.uuid4().hex}")
     warc.write_warc(records, folder)
+    delete_on_exit(spark, folder)
     # the payloads as read are measured and hashed anew; a revisit has none, but says what its response's is
     again = F.col("record_type") == "revisit"
     header = lambda name: F.element_at("headers", F.lit(name))
@@ -185,6 +188,17 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op12_token_files")
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token ids of all documents in files of byte planes, and what is read back from these."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    folder = shared_dir(spark, f"planes-{uuid.uuid4().hex}")
+    planes.write_ids(planes.encoded(docs, "text", "doc_id", f"{TOKENIZERS}/word_bpe_49k.json", END_ID), folder)
+    delete_on_exit(spark, folder)
+    found = planes.read_ids(spark, folder)
+    return found.select(F.col("key").alias("doc_id"), "start", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 @query(
     "op13_negatives",
     """with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
