@@ -34,7 +34,7 @@ SCHEMA = "key bigint, start bigint, ids binary"
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 26  # a file is closed beyond that
 SECTION_DOCS = 1 << 16  # documents listed in one section of the index
-PARTITION_BYTES = 48 << 20  # of text that one task writes, about
+PARTITION_BYTES = 16 << 20  # of text that one task writes, about
 MOST_PARTITIONS = 1 << 15  # beyond that tasks write more than PARTITION_BYTES each, file after file
 BATCH_BYTES = 4 << 20
 LIST = "_planes.json"
