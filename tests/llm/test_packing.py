@@ -2,15 +2,17 @@
 
 import os
 import random
+import time
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
 from common import documents
 
 from tidelog.llm import packing
-from tidelog.llm.packing import best_fit, bin_completion, fillings, lower_bound, pack, token_pieces
+from tidelog.llm.packing import Budget, best_fit, bin_completion, fillings, lower_bound, pack, token_pieces
 from tidelog.llm.pretokens import load
 from tidelog.llm.queries import TOKENIZERS
 
@@ -72,14 +74,75 @@ def test_search_beats_best_fit():
 def test_large_counts_take_no_longer():
     draw = random.Random(4)
     counts = Counter({draw.randint(1, 2048): draw.randint(1, 10**9) for _ in range(500)})
-    assert checked(counts, bin_completion(counts, 2048, nodes=200), 2048) <= 1.05 * lower_bound(counts, 2048)
-
-
-def test_a_length_that_fills_the_room_dominates():
-    counts = Counter({5: 1, 3: 2, 2: 2})
-    assert fillings(5, [2, 3, 5], counts, 9) == [(5,)]
-    assert fillings(4, [2, 3], Counter({3: 2, 2: 2}), 9)[0] == (2, 2)
-    assert fillings(4, [3], Counter({3: 2}), 0) == [] and fillings(1, [3], Counter({3: 2}), 1) == [()]
+    assert checked(counts, bin_completion(counts, 2048, nodes=20_000), 2048) <= 1.01 * lower_bound(counts, 2048)
+
+
+def test_three_lengths_of_which_best_fit_wastes_much():
+    draw = random.Random(6)
+    counts = Counter(draw.choice([600, 700, 800]) for _ in range(50_000))
+    even = Counter({600: 16_667, 700: 16_667, 800: 16_666})
+    assert checked(even, bin_completion(even, 2048), 2048) <= 18_751
+    # the optimum over the rationals: 8 bins for 2 + 3 + 4 eighths of the three lengths
+    best = (2 * counts[600] + 3 * counts[700] + 4 * counts[800]) / 8
+    assert checked(counts, bin_completion(counts, 2048), 2048) <= 1.002 * best
+
+
+def test_the_search_ends_on_many_short_lengths():
+    """Where nearly every filling wastes nothing, and where none can waste as little as it would have to."""
+    draw = random.Random(7)
+    cases = [
+        Counter(min(2048, 1 + int(draw.expovariate(1 / 60))) for _ in range(60_000)),
+        Counter(draw.choice([1, 1, 2, 3, 5, 40, 2047, 2048]) for _ in range(40_000)),
+        Counter(2 * draw.randint(1, 1023) + 1 for _ in range(20_000)),
+        Counter({l: 1 for l in range(1, 2049)}),
+        Counter({l: 1 for l in range(30, 1000, 3)}),
+        Counter({3: 7, 7: 1000, 11: 13}),
+    ]
+    for counts in cases:
+        began = time.process_time()
+        found = checked(counts, bin_completion(counts, 2048), 2048)
+        assert found <= 1.002 * lower_bound(counts, 2048) and time.process_time() - began < 10
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.1"), reason="test tables not there")
+def test_halved_lengths_of_documents(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").selectExpr("least(2048, length(text) div 8 + 1) as n").groupBy("n").count().collect()
+    counts = Counter({r["n"]: r["count"] for r in rows})
+    began = time.process_time()
+    assert checked(counts, bin_completion(counts, 2048), 2048) <= lower_bound(counts, 2048) + 1
+    assert time.process_time() - began < 10
+
+
+def test_bounds_are_below_the_best():
+    draw = random.Random(8)
+    tight = 0
+    for _ in range(200):
+        items = [draw.choice([7, 8, 10, 11, 13, 16, draw.randint(1, 30)]) for _ in range(draw.randint(1, 9))]
+        bound, best = lower_bound(Counter(items), 30), fewest(sorted(items, reverse=True), 30)
+        assert bound <= best
+        tight += bound == best
+    assert tight > 180 and lower_bound(Counter(), 30) == 0
+    assert lower_bound(Counter({11: 9}), 32) == 5  # no three share a bin: more than the sum or the halves tell
+
+
+def test_fillings():
+    def all_of(room, sizes, counts, waste):
+        return list(fillings(room, sizes, counts, waste, Budget(10**6)))
+
+    assert all_of(5, [2, 3, 5], Counter({5: 1, 3: 2, 2: 2}), 9) == [(5,)]
+    assert all_of(4, [2, 3], Counter({3: 2, 2: 2}), 9) == [(2, 2), (3,)]
+    assert all_of(4, [3], Counter({3: 2}), 0) == [] and all_of(1, [3], Counter({3: 2}), 1) == [()]
+    # every maximal multiset is there or dominated by one that is
+    draw = random.Random(9)
+    for _ in range(50):
+        counts = Counter(draw.randint(2, 9) for _ in range(7))
+        got = all_of(14, sorted(counts), counts, 14)
+        assert [sum(f) for f in got] == sorted((sum(f) for f in got), reverse=True) and len(set(got)) == len(got)
+        items = list(counts.elements())
+        most = max((sum(c) for n in range(len(items) + 1) for c in combinations(items, n) if sum(c) <= 14), default=0)
+        assert sum(got[0]) == most and all(not Counter(f) - counts for f in got)
+    budget = Budget(50)
+    assert len(list(fillings(2000, list(range(1, 200)), Counter({l: 9 for l in range(1, 200)}), 0, budget))) < 50 and budget.left <= 0
 
 
 def places_hold(rows, capacity):
@@ -99,7 +162,7 @@ def test_places(spark, monkeypatch):
     monkeypatch.setattr(packing, "RANKED_AT_ONCE", 7)
     draw = random.Random(5)
     lengths = [draw.randint(1, 20) for _ in range(300)] + [20] * 50 + [7] * 100
-    df = spark.createDataFrame([(i // 3, l, None, None) for i, l in enumerate(lengths)], "id int, length int, sequence_id int, row int").drop("sequence_id")
+    df = spark.createDataFrame([(i // 3, l, None, None) for i, l in enumerate(lengths)], "id int, length int, sequence_id int, row int")
     got = pack(df, "length", ["id"], 20)
     assert got.columns == ["id", "length", "row", "sequence_id", "offset"]
     rows = got.collect()

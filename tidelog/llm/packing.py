@@ -16,8 +16,7 @@ from tidelog.llm.pretokens import Pieces
 from tidelog.llm.texts import map_texts
 from tidelog.session import settle
 
-NODES = 20_000  # of the search; then the best packing so far stands
-FILLINGS = 8  # tried around one length, least waste first
+NODES = 100_000  # sizes that the search looks at, at most; then the best packing so far stands
 RANKED_AT_ONCE = 4000  # pieces numbered in one group, about
 
 Bins = list[tuple[tuple[int, ...], int]]  # the lengths in a bin, and the number of such bins
@@ -58,123 +57,208 @@ def best_fit(counts: Counter, capacity: int) -> Bins:
     return [(content, n) for contents in by_room.values() for content, n in sorted(contents.items())]
 
 
-def lower_bound(counts: Counter, capacity: int) -> int:
+def simple_bound(counts: Counter, capacity: int) -> int:
     """No packing has fewer bins: by the sum of all lengths, or by those of which no two share a bin."""
     total = sum(l * n for l, n in counts.items())
     return max(-(-total // capacity), sum(n for l, n in counts.items() if 2 * l > capacity))
 
 
-def _dominated(one: tuple[int, ...], other: tuple[int, ...]) -> bool:
-    """Can the items of ``one`` be dealt out to those of ``other`` without exceeding any? Then ``other`` is as good."""
-
-    def fits(items: tuple[int, ...], rooms: list[int]) -> bool:
-        if not items:
-            return True
-        for i, room in enumerate(rooms):
-            if items[0] <= room and room not in rooms[:i]:
-                if fits(items[1:], [*rooms[:i], room - items[0], *rooms[i + 1 :]]):
-                    return True
-        return False
+def lower_bound(counts: Counter, capacity: int) -> int:
+    """No packing has fewer bins, by dual feasible functions: whatever fits one bin has at most value 1 under each.
 
-    return one != other and sum(one) <= sum(other) and fits(tuple(sorted(one, reverse=True)), list(other))
+    One kind counts a length by how many (k + 1)-ths of the capacity it is at least, in k-ths, which sees bins of k items; the other
+    rounds long ones up to 1 and very short ones down to 0.
+    """
+    lengths = np.array([l for l, n in counts.items() if n > 0], np.int64)
+    if not len(lengths):
+        return 0
+    n = np.array([int(counts[int(l)]) for l in lengths])
+    if int(n.sum()) * capacity * capacity >= 1 << 62:
+        n = n.astype(object)  # exact, however many there are
+    best = simple_bound(counts, capacity)
+
+    def value(parts: np.ndarray, of: int) -> int:
+        return -(-int((parts * n).sum()) // of)
+
+    for short in np.unique(lengths[2 * lengths <= capacity]):
+        best = max(best, value(np.where(lengths > capacity - short, capacity, np.where(lengths < short, 0, lengths)), capacity))
+    for k in range(1, capacity // int(lengths.min()) + 1):
+        whole = (k + 1) * lengths % capacity == 0
+        best = max(best, value(np.where(whole, k * lengths, (k + 1) * lengths // capacity * capacity), k * capacity))
+    return best
 
 
-def fillings(room: int, sizes: list[int], counts: Counter, waste: int) -> list[tuple[int, ...]]:
-    """Undominated ways to fill ``room`` that waste at most ``waste``, least waste first.
+class Budget:
+    """The work a search may still do, counted in sizes looked at."""
+
+    def __init__(self, left: int):
+        self.left = left
+
+
+def _reach(sizes: list[int], room: int) -> list[int]:
+    """For each number of the smallest sizes, as bits, the sums they can make if there are any number of each."""
+    bits, mask, out = 1, (1 << (room + 1)) - 1, [1]
+    for size in sizes:
+        while size <= room:
+            bits |= bits << size & mask
+            size *= 2
+        out.append(bits)
+    return out
+
+
+def _of_sum(total: int, sizes: list[int], counts: Counter, reach: list[int], budget: Budget) -> Iterator[tuple[int, ...]]:
+    """The ways to make exactly ``total``, larger lengths first. A prefix that cannot be completed is not entered."""
+    content: list[int] = []
+    used: Counter = Counter()
+    tries = [len(sizes) - 1]  # for each place, the next size to try
+    rest = total
+    while tries and budget.left > 0:
+        i = min(tries[-1], bisect_right(sizes, rest) - 1)
+        budget.left -= 1
+        while i >= 0:
+            if not reach[i + 1] >> rest & 1:
+                i = -1
+            elif used[sizes[i]] < counts[sizes[i]] and reach[i + 1] >> (rest - sizes[i]) & 1:
+                break
+            i -= 1
+            budget.left -= 1
+        if i < 0:
+            tries.pop()
+            if content:
+                used[content[-1]] -= 1
+                rest += content.pop()
+            continue
+        tries[-1] = i - 1
+        size = sizes[i]
+        if rest == size:
+            yield (*content, size)
+            continue
+        content.append(size)
+        used[size] += 1
+        rest -= size
+        tries.append(i)
+
+
+def _dominated(content: tuple[int, ...], waste: int, sizes: list[int], counts: Counter) -> bool:
+    """Is there a filling at least as good that puts a length into the waste, a longer one into the place of one, or one into the place of two?"""
+    held = Counter(content)
+    for size in (0, *held):
+        i = bisect_right(sizes, size)
+        while i < len(sizes) and sizes[i] <= size + waste:
+            if counts[sizes[i]] > held[sizes[i]]:
+                return True
+            i += 1
+    several = sorted(held)
+    for i, a in enumerate(several):
+        for b in several[i:]:
+            if (a != b or held[a] > 1) and counts[a + b] > held[a + b]:
+                return True
+    return False
+
+
+def fillings(room: int, sizes: list[int], counts: Counter, waste: int, budget: Budget) -> Iterator[tuple[int, ...]]:
+    """Undominated ways to fill ``room`` that waste at most ``waste``, least waste first, one at a time.
 
     ``sizes`` are the lengths there are, ascending. A length that fills the room alone dominates all others.
     """
     sizes = sizes[: bisect_right(sizes, room)]
+    if sizes and sizes[-1] == room:
+        yield (room,)
+        return
     if not sizes:
-        return [()] if room <= waste else []
-    if sizes[-1] == room:
-        return [(room,)]
-    found: list[tuple[int, ...]] = []
-
-    def extend(content: tuple[int, ...], room: int, top: int, used: Counter) -> None:
-        top = bisect_right(sizes, room, 0, top)
-        tried = 0
-        for i in range(top - 1, -1, -1):
-            size = sizes[i]
-            if used[size] >= counts[size]:
-                continue
-            tried += 1
-            used[size] += 1
-            extend((*content, size), room - size, i + 1, used)
-            used[size] -= 1
-            if tried == (FILLINGS if len(content) == 0 else 2) or len(found) > 4 * FILLINGS:
-                return
-        if not tried and room <= waste:
-            found.append(content)
-
-    extend((), room, len(sizes), Counter())
-    found.sort(key=lambda f: (-sum(f), len(f)))
-    kept: list[tuple[int, ...]] = []
-    for f in dict.fromkeys(found):
-        if len(f) > 6 or not any(_dominated(f, k) for k in kept if len(k) <= 6):
-            kept.append(f)
-    return kept[:FILLINGS]
+        if room <= waste:
+            yield ()
+        return
+    reach = _reach(sizes, room)
+    budget.left -= len(sizes)
+    for total in range(room, max(room - waste, 1) - 1, -1):
+        if reach[-1] >> total & 1:
+            for content in _of_sum(total, sizes, counts, reach, budget):
+                budget.left -= len(content)
+                if not _dominated(content, room - total, sizes, counts):
+                    yield content
 
 
 def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES) -> Bins:
     """As few bins as found: branch and bound over the counts of lengths (at most ``capacity`` of them).
 
-    The largest length left is completed in all undominated ways that waste no more than a
-    better packing could; each way is taken for as many bins as there are lengths for it.
-    Best-fit decreasing is the first incumbent, and best-fit of what is left after each step the
-    next ones. The search ends at the lower bound, or after ``nodes`` steps.
+    The largest length left is completed in all undominated ways that waste no more than a better packing
+    could, least waste first; each way is taken for as many bins as there are lengths for it, or half as many, and so on
+    down to one. Best-fit decreasing is the first incumbent, and best fit of what is left after each step the next ones. Branches are
+    taken in the order of how often they leave the first choice, so that early choices are changed as soon as late ones.
+
+    The search ends at the lower bound, when nothing is left to try, or when it has looked at ``nodes`` sizes,
+    whether they led to a filling or not; then the best packing so far stands, and ``lower_bound`` says how far from it the fewest can be.
     """
-    counts = Counter({l: n for l, n in counts.items() if n > 0})
-    if not counts:
+    left = Counter({l: n for l, n in counts.items() if n > 0})
+    if not left:
         return []
-    total = sum(l * n for l, n in counts.items())
-    best = best_fit(counts, capacity)
-    fewest, least = sum(n for _, n in best), lower_bound(counts, capacity)
-    left = Counter(counts)
+    total = sum(l * n for l, n in left.items())
+    best = best_fit(left, capacity)
+    fewest, least = sum(n for _, n in best), lower_bound(left, capacity)
+    budget = Budget(nodes)
     done: Bins = []
-    trail: list[tuple[int, Iterator[tuple[int, ...]]]] = []  # waste so far, ways still to try
-    waste = bins = steps = 0
+    bins = waste = 0
 
-    def ways() -> Iterator[tuple[int, ...]]:
+    def ways() -> Iterator[tuple[tuple[int, ...], int]]:
         largest = max(left)
         others = left - Counter([largest])
         allowed = (fewest - 1) * capacity - total - waste
-        return iter(fillings(capacity - largest, sorted(others), others, allowed) if allowed >= 0 else [])
-
-    trail.append((0, ways()))
-    while trail and fewest > least and steps < nodes:
-        waste, more = trail[-1]
-        filling = next(more, None)
-        if filling is None or waste > (fewest - 1) * capacity - total:
-            trail.pop()
-            if done:
-                content, n = done.pop()
-                bins -= n
-                for length in content:
-                    left[length] += n
-            continue
-        steps += 1
-        content = (max(left), *filling)
-        n = min(left[l] // c for l, c in Counter(content).items())
+        for filling in fillings(capacity - largest, sorted(others), others, allowed, budget):
+            content = (largest, *filling)
+            n = min(left[l] // c for l, c in Counter(content).items())
+            while n:
+                yield content, n
+                n //= 2
+
+    def put(content: tuple[int, ...], n: int) -> None:
+        nonlocal bins, waste, left
+        for length, c in Counter(content).items():
+            left[length] += -n * c
+            if not left[length]:
+                del left[length]
         done.append((content, n))
         bins += n
-        left.subtract(dict((l, c * n) for l, c in Counter(content).items()))
-        left += Counter()
         waste += n * (capacity - sum(content))
-        if not left:
-            if bins < fewest:
-                best, fewest = list(done), bins
-        elif bins + lower_bound(left, capacity) < fewest:
-            if steps % 64 == 1:  # an incumbent from here on by best fit
-                rest = best_fit(left, capacity)
-                if bins + sum(n for _, n in rest) < fewest:
-                    best, fewest = done + rest, bins + sum(n for _, n in rest)
-            trail.append((waste, ways()))
-            continue
-        done.pop()
-        bins -= n
+
+    def take_back() -> None:
+        nonlocal bins, waste
+        content, n = done.pop()
         for length in content:
             left[length] += n
+        bins -= n
+        waste -= n * (capacity - sum(content))
+
+    changes, more = 0, True
+    while more and fewest > least and budget.left > 0:
+        more = False
+        trail = [[ways(), changes, 0]]  # ways still to try, changes of the first choice allowed from here on, ways tried
+        while trail and fewest > least and budget.left > 0:
+            untried, allowed, tried = trail[-1]
+            choice = next(untried, None) if tried <= allowed else None
+            if choice is None:
+                more |= tried > allowed
+                trail.pop()
+                if done:
+                    take_back()
+                continue
+            trail[-1][2] += 1
+            put(*choice)
+            if waste > (fewest - 1) * capacity - total or left and bins + simple_bound(left, capacity) >= fewest:
+                take_back()
+                continue
+            rest = best_fit(left, capacity)
+            budget.left -= 1 + len(left)
+            if bins + sum(n for _, n in rest) < fewest:
+                best = done + rest
+                fewest = sum(n for _, n in best)
+            if left:
+                trail.append([ways(), allowed - tried, 0])
+            else:
+                take_back()
+        while done:
+            take_back()
+        changes += 1
     return best
 
 
@@ -196,7 +280,7 @@ def _slots(bins: Bins) -> dict[int, np.ndarray]:
 def pack(pieces: DataFrame, length: str, by: list[str], capacity: int) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``: each piece whole in one sequence, from 0 without gaps.
 
-    Lengths are from 1 to ``capacity``; pieces of length null, 0 or above it are refused. ``by``
+    Columns of these two names that ``pieces`` has are replaced. Lengths are from 1 to ``capacity``; pieces of length null, 0 or above it are refused. ``by``
     orders pieces of equal length; what is equal there may swap places.
 
     The driver only sees how many pieces of each length there are, at most ``capacity`` numbers. A piece finds
@@ -204,7 +288,7 @@ def pack(pieces: DataFrame, length: str, by: list[str], capacity: int) -> DataFr
     a length that many pieces have is spread.
     """
     spark = pieces.sparkSession
-    columns = pieces.columns
+    columns = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
     rows = pieces.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), F.col(f"`{length}`").cast("bigint").alias("length"))
     rows = settle(rows.withColumn("hash", F.xxhash64(*(F.col("row").getField(c) for c in by))))
     n, bad = rows.agg(F.count("*"), F.count_if(F.coalesce(~F.col("length").between(1, capacity), F.lit(True)))).first()
