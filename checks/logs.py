@@ -402,8 +402,7 @@ def full_records_from_log(spark, d):
     )
 
 
-@check(
-    "publish_from_log",
+PUBLISH_LOG_SQL = (
     "with recursive raw_log as (" + RAW_LOG.replace("{events}", "events") + f"), {NUMBERED}, "
     f"wanted as (select pos, db, tbl, ts, event_id, {TYPE_SQL} as type from resolved where {WANTED_SQL}), "
     "w as (select db, tbl, min(ts) as a from wanted group by db, tbl union all "
@@ -411,8 +410,11 @@ def full_records_from_log(spark, d):
     "firsts as (select b.*, row_number() over (partition by b.db, b.tbl, b.ts order by b.pos) as r from w join wanted b on b.db = w.db and b.tbl = w.tbl and b.ts = w.a) "
     "select case when db = 'db1' then 'first' else 'rest' end as topic, concat(db, '.', tbl) as key, concat('{\"Type\":\"', type, "
     "'\",\"Database\":\"', db, '\",\"Table\":\"', tbl, '\",\"Timestamp\":', epoch_us(ts) // 1000, '}') as value "
-    f"from (select *, unnest(range(0, {N_ROWS})) as i from firsts where r = 1)",
+    f"from (select *, unnest(range(0, {N_ROWS})) as i from firsts where r = 1)"
 )
+
+
+@check("publish_from_log", PUBLISH_LOG_SQL)
 def publish_from_log(spark, d):
     """Raw log to messages: resolved, filtered, named, merged by table, routed; one notice per row of the first event."""
     return flows.publish(

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from checks.changes import ANCHORED_TABLES, HOUR_MS, PUBLISH_SQL, ROUTES, TOPIC_SQL
 from checks.extraction import EXTRACT_SQL, SETTINGS, order_notices, progress
-from checks.logs import numbered_sql
+from checks.logs import PUBLISH_LOG_SQL, half_catalog, image_log, numbered_sql
 from checks.registry import changelog, check, notices, raw_log, table, with_changelog, with_raw_log
 from tidelog.functions import offsets as O
 from tidelog.operators.routing import route_topic
@@ -42,7 +42,7 @@ def _far_ahead(log, path: str, **names) -> None:
 
 
 def _stream(spark, path: str, schema: T.StructType, one_by_one: bool = True):
-    reader = spark.readStream.schema(schema)
+    reader = C.use_rocksdb(spark).readStream.schema(schema)
     if one_by_one:
         reader = reader.option("maxFilesPerTrigger", 1)
     return reader.parquet(path)
@@ -96,6 +96,24 @@ def publish_notices_stream(spark, d):
     return _drain(published, _folder(spark, "published"))
 
 
+@check("publish_from_log_stream", PUBLISH_LOG_SQL)
+def publish_from_log_stream(spark, d):
+    """Raw log events to messages in one streaming query, cut in the middle of transactions; one notice per row of the first event."""
+    log = image_log(spark, d)
+    path = _staged(spark, log, "raw", 3)
+    _far_ahead(log, path, server_id=0, event_type="GTID")
+    published = flows.publish_stream_from_log(
+        _stream(spark, path, log.schema),
+        half_catalog(spark, d),
+        F.lit(2),
+        [("first", "db1.%"), ("rest", "%.%")],
+        ignore="shop.%",
+        gap_ms=7_200_000,
+        watermark="1 day",
+    )
+    return _drain(published, _folder(spark, "published-log"))
+
+
 @check("incremental_extract_stream", EXTRACT_SQL)
 def incremental_extract_stream(spark, d):
     """Notices streamed in three files; windows go on from micro-batch to micro-batch."""

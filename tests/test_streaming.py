@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +10,9 @@ from tidelog.operators import coalesce as C
 from tidelog.operators import ordering as T
 from tidelog.streaming import batches as B
 from tidelog.streaming import coalesce as S
+from tidelog.plans import flows
 from tidelog.streaming import extract as E
+from tidelog.streaming import log as L
 
 START = dt.datetime(2024, 1, 1)
 SCHEMA = "Database string, Table string, ts timestamp, pos bigint"
@@ -20,7 +23,7 @@ def write(spark, path, n, rows, schema=SCHEMA):
 
 
 def source(spark, path, schema=SCHEMA):
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    return S.use_rocksdb(spark).readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
 
 
 def run(stream, path):
@@ -63,6 +66,68 @@ def test_stream_merges_like_batch_over_a_restart(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+def follow(times, counts, length, gap):
+    """Windows by the steps of each block, one after the other."""
+    out, window = [], None
+    follower = S.StepFollower([], gap, length, S.T.StructType([]))
+    blocks = times // length
+    for block in np.unique(blocks):
+        here = blocks == block
+        steps = S.block_steps(times[here], counts[here], block * length, gap)
+        frame = S.pd.DataFrame({"following": steps["following"], "merged": steps["merged"], "last_at": steps["last"], "ahead": steps["ahead"], "before_at": steps["before"]})
+        frame["change_at"] = np.r_[times[here][steps["row"][:-1]], np.iinfo(np.int64).max]
+        frame["change_first"] = 0
+        window = follower._followed(frame, window, out)
+    return [(w[0], w[2], w[3]) for w in [*out, window]]
+
+
+def test_steps_of_blocks_lead_to_the_windows_of_the_whole():
+    draw = np.random.default_rng(5)
+    cases = [np.unique(draw.integers(0, 5000, draw.integers(1, 400))) for _ in range(60)]
+    cases += [np.arange(0, 3000, step) for step in (1, 7, 10, 33, 100, 101)] + [np.array([99, 100, 199, 200, 300, 1000])]
+    for times in cases:
+        for gap, gaps in ((100, 1), (100, 4), (37, 10)):
+            counts = draw.integers(1, 4, len(times))
+            starts = C.window_starts(times, gap)
+            want = list(zip(times[starts].tolist(), np.add.reduceat(counts, starts).tolist(), times[np.r_[starts[1:], len(times)] - 1].tolist()))
+            assert follow(times, counts, gap * gaps, gap) == want
+
+
+def test_a_busy_block_hands_on_few_of_its_changes():
+    draw = np.random.default_rng(6)
+    times = np.unique(draw.integers(0, 64 * 1000, 60_000))
+    assert len(S.block_steps(times, np.ones(len(times), int), 0, 1000)["row"]) < len(times) / 4
+
+
+@pytest.mark.parametrize("block_gaps", [1, 16])
+def test_a_busy_key_is_held_in_several_tasks(spark, tmp_path, block_gaps):
+    """Evenly spaced changes of one key, some of equal time, cut in the middle of a window."""
+    path = str(tmp_path)
+    at = lambda ms: START + dt.timedelta(milliseconds=ms)
+    rows = [("d", "hot", at(50 * (i - i % 3)), i) for i in range(3000)]
+    merged = lambda: S.coalesce_changes_stream(source(spark, path), gap_ms=1000, watermark="40 seconds", block_gaps=block_gaps)
+    write(spark, path, 0, rows[1400:1700] + rows[:1300])
+    run(merged(), path)
+    held = spark.read.format("statestore").option("operatorId", 1).option("stateVarName", "held").load(f"{path}/checkpoint")
+    parts = [r["count"] for r in held.groupBy("partition_id").count().collect()]
+    assert len(parts) > 1 and max(parts) < 0.7 * sum(parts)
+    write(spark, path, 1, rows[1300:1400] + rows[1700:])
+    write(spark, path, 2, FAR)
+    got = run(merged(), path).filter("Table <> ''")
+    want = C.coalesce_changes(spark.createDataFrame(rows, SCHEMA), gap_ms=1000).select(*got.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_the_session_keeps_its_settings(spark, tmp_path):
+    write(spark, str(tmp_path), 0, FAR)
+    stream = source(spark, str(tmp_path))
+    spark.conf.unset(S.PROVIDER)
+    with pytest.raises(ValueError, match="stateStore"):
+        S.coalesce_changes_stream(stream)
+    with pytest.raises(ValueError, match="stateStore"):
+        L.log_changes_stream(stream)
+
+
 def test_late_rows_can_be_told_apart(spark):
     df = spark.createDataFrame([("d", "t", START + dt.timedelta(seconds=s), s) for s in (0, 49, 50, 60)], SCHEMA)
     late = S.late_changes(df, START + dt.timedelta(seconds=60), delay="10 seconds")
@@ -129,6 +194,57 @@ def test_log_order_is_carried_over_batches_and_restarts(spark, tmp_path, log_par
     assert order(got) == order(want)
 
 
+TIMED_LOG = LOG + ", ts timestamp, rows array<struct<before:array<string>,after:array<string>>>"
+
+
+def timed(rows):
+    """Events a second apart, row events of one to three rows."""
+    images = lambda r: [(None, [str(i)]) for i in range(r[1] % 3 + 1)] if "ROWS" in (r[2] or "") else None
+    return [(*r, START + dt.timedelta(seconds=r[1]), images(r)) for r in rows]
+
+
+def far_event(server):
+    return (server, 10**9, "GTID", "far:1", None, None, None, None, START + dt.timedelta(days=90), None)
+
+
+def test_raw_log_is_put_in_order_over_batches_and_restarts(spark, tmp_path, log_parts):
+    """Cut in transactions, out of order within and over batches, and some of it delivered twice."""
+    path, columns = str(tmp_path), ["server_id", "pos", "gtid", "tx_start", "seq_no", "db", "tbl", "ts", "event_type"]
+    rows = timed(sum(log_parts, []))
+    rng = random.Random(3)
+    arrival = sorted(rows, key=lambda r: r[1] + rng.randint(0, 20))
+    cut = len(rows) // 3
+    changes = lambda: L.log_changes_stream(source(spark, path, TIMED_LOG).withColumn("n_rows", F.size("rows")), "40 seconds", carry=["n_rows"])
+    write(spark, path, 0, arrival[:cut], TIMED_LOG)
+    run(changes(), path)
+    write(spark, path, 1, arrival[cut - 10 : 2 * cut], TIMED_LOG)
+    write(spark, path, 2, arrival[:5] + arrival[2 * cut :], TIMED_LOG)
+    write(spark, path, 3, [far_event(0)], TIMED_LOG)
+    got = run(changes(), path)
+    whole = spark.createDataFrame(rows, TIMED_LOG).withColumn("n_rows", F.size("rows"))
+    want = T.resolve_table_map(T.tx_sequence(whole, block_bits=4), block_bits=4)
+    order = lambda df: sorted((tuple(r) for r in df.select(*columns, "n_rows").collect()), key=str)
+    assert order(got) == order(want)
+
+
+def test_published_from_a_raw_log_stream_as_from_a_table(spark, tmp_path, log_parts):
+    path, rows = str(tmp_path), timed(sum(log_parts, []))
+    known = spark.createDataFrame([("db1", "t1", 0, "id", "int")], "db string, tbl string, ordinal int, column string, mysql_type string")
+    routes = [("first", "%.t1"), ("rest", "d%.%")]
+    settings = dict(ignore="%.t3", gap_ms=7000)
+    published = lambda: flows.publish_stream_from_log(source(spark, path, TIMED_LOG), known, F.lit(1), routes, watermark="5 seconds", **settings)
+    third = len(rows) // 3
+    write(spark, path, 0, rows[:third], TIMED_LOG)
+    run(published(), path)
+    write(spark, path, 1, rows[third : 2 * third + 1], TIMED_LOG)
+    write(spark, path, 2, rows[2 * third + 1 :], TIMED_LOG)
+    write(spark, path, 3, [far_event(0)], TIMED_LOG)
+    got = sorted((r.topic, r.key, r.value) for r in run(published(), path).collect())
+    want = flows.publish(spark.createDataFrame(rows, TIMED_LOG), known, F.lit(1), routes, block_bits=4, **settings)
+    assert got == sorted((r.topic, r.key, r.value) for r in want.collect())
+    assert len(got) > 50 and len(set(got)) < len(got)  # several rows of an event
+
+
 def test_progress_survives_a_repeated_batch(spark, tmp_path):
     table = B.ProgressTable(spark, str(tmp_path / "progress"))
     assert table.load() is None

@@ -6,16 +6,14 @@ import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidelog.functions import offsets as O
 from tidelog.functions import patterns as P
+from tidelog.operators.gtids import SERVER, gtid_sets, merge_intervals, parse_gtid_text  # noqa: F401  also found here
 from tidelog.operators.scan import BLOCK_BITS, fill_forward, number_transactions
 from tidelog.session import settle, small_side
 
-SERVER = ("server_id",)
-
 
 def resolve_table_map(
     events: DataFrame,
@@ -94,17 +92,6 @@ def drop_system_without_metadata(
     return numbered.filter(~(P.is_row_event() & (F.col(database) == system) & ~has_metadata))
 
 
-def parse_gtid_text(gtid_set: str) -> list[tuple[str, int, int]]:
-    """Intervals of a set given to the driver as text."""
-    intervals = []
-    for member in "".join((gtid_set or "").split()).split(","):
-        uuid, *ranges = member.split(":")
-        for r in ranges:
-            lo, _, hi = r.partition("-")
-            intervals.append((uuid, int(lo), int(hi or lo)))
-    return intervals
-
-
 def merged_ranges(intervals: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Intervals of one offset's text, sorted, touching ones joined."""
     out: list[tuple[str, int, int]] = []
@@ -116,28 +103,6 @@ def merged_ranges(intervals: list[tuple[str, int, int]]) -> list[tuple[str, int,
     return out
 
 
-def merge_intervals(intervals: DataFrame, bucket: int = 1_000_000) -> DataFrame:
-    """Union of (uuid, lo, hi) intervals: touching and overlapping ones become one.
-
-    Merged first inside buckets of ``lo``, so that one busy uuid is spread over
-    many tasks, then once more over what is left.
-    """
-
-    def merged(df: DataFrame, *keys: str) -> DataFrame:
-        by_lo = W.partitionBy(*keys).orderBy("lo", "hi")
-        reach = F.max("hi").over(by_lo.rowsBetween(W.unboundedPreceding, -1))
-        return (
-            df.withColumn("_new", F.when(F.col("lo") <= reach + 1, 0).otherwise(1))
-            .withColumn("_island", F.sum("_new").over(by_lo.rowsBetween(W.unboundedPreceding, 0)))
-            .groupBy(*keys, "_island")
-            .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-            .drop("_island")
-        )
-
-    slices = intervals.select("uuid", F.floor(F.col("lo") / bucket).alias("_slice"), "lo", "hi").distinct()
-    return merged(merged(slices, "uuid", "_slice").drop("_slice"), "uuid").select("uuid", "lo", "hi")
-
-
 def skip_gtid_set(events: DataFrame, gtid_set: str, gtid: str = "gtid") -> DataFrame:
     """Events of transactions outside the set; events without a gtid stay.
 
@@ -194,94 +159,19 @@ def start_position(
     return resume_filter(skip_gtid_set(events, gtid_set), offset)
 
 
-def gtid_sets(
-    events: DataFrame,
-    base_set: str = "",
-    order: str = "pos",
-    keys: Sequence[str] = SERVER,
-    block_bits: int = BLOCK_BITS,
-) -> DataFrame:
-    """Per transaction (``tx_start``: its start event's order) the set of ``base_set`` and all that started before it.
-
-    Made from the start events alone: one row per transaction and source uuid.
-    """
-    keys, source_keys = list(keys), [*keys, "uuid"]
-    base = parse_gtid_text(base_set)
-    starts = events.filter(F.col("event_type") == "GTID").select(
-        *keys, order, O.gtid_uuid("gtid").alias("own"), O.gtid_txn("gtid").alias("txn")
-    )
-    # a handful of rows: the uuids that ever wrote to a server's log, and where that log ends
-    seen = starts.groupBy(*keys, F.col("own").alias("uuid")).agg(F.max(order).alias("_end"))
-    written = settle(seen)
-    ends = written.groupBy(*keys).agg(F.max("_end").alias("_end"))
-    sources = written.select(*keys, "uuid")
-    if base:
-        known = F.array(*[F.lit(u) for u in dict.fromkeys(u for u, _, _ in base)])
-        sources = sources.select(*keys, F.explode(F.array_append(known, F.col("uuid"))).alias("uuid")).distinct()
-    marks = starts.join(small_side(sources), keys)
-    own = F.col("own") == F.col("uuid")
-    marks = fill_forward(marks, "seen", F.col("txn"), own, order, source_keys, block_bits, strict=True)
-
-    # A new interval starts at gaps and fail-overs only. Each is spread over the blocks of log it lasts for, so
-    # that it meets its transactions block by block; an event meets as many as the text of its set is long.
-    by_log = W.partitionBy(*source_keys).orderBy(order)
-    interval = F.struct(F.lag("txn").over(by_log).alias("lo"), F.col("seen").alias("hi"))
-    spans = (
-        marks.join(small_side(ends), keys)
-        .filter(own & (F.col("seen").isNull() | (F.col("txn") != F.col("seen") + 1)))
-        .withColumn("_ended", F.when(F.col("seen").isNotNull(), interval))
-        .select(
-            *source_keys,
-            F.col(order).alias("_from"),
-            F.coalesce(F.lead(order).over(by_log), F.col("_end")).alias("_to"),
-            F.col("txn").alias("lo"),
-            F.collect_list("_ended").over(by_log.rowsBetween(W.unboundedPreceding, 0)).alias("closed"),
-        )
-    )
-    first, last = F.shiftright("_from", block_bits), F.shiftright("_to", block_bits)
-    s = spans.withColumn("_block", F.explode(F.sequence(first, last))).alias("s")
-    m = marks.withColumn("_block", F.shiftright(order, block_bits)).alias("m")
-    inside = [F.col(f"m.{k}") == F.col(f"s.{k}") for k in [*source_keys, "_block"]]
-    inside += [F.col(f"m.{order}") > F.col("s._from"), F.col(f"m.{order}") <= F.col("s._to")]
-    none = F.array().cast("array<struct<lo:bigint,hi:bigint>>")
-    from_base = none
-    if base:
-        from_base = F.transform(
-            F.filter(F.array(*[_interval(*i) for i in base]), lambda i: i["uuid"] == F.col("uuid")),
-            lambda i: F.struct(i["lo"].alias("lo"), i["hi"].alias("hi")),
-        )
-    current = F.when(
-        F.col("lo").isNotNull(),
-        F.concat("closed", F.array(F.struct(F.col("lo"), F.col("seen").alias("hi")))),
-    )
-    ranges = O.merge_ranges(F.concat(from_base, F.coalesce(current, none)))
-    return (
-        m.join(s, inside, "left")
-        .select("m.*", "s.lo", "s.closed")
-        .withColumn("_ranges", O.format_ranges(ranges))
-        .withColumn("_member", F.when(F.col("_ranges") != "", F.concat_ws(":", "uuid", "_ranges")))
-        .groupBy(*keys, order)
-        .agg(F.sort_array(F.collect_list("_member")).alias("_members"))
-        .select(*keys, F.col(order).alias("tx_start"), F.array_join("_members", ",").alias("gtid_set"))
-    )
-
-
 def stamp_offset(
     numbered: DataFrame, sets: DataFrame, keys: Sequence[str] = SERVER, order: str = "pos", block_bits: int = BLOCK_BITS
 ) -> DataFrame:
     """Numbered row events with ``gtid_set`` and ``incomplete``: their own gtid and sequence number.
 
-    A set is joined to the event that starts its transaction and carried forward from there, block by block, so that the
-    events of one large transaction stay spread.
+    ``sets`` are those of ``gtid_sets`` with the same blocks: an event finds its transaction's set in its own block of
+    log, so that the events of one large transaction stay spread.
     """
-    started = numbered.join(sets.withColumnRenamed("tx_start", order), [*keys, order], "left").withColumnRenamed("gtid_set", "_started")
-    is_start = F.col("event_type") == "GTID"
-    carried = fill_forward(started, "_set", F.struct("_started"), is_start, order, keys, block_bits)
+    events = numbered.filter(P.is_row_event()).withColumn("_block", F.shiftright(order, block_bits))
     return (
-        carried.filter(P.is_row_event())
-        .withColumn("gtid_set", F.col("_set._started"))
-        .drop("_set", "_started")
+        events.join(small_side(settle(sets)), [*keys, "_block", "tx_start"], "left")
         .withColumn("incomplete", F.when(F.col("gtid").isNotNull(), F.create_map("gtid", "seq_no")))
+        .drop("_block")
     )
 
 

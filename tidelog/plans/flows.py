@@ -26,6 +26,7 @@ from tidelog.operators.routing import Lookup, Routes, Rule, apply_rules, drop_un
 from tidelog.operators.scan import BLOCK_BITS
 from tidelog.sources.sinks import messages
 from tidelog.streaming.coalesce import coalesce_changes_stream
+from tidelog.streaming.log import log_changes_stream
 
 
 def known_events(
@@ -74,13 +75,37 @@ def publish_stream(
 ) -> DataFrame:
     """Stream of resolved changes (Type, Database, Table, ts, pos) to a stream of (topic, key, value).
 
-    ``LogBatches`` makes such changes out of a raw log.
+    A change is one notice here; ``publish_stream_from_log`` starts from a raw log and gives one for each row.
     """
     wanted = changes.filter(P.table_filter(include, ignore)).filter(route_topic(routes).isNotNull())
     merged = coalesce_changes_stream(wanted, gap_ms=gap_ms, watermark=watermark, carry=["Type"])
     return publish_notices(merged.withColumn("Timestamp", F.floor(F.col("window_start") / 1000).cast("bigint")), routes)
 
 
+def publish_stream_from_log(
+    log: DataFrame,
+    catalog: DataFrame,
+    n_columns: Column,
+    routes: Routes,
+    include: str | None = None,
+    ignore: str | None = None,
+    gap_ms: int = GAP_DEFAULT_MS,
+    watermark: str = "10 seconds",
+    keys: Sequence[str] = SERVER,
+) -> DataFrame:
+    """``publish`` as one streaming query: stream of raw log events to a stream of (topic, key, value).
+
+    Three operators follow one another: events are put in order and resolved by server, their bursts merged by table
+    and block of time, and the windows followed by table. ``n_columns`` may use columns of the resolved events.
+    """
+    counted = log.withColumn("n_rows", F.size("rows"))
+    changes = log_changes_stream(counted, watermark, keys=keys, carry=["n_rows"])
+    wanted = changes.filter(P.table_filter(include, ignore, "db", "tbl"))
+    known = drop_system_without_metadata(enrich_columns(wanted, catalog, n_columns), F.col("has_metadata"))
+    merged = coalesce_changes_stream(known, ["db", "tbl"], "ts", gap_ms, None, carry=["event_type", "n_rows"])
+    return publish_notices(to_notices(merged.withColumn("ts", F.timestamp_micros("window_start"))), routes)
+
+
 def full_records(
     log: DataFrame,
     catalog: DataFrame,

@@ -1,9 +1,14 @@
 """Merging bursts on a stream.
 
-The stateful form keeps, per key, the distinct change times that the watermark has
-not passed yet. A window is handed on once the watermark is past its end; then no
-earlier change can arrive any more, so the windows are those of the batch operator
-over all rows that were not late.
+A window depends on the one before it, but the changes a watermark has not passed yet need not be held together: their
+state is one list per (key, block of time), so that those of a busy key lie in many tasks and a batch touches
+only the blocks it has changes for. When the watermark is past a block's end, the block is closed: it hands on
+its step function, that is, for every change that may be the first to open a window there, the windows that follow.
+These meet quickly, so that a busy block hands on few of its changes. A second operator follows the steps of the
+closed blocks of a key in order; all it remembers is the window that is open.
+
+A window ends for good when the block with its last possible change is closed, so the windows are those of the batch
+operator over all rows that were not late.
 """
 
 from __future__ import annotations
@@ -19,76 +24,180 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidelog.operators.coalesce import GAP_DEFAULT_MS, GAP_FLOOR_MS, micros, window_starts
+from tidelog.operators.coalesce import GAP_DEFAULT_MS, GAP_FLOOR_MS, micros
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+BLOCK_GAPS = 4  # of a stream: a window waits at most for so many gaps, and a key's state is cut as often
 
 
 def use_rocksdb(spark: SparkSession) -> SparkSession:
-    """The stateful operators need a state store with timers."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    """The stateful operators need a state store with timers; whoever owns the session calls this."""
+    spark.conf.set(PROVIDER, ROCKSDB)
     return spark
 
 
-class AnchoredWindows(StatefulProcessor):
-    """Holds a key's open changes (time, lowest order, count, carried columns) and releases windows by event time."""
+def needs_rocksdb(spark: SparkSession) -> None:
+    if "RocksDB" not in spark.conf.get(PROVIDER, ""):
+        raise ValueError(f"this operator keeps state with timers: set {PROVIDER} (use_rocksdb(spark) does)")
 
-    def __init__(self, keys: list[str], gap: int, carried: T.StructType):
-        self.keys = keys
-        self.gap = gap
-        self.carried = carried
-        self.columns = ["change_at", "change_first", "change_n", *carried.names]
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
+def plain_values(values: pd.Series, kind: T.DataType) -> list:
+    """Python values of a column; pandas turns whole numbers next to nulls into floats."""
+    whole = isinstance(kind, T.IntegralType)
+    return [None if v is None or v is pd.NaT or v != v else int(v) if whole else v for v in values.tolist()]
+
+
+def block_steps(times: np.ndarray, counts: np.ndarray, begin: int, gap: int) -> dict[str, np.ndarray]:
+    """The changes of a block that can open a window there, and the windows they open.
+
+    ``times`` are sorted and different. ``row`` is the change's index, ``following`` the place in this table of the change
+    that opens the next window (-1 if none does in the block), ``merged`` and ``last`` what its own window
+    holds of the block, ``ahead`` and ``before`` how many changes stand before it and the time of the last one. The last entry stands for the
+    end of the block.
+    """
+    n = len(times)
+    after = np.searchsorted(times, times + gap, side="right")
+    reached = np.zeros(n + 1, dtype=bool)
+    # an anchor from an earlier block reaches less than a gap into this one
+    reached[: min(int(np.searchsorted(times, begin + gap, side="left")) + 1, n)] = True
+    level = np.flatnonzero(reached)
+    while len(level):
+        level = np.unique(after[level])
+        level = level[(level < n) & ~reached[np.minimum(level, n)]]
+        reached[level] = True
+    rows = np.flatnonzero(reached[:n])
+    place = np.full(n + 1, -1, dtype=np.int64)
+    place[rows] = np.arange(len(rows))
+    sums = np.r_[0, np.cumsum(counts)]
+    ends = np.r_[rows, n]
+    return {
+        "row": ends,
+        "following": np.r_[place[after[rows]], -1],
+        "merged": np.r_[sums[after[rows]] - sums[rows], 0],
+        "last": np.r_[times[after[rows] - 1], 0],
+        "ahead": sums[ends],
+        "before": np.where(ends > 0, times[np.maximum(ends - 1, 0)], 0),
+    }
+
+
+STEP_FIELDS = ("step_no", "change_at", "change_first", "following", "merged", "last_at", "ahead", "before_at")
+BLOCK = "change_block"
+RELEASED = "released_at"
+
+
+def released(watermark_ms: int) -> pd.Timestamp:
+    """An event time for what a watermark released: not late for the operators behind."""
+    return pd.Timestamp(watermark_ms + 1, unit="ms", tz="UTC")
+
+
+class BlockBuffer(StatefulProcessor):
+    """Holds the open changes (time, lowest order, count, carried columns) of one key and block; hands on the steps when it is closed."""
+
+    def __init__(self, keys: list[str], gap: int, length: int, carried: T.StructType):
+        self.keys, self.gap, self.length, self.carried = keys, gap, length, carried
         numbers = [T.StructField(c, T.LongType()) for c in ("change_at", "change_first", "change_n")]
-        self.handle = handle
-        self.pending = handle.getListState("pending", T.StructType([*numbers, *self.carried.fields]))
+        self.held_schema = T.StructType([*numbers, *carried.fields])
 
-    def _held(self) -> pd.DataFrame:
-        rows = list(self.pending.get()) if self.pending.exists() else []
-        held = pd.DataFrame(rows, columns=self.columns)
-        return held.astype({c: "int64" for c in ("change_at", "change_first", "change_n")})
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getListState("held", self.held_schema)
 
-    def _plain(self, values: pd.Series, name: str) -> list:
-        """Python values of a column; pandas turns whole numbers next to nulls into floats."""
-        whole = name not in self.carried.names or isinstance(self.carried[name].dataType, T.IntegralType)
-        return [None if pd.isna(v) else int(v) if whole else v for v in values.tolist()]
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for pdf in rows:
+            values = [plain_values(pdf[f.name], f.dataType) for f in self.held_schema.fields]
+            self.held.appendList(list(zip(*values)))
+        self.handle.registerTimer(-(-(int(key[-1]) + 1) * self.length // 1000))
+        return iter(())
 
-    def _advance(self, key: tuple, changes: pd.DataFrame, watermark_ms: int) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        changes = pd.DataFrame(list(self.held.get()), columns=self.held_schema.names)
+        self.held.clear()
+        changes = changes.astype({c: "int64" for c in ("change_at", "change_first", "change_n")})
         changes = changes.sort_values(["change_at", "change_first"], kind="stable")
-        counts = changes.groupby("change_at", sort=True)["change_n"].sum()
-        changes = changes.drop_duplicates("change_at").assign(change_n=counts.to_numpy())
-        times = changes["change_at"].to_numpy()
-        opened = window_starts(times, self.gap)
-        due = times[opened] + self.gap < watermark_ms * 1000
-        n_due = int(due.sum())
-        kept_from = int(opened[n_due]) if n_due < len(opened) else len(times)
-        for expiry in list(self.handle.listTimers()):
-            self.handle.deleteTimer(expiry)
-        if kept_from < len(times):
-            rest = changes.iloc[kept_from:]
-            self.pending.put(list(zip(*[self._plain(rest[c], c) for c in self.columns])))
-            self.handle.registerTimer(int((times[kept_from] + self.gap) // 1000 + 1))
-        else:
-            self.pending.clear()
-        if n_due:
-            starts, ends = opened[:n_due], np.r_[opened[1:n_due], kept_from].astype(int)
-            out = {name: [part] * n_due for name, part in zip(self.keys, key)}
-            out["window_start"] = times[starts]
-            out["change_first"] = changes["change_first"].to_numpy()[starts]
-            out["n_merged"] = np.add.reduceat(changes["change_n"].to_numpy()[:kept_from], starts)
-            out["window_last"] = times[ends - 1]
-            for name in self.carried.names:
-                out[name] = pd.Series(self._plain(changes[name].iloc[starts], name), dtype=object)
+        counts = changes.groupby("change_at", sort=True)["change_n"].sum().to_numpy()
+        changes = changes.drop_duplicates("change_at")
+        block = int(key[-1])
+        steps = block_steps(changes["change_at"].to_numpy(), counts, block * self.length, self.gap)
+        picked = changes.iloc[steps["row"][:-1]]
+        n = len(steps["row"])
+        out = {name: [part] * n for name, part in zip([*self.keys, BLOCK], key)}
+        out["step_no"] = np.arange(n)
+        out["change_at"] = np.r_[picked["change_at"].to_numpy(), np.iinfo(np.int64).max]
+        out["change_first"] = np.r_[picked["change_first"].to_numpy(), 0]
+        for name, column in (("following", "following"), ("merged", "merged"), ("last_at", "last"), ("ahead", "ahead"), ("before_at", "before")):
+            out[name] = steps[column]
+        out[RELEASED] = released(timerValues.getCurrentWatermarkInMs())
+        for f in self.carried.fields:
+            out[f.name] = pd.Series([*plain_values(picked[f.name], f.dataType), None], dtype=object)
+        yield pd.DataFrame(out)
+
+    def close(self) -> None:
+        pass
+
+
+class StepFollower(StatefulProcessor):
+    """Follows the steps of a key's closed blocks in order. The only state is the window that is open."""
+
+    def __init__(self, keys: list[str], gap: int, length: int, carried: T.StructType):
+        self.keys, self.gap, self.length, self.carried = keys, gap, length, carried
+        numbers = [T.StructField(c, T.LongType()) for c in ("window_start", "change_first", "n_merged", "window_last")]
+        self.window_schema = T.StructType([*numbers, *carried.fields])
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", self.window_schema)
+
+    def _ends_ms(self, start: int) -> int:
+        """The watermark at which no change can be in the window any more: the end of the block of its last instant."""
+        return -(-((start + self.gap) // self.length + 1) * self.length // 1000)
+
+    def _followed(self, block: pd.DataFrame, window: list | None, done: list[list]) -> list:
+        """The window open after a block, given that open before it; those that end there are added to ``done``."""
+        times = block["change_at"].to_numpy()
+        following, merged, last, first = (block[c].tolist() for c in ("following", "merged", "last_at", "change_first"))
+        carried = [plain_values(block[f.name], f.dataType) for f in self.carried.fields]
+        at = 0
+        if window is not None:
+            at = int(np.searchsorted(times, window[0] + self.gap, side="right"))
+            if ahead := int(block["ahead"].iloc[at]):
+                window[2] += ahead
+                window[3] = int(block["before_at"].iloc[at])
+        end = len(times) - 1  # its time is later than any
+        while 0 <= at < end:
+            if window is not None:
+                done.append(window)
+            window = [int(times[at]), first[at], merged[at], last[at], *(c[at] for c in carried)]
+            at = following[at]
+        return window
+
+    def _rows(self, key: tuple, windows: list[list]) -> Iterator[pd.DataFrame]:
+        if windows:
+            out = {name: [part] * len(windows) for name, part in zip(self.keys, key)}
+            for f, column in zip(self.window_schema.fields, zip(*windows)):
+                out[f.name] = pd.Series(list(column), dtype=object if f in self.carried.fields else "int64")
             yield pd.DataFrame(out)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = [pdf[self.columns] for pdf in rows]
-        held = self._held()
-        yield from self._advance(key, pd.concat([held, *new] if len(held) else new), timerValues.getCurrentWatermarkInMs())
+        steps = pd.concat(list(rows)).sort_values([BLOCK, "step_no"], kind="stable")
+        window = list(self.open.get()) if self.open.exists() else None
+        done: list[list] = []
+        for _, block in steps.groupby(BLOCK, sort=True):
+            window = self._followed(block, window, done)
+        for expiry in list(self.handle.listTimers()):
+            self.handle.deleteTimer(expiry)
+        if self._ends_ms(window[0]) <= timerValues.getCurrentWatermarkInMs():
+            done.append(window)
+            self.open.clear()
+        else:
+            self.open.update(tuple(window))
+            self.handle.registerTimer(self._ends_ms(window[0]))
+        yield from self._rows(key, done)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._advance(key, self._held(), timerValues.getCurrentWatermarkInMs())
+        window = list(self.open.get())
+        self.open.clear()
+        yield from self._rows(key, [window])
 
     def close(self) -> None:
         pass
@@ -99,24 +208,28 @@ def coalesce_changes_stream(
     keys: Sequence[str] = ("Database", "Table"),
     ts: str = "ts",
     gap_ms: int = GAP_DEFAULT_MS,
-    watermark: str = "10 seconds",
+    watermark: str | None = "10 seconds",
     order: str = "pos",
     carry: Sequence[str] = (),
+    block_gaps: int = BLOCK_GAPS,
 ) -> DataFrame:
     """Windows of ``coalesce_changes`` on a stream: keys, ``window_start``, order of the first change, count, last.
 
     ``carry`` names columns of the first change to keep. Changes with equal key and
-    time are combined in each task before they are shuffled to their key's state.
+    time are combined in each task before they are shuffled to their block's state. A stream that another stateful operator made, with what
+    it released marked in RELEASED (``log_changes_stream``), comes without a ``watermark`` of its own.
     """
     keys, carry = list(keys), list(carry)
     gap = max(gap_ms, GAP_FLOOR_MS) * 1000
-    use_rocksdb(df.sparkSession)
+    length = gap * block_gaps
+    needs_rocksdb(df.sparkSession)
     slim = df.select(
         *keys,
         micros(ts).alias("change_at"),
         F.col(order).cast("bigint").alias("change_first"),
         F.lit(1).cast("bigint").alias("change_n"),
         *carry,
+        *([RELEASED] if watermark is None else []),
     )
     carried = T.StructType([slim.schema[c] for c in carry])
 
@@ -130,13 +243,18 @@ def coalesce_changes_stream(
             merged = merged.rename_columns([names.get(c, c) for c in merged.column_names])
             yield from merged.select(table.column_names).to_batches()
 
-    thinned = slim.mapInArrow(thin, slim.schema).withColumn("event_time", F.timestamp_micros("change_at"))
-    numbers = [T.StructField(c, T.LongType()) for c in ("window_start", "change_first", "n_merged", "window_last")]
-    out = T.StructType([*[slim.schema[k] for k in keys], *numbers, *carried.fields])
+    if watermark is not None:
+        slim = slim.mapInArrow(thin, slim.schema).withColumn(RELEASED, F.timestamp_micros("change_at")).withWatermark(RELEASED, watermark)
+    timed = slim.withColumn(BLOCK, F.expr(f"(change_at - pmod(change_at, {length})) div {length}"))
+    key_fields = [slim.schema[k] for k in keys]
+    numbers = [T.StructField(c, T.LongType()) for c in (BLOCK, *STEP_FIELDS)]
+    steps = T.StructType([*key_fields, *numbers, T.StructField(RELEASED, T.TimestampType()), *carried.fields])
+    windows = T.StructType([*key_fields, *StepFollower(keys, gap, length, carried).window_schema.fields])
     return (
-        thinned.withWatermark("event_time", watermark)
+        timed.groupBy(*keys, BLOCK)
+        .transformWithStateInPandas(BlockBuffer(keys, gap, length, carried), steps, "Append", "EventTime", eventTimeColumnName=RELEASED)
         .groupBy(*keys)
-        .transformWithStateInPandas(AnchoredWindows(keys, gap, carried), out, "Append", "EventTime")
+        .transformWithStateInPandas(StepFollower(keys, gap, length, carried), windows, "Append", "EventTime")
         .withColumnRenamed("change_first", order)
     )
 
