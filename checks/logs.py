@@ -8,6 +8,7 @@ from checks.registry import RAW_LOG, changelog, check, over, raw_log, with_chang
 from tidelog.functions import offsets as O
 from tidelog.functions import patterns as P
 from tidelog.operators import enrich as E
+from tidelog.operators import gtids as G
 from tidelog.operators import ordering as T
 from tidelog.plans import flows
 
@@ -80,6 +81,53 @@ def event_offset(spark, d):
     )
 
 
+# Two servers that commit out of order, eight transactions at a time, and leave numbers out.
+GAP_LOG = (
+    "select pos, event_type, server_id, concat('g', server_id, ':', 8 * cast(floor(j / 8.0) as bigint) + (3 * (j % 8)) % 8 + 1) as gtid from ("
+    "select event_id * 4 as pos, 'GTID' as event_type, cast(floor(event_id / 5.0) as bigint) % 2 + 1 as server_id, "
+    "cast(floor(event_id / 10.0) as bigint) as j from {events} where event_id % 5 = 0) k where j % 11 <> 5"
+)
+
+GAPS_SQL = (
+    f"with g as (select server_id, pos, cast(split_part(gtid, ':', 2) as bigint) as n from ({GAP_LOG.replace('{events}', 'events')})), "
+    "numbers as (select server_id, unnest(range(0, max(n) + 2)) as n from g group by server_id), "
+    "places as (select m.server_id, m.n, g.pos from numbers m left join g using (server_id, n)) "
+)
+
+
+def gap_log(spark, d):
+    return over(spark, d, GAP_LOG, "events")
+
+
+@check(
+    "t4_gtid_changes",
+    GAPS_SQL + "select t.server_id, t.pos as tx_start, concat('g', t.server_id) as uuid, "
+    "max(case when m.n < t.n then m.n end) + 1 as lo, min(case when m.n > t.n then m.n end) - 1 as hi "
+    "from g t join places m on m.server_id = t.server_id and (m.pos is null or m.pos > t.pos) group by t.server_id, t.pos, t.n",
+)
+def gtid_changes(spark, d):
+    """What each transaction makes of the set: the interval that it lies in from then on."""
+    _, changes = G.gtid_deltas(gap_log(spark, d), block_bits=BITS)
+    return changes.drop("_block")
+
+
+@check(
+    "t4_gtid_set_at",
+    GAPS_SQL + "select server_id, pos, string_agg(r, ':' order by lo) as gtid_set from ("
+    "select server_id, pos, min(n) as lo, case when count(*) = 1 then concat('', min(n)) else concat(min(n), '-', max(n)) end as r from ("
+    "select p.server_id, p.pos, g.n, g.n - row_number() over (partition by p.server_id, p.pos order by g.n) as k "
+    "from (select server_id, pos from g where pos % 1000 = 0) p join g on g.server_id = p.server_id and g.pos < p.pos) group by server_id, pos, k) "
+    "group by server_id, pos",
+)
+def gtid_set_at(spark, d):
+    """The whole set, put together from a block's set and the changes after it, at every fiftieth transaction that has one."""
+    log = gap_log(spark, d)
+    blocks, changes = G.gtid_deltas(log, block_bits=BITS)
+    places = log.where("pos % 1000 = 0").select("server_id", "pos")
+    found = G.gtid_set_at(blocks, changes, places, block_bits=BITS).where("gtid_set <> ''")
+    return found.withColumn("gtid_set", F.expr("substring_index(gtid_set, concat('g', server_id, ':'), -1)"))
+
+
 @check(
     "f8_system_rows_without_metadata",
     numbered_sql(
