@@ -70,7 +70,7 @@ def coalesce_changes_stream(spark, d):
     path = _staged(spark, log, "coalesce", 4)
     _far_ahead(log, path, db="", tbl="")
     stream = _stream(spark, path, log.schema)
-    merged = C.coalesce_changes_stream(stream, ["db", "tbl"], "ts", HOUR_MS, "1 day")
+    merged = C.coalesce_changes_stream(stream, ["db", "tbl"], "ts", HOUR_MS, "1 day", block_gaps=24)
     return (
         _drain(merged, _folder(spark, "coalesced"))
         .filter("tbl <> ''")
@@ -92,7 +92,7 @@ def publish_notices_stream(spark, d):
     path = _staged(spark, log, "publish", 3)
     _far_ahead(log, path, Type="", Database="shop", Table="end of log")
     changes = _stream(spark, path, log.schema)
-    published = flows.publish_stream(changes, ROUTES, "%.%", "sys_info.%,%.error", HOUR_MS, "1 day")
+    published = flows.publish_stream(changes, ROUTES, "%.%", "sys_info.%,%.error", HOUR_MS, "1 day", block_gaps=24)
     return _drain(published, _folder(spark, "published"))
 
 
@@ -110,6 +110,7 @@ def publish_from_log_stream(spark, d):
         ignore="shop.%",
         gap_ms=7_200_000,
         watermark="1 day",
+        block_gaps=12,
     )
     return _drain(published, _folder(spark, "published-log"))
 

@@ -25,7 +25,7 @@ from tidelog.operators.records import to_notices, to_records
 from tidelog.operators.routing import Lookup, Routes, Rule, apply_rules, drop_unrouted, route_topic
 from tidelog.operators.scan import BLOCK_BITS
 from tidelog.sources.sinks import messages
-from tidelog.streaming.coalesce import coalesce_changes_stream
+from tidelog.streaming.coalesce import BLOCK_GAPS, coalesce_changes_stream
 from tidelog.streaming.log import log_changes_stream
 
 
@@ -72,13 +72,14 @@ def publish_stream(
     ignore: str | None = None,
     gap_ms: int = GAP_DEFAULT_MS,
     watermark: str = "10 seconds",
+    block_gaps: int = BLOCK_GAPS,
 ) -> DataFrame:
     """Stream of resolved changes (Type, Database, Table, ts, pos) to a stream of (topic, key, value).
 
     A change is one notice here; ``publish_stream_from_log`` starts from a raw log and gives one for each row.
     """
     wanted = changes.filter(P.table_filter(include, ignore)).filter(route_topic(routes).isNotNull())
-    merged = coalesce_changes_stream(wanted, gap_ms=gap_ms, watermark=watermark, carry=["Type"])
+    merged = coalesce_changes_stream(wanted, gap_ms=gap_ms, watermark=watermark, carry=["Type"], block_gaps=block_gaps)
     return publish_notices(merged.withColumn("Timestamp", F.floor(F.col("window_start") / 1000).cast("bigint")), routes)
 
 
@@ -92,6 +93,7 @@ def publish_stream_from_log(
     gap_ms: int = GAP_DEFAULT_MS,
     watermark: str = "10 seconds",
     keys: Sequence[str] = SERVER,
+    block_gaps: int = BLOCK_GAPS,
 ) -> DataFrame:
     """``publish`` as one streaming query: stream of raw log events to a stream of (topic, key, value).
 
@@ -102,7 +104,7 @@ def publish_stream_from_log(
     changes = log_changes_stream(counted, watermark, keys=keys, carry=["n_rows"])
     wanted = changes.filter(P.table_filter(include, ignore, "db", "tbl"))
     known = drop_system_without_metadata(enrich_columns(wanted, catalog, n_columns), F.col("has_metadata"))
-    merged = coalesce_changes_stream(known, ["db", "tbl"], "ts", gap_ms, None, carry=["event_type", "n_rows"])
+    merged = coalesce_changes_stream(known, ["db", "tbl"], "ts", gap_ms, None, carry=["event_type", "n_rows"], block_gaps=block_gaps)
     return publish_notices(to_notices(merged.withColumn("ts", F.timestamp_micros("window_start"))), routes)
 
 
