@@ -40,8 +40,16 @@ def log(seed, n=300):
     return rows
 
 
-@pytest.mark.parametrize("gap,block_gaps", [(1, 1), (4, 2), (7, 3), (10, 64)])
-def test_windows_across_blocks(spark, gap, block_gaps):
+@pytest.mark.parametrize(
+    "gap,block_gaps,block_rows,follow_rows,fan", [(1, 1, 0, 0, 10), (4, 2, 0, 1, 3), (7, 3, 2, 10, 2), (10, 64, 7, 5, 4), (40, 256, 3, 1, 6), (300, 4, 1, 0, 5)]
+)
+def test_windows_across_blocks(spark, monkeypatch, gap, block_gaps, block_rows, follow_rows, fan):
+    """Blocks of time and of equal depth, also shorter than a gap; steps followed at once and composed in several rounds."""
+    monkeypatch.setattr(C, "FAN_BITS", fan)
+    if block_rows:
+        monkeypatch.setattr(C, "BLOCK_ROWS", block_rows)
+    if follow_rows:
+        monkeypatch.setattr(C, "FOLLOW_ROWS", follow_rows)
     rows = log(gap)
     df = spark.createDataFrame(rows, "k string, t bigint, pos bigint").repartition(3)
     counted = C.anchored_windows(df, ["k"], F.col("t"), gap, "pos", block_gaps, {"n": F.lit(1)})
@@ -68,7 +76,7 @@ def test_block_steps_lead_to_the_right_exit():
         numbers = rng.integers(-3, 50, size=4)
         parts = [np.unique(rng.integers(n * length, (n + 1) * length, size=int(rng.integers(1, 40)))) for n in numbers]
         starts = np.cumsum([0, *[len(p) for p in parts[:-1]]])
-        blocks = C.Blocks(np.concatenate(parts), starts, numbers * length, gap, length)
+        blocks = C.Blocks(np.concatenate(parts), starts, gap)
         group, froms, outs, passes = blocks.steps()
         for back in range(1, 3 * gap):
             anchors = numbers * length - back
@@ -85,6 +93,30 @@ def test_block_steps_lead_to_the_right_exit():
             assert part[opens[blocks.group == g]].tolist() == opened_by_hand(part, gap, None)
 
 
+def test_composed_steps_are_steps_one_after_the_other():
+    rng = np.random.default_rng(7)
+    for _ in range(200):
+        gap = int(rng.integers(1, 30))
+        times = np.unique(rng.integers(0, 200, size=int(rng.integers(3, 60))))
+        starts = np.unique(np.r_[0, rng.integers(0, len(times), size=4)])
+        group, froms, outs, passes = C.Blocks(times, starts, gap).steps()
+        parts = []
+        for g in range(len(starts)):
+            mine = np.flatnonzero(group == g)
+            mine = mine[np.argsort(froms[mine], kind="stable")]
+            parts.append(C.Steps.read(froms[mine], pa.array(outs[mine], mask=passes[mine])))
+        whole = parts[0]
+        for part in parts[1:]:
+            whole = whole.then(part, gap)
+        assert len(whole.froms) <= len(times) and (whole.froms[1:] > whole.froms[:-1]).all()
+        for anchor in [C._NEVER, *range(-gap - 3, 0)]:
+            want = np.array([anchor])
+            for part in parts:
+                want = part.after(want, gap)
+            opened = opened_by_hand(times, gap, None if anchor == C._NEVER else anchor)
+            assert whole.after(np.array([anchor]), gap)[0] == want[0] == (opened[-1] if opened else anchor)
+
+
 def test_groups_over_batch_borders():
     rng = np.random.default_rng(1)
     for _ in range(100):

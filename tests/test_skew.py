@@ -75,9 +75,43 @@ def test_one_table_without_a_pause(spark, spread):
     assert windows.agg(F.count("*"), F.max("pos")).first() == (-(-N // 15), (N - 1) // 15 * 15)
 
 
+def test_a_long_gap_on_a_dense_table(spark, spread, monkeypatch):
+    """All changes lie in a small part of one block of time."""
+    monkeypatch.setattr(C, "BLOCK_ROWS", 500)
+    log = spark.range(N).select(
+        F.lit("d").alias("Database"), F.lit("t").alias("Table"), F.timestamp_millis(F.col("id") * 700).alias("ts"), F.col("id").alias("pos")
+    )
+    thin = C._blocked(C.combined(log, ["Database", "Table"], C.micros("ts"), "pos", {}), ["Database", "Table"], 3_600_000_000 * 256, 500)
+    depths = [r["count"] for r in thin.groupBy("_block").count().collect()]
+    assert len(depths) == 64 and max(depths) < 500
+    n, share = spread(thin.repartition("Database", "Table", "_block"))
+    assert n == 4 and share < 0.5
+    windows = C.anchored_windows(log, ["Database", "Table"], C.micros("ts"), 3_600_000_000, "pos", totals={"n": F.lit(1)})
+    per = 3_600_000 // 700 + 1
+    assert sorted((r.pos, r.n) for r in windows.collect()) == [(at, min(per, N - at)) for at in range(0, N, per)]
+
+
+def test_steps_of_one_table_are_composed_in_many_tasks(spark, spread, monkeypatch):
+    """Evenly spaced changes: no two anchors lead to the same window, so every block has many steps."""
+    monkeypatch.setattr(C, "FAN_BITS", 4)
+    gap, every, per = 1000, 50, 100  # 100 changes in each of 200 blocks, of five gaps
+    made = spark.range(200 * per).select(F.expr(f"id div {per}").alias("_block"), F.expr(f"id % {per}").alias("i"), (F.col("id") * every).alias("t"))
+    # a window opens every 21st change, counted from the anchor
+    exit_ = F.col("t") + F.expr(f"({per} * {every} * (_block + 1) - 1 - t) div 1050 * 1050")
+    steps = made.where(F.col("i") <= 20).select(
+        F.lit("t").alias("k"), "_block", F.when(F.col("i") == 0, C._NEVER).otherwise(F.col("t") - every).cast("bigint").alias("_from"), exit_.cast("bigint").alias("_exit")
+    )
+    found = C._followed(steps, ["k"], gap, 500)
+    n, share = spread(found)
+    assert n == 4 and share < 0.5
+    got = {r["_block"]: r["_open"] for r in found.collect()}
+    openings = range(0, 200 * per * every, 1050)
+    assert got == {b: max((o for o in openings if o < b * per * every), default=None) for b in range(200)}
+
+
 def test_equal_times_are_combined_before_the_shuffle(spark):
     log = spark.range(N).select(F.lit("d").alias("k"), F.floor(F.col("id") / 1000).alias("t"), "id")
-    plan = C.anchored_windows(log, ["k"], F.col("t"), 3, "id")._jdf.queryExecution().executedPlan().toString()
+    plan = C.combined(log, ["k"], F.col("t"), "id", {})._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan
 
 

@@ -4,14 +4,17 @@ The first change of a key opens a window anchored at it; changes up to ``gap``
 later are merged into it, the next one opens a new window. Every window depends on
 the one before, so the log of a key is cut into blocks of time:
 
-1. equal (key, time) rows are combined before anything else is shuffled,
-2. each (key, block) finds, for every change that could open its first window,
+1. equal (key, time) rows are combined before anything else is shuffled, and written down,
+2. blocks in which a key has very many of them are cut further, so that a block is never more than a task's work,
+3. each (key, block) finds, for every change that could open its first window,
    which window is open at the block's end; those runs meet quickly, so only a few
    rows per block are left,
-3. these rows are followed block by block for each key,
-4. each (key, block), now knowing what is open when it begins, emits its windows.
+4. these step functions are followed block by block for each key; where a key has too many for one task, those of
+   neighbouring blocks are first composed to one, in as many rounds as it takes, and what is
+   open is handed down the same rounds,
+5. each (key, block), now knowing what is open when it begins, emits its windows.
 
-Steps 2 and 4 take up many small groups of a partition at once, so that thousands of
+All steps take up many small groups of a partition at once, so that thousands of
 quiet tables cost no more than one busy table with as many rows.
 """
 
@@ -34,6 +37,10 @@ GAP_DEFAULT_MS = 3000
 DATABASE_GAP_MS = 10_000
 COMMIT_GAP_MS = 60_000
 BLOCK_GAPS = 256
+BLOCK_ROWS = 200_000  # different times of a key in a block, beyond which the block is cut
+FOLLOW_ROWS = 1_000_000  # steps of a key that are followed in one task
+FAN_BITS = 10  # blocks, as a power of two, whose steps are composed to one, and parts a block is cut into at most
+CHUNK = 32  # cuts of a block that are looked through at once
 
 _NEVER = np.iinfo(np.int64).min
 
@@ -54,13 +61,14 @@ class Blocks:
     reaches from one group into the next; so one search serves all groups.
     """
 
-    def __init__(self, times: np.ndarray, starts: np.ndarray, begins: np.ndarray, gap: int, length: int):
+    def __init__(self, times: np.ndarray, starts: np.ndarray, gap: int):
         n = len(times)
-        self.times, self.starts, self.begins, self.gap = times, starts, begins, gap
+        self.times, self.starts, self.gap = times, starts, gap
+        self.begins = times[starts]  # every anchor from before is earlier
         self.ends = np.r_[starts[1:], n]
         self.group = np.repeat(np.arange(len(starts)), self.ends - starts)
-        self.base = np.arange(len(starts), dtype=np.int64) * (length + gap + 1)
-        self.line = times - begins[self.group] + self.base[self.group]
+        self.base = np.cumsum(np.r_[0, times[self.ends - 1] - self.begins + gap + 1])[:-1]
+        self.line = times - self.begins[self.group] + self.base[self.group]
         following = np.searchsorted(self.line, self.line + gap, side="right")
         self.following = np.where(following < self.ends[self.group], following, -1)
 
@@ -105,6 +113,40 @@ class Blocks:
         return opens
 
 
+class Steps:
+    """How the window open before a stretch of a key decides the one open after it: an anchor takes the last step with
+    ``froms <= anchor + gap``; beyond ``passes`` (if not None) it stays open itself. No anchor takes the first step."""
+
+    def __init__(self, froms: np.ndarray, outs: np.ndarray, passes: int | None):
+        self.froms, self.outs, self.passes = froms, outs, passes
+
+    @classmethod
+    def read(cls, froms: np.ndarray, exits: pa.Array) -> Steps:
+        known = exits.is_valid().to_numpy(zero_copy_only=False)
+        passing = froms[~known]
+        return cls(froms[known], exits.drop_null().to_numpy(), int(passing[0]) if len(passing) else None)
+
+    def after(self, anchors: np.ndarray, gap: int) -> np.ndarray:
+        """The anchors after the stretch; _NEVER stands for none before it."""
+        reach = np.where(anchors == _NEVER, _NEVER, anchors + gap)
+        out = self.outs[np.searchsorted(self.froms, reach, side="right") - 1]
+        return out if self.passes is None else np.where(reach >= self.passes, anchors, out)
+
+    def then(self, other: Steps, gap: int) -> Steps:
+        """Both, one after the other. Steps that lead to the same window become one."""
+        froms, outs, passes = self.froms, other.after(self.outs, gap), None
+        if self.passes is not None:  # an anchor that stays open meets the other's own steps
+            later = np.searchsorted(other.froms, self.passes, side="right") - 1
+            froms = np.r_[froms, np.maximum(other.froms[later:], self.passes)]
+            outs = np.r_[outs, other.outs[later:]]
+            if other.passes is not None:
+                passes = max(self.passes, other.passes)
+                some = froms < passes
+                froms, outs = froms[some], outs[some]
+        differs = np.r_[True, outs[1:] != outs[:-1]]
+        return Steps(froms[differs], outs[differs], passes)
+
+
 def anchored_windows(
     df: DataFrame,
     keys: Sequence[str],
@@ -113,12 +155,14 @@ def anchored_windows(
     order: str,
     block_gaps: int = BLOCK_GAPS,
     totals: dict[str, Column] | None = None,
+    block_rows: int | None = None,
+    follow_rows: int | None = None,
 ) -> DataFrame:
     """Windows per key: ``window_start``, the ``order`` of the first row, ``window_last`` and ``totals`` summed.
 
     ``at`` is a bigint column; a window holds the rows with ``at`` up to ``gap``
     above its first one. Of rows with equal key and ``at`` the lowest ``order``
-    counts as first. Only keys, times, orders and totals are moved. Without totals
+    counts as first. Only keys, times, orders and totals are moved, and ``df`` is read once. Without totals
     only the openings are looked for, which saves the last aggregation.
     """
     keys, totals = list(keys), totals or {}
@@ -126,67 +170,24 @@ def anchored_windows(
     sums = [f"_sum{i}" for i in range(len(totals))]
     group = [*keys, "_block"]
     length = max(gap, 1) * block_gaps
-    thin = (
-        df.select(
-            *keys,
-            at.alias("_at"),
-            F.col(order).alias("_first"),
-            *[total.cast("bigint").alias(name) for name, total in zip(sums, totals.values())],
-        )
-        .withColumn("_block", ((F.col("_at") - F.pmod("_at", F.lit(length))) / F.lit(length)).cast("bigint"))
-        .groupBy(*group, "_at")
-        .agg(F.min("_first").alias("_first"), *[F.sum(name).alias(name) for name in sums])
-    )
+    thin = settle(combined(df, keys, at, order, dict(zip(sums, totals.values()))))
+    thin = _blocked(thin, keys, length, block_rows or BLOCK_ROWS)
     key_fields = [f for f in thin.schema.fields if f.name in group]
 
-    def laid_out(table: pa.Table, starts: np.ndarray) -> Blocks:
-        begins = table.column("_block").to_numpy()[starts] * length
-        return Blocks(table.column("_at").to_numpy(), starts, begins, gap, length)
-
     step_schema = T.StructType(
         [*key_fields, T.StructField("_from", T.LongType()), T.StructField("_exit", T.LongType())]
     )
 
     def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_groups(batches, group):
-            which, froms, outs, passes = laid_out(table, starts).steps()
+            which, froms, outs, passes = Blocks(table.column("_at").to_numpy(), starts, gap).steps()
             columns = {name: table.column(name).take(pa.array(starts[which])) for name in group}
             columns["_from"] = pa.array(froms, pa.int64())
             columns["_exit"] = pa.array(outs, pa.int64(), mask=passes)
             yield from pa.table(columns).to_batches()
 
-    carry_schema = T.StructType([*key_fields, T.StructField("_open", T.LongType())])
-
-    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, key_starts in whole_groups(batches, keys):
-            blocks = table.column("_block").to_numpy()
-            froms = table.column("_from").to_numpy()
-            outs = table.column("_exit").to_pylist()
-            is_start = np.r_[True, blocks[1:] != blocks[:-1]]
-            is_start[key_starts] = True
-            firsts = np.flatnonzero(is_start)
-            new_key = np.isin(firsts, key_starts).tolist()
-            opened: list[int | None] = []
-            anchor: int | None = None
-            for lo, hi, new in zip(firsts.tolist(), [*firsts[1:].tolist(), len(blocks)], new_key):
-                anchor = None if new else anchor
-                opened.append(anchor)
-                reach = _NEVER if anchor is None else anchor + gap
-                out = outs[lo if hi == lo + 1 else lo + int(np.searchsorted(froms[lo:hi], reach, side="right")) - 1]
-                anchor = anchor if out is None else out
-            columns = {name: table.column(name).take(pa.array(firsts)) for name in group}
-            columns["_open"] = pa.array(opened, pa.int64())
-            yield from pa.table(columns).to_batches()
-
-    carried = (
-        thin
-        .repartition(*group)
-        .sortWithinPartitions(*group, "_at")
-        .mapInArrow(steps, step_schema)
-        .repartition(*keys)
-        .sortWithinPartitions(*group, "_from")
-        .mapInArrow(follow, carry_schema)
-    )
+    ready = thin.repartition(*group).sortWithinPartitions(*group, "_at")
+    carried = _followed(settle(ready.mapInArrow(steps, step_schema)), keys, gap, follow_rows or FOLLOW_ROWS)
 
     out_schema = T.StructType(
         [
@@ -207,7 +208,7 @@ def anchored_windows(
             is_row = np.ones(mixed.num_rows, dtype=bool)
             is_row[heads] = False
             table, starts = mixed.filter(pa.array(is_row)).combine_chunks(), heads - np.arange(len(heads))
-            blocks = laid_out(table, starts)
+            blocks = Blocks(table.column("_at").to_numpy(), starts, gap)
             opens = blocks.opened(anchors, known)
             edges = opens.copy()
             edges[starts] = True  # rows ahead of a block's first opening belong to the window it began with
@@ -234,11 +235,110 @@ def anchored_windows(
         return opened.drop("window_last")
     return opened.groupBy(*keys, "window_start").agg(
         F.min(order).alias(order),
-        *[F.sum(name).alias(total) for name, total in zip(sums, totals)],
+        *[F.sum(name).alias(name_) for name, name_ in zip(sums, totals)],
         F.max("window_last").alias("window_last"),
     )
 
 
+def combined(df: DataFrame, keys: list[str], at: Column, order: str, totals: dict[str, Column]) -> DataFrame:
+    """One row per key and ``_at``: the lowest order as ``_first``, and the totals. Every task combines its own rows first."""
+    picked = df.select(*keys, at.alias("_at"), F.col(order).alias("_first"), *[total.cast("bigint").alias(name) for name, total in totals.items()])
+    return picked.groupBy(*keys, "_at").agg(F.min("_first").alias("_first"), *[F.sum(name).alias(name) for name in totals])
+
+
+def _blocked(thin: DataFrame, keys: list[str], length: int, most: int) -> DataFrame:
+    """``thin`` with ``_block``: spans of time, and parts of equal depth of those in which a key has more than ``most`` rows.
+
+    Where to cut such a span is told by a sketch of its times. Only these spans are listed, so the list is as short as
+    they are long.
+    """
+    span = thin.withColumn("_span", F.expr(f"(_at - pmod(_at, {length})) div {length}"))
+    place = F.struct(*keys, "_span")  # equal even where a key is null
+    span = span.withColumn("_place", place)
+    full = span.groupBy("_place").count().where(F.col("count") > most)
+    bits = F.least(F.ceil(F.log2(F.col("count") / most)), F.lit(FAN_BITS)).cast("int")
+    full = settle(full.select("_place", bits.alias("_bits")))
+    if full.isEmpty():
+        return span.withColumn("_block", F.shiftleft("_span", FAN_BITS)).drop("_span", "_place")
+    parts = 1 << FAN_BITS
+    some = span.join(small_side(full), "_place")
+    sketch = F.percentile_approx("_at", [i / parts for i in range(1, parts)], 10 * parts)
+    bounds = F.transform(F.sequence(F.lit(1), F.expr("shiftleft(1, _bits) - 1")), lambda i: F.get("_times", i * F.expr(f"{parts} div shiftleft(1, _bits)") - 1))
+    cuts = some.groupBy("_place", "_bits").agg(sketch.alias("_times")).select("_place", bounds.alias("_bounds"))
+    # looked up in two steps
+    chunks = F.transform(F.sequence(F.lit(0), F.expr(f"(size(_bounds) - 1) div {CHUNK}")), lambda i: F.slice("_bounds", i * CHUNK + 1, F.lit(CHUNK)))
+    cuts = cuts.select("_place", chunks.alias("_chunks"))
+    cut = span.join(small_side(settle(cuts)), "_place", "left")
+    chunk = F.size(F.filter("_chunks", lambda c: F.get(c, F.lit(0)) <= F.col("_at"))) - 1
+    inside = F.size(F.filter(F.get("_chunks", chunk), lambda b: b <= F.col("_at")))
+    part = F.when(F.col("_chunks").isNotNull() & (chunk >= 0), chunk * CHUNK + inside).otherwise(0)
+    return cut.withColumn("_block", F.shiftleft("_span", FAN_BITS) + part).drop("_span", "_place", "_chunks")
+
+
+def _followed(steps: DataFrame, keys: list[str], gap: int, most: int, rounds: int = 6) -> DataFrame:
+    """(keys, _block, _open): the anchor open before each block, from the steps (keys, _block, _from, _exit)."""
+    busiest = steps.groupBy(*keys).agg(F.count("*").alias("n"), F.count_distinct("_block").alias("blocks")).agg(F.max(F.when(F.col("blocks") > 1, F.col("n")))).first()[0] or 0
+    schema = steps.schema
+    group, above = [*keys, "_block"], [*keys, "_above"]
+    open_schema = T.StructType([*(schema[k] for k in group), T.StructField("_open", T.LongType())])
+
+    def reader(table: pa.Table):
+        """The blocks of a stretch of rows: where each starts, and its steps."""
+        numbers, froms = (table.column(c).fill_null(0).to_numpy() for c in ("_block", "_from"))
+        exits = table.column("_exit").combine_chunks()
+
+        def blocks_of(start: int, end: int) -> Iterator[tuple[int, Steps]]:
+            firsts = start + np.flatnonzero(np.r_[True, numbers[start + 1 : end] != numbers[start : end - 1]])
+            for lo, hi in zip(firsts.tolist(), [*firsts[1:].tolist(), end]):
+                yield lo, Steps.read(froms[lo:hi], exits.slice(lo, hi - lo))
+
+        return blocks_of
+
+    def follow(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+        """Blocks in order. With ``names`` of stretches, a row without a block says what is open before each."""
+        for table, starts in whole_groups(batches, names):
+            given = table.column("_open").to_pylist() if names != keys else None
+            blocks_of, rows, opened = reader(table), [], []
+            for start, end in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows]):
+                anchor = np.array([_NEVER])
+                if given is not None:
+                    anchor = anchor if given[start] is None else np.array([given[start]])
+                    start += 1
+                for row, one in blocks_of(start, end):
+                    rows.append(row)
+                    opened.append(int(anchor[0]))
+                    anchor = one.after(anchor, gap)
+            columns = {name: table.column(name).take(pa.array(rows, pa.int64())) for name in group}
+            columns["_open"] = pa.array([None if a == _NEVER else a for a in opened], pa.int64())
+            yield from pa.table(columns).to_batches()
+
+    if busiest <= most or not rounds:
+        ordered = (steps.repartition(*keys) if keys else steps.coalesce(1)).sortWithinPartitions(*group, "_from")
+        return ordered.mapInArrow(lambda batches: follow(batches, keys), open_schema)
+
+    stretches = steps.withColumn("_above", F.shiftright("_block", FAN_BITS))
+
+    def compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_groups(batches, above):
+            blocks_of, rows, froms, outs = reader(table), [], [], []
+            for start, end in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows]):
+                whole: Steps | None = None
+                for _, one in blocks_of(start, end):
+                    whole = one if whole is None else whole.then(one, gap)
+                froms += [*whole.froms.tolist(), *([] if whole.passes is None else [whole.passes])]
+                outs += [*whole.outs.tolist(), *([] if whole.passes is None else [None])]
+                rows += [start] * (len(froms) - len(rows))
+            columns = {name: table.column(name).take(pa.array(rows, pa.int64())) for name in keys}
+            columns |= {"_block": table.column("_above").take(pa.array(rows, pa.int64())), "_from": pa.array(froms, pa.int64()), "_exit": pa.array(outs, pa.int64())}
+            yield from pa.table(columns).to_batches()
+
+    composed = stretches.repartition(*above).sortWithinPartitions(*above, "_block", "_from").mapInArrow(compose, schema)
+    before = _followed(settle(composed), keys, gap, most, rounds - 1).withColumnRenamed("_block", "_above")
+    known = stretches.unionByName(before, allowMissingColumns=True).repartition(*above)
+    known = known.sortWithinPartitions(*above, F.col("_block").asc_nulls_first(), "_from")
+    return known.mapInArrow(lambda batches: follow(batches, above), open_schema)
+
+
 def with_first_rows(df: DataFrame, windows: DataFrame, keys: Sequence[str], at: Column, order: str) -> DataFrame:
     """Windows with all columns of their first row. Rows that agree in key, time and order count as one."""
     place = F.struct(*keys, "_at", order).alias("_place")  # equal even where a key is null
