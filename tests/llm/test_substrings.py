@@ -51,9 +51,13 @@ def texts():
     return out
 
 
-@pytest.mark.parametrize("crowd", [500, 2])
-def test_against_all_windows(spark, texts, monkeypatch, crowd):
+@pytest.mark.parametrize("crowd, hot, together", [(500, 100, 10**6), (2, 100, 50), (500, 2, 50), (2, 1, 10**6)])
+def test_against_all_windows(spark, texts, monkeypatch, crowd, hot, together):
+    """However anchors are dealt and whatever counts as a crowd."""
     monkeypatch.setattr(substrings, "CROWD", crowd)
+    monkeypatch.setattr(substrings, "HOT_ROWS", hot)
+    monkeypatch.setattr(substrings, "COMBINED_ROWS", together)
+    monkeypatch.setattr(substrings, "MARKS_BYTES", 0 if hot == 2 else 1 << 20)
     ids = list(range(len(texts)))
     random.Random(3).shuffle(ids)
     df = documents(spark, texts, ids, extra="doc,n_bytes,places,spans,copy")

@@ -17,7 +17,11 @@ from tidelog.operators.groups import whole_groups
 from tidelog.session import settle, small_side
 
 LENGTH = 50  # bytes of a repeated string
-CROWD = 500  # contexts of one anchor that are sorted in one task; larger crowds are resolved window by window
+CROWD = 500  # contexts of one anchor that are sorted in one task; larger crowds are resolved window by window, by their bytes
+MARKS_BYTES = 192 << 20  # of the places found, as text, up to which they go to the documents; beyond that both are shuffled
+COMBINED_ROWS = 500_000  # anchors of a task looked at together, about
+SAMPLE_DOCS = 20_000  # looked through for hot anchors, about
+HOT_ROWS = 100  # of an anchor in these, from which it counts as hot
 
 
 def _contexts(data: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
@@ -30,81 +34,129 @@ def _contexts(data: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     return hashes, one, mix(span_hashes(second_hashes(data), _powers(len(data) + 1, _SECOND_BACK), first, last - first + length))
 
 
-def _anchor_rows(docs: DataFrame, length: int) -> DataFrame:
+PLAIN, COVERED, HOT = range(3)
+
+
+def _combined(columns: list[np.ndarray], hot: np.ndarray) -> list[np.ndarray]:
+    """Anchors of some documents, made ready to be dealt by ``anchor``: (anchor, context, second, doc, place, kind).
+
+    A context that an earlier one of these documents has is COVERED and goes anywhere; an anchor that is known to be HOT is
+    dealt by its context, too. So neither copies nor common passages bring their documents together in one task.
+    """
+    anchor, context, second, doc, place = columns
+    kind = np.full(len(anchor), PLAIN, np.int8)
+    if not len(anchor):
+        return [*columns, kind]
+    together = anchor ^ mix(context.view(np.uint64)).view(np.int64) ^ second
+    order = np.argsort(together, kind="stable")
+    a, c, s, d = (x[order] for x in (anchor, context, second, doc))
+    new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (c[1:] != c[:-1]) | (s[1:] != s[:-1])])
+    first = np.repeat(np.minimum.reduceat(d, new), np.diff(np.r_[new, len(d)]))
+    covered = order[d > first]
+    anchor = anchor.copy()
+    if len(hot):
+        busy = hot[np.minimum(np.searchsorted(hot, anchor), len(hot) - 1)] == anchor
+        kind[busy] = HOT
+        anchor[busy] ^= mix(context[busy].view(np.uint64)).view(np.int64)
+    kind[covered] = COVERED
+    anchor[covered] = mix(doc[covered].view(np.uint64) * np.uint64(31) + place[covered].astype(np.uint64)).view(np.int64)
+    return [anchor, context, second, doc, place, kind]
+
+
+def _anchor_rows(docs: DataFrame, length: int, hot: np.ndarray) -> DataFrame:
+    sent = docs.sparkSession.sparkContext.broadcast(hot)
+    names = ["anchor", "context", "second", "doc", "place", "kind"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
+            found, n = [], 0
             for first, data, offsets in blocks(batch.column(1)):
-                found = []
                 for i in range(len(offsets) - 1):
                     hashes = [x.view(np.int64) for x in _contexts(data[offsets[i] : offsets[i + 1]], length)]
                     found.append((*hashes, np.full(len(hashes[0]), ids[first + i]), np.arange(len(hashes[0]), dtype=np.int32)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], names=["anchor", "context", "second", "doc", "place"])
+                    n += len(hashes[0])
+                if n > COMBINED_ROWS:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in _combined([np.concatenate(x) for x in zip(*found)], sent.value)], names=names)
+                    found, n = [], 0
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _combined([np.concatenate(x) for x in zip(*found)], sent.value)], names=names)
 
-    return docs.select("doc", "text").mapInArrow(run, "anchor bigint, context bigint, second bigint, doc bigint, place int")
+    return docs.select("doc", "text").mapInArrow(run, "anchor bigint, context bigint, second bigint, doc bigint, place int, kind tinyint")
+
+
+def _hot_anchors(docs: DataFrame, length: int) -> np.ndarray:
+    """Anchors that many of some documents have, SAMPLE_DOCS at most or so. They are only dealt otherwise; no result depends on them."""
+    n = docs.count()
+    some = _anchor_rows(docs.sample(min(1.0, SAMPLE_DOCS / max(n, 1)), seed=3), length, np.zeros(0, np.int64)) if n else None
+    rows = some.where(F.col("kind") == PLAIN).groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") >= HOT_ROWS).collect() if n else []
+    return np.sort(np.array([r["anchor"] for r in rows], np.int64))
 
 
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From anchors sorted by hash, both hashes of the context and document: those whose whole context an earlier document has
-    (``covered``), and those of the first document with a context, if the anchor has another context, too."""
-    held = tuple(np.zeros(0, np.int64) for _ in range(5))  # the last context met, in its first document
+    (``covered``), and those of the first document with a context, if the anchor has another context, too, or is a hot one."""
+    held = tuple(np.zeros(0, np.int64) for _ in range(6))  # the last context met, in its first document
     other = False  # has the anchor of the held ones a context before theirs?
 
-    def out(anchor, doc, place, covered) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (anchor, doc, place, covered)], names=["anchor", "doc", "place", "covered"])
+    def out(anchor, context, doc, place, kind, covered) -> pa.RecordBatch:
+        real = anchor ^ np.where(kind == HOT, mix(context.view(np.uint64)).view(np.int64), 0)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (real, doc, place, covered)], names=["anchor", "doc", "place", "covered"])
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        anchor, context, second, doc, place = (np.r_[h, batch.column(i).to_numpy()] for i, h in enumerate(held))
+        columns = [batch.column(i).to_numpy().astype(np.int64) for i in range(6)]
+        known = columns[5] == COVERED
+        yield out(*(x[known] for x in columns[:2]), *(x[known] for x in columns[3:]), np.ones(known.sum(), bool))
+        if known.all():
+            continue
+        anchor, context, second, doc, place, kind = (np.r_[h, x[~known]] for h, x in zip(held, columns))
         new = np.r_[True, (anchor[1:] != anchor[:-1]) | (context[1:] != context[:-1]) | (second[1:] != second[:-1])]
         starts, run = np.flatnonzero(new), np.cumsum(new) - 1
         same = anchor[starts[1:]] == anchor[starts[:-1]]
         before, after = np.r_[other, same], np.r_[same, False]
         first = doc == doc[starts][run]
         last = run == run[-1]
-        yield out(anchor[~first], doc[~first], place[~first], np.ones((~first).sum(), bool))
-        open_ = first & ~last & (before | after)[run]
-        yield out(anchor[open_], doc[open_], place[open_], np.zeros(open_.sum(), bool))
-        held, other = tuple(x[first & last] for x in (anchor, context, second, doc, place)), bool(before[-1])
-    if other:
-        yield out(held[0], held[3], held[4], np.zeros(len(held[0]), bool))
+        yield out(*(x[~first] for x in (anchor, context, doc, place, kind)), np.ones((~first).sum(), bool))
+        open_ = first & ~last & ((before | after)[run] | (kind == HOT))
+        yield out(*(x[open_] for x in (anchor, context, doc, place, kind)), np.zeros(open_.sum(), bool))
+        held, other = tuple(x[first & last] for x in (anchor, context, second, doc, place, kind)), bool(before[-1])
+    if len(held[0]) and (other or held[5][0] == HOT):
+        yield out(held[0], held[1], held[3], held[4], held[5], np.zeros(len(held[0]), bool))
 
 
 def _open_contexts(docs: DataFrame, length: int) -> DataFrame:
-    """The bytes of the contexts in ``alone``, under their anchors, and the hashes of all windows of those in ``crowded``."""
+    """The bytes of the contexts in ``alone``, under their anchors, and those of each window of the contexts in ``crowded``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
             lists = [[np.array(x.as_py() or [], np.int64) for x in batch.column(i)] for i in (2, 3)]
             for begin, data, offsets in blocks(batch.column(1)):
-                key, second, doc, start, windows, context = [], [], [], [], [], []
+                key, doc, start, windows, ahead, context = [], [], [], [], [], []
                 for i in range(len(offsets) - 1):
                     text = data[offsets[i] : offsets[i + 1]]
-                    _, hashes, first, last = anchors(text, length)
+                    places, hashes, first, last = anchors(text, length)
                     alone, crowded = (x[begin + i] for x in lists)
                     alone, crowded = alone[alone < len(hashes)], crowded[crowded < len(hashes)]
                     key.append(hashes[alone].view(np.int64))
-                    second.append(np.zeros(len(alone), np.int64))
                     start.append(first[alone])
                     windows.append(last[alone] - first[alone] + 1)
+                    ahead.append(places[alone] - first[alone])
                     context += [text[a : b + length].tobytes() for a, b in zip(first[alone], last[alone])]
                     at = np.concatenate([np.arange(a, b + 1) for a, b in zip(first[crowded], last[crowded])] or [np.zeros(0, np.int64)])
-                    prefixes, back = (prefix_hashes(text), _powers(len(text) + 1, _BACK)) if len(at) else (None, None)
-                    hashed = span_hashes(prefixes, back, at, length) if len(at) else np.zeros(0, np.uint64)
+                    hashed = span_hashes(prefix_hashes(text), _powers(len(text) + 1, _BACK), at, length) if len(at) else np.zeros(0, np.uint64)
                     key.append(mix(hashed).view(np.int64))
-                    # a second hash, of the halves, so that different windows are never taken for equal
-                    halves = [span_hashes(prefixes, back, at + x, length // 2) for x in (0, length - length // 2)] if len(at) else [hashed, hashed]
-                    second.append(mix(halves[0] ^ mix(halves[1])).view(np.int64))
                     start.append(at)
-                    windows.append(np.ones(len(at), np.int64))
-                    context += [None] * len(at)
+                    windows.append(np.zeros(len(at), np.int64))
+                    ahead.append(np.zeros(len(at), np.int64))
+                    context += [text[a : a + length].tobytes() for a in at]
                     doc.append(np.full(len(alone) + len(at), ids[begin + i]))
-                columns = [pa.array(np.concatenate(x)) for x in (key, second, doc, start, windows)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(context, pa.binary())], names=["key", "second", "doc", "start", "windows", "context"])
+                columns = [pa.array(np.concatenate(x)) for x in (key, doc, start, windows, ahead)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(context, pa.binary())], names=["key", "doc", "start", "windows", "ahead", "context"])
 
-    kind = "key bigint, second bigint, doc bigint, start bigint, windows bigint, context binary"
+    kind = "key bigint, doc bigint, start bigint, windows bigint, ahead bigint, context binary"
     return docs.select("doc", "text", "alone", "crowded").mapInArrow(run, kind)
 
 
@@ -116,17 +168,24 @@ def _runs(doc: np.ndarray, start: np.ndarray, length: int) -> pa.RecordBatch:
 
 
 def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
-    """Spans that earlier documents have, from the suffixes of all contexts of each anchor."""
+    """Spans that earlier documents have, from the suffixes of all contexts of each anchor.
+
+    Equal windows have their anchor in the same place, so only suffixes that start as far from it are sorted together.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, firsts in whole_groups(batches, ["key"]):
-            doc, start, windows = (table[c].to_numpy() for c in ("doc", "start", "windows"))
+            doc, start, windows, ahead = (table[c].to_numpy() for c in ("doc", "start", "windows", "ahead"))
             texts = table["context"].to_pylist()
             data = np.frombuffer(b"".join(texts), np.uint8)
             begins = np.cumsum([0, *map(len, texts)])[:-1]
             owner = np.repeat(np.arange(len(doc)), windows)
             shift = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
             group = np.searchsorted(firsts, owner, "right")
+            away = shift - ahead[owner]
+            dealt = np.lexsort((away, group))
+            owner, shift, group, away = owner[dealt], shift[dealt], group[dealt], away[dealt]
+            group = np.cumsum(np.r_[True, (group[1:] != group[:-1]) | (away[1:] != away[:-1])])
             order, equal = sort_suffixes(data, begins[owner] + shift, group, length)
             runs = np.flatnonzero(~equal)
             lowest = np.minimum.reduceat(doc[owner[order]], runs)[np.cumsum(~equal) - 1]
@@ -134,7 +193,7 @@ def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
             place = np.lexsort((start[owner[hit]] + shift[hit], doc[owner[hit]]))
             yield _runs(doc[owner[hit]][place], (start[owner[hit]] + shift[hit])[place], length)
 
-    some = contexts.select("key", "doc", "start", "windows", "context").repartition("key").sortWithinPartitions("key", "doc", "start")
+    some = contexts.select("key", "doc", "start", "windows", "ahead", "context").repartition("key").sortWithinPartitions("key", "doc", "start")
     return some.mapInArrow(run, "doc bigint, start bigint, end bigint")
 
 
@@ -183,7 +242,7 @@ def repeated_strings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     (``suffixes.anchors``), the same one wherever it occurs, so that only one in sixteen places is shuffled. An anchor
     whose whole context an earlier document has is settled by that. What is left are anchors with several contexts: the
     suffixes of their windows are sorted (``suffixes.sort_suffixes``), and equal neighbours go by the smallest document.
-    An anchor with more than CROWD contexts is not brought together: its windows are grouped by two hashes of 64 bits.
+    An anchor with more than CROWD contexts is not brought together: its windows are grouped by their bytes, each on its own.
     """
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
@@ -192,7 +251,7 @@ def repeated_strings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     rows = rows.join(several, "digest", "left").withColumn("copy", F.coalesce(F.col("first") < F.col("doc"), F.lit(False))).drop("digest", "first")
     own = rows.where("not copy and doc is not null")
 
-    found = _anchor_rows(own, length).repartition("anchor")
+    found = _anchor_rows(own, length, _hot_anchors(own, length)).repartition("anchor")
     found = found.sortWithinPartitions("anchor", "context", "second", "doc")
     judged = stored(found.mapInArrow(_judged, "anchor bigint, doc bigint, place bigint, covered boolean"))
     several = judged.where("not covered").groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n"))
@@ -207,12 +266,12 @@ def repeated_strings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     )
     marks = stored(marks)
 
-    wanted = small_side(marks.where("size(alone) + size(crowded) > 0").select("doc", "alone", "crowded"))
+    wanted = small_side(marks.where("size(alone) + size(crowded) > 0").select("doc", "alone", "crowded"), MARKS_BYTES)
     contexts = stored(_open_contexts(own.join(wanted, "doc"), length))
-    windows = contexts.where("context is null")
-    lows = settle(windows.groupBy("key", "second").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("key", "second", "low"))
-    crowd = windows.join(lows, ["key", "second"]).where("low < doc").select("doc", "start", (F.col("start") + length).alias("end"))
-    spans = _sorted_spans(contexts.where("context is not null"), length).union(crowd)
+    windows = contexts.where("windows = 0")
+    lows = settle(windows.groupBy("key", "context").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("key", "context", "low"))
+    crowd = windows.join(lows, ["key", "context"]).where("low < doc").select("doc", "start", (F.col("start") + length).alias("end"))
+    spans = _sorted_spans(contexts.where("windows > 0"), length).union(crowd)
     spans = spans.distinct().groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     made = stored(marks.where("size(places) > 0").select("doc", "places").join(spans, "doc", "full"))
-    return _results(rows.join(small_side(made), "doc", "left").select("doc", "text", "copy", "places", "spans"), length)
+    return _results(rows.join(small_side(made, MARKS_BYTES), "doc", "left").select("doc", "text", "copy", "places", "spans"), length)

@@ -79,25 +79,33 @@ def anchors(data: np.ndarray, length: int, prefixes: np.ndarray | None = None) -
 def extensions(prefixes: np.ndarray, back: np.ndarray, one: np.ndarray, two: np.ndarray, length: int) -> np.ndarray:
     """How many bytes the suffixes at ``one`` and ``two`` have in common, up to ``length``: by halving, on hashes."""
     low, high = np.zeros(len(one), np.int64), np.full(len(one), length, np.int64)
-    while (low < high).any():
+    from_one, from_two, back_one, back_two = prefixes[one], prefixes[two], back[one], back[two]
+    for _ in range(length.bit_length()):
         middle = (low + high + 1) // 2
-        same = span_hashes(prefixes, back, one, middle) == span_hashes(prefixes, back, two, middle)
+        same = (prefixes[one + middle] - from_one) * back_one == (prefixes[two + middle] - from_two) * back_two
         low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
     return low
 
 
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number; zeros follow the last byte."""
+    padded = np.r_[data, np.zeros(8, np.uint8)]
+    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, 8)[: len(data)]).view(">u8")[:, 0].astype(np.uint64)
+
+
 def sort_suffixes(data: np.ndarray, at: np.ndarray, group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """The order of the suffixes that start ``at`` the given places, by their first ``length`` bytes within their groups,
     and for each in that order whether it is equal to the one before.
 
     Groups are numbered in order. All groups are merge-sorted together: in each round every suffix finds its place
-    in the run beside its own by halving, and two suffixes are compared by the first byte after their common
-    extension. Equal neighbours are compared byte by byte in the end, so that no equal hashes of different bytes count.
+    in the run beside its own by halving, and two suffixes are compared by their first eight bytes or, if these are equal, by the
+    first byte after their common extension. Equal neighbours are compared byte by byte in the end, so that no equal hashes of different bytes count.
     """
     prefixes, back = prefix_hashes(data), _powers(len(data) + 1, _BACK)
     starts = np.searchsorted(group, group, "left")
     ends = np.searchsorted(group, group, "right")
     order = np.arange(len(at))
+    words = _words(data) if length >= 8 else np.zeros(len(data), np.uint64)
     width = 1
     while len(at) and width < int((ends - starts).max()):
         live = np.flatnonzero(ends - starts > width)
@@ -109,11 +117,14 @@ def sort_suffixes(data: np.ndarray, at: np.ndarray, group: np.ndarray, length: i
         mine = at[order[live]]
         while (open_ := np.flatnonzero(low < high)).size:
             middle = (low[open_] + high[open_]) // 2
-            theirs = at[order[middle]]
-            common = extensions(prefixes, back, theirs, mine[open_], length)
+            theirs, own = at[order[middle]], mine[open_]
+            less = words[theirs] < words[own]
+            alike = np.flatnonzero(words[theirs] == words[own])
+            one, two = theirs[alike], own[alike]
+            common = extensions(prefixes, back, one, two, length)
             full = common == length
             step = np.where(full, 0, common)
-            less = np.where(full, ~left[open_], data[theirs + step] < data[mine[open_] + step])  # equal: those on the left first
+            less[alike] = np.where(full, ~left[open_[alike]], data[one + step] < data[two + step])  # equal: those on the left first
             low[open_[less]] = middle[less] + 1
             high[open_[~less]] = middle[~less]
         pair = starts[live] + (run - run % 2) * width
