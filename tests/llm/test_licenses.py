@@ -1,6 +1,7 @@
 """License scans: planted templates, edited ones, and all notices of the test table against plain search."""
 
 import os
+import random
 
 import pytest
 from common import documents, prose
@@ -93,6 +94,46 @@ def test_edited_licenses_in_long_lines(spark):
     assert dict((name, r) for r, name in scanner.reductions(texts[0]))["MIT"] > 0.8
 
 
+def test_relatives_are_told_apart(spark):
+    """No license goes by the name of another one, also where that one is not among the templates."""
+    names = [n for n in TEMPLATES if "GPL" in n or "BSD" in n or n in ("MIT", "ISC")]
+    texts = [TEMPLATES[n] for n in names]
+    assert confirmed(spark, texts) == {i: [(0, n)] for i, n in enumerate(names)}
+    unknown = [
+        TEMPLATES["LGPL-2.1-or-later"].replace("2.1", "2").replace("Lesser", "Library"), TEMPLATES["AGPL-3.0-or-later"].replace("version 3", "version 4"),
+        TEMPLATES["GPL-2.0-or-later"].replace("either version 2", "either version 5"), TEMPLATES["BSD-2-Clause"].replace("THIS SOFTWARE IS PROVIDED", "Neither the name may be used. THIS SOFTWARE IS PROVIDED"),
+    ]
+    assert confirmed(spark, unknown) == {i: [] for i in range(4)}
+    rest = {n: t for n, t in TEMPLATES.items() if not n.startswith(("LGPL", "AGPL", "BSD-3"))}
+    docs = documents(spark, [TEMPLATES[n] for n in ("LGPL-3.0-or-later", "AGPL-3.0-or-later", "BSD-3-Clause")])
+    assert scan(docs, "text", ["doc_id"], rest).where("confirmed").collect() == []
+
+
+def test_against_every_window_and_template():
+    """Windows that are compressed lose no place that differs little, wherever it stands."""
+    scanner = Scanner(TEMPLATES)
+    draw = random.Random(5)
+    for round_ in range(60):
+        words: list[str] = prose(round_, draw.randint(0, 300))
+        for _ in range(draw.randint(1, 4)):
+            name = draw.choice(list(TEMPLATES))
+            own = list(scanner.words[name])
+            for _ in range(draw.randint(0, int(0.06 * len(own)))):
+                own[draw.randrange(len(own))] = draw.choice(["other", "new", "words"])
+            words += own + prose(draw.random(), draw.randint(0, 120))
+        text = " ".join(words)
+        want: dict[str, set] = {}
+        for name in TEMPLATES:  # all windows, without compression
+            for taken, missing, added in scanner.places(name, words):
+                want.setdefault(name, set()).add((-len(scanner.words[name]), missing + added, name, tuple(taken)))
+        used, plain = set(), []
+        for _, _, name, taken in sorted(x for found in want.values() for x in found):
+            if used.isdisjoint(taken):
+                used.update(taken)
+                plain.append(name)
+        assert sorted(f["license"] for f in scanner.confirmed(text)) == sorted(plain)
+
+
 def test_nothing_of_a_table_without_licenses(spark):
     assert confirmed(spark, ["the license of " + " ".join(prose(i, 3000)) for i in range(3)]) == {0: [], 1: [], 2: []}
 

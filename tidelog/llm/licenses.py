@@ -17,6 +17,7 @@ from tidelog.llm.texts import map_texts
 
 LEVEL = 9
 LEAST_REDUCTION = 0.3  # of a block's compressed size, or of a template's if smaller, for a template to be named at all
+LEAST_SAVED = 0.05  # of a template's compressed size, by a window whose wording is compared; places save 0.18 at the least
 SEED = 5  # words in a row, from which the places of a template are looked for
 MOST_DIFFERENCES = 0.1  # of a template's words, for it to be confirmed
 LINE_CHARS = 2000  # a longer line is cut around its cues
@@ -46,20 +47,8 @@ the License. You may obtain a copy of the License at http://www.apache.org/licen
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
 WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing
 permissions and limitations under the License.""",
-    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
-License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
-This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
-MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""",
-    "GPL-2.0-or-later": """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public
-License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.
-This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
-MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""",
     "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
 distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
-    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
-following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the
-following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
-following disclaimer in the documentation and/or other materials provided with the distribution.""",
     "Unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use,
 compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or
 non-commercial, and by any means.""",
@@ -71,6 +60,43 @@ non-commercial, and by any means.""",
     "CC-BY-NC-4.0 (notice)": "Licensed under CC BY-NC 4.0.",
 }
 
+# The notices of the GNU licenses share one wording.
+GNU = """This {work} is free software{stop} you can redistribute it and/or modify it under the terms of the GNU {kind}General Public
+License as published by the Free Software Foundation, {version}.
+This {work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind}General Public License for more details."""
+LATER, ONLY = "either version {} of the License, or (at your option) any later version", "version {} of the License"
+TEMPLATES |= {
+    "GPL-2.0-only": GNU.format(work="program", stop=";", kind="", version=ONLY.format("2")),
+    "GPL-2.0-or-later": GNU.format(work="program", stop=";", kind="", version=LATER.format("2")),
+    "GPL-3.0-only": GNU.format(work="program", stop=":", kind="", version=ONLY.format("3")),
+    "GPL-3.0-or-later": GNU.format(work="program", stop=":", kind="", version=LATER.format("3")),
+    "LGPL-2.1-or-later": GNU.format(work="library", stop=";", kind="Lesser ", version=LATER.format("2.1")),
+    "LGPL-3.0-or-later": GNU.format(work="program", stop=":", kind="Lesser ", version=LATER.format("3")),
+    "AGPL-3.0-or-later": GNU.format(work="program", stop=":", kind="Affero ", version=LATER.format("3")),
+}
+# So do the BSD licenses, but for the third clause.
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the
+following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
+following disclaimer in the documentation and/or other materials provided with the distribution. {third}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE
+COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES
+(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION)
+HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE)
+ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+TEMPLATES |= {
+    "BSD-2-Clause": BSD.format(third=""),
+    "BSD-3-Clause": BSD.format(
+        third="3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission."
+    ),
+}
+#: Words that name another license where a template does not have them.
+TELLING = frozenset("lesser library affero neither noncommercial nc sa nd".split())
+RELATED = 0.6  # of their words, from which two templates are told apart by those they do not share
+
 FINDING = StructType(
     [
         StructField("start", LongType()),
@@ -156,23 +182,39 @@ def differences(template: list[str], block: list[str]) -> tuple[int, int]:
 
 
 class Scanner:
-    """The templates as dictionaries of a compressor."""
+    """The templates as dictionaries of a compressor. Words that a related template has not got are required of a place of one."""
 
     def __init__(self, templates: dict[str, str]):
         self.words = {name: wording(t) for name, t in templates.items()}
         self.plain = zstandard.ZstdCompressor(level=LEVEL)
         self.known, self.sizes = {}, {}
-        # all runs of SEED words of each template (all its words, if none may differ), by their first word
-        self.seeds: dict[str, dict[tuple[str, ...], list[tuple[str, int]]]] = {}
-        for name, t in templates.items():
-            data = zstandard.ZstdCompressionDict(" ".join(t.split()).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            self.known[name] = zstandard.ZstdCompressor(level=LEVEL, dict_data=data)
-            self.sizes[name] = len(self.plain.compress(" ".join(t.split()).encode()))
-            words = self.words[name]
+        # of each template all runs of SEED words (all its words, if none may differ), by their first word
+        self.seeds: dict[str, dict[str, list[tuple[tuple[str, ...], list[int]]]]] = {}
+        self.classes: dict[int, list[str]] = {}  # templates by the power of two of words that holds them
+        for name, words in self.words.items():
+            data = " ".join(words).encode()
+            known = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            known.precompute_compress(level=LEVEL)
+            self.known[name] = zstandard.ZstdCompressor(level=LEVEL, dict_data=known)
+            self.sizes[name] = len(self.plain.compress(data))
+            self.classes.setdefault(1 << max(len(words) - 1, 1).bit_length(), []).append(name)
+            runs: dict[tuple[str, ...], list[int]] = {}
             for i in range(len(words) - self.seed(name) + 1 if words else 0):
-                run = tuple(words[i : i + self.seed(name)])
-                self.seeds.setdefault(run[0], {}).setdefault(run, []).append((name, i))
-        self.lengths = {first: sorted({len(run) for run in runs}) for first, runs in self.seeds.items()}
+                runs.setdefault(tuple(words[i : i + self.seed(name)]), []).append(i)
+            by_first = self.seeds.setdefault(name, {})
+            for run, starts in runs.items():
+                by_first.setdefault(run[0], []).append((run, starts))
+        self.required, self.foreign = {}, {}
+        for name, words in self.words.items():
+            self.required[name], foreign = set(), set(TELLING)
+            for other, theirs in self.words.items():
+                same = SequenceMatcher(None, theirs, words, autojunk=False)
+                if other == name or min(len(words), len(theirs)) < 4 * SEED or same.ratio() < RELATED:
+                    continue
+                shared = {k for m in same.get_matching_blocks() for k in range(m.b, m.b + m.size)}
+                self.required[name] |= set(range(len(words))) - shared
+                foreign |= set(theirs)
+            self.foreign[name] = frozenset(foreign - set(words))
 
     def most(self, name: str) -> int:
         """How many words may differ."""
@@ -185,48 +227,76 @@ class Scanner:
 
     def reductions(self, block: str) -> list[tuple[float, str]]:
         """By how much of its compressed size, or of the template's if that is smaller, each template makes the block smaller, largest first."""
-        data = " ".join(block.split()).encode()
+        data = " ".join(wording(block)).encode()
         size = len(self.plain.compress(data))
         return sorted(((size - len(c.compress(data))) / min(size, self.sizes[name]), name) for name, c in self.known.items())[::-1]
 
+    def ranked(self, said: list[str]) -> list[tuple[float, str, int, int]]:
+        """(reduction, template, first word, behind the last word): windows of about a template's length that it makes
+        smaller by at least LEAST_SAVED of its own compressed size, most first.
+
+        Templates of about a length share windows; these overlap, so that a place of a template that is longer by what may
+        differ lies whole in one of them.
+        """
+        found = []
+        for step, names in self.classes.items():
+            for first in range(0, max(len(said) - step, 0) + 1, step):
+                window = said[first : first + 9 * step // 4]
+                data = " ".join(window).encode()
+                size = len(self.plain.compress(data))
+                for name in names:
+                    saved = (size - len(self.known[name].compress(data))) / self.sizes[name]
+                    if saved >= LEAST_SAVED:
+                        found.append((saved, name, first, first + len(window)))
+        return sorted(found, key=lambda f: (-f[0], f[1], f[2]))
+
+    def places(self, name: str, said: list[str]) -> list[tuple[list[int], int, int]]:
+        """(words, missing, added) of all places of a template in a window that differ in few words and in none that tells it from others."""
+        words, most, seed = self.words[name], self.most(name), self.seed(name)
+        shifts = []
+        for i, word in enumerate(said):
+            for run, starts in self.seeds[name].get(word, ()):
+                if tuple(said[i : i + seed]) == run:
+                    shifts += [i - place for place in starts]
+        shifts.sort()
+        # the words that do not differ have so many seeds, all shifted by nearly the same number of words
+        least = max(1, len(words) - most - (seed - 1) * (most + 1))
+        out: list[tuple[list[int], int, int]] = []
+        for shift in sorted(set(shifts)):
+            if bisect_right(shifts, shift + most) - bisect_left(shifts, shift - most) < least:
+                continue
+            low = max(0, shift - most)
+            parts = matches(words, said[low : shift + len(words) + most])
+            missing, added = counted(words, parts)
+            if missing + added > most:
+                continue
+            taken = [low + k for m in parts for k in range(m.a, m.a + m.size)]
+            had = {k for m in parts for k in range(m.b, m.b + m.size)}
+            others = {said[k] for k in range(taken[0], taken[-1] + 1)} - {said[k] for k in taken}
+            if self.required[name] <= had and not others & self.foreign[name] and (not out or out[-1][0] != taken):
+                out.append((taken, missing, added))
+        return out
+
     def confirmed(self, text: str, start: int = 0, end: int | None = None) -> list[dict]:
-        """All places between ``start`` and ``end`` whose wording is confirmed, in order.
+        """All places between ``start`` and ``end`` whose wording is confirmed, in order: the windows that a template makes smaller are compared
+        with its exact wording, most reduced first.
 
         What has the words of a longer template, or the same number with fewer differences, is no place of another one.
         """
         said, at = placed_wording(text[start:end])
-        hits: dict[str, list[tuple[int, int]]] = {}
-        for i, word in enumerate(said):
-            for n in self.lengths.get(word, ()):
-                for name, place in self.seeds[word].get(tuple(said[i : i + n]), ()):
-                    hits.setdefault(name, []).append((i - place, i))
-        found = []
-        for name, pairs in hits.items():
-            words, most, seed = self.words[name], self.most(name), self.seed(name)
-            # the words that do not differ have so many seeds, all shifted by nearly the same number of words
-            least = max(1, len(words) - most - (seed - 1) * (most + 1))
-            shifts = sorted(shift for shift, _ in pairs)
-            tried = None
-            for shift in sorted(set(shifts)):
-                if bisect_right(shifts, shift + most) - bisect_left(shifts, shift - most) < least:
-                    continue
-                low = max(0, shift - most)
-                window = said[low : shift + len(words) + most]
-                parts = matches(words, window)
-                missing, added = counted(words, parts)
-                if missing + added <= most:
-                    taken = [low + k for m in parts for k in range(m.a, m.a + m.size)]
-                    if taken != tried:
-                        found.append((-len(words), missing + added, name, taken, missing, added))
-                    tried = taken
+        found: dict[tuple, tuple] = {}
+        for reduction, name, first, last in self.ranked(said):
+            for taken, missing, added in self.places(name, said[first:last]):
+                taken = [first + k for k in taken]
+                place = (-len(self.words[name]), missing + added, name, tuple(taken), missing, added)
+                found.setdefault(place, reduction)
         used: set[int] = set()
         out = []
-        for _, _, name, taken, missing, added in sorted(found):
+        for (_, _, name, taken, missing, added), reduction in sorted(found.items()):
             if used.isdisjoint(taken):
                 used.update(taken)
                 first, last = start + at[taken[0]][0], start + at[taken[-1]][1]
-                r = next(r for r, other in self.reductions(text[first:last]) if other == name)
-                out.append({"start": first, "end": last, "license": name, "reduction": r, "missing": missing, "added": added, "confirmed": True})
+                out.append({"start": first, "end": last, "license": name, "reduction": reduction, "missing": missing, "added": added, "confirmed": True})
         return sorted(out, key=lambda f: (f["start"], f["license"]))
 
     def likely(self, block: str, around: str) -> dict | None:
@@ -261,10 +331,11 @@ class Scanner:
 def scan(docs: DataFrame, text: str, keep: list[str], templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """Columns ``row`` (of ``keep``), start, license, reduction, missing, added, confirmed: a row per license, and per passage like one.
 
-    In passages with cue words every place of every template is looked for whose wording differs little, and is confirmed,
-    with the numbers of words of the template that are missing and of others between them. Only where words belong to
-    several templates the longest one has them. A passage without a confirmed place is compressed with each template as a raw dictionary; of
-    those that save enough, the one whose wording differs least is named, not confirmed. ``start`` is where the words of a confirmed
+    Passages with cue words are cut into windows of about a template's length, which are compressed with each template as
+    a raw dictionary; those that save enough of a template's own size are ranked, and their exact wording is compared: a
+    place is confirmed that differs in few words and in none by which related templates are told apart, with the numbers of words of the template
+    that are missing and of others between them. Only where words belong to several templates the longest one has them. Of a passage
+    without a confirmed place the template that saves enough and differs least is named, not confirmed. ``start`` is where the words of a confirmed
     template start, or the passage. Null and empty texts and those without cues give no row; equal rows give equal ones.
     """
     kind = pa.list_(pa.struct([("start", pa.int64()), ("license", pa.string()), ("reduction", pa.float64()), ("missing", pa.int32()), ("added", pa.int32()), ("confirmed", pa.bool_())]))
