@@ -9,6 +9,7 @@ from checks.registry import STATEMENTS, named, with_raw_log
 from tidelog.functions import patterns as P
 from tidelog.operators import coalesce as C
 from tidelog.operators import incremental as I
+from tidelog.operators import matching
 from tidelog.operators import ordering as T
 from tidelog.operators import routing
 from tidelog.plans import flows
@@ -50,13 +51,21 @@ def filter_algebra(spark, d):
     return changelog(spark, d).filter(P.any_of(P.discard_all(), keep)).select("pos")
 
 
-@check(
-    "f4_table_filter",
-    with_changelog(
-        f"select pos, db, tbl from changelog where ({_matches('db.*', '.*')} or {_matches('shop', 's.*p')}) "
-        f"and not {_matches('db2', 'v.*')} and not {_matches('.*', 'error')}"
-    ),
+TABLE_FILTER_SQL = with_changelog(
+    f"select pos, db, tbl from changelog where ({_matches('db.*', '.*')} or {_matches('shop', 's.*p')}) "
+    f"and not {_matches('db2', 'v.*')} and not {_matches('.*', 'error')}"
 )
+
+
+@check("f4_filter_by_names", TABLE_FILTER_SQL)
+def filter_by_names(spark, d):
+    """The same lists among thousands of patterns of other names."""
+    others = ",".join(f"none{i}.%,%.none{i}" for i in range(3000))
+    kept = matching.filter_by_names(changelog(spark, d), f"db%.%,,shop.s%p,{others}", f"{others},db2.v%,%.error", "db", "tbl")
+    return kept.select("pos", "db", "tbl")
+
+
+@check("f4_table_filter", TABLE_FILTER_SQL)
 def table_filter(spark, d):
     keep = P.table_filter("db%.%,,shop.s%p", "db2.v%,%.error", "db", "tbl")
     return changelog(spark, d).filter(keep).select("pos", "db", "tbl")
@@ -120,19 +129,33 @@ def first_matching_topic(spark, d):
     return notices(spark, d).select("pos", routing.route_topic(ROUTES).alias("topic"))
 
 
+# ten thousand routes ahead of those that match, of names that look like theirs
+MANY_ROUTES = [(f"other{i}", f"db{i + 4}.%,shop{i}%.view,%.c{i}") for i in range(10_000)] + ROUTES
+
+
+@check("r1_topics_by_names", with_changelog(f"select pos, {TOPIC_SQL} as topic from changelog"))
+def topics_by_names(spark, d):
+    return matching.route_by_names(notices(spark, d), MANY_ROUTES).select("pos", "topic")
+
+
 @check("f10_drop_unrouted", with_changelog(f"select pos, {TOPIC_SQL} as topic from changelog where {TOPIC_SQL} is not null"))
 def unrouted(spark, d):
     return routing.drop_unrouted(notices(spark, d).select("pos", routing.route_topic(ROUTES).alias("topic")))
 
 
-@check(
-    "r2_all_matching_topics",
-    with_changelog(
-        f"select pos, 'visits' as topic from changelog where {_matches('db1', 'c.*')} or {_matches('db.*', 'view')} "
-        f"union all select pos, 'orders' from changelog where {_matches('shop', '.*')} "
-        f"union all select pos, 'errors' from changelog where {_matches('.*', 'err.r')}"
-    ),
+ALL_TOPICS_SQL = with_changelog(
+    f"select pos, 'visits' as topic from changelog where {_matches('db1', 'c.*')} or {_matches('db.*', 'view')} "
+    f"union all select pos, 'orders' from changelog where {_matches('shop', '.*')} "
+    f"union all select pos, 'errors' from changelog where {_matches('.*', 'err.r')}"
 )
+
+
+@check("r2_all_topics_by_names", ALL_TOPICS_SQL)
+def all_topics_by_names(spark, d):
+    return matching.fan_out_by_names(notices(spark, d), MANY_ROUTES).select("pos", "topic")
+
+
+@check("r2_all_matching_topics", ALL_TOPICS_SQL)
 def all_matching_topics(spark, d):
     return routing.fan_out_topics(notices(spark, d), ROUTES).select("pos", "topic")
 

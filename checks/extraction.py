@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.registry import CHANGELOG, anchored, changelog, check, over, table, with_changelog
 from tidelog.operators import incremental as I
+from tidelog.session import shared_dir
 
 # Databases of the changelog stand for the three order statuses; sys_info has no orders.
 DATABASE_SQL = "case db when 'db1' then 'F' when 'DB2' then 'O' when 'shop' then 'P' else 'sys_info' end"
@@ -154,6 +157,35 @@ def incremental_extract(spark, d):
     )
 
 
+# texts of which some are no numbers and no dates
+CODES = (
+    "case when o_orderkey % 7 = 0 then concat('#', o_orderkey) when o_orderkey % 13 = 0 then null else concat('', o_orderkey) end as code",
+    "case when o_orderkey % 11 = 0 then 'soon' else '1997-03-01' end as due",
+)
+
+
+@check(
+    "i4_extract_checked",
+    f"{WINDOWS_SQL}, r as (select o.o_orderkey, o.o_orderstatus as \"dbName\", {", ".join(CODES)} from windows w join orders o "
+    "on o.o_orderstatus = w.db and o.o_orderdate >= w.ts_start and o.o_orderdate < w.ts_end), "
+    "f as (select *, case when code like '#%' then 'code,' else '' end || case when due = 'soon' then 'due,' else '' end as misfits from r) "
+    "select o_orderkey, \"dbName\", code, due, misfits, count(*) over (partition by misfits <> '') as rows_alike from f",
+)
+def extract_checked(spark, d):
+    """Clean and dirty rows of one pass, and the numbers that were observed while they were written."""
+    source = table(spark, d, "orders").selectExpr("o_orderkey", "o_orderdate", "o_orderstatus as Database", *CODES)
+    path = shared_dir(spark, "checks", f"checked-{uuid.uuid4().hex}")
+    casts = {"code": "bigint", "due": "date"}
+    clean, dirty = I.incremental_extract_checked(
+        order_notices(spark, d), progress(spark), source, "o_orderdate", casts, path, 10**9, "sys_info.%", **SETTINGS
+    )
+    names = ["o_orderkey", "dbName", F.col("code").cast("string").alias("code"), F.col("due").cast("string").alias("due")]
+    misfits = F.concat(*[F.when(F.array_contains("dirty_columns", c), f"{c},").otherwise("") for c in casts])
+    both = clean.select(*names, F.lit("").alias("misfits")), dirty.select(*names, misfits.alias("misfits"))
+    counted = [df.withColumn("rows_alike", F.lit(df.count()).cast("bigint")) for df in both]
+    return counted[0].unionByName(counted[1])
+
+
 @check(
     "i5_query_catalog",
     f"{WINDOWS_SQL}, r as (select db, a, run_ts from runs), j as (select r.*, t.task_id, "

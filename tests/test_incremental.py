@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidelog.operators import enrich as E
@@ -132,3 +133,35 @@ def test_date_columns_include_the_day_a_window_ends_in(spark):
         for unit in ("HOUR", "DAY", "MONTH"):
             found = I.delta_join(windows, days.withColumn("day", F.col("day").cast(kind)), "day", unit=unit)
             assert sorted(r.id for r in found.collect()) == [1, 2, 3, 4, 5]
+
+
+def test_rows_are_checked_while_they_are_written(spark, tmp_path):
+    rows = spark.createDataFrame([(i, "db", "x" if i % 10 == 0 else str(i), None if i % 7 == 0 else "2024-01-01") for i in range(100)], "id int, Database string, code string, due string")
+    made = I.extract_checked(rows, {"code": "int", "due": "date"})
+    made.rows.write.parquet(f"{tmp_path}/a")
+    assert made.check(10) == {"clean": 90, "dirty": 10}
+    with pytest.raises(ValueError, match="10 dirty rows, 9 allowed"):
+        made.check(9)
+    written = spark.read.parquet(f"{tmp_path}/a")
+    clean, dirty = made.clean(written), made.dirty(written)
+    assert dict(clean.dtypes) == {"id": "bigint", "code": "int", "due": "date", "dbName": "string"}
+    assert clean.count() == 90 and clean.agg(F.count("due")).first()[0] == 90 - len([i for i in range(100) if i % 7 == 0 and i % 10])
+    assert sorted((r.id, r.code, r.dirty_columns) for r in dirty.collect()) == [(i, "x", ["code"]) for i in range(0, 100, 10)]
+
+
+def test_a_batch_with_too_many_dirty_rows_leaves_nothing(spark, tmp_path):
+    at = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    source = spark.createDataFrame([("a", at(i), "x" if i == 5 else str(i)) for i in range(10)], "Database string, changed timestamp, code string")
+    notices = spark.createDataFrame([("a", at(0), 1), ("a", at(20), 2)], "Database string, ts timestamp, pos bigint")
+    progress = spark.createDataFrame([("a", "2024-01-01 00:00:00.000")], "dbName string, job_time string")
+
+    def run(limit, name):
+        return I.incremental_extract_checked(notices, progress, source, "changed", {"code": "int"}, f"{tmp_path}/{name}", limit, interval_ms=1000)
+
+    with pytest.raises(ValueError, match="1 dirty rows"):
+        run(0, "none")
+    assert not list(tmp_path.glob("none*"))
+    clean, dirty = run(1, "some")
+    assert sorted(r.code for r in clean.collect()) == [0, 1, 2, 3, 4, 6, 7, 8, 9] and [r.code for r in dirty.collect()] == ["x"]
+    with pytest.raises(ValueError, match="there already"):
+        run(1, "some")

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidelog.functions.patterns import ignored_databases, names_in
 from tidelog.functions.templates import render_query
 from tidelog.operators.coalesce import DATABASE_GAP_MS, coalesce_by_database
-from tidelog.operators.records import tag_tenant, type_result_set
+from tidelog.operators.records import flag_dirty, tag_tenant, type_result_set
 from tidelog.session import settle, small_side
 
 PROGRESS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
@@ -177,6 +179,90 @@ def incremental_extract(
     return tag_tenant(typed, F.col("Database")).drop("Database")
 
 
+@dataclass
+class Extracted:
+    """One pass over the source: every row typed, or as it came with the names of the columns that did not fit.
+
+    ``rows`` holds both, told apart by ``dirty_columns`` (empty: clean). ``counts`` knows how many there were of
+    each once ``rows`` were written.
+    """
+
+    rows: DataFrame
+    casts: dict[str, str]
+    counts: Observation
+
+    def clean(self, written: DataFrame) -> DataFrame:
+        """The typed rows of ``written``, which are ``rows`` as read back from where they were written."""
+        return written.filter(F.size("dirty_columns") == 0).drop("dirty_columns", "raw")
+
+    def dirty(self, written: DataFrame) -> DataFrame:
+        """The others, the cast columns as text as they came."""
+        others = [F.col(f"raw.{c}").alias(c) if c in self.casts else F.col(c) for c in written.columns if c not in ("dirty_columns", "raw")]
+        return written.filter(F.size("dirty_columns") > 0).select(*others, "dirty_columns")
+
+    def check(self, error_limit: int = 0) -> dict[str, int]:
+        """Numbers of clean and dirty rows; fails if more are dirty than the limit allows. After ``rows`` were written."""
+        found = self.counts.get
+        if found["dirty"] > error_limit:
+            raise ValueError(f"{found['dirty']} dirty rows, {error_limit} allowed")
+        return found
+
+
+def extract_checked(rows: DataFrame, casts: dict[str, str], database: str = "Database") -> Extracted:
+    """Extracted rows typed, tagged and cast, with those that do not fit told apart, in one pass.
+
+    Nothing is computed twice and nothing is counted by a job of its own: the numbers are observed while the rows are written.
+    """
+    typed = tag_tenant(type_result_set(rows), F.col(database)).drop(database)
+    flagged = flag_dirty(typed, casts)
+    raw = F.when(F.size("dirty_columns") > 0, F.struct(*[F.col(f"_raw.{c}").cast("string").alias(c) for c in casts]))
+    made = flagged.withColumn("raw", raw).drop("_raw")
+    counts = Observation(f"extracted-{uuid.uuid4().hex}")
+    bad = F.size("dirty_columns") > 0
+    return Extracted(made.observe(counts, F.count_if(~bad).alias("clean"), F.count_if(bad).alias("dirty")), casts, counts)
+
+
+def incremental_extract_checked(
+    notices: DataFrame,
+    progress: DataFrame,
+    source: DataFrame,
+    source_ts: str,
+    casts: dict[str, str],
+    path: str,
+    error_limit: int = 0,
+    ignore: str | None = None,
+    interval_ms: int = DATABASE_GAP_MS,
+    lag_ms: int = 0,
+    ts: str = "ts",
+    order: str = "pos",
+    unit: str = "DAY",
+) -> tuple[DataFrame, DataFrame]:
+    """(clean, dirty) rows of all released windows: ``incremental_extract`` whose rows are also cast to their target types.
+
+    The source is read once. Its rows are written to the new folder ``path``, clean and dirty ones in folders of their own,
+    and the batch fails, leaving nothing at ``path``, if more than ``error_limit`` are dirty.
+    """
+    spark, staged = source.sparkSession, f"{path}.staged"
+    where, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path))
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(target):
+        raise ValueError(f"{path} is there already")
+    windows = extraction_windows(notices, progress, ignore, interval_ms, lag_ms, ts, order)
+    rows = delta_join(windows, source, source_ts, unit=unit).select(*source.columns)
+    made = extract_checked(rows, casts)
+    split = made.rows.withColumn("fits", F.size("dirty_columns") == 0)
+    split.write.mode("overwrite").partitionBy("fits").parquet(staged)
+    try:
+        made.check(error_limit)
+    except ValueError:
+        files.delete(where, True)
+        raise
+    files.rename(where, target)
+    written = spark.read.schema(split.schema).parquet(path)
+    fits = F.col("fits")
+    return made.clean(written.filter(fits).drop("fits")), made.dirty(written.filter(~fits).drop("fits"))
+
+
 def extraction_queries(windows: DataFrame, template: str) -> DataFrame:
     """SQL text per window, for databases that are queried over JDBC."""
     return windows.withColumn("sql", render_query(template, "Database", "ts_start", "ts_end"))
