@@ -256,6 +256,25 @@ def test_progress_survives_a_repeated_batch(spark, tmp_path):
         assert sorted((r.server_id, r.offset) for r in table.load().collect()) == [(1, "b.1:9"), (2, "b.1:4")]
 
 
+def test_many_batches_leave_few_files(spark, tmp_path):
+    """Whatever batch a restart repeats, the rows are the same, and old folders go."""
+    table, path = B.ProgressTable(spark, str(tmp_path / "progress")), str(tmp_path / "state")
+    frame = lambda n: spark.createDataFrame([(n % 3, n, f"b.1:{n}")], "server_id int, pos bigint, offset string")
+    for n in range(30):
+        for _ in range(1 + (n % 7 == 0)):
+            table.save(frame(n), n)
+            B.keep_state(frame(n), path, n)
+        assert B.kept_batches(spark, path) == [m for m in (n - 1, n) if m >= 0]
+        assert {(r.server_id, r.pos) for r in table.load().collect()} == {(m % 3, m) for m in range(max(0, n - 2), n + 1)}
+        if n:
+            assert B.state_before(spark, path, n).first().pos == n - 1
+    assert len(list(tmp_path.rglob("*.parquet"))) <= 8
+    (tmp_path / "state" / "31").mkdir()  # begun, not finished
+    assert B.kept_batches(spark, path) == [28, 29]
+    with pytest.raises(ValueError, match="missing"):
+        B.state_before(spark, path, 5)
+
+
 def test_extraction_goes_on_where_the_batch_before_ended(spark, tmp_path):
     at = lambda s: START + dt.timedelta(seconds=s)
     source = spark.createDataFrame([(i, at(i), "a") for i in range(0, 100, 10)] + [(7, at(7), "b")], "id int, made timestamp, Database string")

@@ -41,6 +41,34 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _files(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def kept_batches(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the batches whose table below ``path`` was written to its end."""
+    where, files = _files(spark, path)
+    if not files.exists(where):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(where) if s.isDirectory()]
+    return sorted(int(n) for n in names if n.isdigit() and files.exists(_files(spark, f"{path}/{n}/_SUCCESS")[0]))
+
+
+def keep_state(df: DataFrame, path: str, batch_id: int) -> None:
+    """Writes what a batch leaves, whole, and removes all but it and what the batch before it left.
+
+    Only the last batch of a stream is ever repeated, so a restart at any point finds what it needs, and
+    the number of files does not grow with the number of batches.
+    """
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(f"{path}/{batch_id}")
+    older = [n for n in kept_batches(spark, path) if n < batch_id]
+    for n in older[:-1]:
+        where, files = _files(spark, f"{path}/{n}")
+        files.delete(where, True)
+
+
 def state_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
     """What batch ``batch_id - 1`` left; only the first batch of a stream may start from nothing."""
     if batch_id == 0:
@@ -52,9 +80,10 @@ def state_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame | N
 
 
 class ProgressTable:
-    """High-water offset per key after each batch that had rows, one folder per batch id.
+    """High-water offset per key after the last batch that had rows.
 
-    Repeating a batch overwrites its own folder, so a restart writes nothing twice.
+    A batch adds its own to what the batches before it left and writes both as one table, so that ``load`` reads one
+    folder however many batches there were. Repeating a batch overwrites its own folder, so a restart writes nothing twice.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = SERVER):
@@ -64,17 +93,21 @@ class ProgressTable:
         # a row per key, kept so that the batch behind them is read once
         rows = high_water_offset(events, offset, order, self.keys).persist()
         if not rows.isEmpty():
-            rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+            before = [n for n in kept_batches(self.spark, self.path) if n < batch_id]
+            both = rows.withColumn("_new", F.lit(1))
+            if before:
+                known = self.spark.read.parquet(f"{self.path}/{before[-1]}")
+                both = both.unionByName(known.withColumn("_new", F.lit(0)))
+            newest = both.groupBy(*self.keys).agg(
+                F.max(order).alias(order), F.max_by("offset", F.struct(order, "_new")).alias("offset")
+            )
+            keep_state(newest.coalesce(1), self.path, batch_id)
         rows.unpersist()
 
-    def load(self, order: str = "pos") -> DataFrame | None:
+    def load(self) -> DataFrame | None:
         """Last offset per key; None where nothing was saved yet."""
-        saved = _read(self.spark, self.path)
-        if saved is None:
-            return None
-        return saved.groupBy(*self.keys).agg(
-            F.max(order).alias(order), F.max_by("offset", F.struct(order, "batch_id")).alias("offset")
-        )
+        saved = kept_batches(self.spark, self.path)
+        return self.spark.read.parquet(f"{self.path}/{saved[-1]}") if saved else None
 
 
 class LogBatches:
@@ -83,8 +116,8 @@ class LogBatches:
     Row numbers over a whole stream do not exist, so each micro-batch is numbered by
     the batch operators, continuing from what the batch before left open: per server
     its transaction and sequence number, per table id its last map. That state is a
-    small table per batch id in the shared folder; a repeated batch reads and writes
-    the same ones.
+    small table per batch id in the shared folder, of which the last two are kept; a repeated batch
+    reads and writes the same ones.
     """
 
     def __init__(
@@ -98,7 +131,7 @@ class LogBatches:
         self.spark, self.path, self.keys, self.order, self.bits = spark, path, list(keys), order, block_bits
 
     def _keep(self, df: DataFrame, name: str, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/{name}/{batch_id}")
+        keep_state(df, f"{self.path}/{name}", batch_id)
 
     def numbered(self, events: DataFrame, batch_id: int) -> DataFrame:
         """Numbered events, persisted because state and result both read them; unpersist when done."""

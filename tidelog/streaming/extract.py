@@ -11,7 +11,7 @@ from tidelog.operators.coalesce import DATABASE_GAP_MS
 from tidelog.operators.incremental import advance_windows, delta_join, drop_ignored_databases, initial_watermark
 from tidelog.operators.records import tag_tenant, type_result_set
 from tidelog.session import settle
-from tidelog.streaming.batches import state_before
+from tidelog.streaming.batches import keep_state, state_before
 from tidelog.streaming.coalesce import coalesce_changes_stream
 
 
@@ -37,7 +37,7 @@ class ExtractBatches:
     """Windows per database continued from micro-batch to micro-batch.
 
     The end of each database's last window is kept in the shared folder, one small
-    table per batch id, so a repeated batch reads the same windows again. A database
+    table per batch id (the last two of them), so a repeated batch reads the same windows again. A database
     that is new starts at its stored progress, else at its first notice.
     """
 
@@ -64,9 +64,7 @@ class ExtractBatches:
         ends = windows.select("Database", "ts_end")
         if before is not None:
             ends = ends.unionByName(before)
-        ends.groupBy("Database").agg(F.max("ts_end").alias("ts_end")).write.mode("overwrite").parquet(
-            f"{self.path}/ends/{batch_id}"
-        )
+        keep_state(ends.groupBy("Database").agg(F.max("ts_end").alias("ts_end")), f"{self.path}/ends", batch_id)
         return windows
 
     def writer(self, then: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
