@@ -450,6 +450,47 @@ def full_records_from_log(spark, d):
     )
 
 
+# both servers alter a table, and drop and alter another one, in the middle of their logs
+ALTERED = [
+    (2, 60, "ALTER TABLE db1.`click` RENAME COLUMN id TO key_id, ADD COLUMN extra decimal(10,2) NOT NULL"),
+    (1, 61, "alter  table click rename column id to key_id, add extra decimal(10,2) after user, add index by_user (user, id)"),
+    (2, 120, "alter table db1.click drop column user"),
+    (1, 121, "Alter Table db1.click Drop user, modify key_id bigint"),
+    (2, 90, "drop table if exists other, DB2.`click`"),
+]
+
+
+def altered_log(spark, d):
+    log = image_log(spark, d)
+    statements = spark.createDataFrame(ALTERED, "server_id int, k bigint, query string").selectExpr(
+        "server_id", "k * 20 + 17 as pos", "'QUERY' as event_type", "'db1' as db", "query"
+    )
+    return log.unionByName(statements, allowMissingColumns=True)
+
+
+@check(
+    "full_records_with_versions",
+    numbered_sql(
+        f"select server_id as \"ServerId\", g as \"GTID\", cast(seq_no as bigint) as \"SeqNo\", cast(i as int) as row_no, "
+        f"case when not ({KNOWN}) or (db = 'DB2' and tbl = 'click' and server_id = 2 and pos > 1817) then 'col_0' "
+        "when db = 'db1' and tbl = 'click' and pos > case server_id when 2 then 1217 else 1237 end then 'key_id' else 'id' end as id_name, "
+        "case when event_id % 4 not in (1, 2) then null "
+        f"when not ({KNOWN}) or (db = 'DB2' and tbl = 'click' and server_id = 2 and pos > 1817) then 'col_1' "
+        "when db = 'db1' and tbl = 'click' and pos > case server_id when 2 then 2417 else 2437 end then 'extra' else 'user' end as user_name "
+        f"from (select *, unnest(range(0, {N_ROWS})) as i from resolved where {WANTED_SQL})"
+    ),
+)
+def full_records_with_versions(spark, d):
+    """Rows on both sides of statements that rename, add and drop columns, read with the columns of their time."""
+    records = flows.full_records(
+        altered_log(spark, d), half_catalog(spark, d), F.lit(2), "%.%", "shop.%", block_bits=BITS, versions=True
+    )
+    name = lambda c, i: F.get(F.map_keys(c), F.lit(i))
+    return records.select(
+        "ServerId", "GTID", "SeqNo", "row_no", F.coalesce(name("Data", 0), name("OldData", 0)).alias("id_name"), name("OldData", 1).alias("user_name")
+    )
+
+
 PUBLISH_LOG_SQL = (
     "with recursive raw_log as (" + RAW_LOG.replace("{events}", "events") + f"), {NUMBERED}, "
     f"wanted as (select pos, db, tbl, ts, event_id, {TYPE_SQL} as type from resolved where {WANTED_SQL}), "

@@ -62,6 +62,11 @@ def enrich_columns_versioned(
     spans = table_columns(versions, [*keys, "valid_from"]).withColumn(
         "valid_to", F.lead("valid_from").over(W.partitionBy(*keys).orderBy("valid_from"))
     )
+    return enrich_as_of(events, spans, n_columns, order, keys)
+
+
+def enrich_as_of(events: DataFrame, spans: DataFrame, n_columns: Column, order: str = "pos", keys: Sequence[str] = TABLE) -> DataFrame:
+    """Events with the columns of the span (``valid_from`` up to ``valid_to``, open if null) that their place lies in."""
     e, s = events.alias("e"), small_side(settle(spans)).alias("s")
     valid = [F.col(f"e.{k}") == F.col(f"s.{k}") for k in keys]
     valid += [

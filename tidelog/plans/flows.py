@@ -24,6 +24,7 @@ from tidelog.operators.ordering import (
 from tidelog.operators.records import to_notices, to_records
 from tidelog.operators.routing import Lookup, Routes, Rule, apply_rules, drop_unrouted, route_topic
 from tidelog.operators.scan import BLOCK_BITS
+from tidelog.operators.schema import enrich_columns_from_log
 from tidelog.sources.sinks import messages
 from tidelog.streaming.coalesce import BLOCK_GAPS, coalesce_changes_stream
 from tidelog.streaming.log import log_changes_stream
@@ -118,10 +119,12 @@ def full_records(
     base_set: str = "",
     keys: Sequence[str] = SERVER,
     block_bits: int = BLOCK_BITS,
+    versions: bool = False,
 ) -> DataFrame:
     """Raw log to full change records with images and offsets, continuing after a ``saved`` gtid offset.
 
-    Transactions are numbered and tables found on the whole log, before anything is left out.
+    With ``versions`` the catalog holds where the log begins, and a row is read with the columns that the log's own
+    statements had made of it by then. Transactions are numbered and tables found on the whole log, before anything is left out.
     """
     resolved = resolve_table_map(log, keys=keys, block_bits=block_bits, keep_all=True)
     numbered = tx_sequence(resolved, keys=keys, block_bits=block_bits)
@@ -129,8 +132,8 @@ def full_records(
     if saved:
         events = start_position(events, saved)
     wanted = events.filter(P.table_filter(include, ignore, "db", "tbl"))
-    known = drop_system_without_metadata(enrich_columns(wanted, catalog, n_columns), F.col("has_metadata"))
-    return to_records(known)
+    named = enrich_columns_from_log(wanted, catalog, log, n_columns, keys=keys) if versions else enrich_columns(wanted, catalog, n_columns)
+    return to_records(drop_system_without_metadata(named, F.col("has_metadata")))
 
 
 def publish_notices(notices: DataFrame, routes: Routes) -> DataFrame:
