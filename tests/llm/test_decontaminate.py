@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 from common import documents, prose
@@ -44,6 +45,22 @@ def test_tiles_are_the_greedy_ones():
             assert len(places) == len(set(places))
 
 
+def test_equal_hashes_of_different_windows(monkeypatch):
+    monkeypatch.setattr(decontaminate, "_BASE", np.uint64(1))  # a hash is the sum of its tokens
+    monkeypatch.setattr(decontaminate, "_BACK", np.uint64(1))
+    test_tiles_are_the_greedy_ones()
+
+
+def test_repetitive_texts_take_no_longer():
+    item = np.full(30, 7, np.uint64)
+    start = time.monotonic()
+    assert tiles(np.full(500_000, 7, np.uint64), item) == [(0, 0, 30)]  # a text of 1 MB
+    assert time.monotonic() - start < 1
+    start = time.monotonic()
+    assert covered(np.tile(np.arange(1, 4, dtype=np.uint64), 100_000), np.tile(np.arange(1, 4, dtype=np.uint64), 400)) == 1200
+    assert time.monotonic() - start < 2
+
+
 def test_only_parts_with_seeds_are_tiled():
     draw = random.Random(5)
     for _ in range(200):
@@ -89,6 +106,17 @@ def test_overlaps_against_all_pairs(spark, monkeypatch):
     assert (1, 0, 30, 30) in want and (2, 0, 30, 10) in want
 
 
+def test_a_text_of_many_items_is_sent_once(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SEEDS_AT_ONCE", 60)
+    texts = [ITEMS[0]] * 50 + ITEMS[1:6]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    parts = [p.value for p in decontaminate._parts(items, "text", 5)]
+    assert sum(len(keys) for keys, *_ in parts) == 6 and len(parts) > 1
+    assert all(len(values) < 60 + 26 for _, _, values, _ in parts)
+    got = overlaps(documents(spark, [ITEMS[0], ITEMS[0]]), items)
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(d, i) for d in range(2) for i in range(50)]
+
+
 def test_empty_tables(spark):
     items = spark.createDataFrame(list(enumerate(ITEMS)), "item_id bigint, text string")
     docs = documents(spark, cases())

@@ -4,18 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import ArrayType, DataType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from tidelog.llm.texts import blocks, fold_table, map_texts, shingles, word_hashes
-from tidelog.session import settle
+from tidelog.session import settle, small_side
 
 MIN_WORDS = 5  # of a tile, and of a seed
 COVERAGE = 0.5  # of an item's words that make a document contaminated
@@ -24,8 +22,6 @@ SEEDS_AT_ONCE = 1 << 20  # benchmark seeds sent to the executors together: 16 MB
 # ASCII characters that are no letter or digit part words.
 SEPARATORS = bytes(c for c in range(128) if not chr(c).isalnum())
 
-WINDOW = 20  # tokens looked for first
-
 _BASE = np.uint64(0x5851F42D4C957F2D)
 _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
@@ -39,16 +35,19 @@ def token_lists(texts: pa.Array) -> Iterator[np.ndarray]:
             yield hashes[cuts[i] : cuts[i + 1]]
 
 
-def _windows(tokens: np.ndarray, free: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of all runs of ``size`` unmarked tokens, and their rolling (Karp-Rabin) hashes."""
-    if len(tokens) < size:
+def _sums(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the rolling (Karp-Rabin) hashes of all windows of any size are made from."""
+    powers, back = (np.multiply.accumulate(np.r_[np.uint64(1), np.full(len(tokens), x)]) for x in (_BASE, _BACK))
+    return np.r_[np.uint64(0), np.cumsum(tokens * powers[:-1])], back
+
+
+def _windows(sums: np.ndarray, back: np.ndarray, free: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of all runs of ``size`` unmarked tokens, and their hashes."""
+    if len(free) < size:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    powers, back = (np.multiply.accumulate(np.r_[np.uint64(1), np.full(len(tokens) - 1, x)]) for x in (_BASE, _BACK))
-    sums = np.r_[np.uint64(0), np.cumsum(tokens * powers)]
-    rolling = (sums[size:] - sums[:-size]) * back[: len(tokens) - size + 1]
     taken = np.r_[0, np.cumsum(~free)]
     starts = np.flatnonzero(taken[size:] == taken[:-size])
-    return starts, rolling[starts]
+    return starts, (sums[starts + size] - sums[starts]) * back[starts]
 
 
 def tiles(doc: np.ndarray, item: np.ndarray, least: int = MIN_WORDS) -> list[tuple[int, int, int]]:
@@ -56,44 +55,52 @@ def tiles(doc: np.ndarray, item: np.ndarray, least: int = MIN_WORDS) -> list[tup
 
     Tiles are common runs of at least ``least`` tokens; none overlaps another on either
     side. The longest free run is always marked first; of equal ones the first in the item, then in the
-    document. Runs are looked for by hashes of a window, compared token by token and extended.
-    A run of more than two windows starts anew with a window of its length; when all runs of a window
-    are marked, what is left of those that were in the way of others included, it is halved.
+    document. The longest size that still has a common window is found by halving, as every shorter size has one,
+    too; its windows are compared token by token and marked, and the search goes on below that size. Pairs of
+    equal windows are never listed, so that the time does not grow with their number in repetitive texts.
     """
     found: list[tuple[int, int, int]] = []
     free_doc, free_item = np.ones(len(doc), bool), np.ones(len(item), bool)
-    size = max(least, min(WINDOW, len(item)))
-    while True:
-        starts, hashes = _windows(item, free_item, size)
-        at, theirs = _windows(doc, free_doc, size)
+    sums_doc, sums_item = _sums(doc), _sums(item)
+
+    def shared(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Free windows of the item, and those of the document that the item has, by their hashes."""
+        starts, hashes = _windows(*sums_item, free_item, size)
+        at, theirs = _windows(*sums_doc, free_doc, size)
+        if not len(starts):
+            return starts, hashes, at[:0], theirs[:0]
+        known = np.sort(hashes)
+        hit = known[np.minimum(np.searchsorted(known, theirs), len(known) - 1)] == theirs
+        return starts, hashes, at[hit], theirs[hit]
+
+    above = min(len(doc), len(item)) + 1  # no common run of this size is left
+    while above > least and len(shared(least)[2]):
+        size = least
+        while above - size > 1:
+            middle = (size + above) // 2
+            if len(shared(middle)[2]):
+                size = middle
+            else:
+                above = middle
+        starts, hashes, at, theirs = shared(size)
         order = np.argsort(theirs, kind="stable")
-        low, high = (np.searchsorted(theirs[order], hashes, side) for side in ("left", "right"))
-        matches = []
-        for j, a, b in zip(starts, low, high):
-            for i in at[order[a:b]]:
-                most = min(len(doc) - i, len(item) - j)
-                same = (doc[i : i + most] == item[j : j + most]) & free_doc[i : i + most] & free_item[j : j + most]
-                length = most if same.all() else int(same.argmin())
-                if length >= size:
-                    matches.append((-length, int(j), int(i)))
-        if matches and -min(matches)[0] > 2 * size:
-            size = -min(matches)[0]
-            continue
-        heapify(matches)
-        while matches:
-            length, j, i = heappop(matches)
-            free = free_doc[i : i - length] & free_item[j : j - length]
-            if free.all():
-                free_doc[i : i - length] = free_item[j : j - length] = False
-                found.append((i, j, -length))
+        at, theirs = at[order], theirs[order]
+        low, high = (np.searchsorted(theirs, hashes, side).tolist() for side in ("left", "right"))
+        passed: dict[int, int] = {}  # for each hash, up to where the document's windows are taken
+        for j, a, b in zip(starts.tolist(), low, high):
+            if a == b or not free_item[j : j + size].all():
                 continue
-            edges = np.flatnonzero(np.diff(np.r_[False, free, False].astype(np.int8)))
-            for start, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
-                if end - start >= size:
-                    heappush(matches, (start - end, j + start, i + start))
-        if size == least:
-            return found
-        size = max(least, size // 2)
+            k = passed.get(a, a)
+            while k < b and not free_doc[at[k] : at[k] + size].all():
+                k += 1
+            passed[a] = k
+            for i in map(int, at[k:b]):
+                if free_doc[i : i + size].all() and np.array_equal(doc[i : i + size], item[j : j + size]):
+                    free_doc[i : i + size] = free_item[j : j + size] = False
+                    found.append((i, j, size))
+                    break
+        above = size
+    return found
 
 
 def _near_seeds(at: np.ndarray, size: int, reach: int) -> np.ndarray:
@@ -117,34 +124,47 @@ def covered(doc: np.ndarray, item: np.ndarray, least: int = MIN_WORDS) -> int:
     return sum(length for _, _, length in tiles(np.concatenate(parts[:-1]), item, least))
 
 
-def _parts(items: DataFrame, item_id: str, text: str, least: int) -> Iterator:
-    """The items in broadcast parts of at most about SEEDS_AT_ONCE seeds, chosen by a hash of the text."""
+def _text_key(text: str) -> Column:
+    """What tells an item's text from all others."""
+    return F.sha2(text, 256)
+
+
+def _parts(items: DataFrame, text: str, least: int) -> Iterator:
+    """The different texts of the items in broadcast parts: SEEDS_AT_ONCE seeds, and what the last text has beyond."""
 
     def counted(texts: pa.Array) -> list[pa.Array]:
         return [pa.array([max(len(t) - least + 1, 0) for t in token_lists(texts)], pa.int64())]
 
-    picked = items.select(F.col(item_id).alias("item"), F.col(text).alias("text"))
-    seeds = map_texts(picked, "text", ["item", "text"], [StructField("seeds", LongType())], counted).where("seeds > 0")
-    seeds = settle(seeds.select("row.item", "row.text", "seeds"))
-    total = seeds.agg(F.sum("seeds")).first()[0] or 0
-    parts = -(-2 * total // SEEDS_AT_ONCE) or 1  # on average half full, as a hash deals unevenly
-    for part in range(parts):
-        own = seeds.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == part).select("item", "text").toArrow()
-        lists = list(token_lists(own["text"].combine_chunks())) if own.num_rows else []
-        flat = [shingles(t, least) for t in lists]
+    texts = items.select(F.col(text).alias("text")).where("text is not null").withColumn("key", _text_key("text"))
+    texts = texts.dropDuplicates(["key"])
+    seeds = map_texts(texts, "text", ["key", "text"], [StructField("seeds", LongType())], counted).where("seeds > 0")
+    # a running sum over a few hundred blocks of the key; that of each block starts where the ones before it end
+    seeds = settle(seeds.select("row.key", "row.text", "seeds", F.substring("row.key", 1, 2).alias("block")))
+    sizes = {r["block"]: r["n"] for r in seeds.groupBy("block").agg(F.sum("seeds").alias("n")).collect()}
+    if not sizes:
+        yield items.sparkSession.sparkContext.broadcast(([], [], np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+        return
+    ends = dict(zip(sorted(sizes), np.cumsum([sizes[b] for b in sorted(sizes)]).tolist()))
+    start = F.element_at(F.create_map(*(F.lit(x) for b, end in ends.items() for x in (b, end - sizes[b]))), F.col("block"))
+    before = F.sum("seeds").over(Window.partitionBy("block").orderBy("key")) - F.col("seeds")
+    dealt = settle(seeds.select("key", "text", F.floor((start + before) / SEEDS_AT_ONCE).alias("part")))
+    for part in sorted(r["part"] for r in dealt.select("part").distinct().collect()):
+        own = dealt.where(F.col("part") == part).select("key", "text").toArrow()
+        lists = list(token_lists(own["text"].combine_chunks()))
+        flat = [np.unique(shingles(t, least)) for t in lists]
         which = np.repeat(np.arange(len(flat)), [len(f) for f in flat])
-        values = np.concatenate([*flat, np.zeros(0, np.uint64)])
+        values = np.concatenate(flat)
         order = np.argsort(values, kind="stable")
-        yield items.sparkSession.sparkContext.broadcast((own["item"].to_pylist(), lists, values[order], which[order]))
+        yield items.sparkSession.sparkContext.broadcast((own["key"].to_pylist(), lists, values[order], which[order]))
 
 
-def _hits(docs: DataFrame, text: str, keep: list[str], part, item_type: DataType, least: int) -> DataFrame:
-    """Columns ``row`` (of ``keep``) and ``hits``, one for each item of the part that has words in the text covered."""
-    one = StructType([StructField("item", item_type), StructField("item_words", LongType()), StructField("covered", LongType())])
-    kind = pa.list_(pa.struct([("item", to_arrow_type(item_type)), ("item_words", pa.int64()), ("covered", pa.int64())]))
+def _hits(docs: DataFrame, text: str, keep: list[str], part, least: int) -> DataFrame:
+    """Columns ``row`` (of ``keep``) and ``hits``, one for each item text of the part that has words in the text covered."""
+    one = StructType([StructField("key", StringType()), StructField("item_words", LongType()), StructField("covered", LongType())])
+    kind = pa.list_(pa.struct([("key", pa.string()), ("item_words", pa.int64()), ("covered", pa.int64())]))
 
     def compute(texts: pa.Array) -> list[pa.Array]:
-        ids, lists, values, which = part.value
+        keys, lists, values, which = part.value
         rows: list[list[dict]] = [[] for _ in range(len(texts))]
         table = fold_table(SEPARATORS)
         for first, data, offsets in blocks(pc.utf8_lower(texts)):
@@ -158,12 +178,13 @@ def _hits(docs: DataFrame, text: str, keep: list[str], part, item_type: DataType
             owner = np.searchsorted(cuts, hit, "right") - 1
             inside = hit + least <= cuts[owner + 1]
             hit, owner = hit[inside], owner[inside]
-            for i in np.unique(owner):
-                own = np.unique(seeds[hit[owner == i]])
+            starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else owner
+            for i, mine in zip(owner[starts].tolist(), np.split(hit, starts[1:])):
+                own = np.unique(seeds[mine])
                 low, high = (np.searchsorted(values, own, side) for side in ("left", "right"))
                 for j in sorted({int(x) for a, b in zip(low, high) for x in which[a:b]}):
                     if n := covered(words[cuts[i] : cuts[i + 1]], lists[j], least):
-                        rows[first + i].append({"item": ids[j], "item_words": len(lists[j]), "covered": n})
+                        rows[first + i].append({"key": keys[j], "item_words": len(lists[j]), "covered": n})
         return [pa.array(rows, kind)]
 
     return map_texts(docs, text, keep, [StructField("hits", ArrayType(one))], compute)
@@ -175,22 +196,23 @@ def overlaps(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: st
     ``covered`` counts the item's words that greedy string tiling covers. Null and empty texts and those of fewer
     words share nothing. Rows are taken one by one: equal items give a row each, as equal documents do.
 
-    The items go to the executors in parts of bounded size; every part meets all documents, so that memory is
-    bounded whatever the size of the benchmark, and the documents, which are the large side, are never moved.
+    The different texts of the items go to the executors in parts of bounded size; every part meets all documents, so
+    that memory is bounded whatever the size of the benchmark, and the documents, which are the large side, are never
+    moved. A text is looked for once, however many items have it; their ids are joined to what was found.
     """
-    kind = items.schema[item_id].dataType
     made = [
-        _hits(docs, text, [doc_id], part, kind, least).select(F.col(f"row.{doc_id}").alias("doc_id"), F.inline("hits"))
-        for part in _parts(items, item_id, item_text, least)
+        _hits(docs, text, [doc_id], part, least).select(F.col(f"row.{doc_id}").alias("doc_id"), F.inline("hits"))
+        for part in _parts(items, item_text, least)
     ]
-    return reduce(DataFrame.union, made).withColumnRenamed("item", "item_id")
+    ids = items.select(F.col(item_id).alias("item_id"), _text_key(item_text).alias("key"))
+    return reduce(DataFrame.union, made).join(small_side(ids), "key").select("doc_id", "item_id", "item_words", "covered")
 
 
-def uncontaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", coverage: float = COVERAGE, least: int = MIN_WORDS) -> DataFrame:
+def uncontaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text", coverage: float = COVERAGE, least: int = MIN_WORDS) -> DataFrame:
     """The rows of ``docs`` that cover less than ``coverage`` of the words of every item."""
     columns = docs.columns
-    for part in _parts(items, item_id, item_text, least):
-        made = _hits(docs, text, columns, part, items.schema[item_id].dataType, least)
+    for part in _parts(items, item_text, least):
+        made = _hits(docs, text, columns, part, least)
         clean = made.where(~F.exists("hits", lambda h: h.covered >= coverage * h.item_words))
         docs = clean.select(*(F.col("row").getField(c).alias(c) for c in columns))
     return docs
