@@ -205,3 +205,23 @@ def log_batches(spark, d):
     )
     query.awaitTermination()
     return spark.read.parquet(f"{out}/rows").select("pos", "gtid", "seq_no", "db", "tbl")
+
+
+@check(
+    "s6_document_runs",
+    "with p as (select o_custkey as _id, o_orderkey as doc_no, o_totalprice as total, o_orderdate as created, "
+    "floor(o_orderkey * 4 / ((max(o_orderkey) over () + 1) * 1.0)) as part from orders), "
+    "b as (select *, row_number() over (partition by _id, part order by doc_no desc) as r, "
+    "cast(floor((year(created) * 12 + month(created) - 1) / 12.0) as int) as shard from p), "
+    "l as (select _id, doc_no, total, created, shard, row_number() over (partition by _id, shard order by doc_no desc) as newest from b where r = 1) "
+    "select _id, doc_no, total, created, shard from l where newest = 1",
+)
+def document_runs(spark, d):
+    """Orders in four micro-batches, each the last document per customer, upserted within their shards."""
+    rows = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderdate")
+    stream = _stream(spark, _staged(spark, rows, "orders", 4, "o_orderkey"), rows.schema).select(*rows.columns)
+    out = _folder(spark, "document-runs")
+    write = sinks.write_document_runs(f"{out}/output", ["_id", "doc_no", "total", "created"], "_id", "doc_no", "created", 12)
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return sinks.read_documents(spark, f"{out}/output", "_id", "doc_no")

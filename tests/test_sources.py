@@ -1,7 +1,9 @@
 import datetime as dt
 import glob
 import os
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidelog.functions.records import message_envelope
@@ -77,6 +79,56 @@ def test_documents_are_upserted_by_id_and_shard(spark, tmp_path):
     assert untouched == times(f"{path}/shard=2021")
 
 
+def size(path):
+    return sum(os.path.getsize(f) for f in glob.glob(f"{path}/**/*.parquet", recursive=True))
+
+
+def test_a_small_batch_writes_little(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    write = sinks.write_document_runs(path, ["_id", "no", "made"], "_id", "no", "made")
+    rows = spark.range(50_000).selectExpr("cast(id as int) as cust", "cast(id as int) as no", "date_add(date'2020-01-01', cast(id % 700 as int)) as made")
+    write(rows, 0)
+    before = times(f"{path}/runs/0")
+    write(orders(spark, (2, 60_000, "2020-07-01"), (70_000, 1, "2021-07-01"), (5, -1, "2020-01-06")), 1)
+    assert times(f"{path}/runs/0") == before and size(f"{path}/runs/1") * 100 < size(f"{path}/runs/0")
+    got = sinks.read_documents(spark, path, "_id", "no")
+    assert got.count() == 50_001
+    assert sorted((r._id, r.no) for r in got.where("_id in (2, 5, 70000)").collect()) == [(2, 60_000), (5, 5), (70_000, 1)]
+
+
+def test_runs_are_merged_as_they_grow(spark, tmp_path):
+    path, draw, want = str(tmp_path / "runs"), random.Random(3), {}
+    write = sinks.write_document_runs(path, ["_id", "no", "made"], "_id", "no", "made")
+    assert sinks.read_documents(spark, path, "_id", "no") is None
+    for batch_id in range(9):
+        # the date follows from the id, so that a batch has one row per id and shard; numbers tie and go back
+        batch = {i: (draw.randrange(6), batch_id) for i in draw.sample(range(60), draw.choice([0, 3, 12]) if batch_id else 40)}
+        rows = [(i, n, dt.date(2020 + i % 3, 1, 1)) for i, (n, _) in batch.items()]
+        write(spark.createDataFrame(rows, "cust int, no int, made date"), batch_id)
+        want.update({i: v for i, v in batch.items() if v >= want.get(i, (-1, -1))})
+        got = sinks.read_documents(spark, path, "_id", "no").collect()
+        assert sorted((r._id, r.no, r.shard) for r in got) == sorted((i, n, 2020 + i % 3) for i, (n, _) in want.items())
+        last = max(int(os.path.basename(f)) for f in glob.glob(f"{path}/versions/*"))
+        sizes = [n for _, n in sinks._runs(spark, path, last)]
+        assert all(a >= 4 * sum(sizes[k + 1 :]) or k + 1 == len(sizes) for k, a in enumerate(sizes))
+        assert len(glob.glob(f"{path}/runs/*")) <= 2 * len(sizes) + 2 and len(glob.glob(f"{path}/versions/*")) <= 2
+    files = times(path)
+    write(orders(spark, (1, 99, "2021-01-01")), last)  # repeated: it was written already
+    assert times(path) == files
+    with pytest.raises(ValueError, match="another stream"):
+        write(orders(spark, (1, 99, "2021-01-01")), last - 1)
+
+
+def test_a_batch_cut_short_is_written_anew(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    write = sinks.write_document_runs(path, ["_id", "no", "made"], "_id", "no", "made")
+    write(orders(spark, (1, 1, "2020-01-01"), (2, 2, "2020-01-01")), 0)
+    orders(spark, (9, 9, "2020-01-01")).write.parquet(f"{path}/runs/1")  # a run that no list names
+    assert sinks.read_documents(spark, path, "_id", "no").count() == 2
+    write(orders(spark, (1, 3, "2020-01-01")), 1)
+    assert sorted((r._id, r.no) for r in sinks.read_documents(spark, path, "_id", "no").collect()) == [(1, 3), (2, 2)]
+
+
 def test_lanes(spark, tmp_path):
     df = spark.createDataFrame([(1, ["a", "b"]), (2, []), (3, None), (4, ["b"])], "id int, lanes array<string>")
     path = str(tmp_path / "lanes")

@@ -55,6 +55,14 @@ def kept_batches(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n) for n in names if n.isdigit() and files.exists(_files(spark, f"{path}/{n}/_SUCCESS")[0]))
 
 
+def remove_folders(spark: SparkSession, path: str, unused: Callable[[str], bool]) -> None:
+    """Removes the folders directly below ``path`` whose names are ``unused``."""
+    where, files = _files(spark, path)
+    for status in files.listStatus(where):
+        if status.isDirectory() and unused(status.getPath().getName()):
+            files.delete(status.getPath(), True)
+
+
 def keep_state(df: DataFrame, path: str, batch_id: int) -> None:
     """Writes what a batch leaves, whole, and removes all but it and what the batch before it left.
 
