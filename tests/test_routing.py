@@ -1,3 +1,6 @@
+import random
+import time
+
 from pyspark.sql import functions as F
 import pytest
 
@@ -143,3 +146,48 @@ def test_templates(spark):
     open_end = templates.render_query("$database > '$ts_start'", F.lit("d"), at, F.lit(None).cast("timestamp"))
     assert df.select(open_end).first()[0] == "d > '2016-08-18 12:01:02.12'"
     assert df.select(templates.evaluate("#a!=null && #b=='x' && '#a == null' != #b")).first()[0] is True
+
+
+def random_rule(draw):
+    def transform():
+        kind = draw.choice([None, "map", "sql", "resultset", "expr"])
+        process = {"sql": "audit.it's", "resultset": "select '\\\\d' from ${Database}.t where n = ${number} and x = ${none}", "expr": "#state+'!'"}
+        binds = [(draw.choice(["note", "state", "it's"]), draw.choice(["number", "#state+'/'+#number", "#note", "'x'+#owner", "none"])) for _ in range(draw.randrange(4))]
+        maps = [(draw.choice(["a", "b"]), draw.choice(["note", "#state+#number", "it's"])) for _ in range(draw.randrange(3))]
+        return Transform(kind, process.get(kind), tuple(binds), tuple(maps))
+
+    tests = [None, "#state=='open'", "#note==null", "#note!=null && #state=='open'", "#owner=='x' || #number=='1'"]
+    branches = tuple((draw.choice(tests), transform()) for _ in range(draw.randrange(4)))
+    scope = draw.choice(["*", "ledger", "other"]), draw.choice(["account", "session"]), draw.choice(["*", "INSERT"])
+    return Rule(*scope, branches, transform() if draw.randrange(2) else None)
+
+
+def random_events(spark, draw):
+    values = lambda: {k: draw.choice(["open", "1", "x", None]) for k in ("state", "owner", "number", "note") if draw.randrange(4)}
+    rows = [(i, draw.choice(["ledger", "other", "third", None]), draw.choice(["account", "session"]), draw.choice(["INSERT", "DELETE"]), values() if i else None) for i in range(60)]
+    return spark.createDataFrame(rows, "pos int, Database string, Table string, Type string, Data map<string,string>")
+
+
+def test_all_rules_at_once_do_what_each_does_after_the_other(spark):
+    draw = random.Random(8)
+    for _ in range(6):
+        rules = [random_rule(draw) for _ in range(draw.randrange(1, 5))]
+        df = random_events(spark, draw)
+        slow = routing._with_state(df).withColumns({f"_m{i}": m for i, m in enumerate(routing.rule_matches(rules))})
+        for i, rule in enumerate(rules):
+            slow = routing.apply_if_else(slow, rule, F.col(f"_m{i}"), i)
+        fast = routing.apply_rules(df, rules)
+        assert fast.columns == slow.drop(*[f"_m{i}" for i in range(len(rules))]).columns
+        plain = lambda d: {r.pos: r.asDict(True) for r in d.select(*fast.columns).collect()}
+        assert plain(fast) == plain(slow), rules
+
+
+def test_many_rules_are_planned_quickly(spark):
+    draw = random.Random(9)
+    rules = [random_rule(draw) for _ in range(200)]
+    start = time.monotonic()
+    done = routing.apply_rules(random_events(spark, draw), rules)
+    done._jdf.queryExecution().executedPlan()
+    assert time.monotonic() - start < 10
+    assert done.count() == 60
+    assert routing.apply_rules(random_events(spark, draw), []).count() == 60

@@ -46,8 +46,31 @@ def render_query(template: str, database: Column | str, ts_start: Column | str,
 SIGNS = {"&&": "AND", "||": "OR", "==": "=", "+": "||"}
 
 
+def text_literal(text: str | None) -> str:
+    """A text as it stands in SQL; ``${`` is written so that no setting is put in its place."""
+    if text is None:
+        return "cast(null as string)"
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'").replace("${", "\\u0024{") + "'"
+
+
+def bound_sql_text(template: str, data: str = "Data") -> str:
+    """What ``bind_sql`` makes, as the text of a SQL expression."""
+    if "${Database}" not in template:
+        raise ValueError("SQL without '${Database}' is not allowed")
+    parts = []
+    for literal, name in re.findall(r"((?:(?!\$\{\w+\}).)+)|\$\{(\w+)\}", template, re.S):
+        value = f"coalesce({data}[{text_literal(name)}], {text_literal('${' + name + '}')})"
+        parts.append(text_literal(literal) if literal else value)
+    return f"concat({', '.join(parts)})"
+
+
 def evaluate(expression: str, data: str = "Data") -> Column:
     """Rule expression over a text map: ``#x`` is the value of ``x``, ``+`` joins texts."""
+    return F.expr(expression_text(expression, data))
+
+
+def expression_text(expression: str, data: str = "Data") -> str:
+    """A rule expression as the text of a SQL expression."""
     sql = []
     for quoted, null_test, name, sign, other in re.findall(
         r"('[^']*'|\"[^\"]*\")|([!=]=\s*null\b)|#(\w+)|(&&|\|\||==|\+)|(.)", expression, re.S
@@ -60,9 +83,14 @@ def evaluate(expression: str, data: str = "Data") -> Column:
             sql.append(f"{data}['{name}']")
         else:
             sql.append(f" {SIGNS[sign]} " if sign else other)
-    return F.expr("".join(sql))
+    return "".join(sql)
 
 
 def bound_value(value: str, data: str = "Data") -> Column:
     """Value of a bind or map: a field name, or an expression if it has a ``#``."""
     return evaluate(value, data) if "#" in value else F.col(data)[value]
+
+
+def bound_value_text(value: str, data: str = "Data") -> str:
+    """What ``bound_value`` makes, as the text of a SQL expression."""
+    return expression_text(value, data) if "#" in value else f"{data}[{text_literal(value)}]"

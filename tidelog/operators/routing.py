@@ -9,10 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.functions import templates
 from tidelog.functions.patterns import all_of, any_of, discard_all, include_list, names_in
 from tidelog.functions.templates import bind_sql, bound_value, evaluate
 
@@ -143,6 +145,8 @@ def transform_kind(
 
 STATE = ("Result", "Transformer", "BoundSql", "Evaluated", "Asked")
 
+CASES = 32  # steps of a fold that are told apart one by one
+
 ASKED = "array<struct<rule_no:int,sql:string,data:map<string,string>>>"
 
 
@@ -175,10 +179,80 @@ def apply_if_else(df: DataFrame, rule: Rule, when: Column | None = None, rule_no
     return df.drop(*flags)
 
 
+class _Steps:
+    """Rules as numbered steps of one fold: what each step sets a field of the state ``s`` to."""
+
+    def __init__(self) -> None:
+        self.sets: dict[str, list[tuple[int, str]]] = {}
+        self.count = 0
+
+    def add(self, **fields: str) -> int:
+        for name, value in fields.items():
+            self.sets.setdefault(name, []).append((self.count, value))
+        self.count += 1
+        return self.count - 1
+
+    def transform(self, t: Transform, rule_no: int) -> list[int]:
+        """One step for each bind, so that later ones see what it left, one for the process and one for the maps."""
+        made = []
+        for name, value in t.binds:
+            key = templates.text_literal(name)
+            bound = f"map({key}, cast({templates.bound_value_text(value, 's.Data')} as string))"
+            made.append(self.add(Data=f"if(s.on, map_concat(map_filter(s.Data, (k, v) -> k != {key}), {bound}), s.Data)"))
+        if t.kind == "sql":
+            made.append(self.add(Transformer=f"if(s.on, {templates.text_literal(t.process)}, s.Transformer)"))
+        elif t.kind == "resultset":
+            sql = templates.bound_sql_text(t.process, "s.Data")
+            ask = f"cast(array(named_struct('rule_no', {rule_no}, 'sql', {sql}, 'data', s.Data)) as {ASKED})"
+            asked = f"if(s.on, concat(coalesce(s.Asked, cast(array() as {ASKED})), {ask}), s.Asked)"
+            made.append(self.add(BoundSql=f"if(s.on, {sql}, s.BoundSql)", Asked=asked))
+        elif t.kind not in (None, "map") and t.process:
+            value = f"cast({templates.expression_text(t.process, 's.Data')} as string)"
+            made.append(self.add(Evaluated=f"if(s.on, {value}, s.Evaluated)"))
+        if t.maps:
+            names = ", ".join(templates.text_literal(name) for name in dict(t.maps))
+            values = ", ".join(f"cast({templates.bound_value_text(v, 's.Data')} as string)" for v in dict(t.maps).values())
+            mapped = f"if(s.on and s.Asked is null, map_from_arrays(array({names}), array({values})), null)"
+            made.append(self.add(Result=f"coalesce(s.Result, {mapped})"))
+        return made
+
+    def rule(self, rule: Rule, rule_no: int) -> list[int]:
+        """``on``: does the branch run; ``ran``: did any branch of the rule before this one."""
+        made = []
+        for i, (test, transform) in enumerate(rule.branches):
+            holds = f"coalesce(cast(({templates.expression_text(test, 's.Data')}) as boolean), false)" if test else "true"
+            made.append(self.add(on=holds, ran="s.ran or s.on" if i else "false"))
+            made += self.transform(transform, rule_no)
+        if rule.otherwise is not None:
+            made.append(self.add(on="not (s.ran or s.on)" if rule.branches else "true"))
+            made += self.transform(rule.otherwise, rule_no)
+        return made
+
+    def fold(self, steps: str) -> str:
+        fields = ("Data", *STATE)
+        start = ", ".join(f"'{f}', {f}" for f in fields) + ", 'on', false, 'ran', false"
+        after = []
+        for f in (*fields, "on", "ran"):
+            # found in two stages, so that a step costs no comparison with all others
+            parts = [list(part) for _, part in groupby(self.sets.get(f, []), lambda step: step[0] // CASES)]
+            cases = [(p[0][0] // CASES, " ".join(f"when {n} then {value}" for n, value in p)) for p in parts]
+            choice = " ".join(f"when {part} then case i {inner} else s.{f} end" for part, inner in cases)
+            after.append(f"'{f}', " + (f"case i div {CASES} {choice} else s.{f} end" if choice else f"s.{f}"))
+        return f"aggregate({steps}, named_struct({start}), (s, i) -> named_struct({', '.join(after)}))"
+
+
 def apply_rules(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Every matching rule applied to its events, in rule order, on one pass over the events."""
-    matches = [f"_rule{i}" for i in range(len(rules))]
-    df = _with_state(events).withColumns(dict(zip(matches, rule_matches(rules))))
-    for i, (name, rule) in enumerate(zip(matches, rules)):
-        df = apply_if_else(df, rule, F.col(name), i)
-    return df.drop(*matches)
+    """Every matching rule applied to its events, in rule order, on one pass over the events.
+
+    The result is that of ``apply_if_else`` for one rule after the other. The rules become one fold over the steps of
+    those that match an event: one expression that grows with the rules, and an event costs the steps of its own rules.
+    """
+    df, steps = _with_state(events), _Steps()
+    numbers = [steps.rule(rule, i) for i, rule in enumerate(rules)]
+    mine = [F.when(match, F.array(*map(F.lit, n))) for match, n in zip(rule_matches(rules), numbers) if n]
+    if not mine:
+        return df
+    taken = df.withColumn("_steps", F.flatten(F.array_compact(F.array(*mine))))
+    kept = [c for c in df.columns if c not in ("Data", *STATE)]
+    folded = taken.select(*(F.col(f"`{c}`") for c in kept), F.expr(steps.fold("_steps")).alias("_state"))
+    return folded.select(*(F.col(f"`{c}`") if c in kept else F.col("_state")[c].alias(c) for c in df.columns))
