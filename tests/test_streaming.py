@@ -302,3 +302,22 @@ def test_first_change_keeps_its_columns_in_a_stream(spark, tmp_path):
     merged = S.coalesce_changes_stream(source(spark, path, schema), watermark="1 second", carry=["Type", "n"])
     got = run(merged, path)
     assert sorted((r.pos, r.n_merged, r.Type, r.n) for r in got.collect()) == [(0, 3, None, 7), (3, 1, "DELETE", 8)]
+
+
+def test_held_rows_are_packed(spark):
+    """A state element holds many rows, whatever nulls they have."""
+    schema = S.held_schema(S.T.StructType([S.T.StructField("n", S.T.LongType()), S.T.StructField("s", S.T.StringType())]))
+    import pandas as pd
+
+    rows = S.as_table(pd.DataFrame({"n": [1.0, None] * 50_000, "s": ["a", None] * 50_000}), schema)
+    elements = S.packed(rows)
+    assert len(elements) == 2 and S.unpacked(iter(elements), schema).equals(rows)
+    assert S.unpacked((), schema).num_rows == 0 and S.packed(rows.slice(0, 0)) == []
+
+
+def test_equal_places_of_two_servers_have_one_first_event(spark):
+    """Of events that agree in table, time and order the same one is first, in whatever order they come."""
+    rows = [("d", "t", START, 5, kind, n) for kind, n in (("B", 1), ("A", 3), ("A", 2), ("C", 1))]
+    for order in (rows, rows[::-1], rows[2:] + rows[:2]):
+        frame = spark.createDataFrame(order, "Database string, Table string, ts timestamp, pos bigint, kind string, n int")
+        assert [(r.kind, r.n) for r in C.coalesce_changes(frame).collect()] == [("A", 2)]

@@ -340,16 +340,21 @@ def _followed(steps: DataFrame, keys: list[str], gap: int, most: int, rounds: in
 
 
 def with_first_rows(df: DataFrame, windows: DataFrame, keys: Sequence[str], at: Column, order: str) -> DataFrame:
-    """Windows with all columns of their first row. Rows that agree in key, time and order count as one."""
+    """Windows with all columns of their first row.
+
+    Rows that agree in key, time and order count as one: that with the lowest values of its other columns, one after the other.
+    """
     place = F.struct(*keys, "_at", order).alias("_place")  # equal even where a key is null
     rows = df.withColumn("_at", at).select("*", place).alias("r")
     extra = [c for c in windows.columns if c not in (*keys, order, "window_start")]
     w = windows.withColumnRenamed("window_start", "_at").select(*extra, place).alias("w")
+    names = [c for c in df.columns if c not in (*keys, order)]
+    told = F.struct(*(f"`{c}`" for c in names if isinstance(df.schema[c].dataType, T.AtomicType)), F.lit(0).alias("_end"))
+    found = rows.join(w, F.col("r._place") == F.col("w._place")).select("r.*", *[F.col(f"w.{c}") for c in extra])
     return (
-        rows.join(w, F.col("r._place") == F.col("w._place"))
-        .select("r.*", *[F.col(f"w.{c}") for c in extra])
-        .dropDuplicates(["_place"])
-        .drop("_place")
+        found.groupBy("_place")
+        .agg(F.min_by(F.struct(*(f"`{c}`" for c in found.columns if c != "_place")), told).alias("_row"))
+        .select("_row.*")
         .withColumnRenamed("_at", "window_start")
     )
 

@@ -61,7 +61,8 @@ def publish(
     A notice has no transaction in it, so the log need not be numbered here.
     """
     known = known_events(log, catalog, n_columns, include, ignore, keys, block_bits)
-    counted = known.withColumn("n_rows", F.size("rows")).drop("rows")
+    # as on a stream: of events of several servers that agree in time and order, these columns tell which is the first
+    counted = known.select("db", "tbl", "ts", "pos", "event_type", F.size("rows").alias("n_rows"))
     merged = coalesce_changes(counted, ["db", "tbl"], "ts", gap_ms, counts=False)
     return publish_notices(to_notices(merged), routes)
 

@@ -10,6 +10,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +19,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidelog.functions import patterns as P
 from tidelog.operators.ordering import SERVER
-from tidelog.streaming.coalesce import RELEASED, needs_rocksdb, plain_values, released
+from tidelog.streaming.coalesce import PACKED, RELEASED, as_table, held_schema, needs_rocksdb, packed, released, unpacked
+
+ROWS_AT_ONCE = 1 << 17  # of a frame handed on
 
 
 class LogOrder(StatefulProcessor):
@@ -29,93 +33,101 @@ class LogOrder(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         text, number = T.StringType(), T.LongType()
         self.handle = handle
-        self.held = handle.getListState("held", self.held_schema)
+        self.held = handle.getListState("held", PACKED)
+        self.arrow = held_schema(self.held_schema)
         self.open = handle.getValueState("open", T.StructType([T.StructField("gtid", text), T.StructField("start", number), T.StructField("seq_no", number)]))
         self.maps = handle.getMapState("maps", T.StructType([T.StructField("table_id", number)]), T.StructType([T.StructField("db", text), T.StructField("tbl", text)]))
         self.done = handle.getValueState("done", T.StructType([T.StructField("at", number)]))
 
-    def _frame(self, rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=self.held_schema.names, dtype=object)
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new: list[tuple] = []
-        for pdf in rows:
-            new += zip(*(plain_values(pdf[f.name], f.dataType) for f in self.held_schema.fields))
+        new = pa.concat_tables([as_table(pdf, self.arrow) for pdf in rows])
         yield from self._advance(key, new, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._advance(key, [], timerValues.getCurrentWatermarkInMs())
+        yield from self._advance(key, self.arrow.empty_table(), timerValues.getCurrentWatermarkInMs())
 
-    def _advance(self, key: tuple, new: list[tuple], watermark_ms: int) -> Iterator[pd.DataFrame]:
-        place, at = self.held_schema.names.index(self.order), self.held_schema.names.index("event_at")
+    def _advance(self, key: tuple, new: pa.Table, watermark_ms: int) -> Iterator[pd.DataFrame]:
         done = self.done.get()[0] if self.done.exists() else None
         if done is not None:  # delivered again, or too late to be put in its place
-            new = [r for r in new if r[place] > done]
-        held = list(map(tuple, self.held.get())) if self.held.exists() else []
+            new = new.filter(pc.greater(new[self.order], done))
+        held = unpacked(self.held.get() if self.held.exists() else (), self.arrow)
+        events = pa.concat_tables([held, new])
+        places, at = events[self.order].to_numpy(), events["event_at"].to_numpy()
         # nothing older than the watermark comes any more, so all up to the last event older than that are complete
-        due = [r[place] for r in (*held, *new) if r[at] < watermark_ms * 1000]
+        due = at < watermark_ms * 1000
         for expiry in list(self.handle.listTimers()):
             self.handle.deleteTimer(expiry)
-        if not due:
-            if new:
-                self.held.appendList(new)
-                held += new
+        if not due.any():
+            if new.num_rows:
+                self.held.appendList(packed(new))
         else:
-            upto = max(due)
-            ready = [r for r in (*held, *new) if r[place] <= upto]
-            held = [r for r in (*held, *new) if r[place] > upto]
-            if held:
-                self.held.put(held)
+            upto = int(places[due].max())
+            ready = places <= upto
+            later, at = events.filter(pa.array(~ready)), at[~ready]
+            if later.num_rows:
+                self.held.put(packed(later))
             else:
                 self.held.clear()
             self.done.update((upto,))
-            yield from self._resolved(key, self._frame(ready), watermark_ms)
-        if held:
-            self.handle.registerTimer(min(r[at] for r in held) // 1000 + 1)
+            yield from self._resolved(key, events.filter(pa.array(ready)), watermark_ms)
+        if len(at):
+            self.handle.registerTimer(int(at.min()) // 1000 + 1)
 
-    def _resolved(self, key: tuple, events: pd.DataFrame, watermark_ms: int) -> Iterator[pd.DataFrame]:
+    def _resolved(self, key: tuple, events: pa.Table, watermark_ms: int) -> Iterator[pd.DataFrame]:
         """The row events among ``events``, which are complete up to their last one."""
-        events = events.drop_duplicates(self.order).sort_values(self.order, ignore_index=True)
-        kind = events["event_kind"].to_numpy()
-        starts, maps, rows = (kind == k for k in ("start", "map", "row"))
+        order = np.argsort(events[self.order].to_numpy(), kind="stable")
+        positions = events[self.order].to_numpy()[order]
+        new = np.r_[True, positions[1:] != positions[:-1]]
+        events, positions = events.take(order[new]).combine_chunks(), positions[new]
+        starts, maps, rows = (pc.equal(events["event_kind"], k).to_numpy() for k in ("start", "map", "row"))
         gtid, start, seq_no = self.open.get() if self.open.exists() else (None, None, 0)
         # transactions: the run of events since each start, the first of them going on with what was open
         run = np.cumsum(starts)
         counted = np.cumsum(rows)
         heads = np.flatnonzero(starts)
-        base = np.r_[-seq_no, counted[heads]]
-        numbers = counted - base[run]
-        positions = events[self.order].to_numpy()
-        gtids = np.array([gtid, *events["gtid"].to_numpy()[heads]], dtype=object)[run]
-        begun = np.array([start, *positions[heads]], dtype=object)[run]
-        self.open.update((gtids[-1], begun[-1], int(numbers[-1])))
-        # tables: the last map before, here or in the state
-        ids, names = events["table_id"].tolist(), list(zip(events["db"], events["tbl"]))
-        known: dict = {}
-        changed: set = set()
-        tables: list[tuple] = []
-        for table_id, name, is_map, is_row in zip(ids, names, maps.tolist(), rows.tolist()):
-            if is_map:
-                known[table_id] = name
-                changed.add(table_id)
-            elif is_row:
-                if table_id not in known:
-                    there = table_id is not None and self.maps.containsKey((table_id,))
-                    known[table_id] = tuple(self.maps.getValue((table_id,))) if there else (None, None)
-                tables.append(known[table_id])
-        for table_id in changed:
-            if table_id is not None:
-                self.maps.updateValue((table_id,), known[table_id])
-        if rows.any():
-            at = np.flatnonzero(rows)
-            out = {name: [part] * len(at) for name, part in zip(self.keys, key)}
-            out |= {"gtid": gtids[at], "tx_start": begun[at], "seq_no": numbers[at]}
-            out |= dict(zip(("db", "tbl"), zip(*tables)))
-            out[RELEASED] = released(watermark_ms)
-            for f in self.out_schema.fields:
-                if f.name not in out:
-                    out[f.name] = pd.Series(events[f.name].to_numpy()[at], dtype=object)
-            yield pd.DataFrame(out)[self.out_schema.names]
+        numbers = counted - np.r_[-seq_no, counted[heads]][run]
+        gtids = pa.array([gtid, *events["gtid"].take(heads).to_pylist()], pa.string())
+        begun = pa.array([start, *positions[heads].tolist()], pa.int64())
+        self.open.update((gtids[-1].as_py(), begun[-1].as_py(), int(numbers[-1])))
+        sources, db, tbl = self._tables(events, maps, rows)
+        at = np.flatnonzero(rows)
+        for part in np.split(at, range(ROWS_AT_ONCE, len(at), ROWS_AT_ONCE)):
+            if not len(part):
+                continue
+            columns = {f.name: events[f.name].take(part) for f in self.out_schema.fields if f.name in self.arrow.names}
+            columns |= {"gtid": gtids.take(run[part]), "tx_start": begun.take(run[part]), "seq_no": pa.array(numbers[part])}
+            columns |= {"db": db.take(sources[part]), "tbl": tbl.take(sources[part])}
+            out = pa.table(columns).to_pandas(integer_object_nulls=True)
+            for name, value in (*zip(self.keys, key), (RELEASED, released(watermark_ms))):
+                out[name] = [value] * len(part)
+            yield out[self.out_schema.names]
+
+    def _tables(self, events: pa.Table, maps: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, pa.Array, pa.Array]:
+        """Where each row event's table stands in the names returned: that of the last map before it, here or in the state."""
+        ids = pc.dictionary_encode(events["table_id"], null_encoding="encode").combine_chunks()
+        codes, known = ids.indices.to_numpy(), ids.dictionary.to_pylist()
+        used = np.flatnonzero(maps | rows)
+        used = used[np.argsort(codes[used], kind="stable")]
+        place, of = np.arange(len(used)), codes[used]
+        new = np.ones(len(used), bool)
+        new[1:] = of[1:] != of[:-1]
+        first = np.maximum.accumulate(np.where(new, place, 0))
+        last = np.maximum.accumulate(np.where(maps[used], place, -1))
+        found = last >= first
+        sources = np.full(events.num_rows, -1)
+        sources[used[found]] = used[last[found]]
+        names: list[tuple] = []  # of the ids that have no map here
+        for code in np.unique(of[~found]).tolist():
+            table_id = known[code]
+            there = table_id is not None and self.maps.containsKey((table_id,))
+            sources[used[~found & (of == code)]] = events.num_rows + len(names)
+            names.append(tuple(self.maps.getValue((table_id,))) if there else (None, None))
+        for end in np.flatnonzero(found & np.r_[new[1:], np.ones(min(len(used), 1), bool)]).tolist():
+            if (table_id := known[of[end]]) is not None:
+                at = int(used[last[end]])
+                self.maps.updateValue((table_id,), (events["db"][at].as_py(), events["tbl"][at].as_py()))
+        both = (pa.chunked_array([*events[c].chunks, pa.array([n[i] for n in names], pa.string())]) for i, c in enumerate(("db", "tbl")))
+        return sources, *(c.combine_chunks() for c in both)
 
     def close(self) -> None:
         pass
