@@ -21,20 +21,38 @@ from tidelog.streaming import coalesce as C
 from tidelog.streaming import extract as E
 
 
+FILE_ROWS = 250_000  # of a staged log
+
+
 def _folder(spark, name: str) -> str:
     return shared_dir(spark, "checks", f"{name}-{uuid.uuid4().hex}")
 
 
 def _staged(spark, df, name: str, parts: int, order: str = "pos") -> str:
-    """The rows as a folder of ``parts`` files in log order, to be streamed file by file."""
+    """The rows as a folder of ``parts`` parts in log order, to be streamed part by part.
+
+    Every part has the same number of files, so that a micro-batch of so many is one part, and no task writes more than a file of it.
+    """
     path = f"{_folder(spark, name)}/input"
-    last = df.agg(F.max(order)).scalar()
+    last, rows = df.agg(F.max(order), F.count("*")).first()
     part = F.floor(F.col(order) * F.lit(parts) / (last + 1))
+    files = _files_of_part(rows, parts)
     for n in range(parts):  # one after the other: a file stream reads in the order of writing
-        df.filter(part == n).coalesce(1).write.parquet(f"{path}/part={n}")
+        own = df.filter(part == n)
+        (own.repartition(files, order) if files > 1 else own.coalesce(1)).write.parquet(f"{path}/part={n}")
     return path
 
 
+def _files_of_part(rows: int, parts: int) -> int:
+    """So many that files have about FILE_ROWS rows, and that by far each is sure to get some."""
+    return max(1, rows // parts // FILE_ROWS)
+
+
+def _files_at_once(path: str, spark) -> int:
+    """Files of the first part: those of one micro-batch."""
+    return len(spark.read.parquet(f"{path}/part=0").inputFiles())
+
+
 def _far_ahead(log, path: str, **names) -> None:
     """One more row a year later, so that all windows before it end."""
     ahead = log.agg((F.max("ts") + F.expr("INTERVAL '365' DAY")).alias("ts"), (F.max("pos") + 1).alias("pos"))
@@ -44,7 +62,7 @@ def _far_ahead(log, path: str, **names) -> None:
 def _stream(spark, path: str, schema: T.StructType, one_by_one: bool = True):
     reader = C.use_rocksdb(spark).readStream.schema(schema)
     if one_by_one:
-        reader = reader.option("maxFilesPerTrigger", 1)
+        reader = reader.option("maxFilesPerTrigger", _files_at_once(path, spark))
     return reader.parquet(path)
 
 
@@ -65,7 +83,7 @@ def _drain(stream, path: str, mode: str = "append"):
     f"{ANCHORED_TABLES} select m.db, m.tbl, m.first_pos, m.n_merged, m.a as first_ts, m.last_at as last_ts from merged m",
 )
 def coalesce_changes_stream(spark, d):
-    """Streamed in four files; a row a year ahead, left out of the result, lets the last windows pass."""
+    """Streamed in four parts; a row a year ahead, left out of the result, lets the last windows pass."""
     log = changelog(spark, d).select("db", "tbl", "ts", "pos")
     path = _staged(spark, log, "coalesce", 4)
     _far_ahead(log, path, db="", tbl="")
@@ -117,7 +135,7 @@ def publish_from_log_stream(spark, d):
 
 @check("incremental_extract_stream", EXTRACT_SQL)
 def incremental_extract_stream(spark, d):
-    """Notices streamed in three files; windows go on from micro-batch to micro-batch."""
+    """Notices streamed in three parts; windows go on from micro-batch to micro-batch."""
     log = order_notices(spark, d).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     path, out = _staged(spark, log, "extract", 3), _folder(spark, "extracted")
     _far_ahead(log, path, Database="none")

@@ -321,3 +321,17 @@ def test_equal_places_of_two_servers_have_one_first_event(spark):
     for order in (rows, rows[::-1], rows[2:] + rows[:2]):
         frame = spark.createDataFrame(order, "Database string, Table string, ts timestamp, pos bigint, kind string, n int")
         assert [(r.kind, r.n) for r in C.coalesce_changes(frame).collect()] == [("A", 2)]
+
+
+@pytest.mark.parametrize("n", [10, 2_000_000])
+def test_staged_parts_have_equal_files(spark, n):
+    """A part of a large log is written by several tasks; a micro-batch is still one part."""
+    from checks import streams
+
+    path = streams._staged(spark, spark.range(n).withColumnRenamed("id", "pos"), "test", 2)
+    files = streams._files_at_once(path, spark)
+    assert files == (4 if n > 1000 else 1)
+    for part in (0, 1):
+        own = spark.read.parquet(f"{path}/part={part}")
+        assert len(own.inputFiles()) == files
+        assert own.agg(F.min("pos"), F.max("pos")).first() == (part * n // 2, (part + 1) * n // 2 - 1)
