@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidelog.operators.scan import fill_forward
 from tidelog.session import settle, small_side
 
 TABLE = ("db", "tbl")
+FEW_SPANS = 50  # of a key, which its events may all meet
 
 
 def table_columns(catalog: DataFrame, keys: Sequence[str] = TABLE) -> DataFrame:
@@ -66,8 +68,23 @@ def enrich_columns_versioned(
 
 
 def enrich_as_of(events: DataFrame, spans: DataFrame, n_columns: Column, order: str = "pos", keys: Sequence[str] = TABLE) -> DataFrame:
-    """Events with the columns of the span (``valid_from`` up to ``valid_to``, open if null) that their place lies in."""
-    e, s = events.alias("e"), small_side(settle(spans)).alias("s")
+    """Events with the columns of the span (``valid_from`` up to ``valid_to``, open if null) that their place lies in.
+
+    Spans of a key do not overlap. Where a key has more than FEW_SPANS, events do not meet all of them: the last one that begins at or before
+    an event is carried along the log (``scan.fill_forward``), whose blocks are cut by the places of the spans.
+    """
+    keys = list(keys)
+    spans = settle(spans.filter(F.col("valid_to").isNull() | (F.col("valid_from") < F.col("valid_to"))))
+    most, first, last = (
+        spans.filter(F.col("valid_to").isNotNull())
+        .groupBy(*keys)
+        .agg(F.count("*").alias("n"), F.min("valid_to").alias("first"), F.max("valid_to").alias("last"))
+        .agg(F.max("n"), F.min("first"), F.max("last"))
+        .first()
+    )
+    if (most or 0) > FEW_SPANS:
+        return _with_fallback(_carried(events, spans, order, keys, max(0, int(last - first).bit_length() - 9)), n_columns)
+    e, s = events.alias("e"), small_side(spans).alias("s")
     valid = [F.col(f"e.{k}") == F.col(f"s.{k}") for k in keys]
     valid += [
         F.col(f"e.{order}") >= F.col("s.valid_from"),
@@ -77,6 +94,20 @@ def enrich_as_of(events: DataFrame, spans: DataFrame, n_columns: Column, order:
     return _with_fallback(joined, n_columns)
 
 
+def _carried(events: DataFrame, spans: DataFrame, order: str, keys: list[str], block_bits: int) -> DataFrame:
+    """Events with the last span that begins at or before them, if it reaches them."""
+    names = ["valid_from", "valid_to", "columns", "column_types"]
+    # twice the place, so that a span comes before the events of its own place
+    begins = spans.dropna(subset=keys).select(*keys, (F.col("valid_from") * 2).alias("_place"), F.struct(*names).alias("_span"))
+    places = events.select(*keys, (F.col(order).cast("bigint") * 2 + 1).alias("_place"), F.struct("*").alias("_row"))
+    log = places.unionByName(begins, allowMissingColumns=True)
+    filled = fill_forward(log, "_known", F.col("_span"), F.col("_span").isNotNull(), "_place", keys, block_bits)
+    reached = F.col("_known.valid_to").isNull() | (F.col(f"_row.`{order}`") < F.col("_known.valid_to"))
+    return filled.filter(F.col("_row").isNotNull()).select(
+        "_row.*", *[F.when(reached, F.col(f"_known.{c}")).alias(c) for c in names if c != "valid_to"]
+    )
+
+
 def lookup_rows(events: DataFrame, source: DataFrame, on: dict[str, str]) -> DataFrame:
     """Events joined to the source rows a bound query would return, one output row per pair; others stay, with nulls."""
     e, s = events.alias("e"), source.alias("s")
