@@ -165,3 +165,34 @@ def test_a_batch_with_too_many_dirty_rows_leaves_nothing(spark, tmp_path):
     assert sorted(r.code for r in clean.collect()) == [0, 1, 2, 3, 4, 6, 7, 8, 9] and [r.code for r in dirty.collect()] == ["x"]
     with pytest.raises(ValueError, match="there already"):
         run(1, "some")
+
+
+def test_equal_windows_are_joined_once(spark):
+    """A row comes once for each of them; the join itself meets different windows only."""
+    windows = spark.createDataFrame([("a", at(0), at(10))] * 5 + [("a", at(5), at(10)), ("b", at(0), at(9))], "Database string, ts_start timestamp, ts_end timestamp")
+    source = spark.createDataFrame([("a", at(1), 1), ("a", at(6), 2), ("b", at(9), 3)], "Database string, changed timestamp, id int")
+    rows = I.delta_join(windows, source, "changed")
+    assert sorted((r.id, r.ts_start) for r in rows.collect()) == [(1, at(0))] * 5 + [(2, at(0))] * 5 + [(2, at(5))]
+    assert rows.columns == [*source.columns, "ts_start", "ts_end"]
+    assert "_times" in rows._jdf.queryExecution().toString()
+
+
+def test_many_versions_of_a_table(spark):
+    """Events meet the one version that reaches them, also where versions end, and keep their null places and keys."""
+    n = 3 * E.FEW_SPANS
+    spans = [("d", "t", 10 * i, 10 * i + (5 if i % 7 == 3 else 10), [f"c{i}"], ["int"]) for i in range(n - 1)]
+    spans += [("d", "t", 10 * (n - 1), None, ["end"], ["int"]), ("d", "t", 40, 40, ["none"], ["int"]), ("d", "u", -1, None, ["u"], ["int"])]
+    frame = spark.createDataFrame(spans, "db string, tbl string, valid_from bigint, valid_to bigint, columns array<string>, column_types array<string>")
+    places = [("d", "t", p) for p in range(-5, 10 * n + 20, 3)] + [("d", "t", None), (None, "t", 5), ("d", "u", 7), ("d", "x", 7)]
+    events = spark.createDataFrame(places, "db string, tbl string, pos bigint")
+    made = E.enrich_as_of(events, frame, F.lit(1))
+    got = made.select("db", "tbl", "pos", "valid_from", F.col("columns")[0], "has_metadata").collect()
+
+    def want(db, tbl, pos):
+        for d, t, a, b, c, _ in spans:
+            if (d, t) == (db, tbl) and pos is not None and a <= pos and (b is None or pos < b):
+                return (db, tbl, pos, a, c[0], True)
+        return (db, tbl, pos, None, "col_0", False)
+
+    assert sorted(map(str, map(tuple, got))) == sorted(str(want(*p)) for p in places)
+    assert "Window" in made._jdf.queryExecution().executedPlan().toString()

@@ -99,15 +99,15 @@ def delta_join(
     source as plain values, which skips files and partitions outside; if the windows
     are small they are broadcast and the source is not moved. They are spread over
     calendar units and joined on (database, unit), so that otherwise a database that
-    owns most rows is split by time, and no row meets windows of other units. A
+    owns most rows is split by time, and no row meets windows of other units. Equal
+    windows are joined as one, and their rows are repeated afterwards. A
     window without end reads up to ``until`` (default: now).
     """
     step = {"HOUR": "1 HOUR", "DAY": "1 DAY", "MONTH": "1 MONTH"}[unit]
     end = F.coalesce(F.col("ts_end"), until if until is not None else F.current_timestamp())
-    bounds = settle(
-        windows.select(database, "ts_start", end.alias("ts_end")).filter(F.col("ts_start") < F.col("ts_end"))
-    )
-    outer = bounds.agg(F.min(F.unix_micros("ts_start")).alias("lo"), F.max(F.unix_micros("ts_end")).alias("hi")).first()
+    wanted = windows.select(database, "ts_start", end.alias("ts_end")).filter(F.col("ts_start") < F.col("ts_end"))
+    bounds = settle(wanted.groupBy(database, "ts_start", "ts_end").agg(F.count("*").cast("int").alias("_times")))
+    *outer, most = bounds.agg(F.min(F.unix_micros("ts_start")), F.max(F.unix_micros("ts_end")), F.max("_times")).first()
     kind = source.schema[ts].dataType
     lo, hi = (F.timestamp_micros(F.lit(v).cast("bigint")).cast(kind) for v in outer)
     spread = bounds.withColumn(
@@ -127,7 +127,11 @@ def delta_join(
         & (at >= F.col("w.ts_start"))
         & (at < F.col("w.ts_end"))
     )
-    return rows.join(w, inside).select("r.*", "w.ts_start", "w.ts_end").drop("_unit")
+    columns = [*(F.col(f"r.`{c}`") for c in source.columns), "w.ts_start", "w.ts_end"]
+    joined = rows.join(w, inside)
+    if (most or 1) == 1:
+        return joined.select(*columns)
+    return joined.select(*columns, F.explode(F.array_repeat(F.lit(True), F.col("w._times"))).alias("_time")).drop("_time")
 
 
 def backfill(source: DataFrame, ts_start: str, ts: str, until: Column | None = None) -> DataFrame:
