@@ -108,3 +108,19 @@ def test_module_is_found_under_its_old_name():
     from tidelog.operators import ordering
 
     assert ordering.merge_intervals is G.merge_intervals and ordering.gtid_sets is G.gtid_sets
+
+
+def test_whole_sets_are_written_now_and_then(spark):
+    """Small blocks of a log with many gaps: all sets together stay in proportion to the log, and every place finds its own."""
+
+    def run(n):
+        log = spark.range(n).selectExpr("1 as server_id", "id * 100 as pos", "'GTID' as event_type", "concat('u:', 2 * id + 1) as gtid")
+        blocks, changes = gtid_deltas(log, block_bits=10)
+        assert changes.where("lo = hi").count() == n
+        return log, blocks, changes, sum(len(r.block_set or "") + len(r.near_set) for r in blocks.collect())
+
+    (*_, short), (log, blocks, changes, long) = run(2000), run(8000)
+    assert long < 6 * short
+    places = log.where("pos % 50000 = 0").select("server_id", "pos")
+    for r in gtid_set_at(blocks, changes, places, block_bits=10).collect():
+        assert r.gtid_set == (":".join(["u", *(str(2 * i + 1) for i in range(r.pos // 100))]) if r.pos else "")
