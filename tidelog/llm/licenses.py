@@ -340,8 +340,12 @@ def scan(docs: DataFrame, text: str, keep: list[str], templates: dict[str, str]
     """
     kind = pa.list_(pa.struct([("start", pa.int64()), ("license", pa.string()), ("reduction", pa.float64()), ("missing", pa.int32()), ("added", pa.int32()), ("confirmed", pa.bool_())]))
 
+    worker: list[Scanner] = []  # one for each worker, kept over batches
+
     def compute(texts: pa.Array) -> list[pa.Array]:
-        scanner = Scanner(templates)
+        if not worker:
+            worker.append(Scanner(templates))
+        scanner = worker[0]
         out: list[list[dict]] = [[] for _ in range(len(texts))]
         some = pc.fill_null(pc.match_substring_regex(texts, CUES), False)
         for i in pc.indices_nonzero(some).to_pylist():

@@ -9,11 +9,13 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 BLOCK_BYTES = 1 << 18  # worked on at once; what is computed from them takes a hundred times as much memory
+BATCH_BYTES = 2 << 20  # of rows that go to Python together, about
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 # White space of the word rule, space and tab to carriage return.
 WHITE_SPACE = bytes([9, 10, 11, 12, 13, 32])
@@ -26,14 +28,22 @@ def give_back() -> None:
         trim(0)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Rows go to Python in batches of about BATCH_BYTES, unless the session says how many bytes; else 10,000 rows are one, however long."""
+    if not spark.conf.get(BATCH_CONF, None):
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+
+
 def map_texts(
     docs: DataFrame, text: str, keep: list[str], fields: list[StructField], compute: Callable[[pa.Array], list[pa.Array]]
 ) -> DataFrame:
     """Columns ``row`` (a struct of ``keep``) and ``fields``, which ``compute`` makes from a batch of texts.
 
-    The kept columns stay in a struct, so that none clashes with a computed one.
+    The kept columns stay in a struct, so that none clashes with a computed one. A text that is kept is sent once.
     """
+    bound_batches(docs.sparkSession)
     kept = StructType([docs.schema[c] for c in keep])
+    held = keep.index(text) if text in keep else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -41,10 +51,11 @@ def map_texts(
                 continue
             row = batch.column(0)
             out = pa.StructArray.from_arrays([row.field(i) for i in range(len(keep))], names=keep)
-            yield pa.RecordBatch.from_arrays([out, *compute(batch.column(1))], names=["row", *(f.name for f in fields)])
+            texts = batch.column(1) if held is None else row.field(held)
+            yield pa.RecordBatch.from_arrays([out, *compute(texts)], names=["row", *(f.name for f in fields)])
             give_back()
 
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), F.col(f"`{text}`").alias("text"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), *([F.col(f"`{text}`").alias("text")] if held is None else []))
     return rows.mapInArrow(run, StructType([StructField("row", kept), *fields]))
 
 
