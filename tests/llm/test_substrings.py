@@ -124,3 +124,30 @@ def test_query_on_the_table(spark):
 
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
     assert rows(QUERIES["op3_substrings"](spark, SF_DIR)) == brute([r.doc_id for r in docs], [r.text for r in docs], 50)
+
+
+def test_anchors_of_many_texts_are_those_of_each_alone():
+    """Texts are looked at together, so that many short ones do not cost a call each; short, empty and periodic ones among them."""
+    draw = random.Random(4)
+    sizes = [0, 49, 50, 51, 300, 0, 0, 10, 80, 99, 49, 200, 0]
+    some = [np.array([draw.randrange(k) for _ in range(n)], np.uint8) for k in (1, 2, 200) for n in draw.sample(sizes, len(sizes))]
+    offsets = np.cumsum([0, *map(len, some)])
+    got = anchors(np.concatenate(some), 50, offsets=offsets)
+    each = [anchors(x, 50) for x in some]
+    for i, moved in enumerate((True, False, True, True)):
+        assert got[i].tolist() == [v for x, o in zip(each, offsets.tolist()) for v in (x[i] + o if moved else x[i]).tolist()]
+    *_, owner, number = substrings._contexts(np.concatenate(some), 50, offsets)
+    assert list(zip(owner.tolist(), number.tolist())) == [(i, j) for i, x in enumerate(each) for j in range(len(x[0]))]
+
+
+def test_anchors_of_one_text_do_not_depend_on_what_is_beside_it():
+    """Cutting the data elsewhere changes neither places nor hashes."""
+    draw = random.Random(5)
+    text = np.array([draw.randrange(3) for _ in range(500)], np.uint8)
+    alone = anchors(text, 50)
+    for before, after in ((0, 7), (1, 0), (60, 60), (31, 200)):
+        data = np.concatenate([np.full(before, 1, np.uint8), text, text[:after]])
+        places, hashes, first, last = anchors(data, 50, offsets=np.array([0, before, before + 500, len(data)]))
+        own = (first >= before) & (first < before + 500)
+        assert (places[own] - before).tolist() == alone[0].tolist() and hashes[own].tolist() == alone[1].tolist()
+        assert (first[own] - before).tolist() == alone[2].tolist() and (last[own] - before).tolist() == alone[3].tolist()

@@ -12,26 +12,35 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.suffixes import _BACK, _SECOND_BACK, _powers, anchors, prefix_hashes, second_hashes, sort_suffixes, span_hashes
 from tidelog.llm.tables import stored
-from tidelog.llm.texts import blocks, mix
+from tidelog.llm.texts import blocks, bound_batches, mix
 from tidelog.operators.groups import whole_groups
 from tidelog.session import settle, small_side
 
 LENGTH = 50  # bytes of a repeated string
 CROWD = 500  # contexts of one anchor that are sorted in one task; larger crowds are resolved window by window, by their bytes
 MARKS_BYTES = 192 << 20  # of the places found, as text, up to which they go to the documents; beyond that both are shuffled
+AT_ONCE = 1 << 15  # bytes of texts whose anchors are looked for together: what is computed from them stays in the processor's cache
 COMBINED_ROWS = 500_000  # anchors of a task looked at together, about
 SAMPLE_DOCS = 20_000  # looked through for hot anchors, about
 HOT_ROWS = 100  # of an anchor in these, from which it counts as hot
 
 
-def _contexts(data: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Of each anchor: its hash, and two independent hashes of its context, which is the bytes of all its windows."""
+def _numbered(first: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each anchor of some texts: which text it is in, and its number among the anchors of that text."""
+    owner = np.searchsorted(offsets, first, "right") - 1
+    return owner, np.arange(len(owner)) - np.searchsorted(owner, owner)
+
+
+def _contexts(data: np.ndarray, length: int, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of each anchor of some texts: its hash, two independent hashes of its context, which is the bytes of all its windows, its text and number."""
     prefixes, back = prefix_hashes(data), _powers(len(data) + 1, _BACK)
-    places, hashes, first, last = anchors(data, length, prefixes)
+    places, hashes, first, last = anchors(data, length, prefixes, offsets)
+    owner, number = _numbered(first, offsets)
     if not len(places):
-        return hashes, hashes, hashes
+        return hashes, hashes, hashes, owner, number
     one = mix(span_hashes(prefixes, back, first, last - first + length))
-    return hashes, one, mix(span_hashes(second_hashes(data), _powers(len(data) + 1, _SECOND_BACK), first, last - first + length))
+    two = mix(span_hashes(second_hashes(data), _powers(len(data) + 1, _SECOND_BACK), first, last - first + length))
+    return hashes, one, two, owner, number
 
 
 PLAIN, COVERED, HOT = range(3)
@@ -48,7 +57,7 @@ def _combined(columns: list[np.ndarray], hot: np.ndarray) -> list[np.ndarray]:
     if not len(anchor):
         return [*columns, kind]
     together = anchor ^ mix(context.view(np.uint64)).view(np.int64) ^ second
-    order = np.argsort(together, kind="stable")
+    order = np.argsort(together)
     a, c, s, d = (x[order] for x in (anchor, context, second, doc))
     new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (c[1:] != c[:-1]) | (s[1:] != s[:-1])])
     first = np.repeat(np.minimum.reduceat(d, new), np.diff(np.r_[new, len(d)]))
@@ -67,20 +76,22 @@ def _anchor_rows(docs: DataFrame, length: int, hot: np.ndarray) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(hot)
     names = ["anchor", "context", "second", "doc", "place", "kind"]
 
+    def made(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in _combined([np.concatenate(x) for x in zip(*found)], sent.value)], names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, n = [], 0
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            found, n = [], 0
-            for first, data, offsets in blocks(batch.column(1)):
-                for i in range(len(offsets) - 1):
-                    hashes = [x.view(np.int64) for x in _contexts(data[offsets[i] : offsets[i + 1]], length)]
-                    found.append((*hashes, np.full(len(hashes[0]), ids[first + i]), np.arange(len(hashes[0]), dtype=np.int32)))
-                    n += len(hashes[0])
+            for first, data, offsets in blocks(batch.column(1), AT_ONCE):
+                *hashes, owner, number = _contexts(data, length, offsets)
+                found.append((*(x.view(np.int64) for x in hashes), ids[first + owner], number.astype(np.int32)))
+                n += len(owner)
                 if n > COMBINED_ROWS:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in _combined([np.concatenate(x) for x in zip(*found)], sent.value)], names=names)
+                    yield made(found)
                     found, n = [], 0
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _combined([np.concatenate(x) for x in zip(*found)], sent.value)], names=names)
+        if found:
+            yield made(found)
 
     return docs.select("doc", "text").mapInArrow(run, "anchor bigint, context bigint, second bigint, doc bigint, place int, kind tinyint")
 
@@ -133,28 +144,26 @@ def _open_contexts(docs: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).to_numpy()
             lists = [[np.array(x.as_py() or [], np.int64) for x in batch.column(i)] for i in (2, 3)]
-            for begin, data, offsets in blocks(batch.column(1)):
-                key, doc, start, windows, ahead, context = [], [], [], [], [], []
-                for i in range(len(offsets) - 1):
-                    text = data[offsets[i] : offsets[i + 1]]
-                    places, hashes, first, last = anchors(text, length)
-                    alone, crowded = (x[begin + i] for x in lists)
-                    alone, crowded = alone[alone < len(hashes)], crowded[crowded < len(hashes)]
-                    key.append(hashes[alone].view(np.int64))
-                    start.append(first[alone])
-                    windows.append(last[alone] - first[alone] + 1)
-                    ahead.append(places[alone] - first[alone])
-                    context += [text[a : b + length].tobytes() for a, b in zip(first[alone], last[alone])]
-                    at = np.concatenate([np.arange(a, b + 1) for a, b in zip(first[crowded], last[crowded])] or [np.zeros(0, np.int64)])
-                    hashed = span_hashes(prefix_hashes(text), _powers(len(text) + 1, _BACK), at, length) if len(at) else np.zeros(0, np.uint64)
-                    key.append(mix(hashed).view(np.int64))
-                    start.append(at)
-                    windows.append(np.zeros(len(at), np.int64))
-                    ahead.append(np.zeros(len(at), np.int64))
-                    context += [text[a : a + length].tobytes() for a in at]
-                    doc.append(np.full(len(alone) + len(at), ids[begin + i]))
-                columns = [pa.array(np.concatenate(x)) for x in (key, doc, start, windows, ahead)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(context, pa.binary())], names=["key", "doc", "start", "windows", "ahead", "context"])
+            for begin, data, offsets in blocks(batch.column(1), AT_ONCE):
+                prefixes = prefix_hashes(data)
+                places, hashes, first, last = anchors(data, length, prefixes, offsets)
+                counts = np.bincount(_numbered(first, offsets)[0], minlength=len(offsets) - 1)
+                before = np.cumsum(counts) - counts
+                alone, crowded = (
+                    np.concatenate([x[x < n] + b for x, n, b in zip(wanted[begin : begin + len(counts)], counts, before)]) for wanted in lists
+                )
+                at = np.concatenate([np.arange(a, b + 1) for a, b in zip(first[crowded], last[crowded])] or [np.zeros(0, np.int64)])
+                hashed = mix(span_hashes(prefixes, _powers(len(data) + 1, _BACK), at, length)) if len(at) else np.zeros(0, np.uint64)
+                none = np.zeros(len(at), np.int64)
+                owner = np.searchsorted(offsets, np.r_[first[alone], at], "right") - 1
+                columns = [
+                    np.r_[hashes[alone], hashed].view(np.int64), ids[begin + owner], np.r_[first[alone], at] - offsets[owner],
+                    np.r_[last[alone] - first[alone] + 1, none], np.r_[places[alone] - first[alone], none],
+                ]
+                whole = data.tobytes()
+                context = [whole[a : b + length] for a, b in zip(first[alone].tolist(), last[alone].tolist())] + [whole[a : a + length] for a in at.tolist()]
+                names = ["key", "doc", "start", "windows", "ahead", "context"]
+                yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in columns), pa.array(context, pa.binary())], names=names)
 
     kind = "key bigint, doc bigint, start bigint, windows bigint, ahead bigint, context binary"
     return docs.select("doc", "text", "alone", "crowded").mapInArrow(run, kind)
@@ -197,12 +206,20 @@ def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
     return some.mapInArrow(run, "doc bigint, start bigint, end bigint")
 
 
+def _covers(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where in its text the context of each anchor starts and ends, and the number of anchors before each text."""
+    _, _, first, last = anchors(data, length, offsets=offsets)
+    begins = offsets[_numbered(first, offsets)[0]]
+    return first - begins, last + length - begins, np.searchsorted(first, offsets)
+
+
 def _results(rows: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             copies, places, spans = (batch.column(i).to_pylist() for i in (2, 3, 4))
             sizes, removed, counts, digests = [], [], [], []
-            for begin, data, offsets in blocks(batch.column(1)):
+            for begin, data, offsets in blocks(batch.column(1), AT_ONCE):
+                starts, ends, cuts = _covers(data, offsets, length) if any(places[begin : begin + len(offsets) - 1]) else (None, None, None)
                 for i in range(len(offsets) - 1):
                     text, row = data[offsets[i] : offsets[i + 1]], begin + i
                     steps = np.zeros(len(text) + 1, np.int64)
@@ -210,11 +227,10 @@ def _results(rows: DataFrame, length: int) -> DataFrame:
                         steps[0], steps[-1] = 1, -1
                     elif places[row] or spans[row]:
                         if places[row]:
-                            _, _, first, last = anchors(text, length)
-                            at = np.array(places[row], np.int64)
-                            at = at[at < len(first)]
-                            np.add.at(steps, first[at], 1)
-                            np.add.at(steps, last[at] + length, -1)
+                            at = np.array(places[row], np.int64) + cuts[i]
+                            at = at[at < cuts[i + 1]]
+                            np.add.at(steps, starts[at], 1)
+                            np.add.at(steps, ends[at], -1)
                         for span in spans[row] or []:
                             if span["end"] <= len(text):
                                 steps[span["start"]] += 1
@@ -244,6 +260,7 @@ def repeated_strings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     suffixes of their windows are sorted (``suffixes.sort_suffixes``), and equal neighbours go by the smallest document.
     An anchor with more than CROWD contexts is not brought together: its windows are grouped by their bytes, each on its own.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
     several = rows.where(F.octet_length("text") >= length).groupBy("digest").agg(F.min("doc").alias("first"), F.count("*").alias("n"))

@@ -13,6 +13,8 @@ _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
 # another hash, of another base and of random numbers in place of bytes
 _SECOND = np.uint64(0x2545F4914F6CDD1D)
 _SECOND_BACK = np.uint64(pow(int(_SECOND), -1, 1 << 64))
+_UPPER = np.uint64(0xFFFFFFFF00000000)
+_NONE = np.uint64(0xFFFFFFFFFFFFFFFF)  # no place is so large
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 
 
@@ -50,30 +52,31 @@ def _extreme(values: np.ndarray, width: int, take) -> np.ndarray:
     return take(values[: len(values) - (width - done)], values[width - done :]) if done < width else values
 
 
-def anchors(data: np.ndarray, length: int, prefixes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(place, hash, first window, last window) of each anchor of a text.
+def anchors(
+    data: np.ndarray, length: int, prefixes: np.ndarray | None = None, offsets: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(place, hash, first window, last window) of each anchor of a text, or of all texts that ``offsets`` cut the data into.
 
-    A window is ``length`` bytes; its anchor is the first of its GRAM-byte strings with the smallest hash. Equal
-    windows have their anchors in the same place, and an anchor serves a run of windows.
+    A window is ``length`` bytes of one text; its anchor is the first of its GRAM-byte strings with the smallest hash, judged by the
+    upper half of the hashes. Equal windows have their anchors in the same place, and an anchor serves a run of windows.
     """
     if len(data) < length:
         none = np.zeros(0, np.int64)
         return none, none.astype(np.uint64), none, none
     prefixes, back = prefix_hashes(data) if prefixes is None else prefixes, _powers(len(data) + 1, _BACK)
     grams = mix((prefixes[GRAM:] - prefixes[:-GRAM]) * back[: len(data) - GRAM + 1])
-    width = length - GRAM + 1
-    lowest = _extreme(grams, width, np.minimum)
-    padded = np.zeros(len(lowest) + 2 * (width - 1), np.uint64)
-    padded[width - 1 : len(padded) - (width - 1)] = lowest
-    chosen = _extreme(padded, width, np.maximum) == grams
-    at = np.flatnonzero(chosen)
-    # at: all places that are the smallest of some window; a window's is the first one at or after its start
-    nearest = (np.cumsum(chosen) - chosen)[: len(lowest)]
-    while (wrong := grams[at[nearest]] != lowest).any():
-        nearest = nearest + wrong
-    changes = np.concatenate([[0], np.flatnonzero(nearest[1:] != nearest[:-1]) + 1])
-    places = at[nearest[changes]]
-    return places, grams[places], changes, np.concatenate([changes[1:], [len(lowest)]]) - 1
+    # the lower half is the place, so that the smallest one is the first of its kind, too
+    lowest = _extreme(grams & _UPPER | np.arange(len(grams), dtype=np.uint64), length - GRAM + 1, np.minimum)
+    if offsets is not None:
+        beyond = np.maximum(offsets[1:, None] - np.arange(1, length), offsets[:-1, None]).ravel()
+        beyond = beyond[np.repeat(np.diff(offsets) > 0, length - 1)]
+        lowest[beyond[beyond < len(lowest)]] = _NONE
+    changes = np.r_[0, np.flatnonzero(lowest[1:] != lowest[:-1]) + 1]
+    last = np.r_[changes[1:], len(lowest)] - 1
+    found = lowest[changes]
+    real = found != _NONE
+    places = (found[real] & ~_UPPER).astype(np.int64)
+    return places, grams[places], changes[real], last[real]
 
 
 def extensions(prefixes: np.ndarray, back: np.ndarray, one: np.ndarray, two: np.ndarray, length: int) -> np.ndarray:
