@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.suffixes import _BACK, _SECOND_BACK, _powers, anchors, prefix_hashes, second_hashes, sort_suffixes, span_hashes
 from tidelog.llm.tables import stored
-from tidelog.llm.texts import blocks, bound_batches, mix
+from tidelog.llm.texts import blocks, bound_batches, give_back, mix
 from tidelog.operators.groups import whole_groups
 from tidelog.session import settle, small_side
 
@@ -20,6 +20,7 @@ LENGTH = 50  # bytes of a repeated string
 CROWD = 500  # contexts of one anchor that are sorted in one task; larger crowds are resolved window by window, by their bytes
 MARKS_BYTES = 192 << 20  # of the places found, as text, up to which they go to the documents; beyond that both are shuffled
 AT_ONCE = 1 << 15  # bytes of texts whose anchors are looked for together: what is computed from them stays in the processor's cache
+CONTEXTS_AT_ONCE = 20_000  # that leave a task together, about
 COMBINED_ROWS = 500_000  # anchors of a task looked at together, about
 SAMPLE_DOCS = 20_000  # looked through for hot anchors, about
 HOT_ROWS = 100  # of an anchor in these, from which it counts as hot
@@ -90,6 +91,7 @@ def _anchor_rows(docs: DataFrame, length: int, hot: np.ndarray) -> DataFrame:
                 if n > COMBINED_ROWS:
                     yield made(found)
                     found, n = [], 0
+                    give_back()
         if found:
             yield made(found)
 
@@ -140,9 +142,13 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _open_contexts(docs: DataFrame, length: int) -> DataFrame:
     """The bytes of the contexts in ``alone``, under their anchors, and those of each window of the contexts in ``crowded``."""
 
+    def made(found: list[list[np.ndarray]], context: list[bytes]) -> pa.RecordBatch:
+        columns = [pa.array(np.concatenate(x)) for x in zip(*found)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(context, pa.binary())], names=["key", "doc", "start", "windows", "ahead", "context"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
+            ids, found, context = batch.column(0).to_numpy(), [], []
             lists = [[np.array(x.as_py() or [], np.int64) for x in batch.column(i)] for i in (2, 3)]
             for begin, data, offsets in blocks(batch.column(1), AT_ONCE):
                 prefixes = prefix_hashes(data)
@@ -156,14 +162,21 @@ def _open_contexts(docs: DataFrame, length: int) -> DataFrame:
                 hashed = mix(span_hashes(prefixes, _powers(len(data) + 1, _BACK), at, length)) if len(at) else np.zeros(0, np.uint64)
                 none = np.zeros(len(at), np.int64)
                 owner = np.searchsorted(offsets, np.r_[first[alone], at], "right") - 1
-                columns = [
-                    np.r_[hashes[alone], hashed].view(np.int64), ids[begin + owner], np.r_[first[alone], at] - offsets[owner],
-                    np.r_[last[alone] - first[alone] + 1, none], np.r_[places[alone] - first[alone], none],
-                ]
+                found.append(
+                    [
+                        np.r_[hashes[alone], hashed].view(np.int64), ids[begin + owner], np.r_[first[alone], at] - offsets[owner],
+                        np.r_[last[alone] - first[alone] + 1, none], np.r_[places[alone] - first[alone], none],
+                    ]
+                )
                 whole = data.tobytes()
-                context = [whole[a : b + length] for a, b in zip(first[alone].tolist(), last[alone].tolist())] + [whole[a : a + length] for a in at.tolist()]
-                names = ["key", "doc", "start", "windows", "ahead", "context"]
-                yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in columns), pa.array(context, pa.binary())], names=names)
+                context += [whole[a : b + length] for a, b in zip(first[alone].tolist(), last[alone].tolist())]
+                context += [whole[a : a + length] for a in at.tolist()]
+                if len(context) > CONTEXTS_AT_ONCE:
+                    yield made(found, context)
+                    found, context = [], []
+            if found:
+                yield made(found, context)
+            give_back()
 
     kind = "key bigint, doc bigint, start bigint, windows bigint, ahead bigint, context binary"
     return docs.select("doc", "text", "alone", "crowded").mapInArrow(run, kind)
@@ -243,6 +256,7 @@ def _results(rows: DataFrame, length: int) -> DataFrame:
             columns = [pa.array(x, pa.int64()) for x in (sizes, removed, counts)]
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(digests, pa.string())], names=names)
+            give_back()
 
     return rows.mapInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
