@@ -3,8 +3,10 @@
 import hashlib
 import os
 import random
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from common import documents, edited, prose
 
@@ -151,3 +153,46 @@ def test_anchors_of_one_text_do_not_depend_on_what_is_beside_it():
         own = (first >= before) & (first < before + 500)
         assert (places[own] - before).tolist() == alone[0].tolist() and hashes[own].tolist() == alone[1].tolist()
         assert (first[own] - before).tolist() == alone[2].tolist() and (last[own] - before).tolist() == alone[3].tolist()
+
+
+def _shuffle_files(spark):
+    """Sizes of the shuffle files on disk, by name."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    found = [files.apply(i) for i in range(files.size())]
+    return {f.getName(): f.length() for f in found if f.getName().startswith("shuffle_")}
+
+
+def test_steps_leave_no_shuffle_files_behind(spark, texts, monkeypatch):
+    """Of eight steps each writes its rows down; all shuffles together took five times the input."""
+    monkeypatch.setattr(substrings, "MARKS_BYTES", 0)
+    ids = list(range(len(texts)))
+    df = documents(spark, texts, ids)
+    old = set(_shuffle_files(spark))
+    found = repeated_strings(df)
+    until = time.time() + 20  # they are removed in the background
+    while (left := set(_shuffle_files(spark)) - old) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert rows(found) == brute(ids, texts, 50)
+
+
+def test_parcels_hold_anchors_as_they_came():
+    """Open anchors of equal hash in one part, and no more than 27 bytes for each; what is covered only as document and place."""
+    draw = np.random.default_rng(3)
+    n = 20000
+    anchor, context, second = (draw.integers(-(1 << 63), (1 << 63) - 1, (31, n)).view(np.uint64).min(axis=0).view(np.int64) for _ in range(3))
+    anchor[100:200] = anchor[:100]
+    for lowest, ids, places in ((-(1 << 63), 1 << 62, 1 << 30), (7_000_000_000, 4000, 200), (5, 1, 1)):
+        doc, place = draw.integers(0, ids, n) + lowest, draw.integers(0, places, n).astype(np.int32)
+        kind = draw.choice([substrings.PLAIN, substrings.COVERED, substrings.HOT], n, p=[0.8, 0.1, 0.1]).astype(np.int8)
+        for parts in (1, 7, 50):
+            parcels = [x for batch in substrings._parcels([anchor, context, second, doc, place, kind], parts) for x in batch.column(1)]
+            got = [substrings._unpacked(x.as_buffer()) for x in parcels]
+            where = [set(x[0][0].tolist()) for x in got]
+            assert len(parcels) <= parts and max(map(len, where)) < 1.3 * n / parts and sum(map(len, where)) == len(set().union(*where))
+            rest, known = kind != substrings.COVERED, kind == substrings.COVERED
+            said = sorted(t for x in got for t in zip(*(c.tolist() for c in x[0])))
+            assert said == sorted(zip(*(c[rest].tolist() for c in (anchor, context, second, doc, place, kind))))
+            assert sorted(t for x in got for t in zip(*(c.tolist() for c in x[1]))) == sorted(zip(doc[known].tolist(), place[known].tolist()))
+            if ids == 4000:
+                assert len(pa.compress(b"".join(x.as_py() for x in parcels), "lz4_raw", asbytes=True)) < 27 * n

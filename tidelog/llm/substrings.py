@@ -14,14 +14,16 @@ from tidelog.llm.suffixes import _BACK, _SECOND_BACK, _powers, anchors, prefix_h
 from tidelog.llm.tables import stored
 from tidelog.llm.texts import blocks, bound_batches, give_back, mix
 from tidelog.operators.groups import whole_groups
-from tidelog.session import settle, small_side
+from tidelog.session import settle, shuffles_dropped, small_side
 
 LENGTH = 50  # bytes of a repeated string
 CROWD = 500  # contexts of one anchor that are sorted in one task; larger crowds are resolved window by window, by their bytes
 MARKS_BYTES = 192 << 20  # of the places found, as text, up to which they go to the documents; beyond that both are shuffled
 AT_ONCE = 1 << 15  # bytes of texts whose anchors are looked for together: what is computed from them stays in the processor's cache
 CONTEXTS_AT_ONCE = 20_000  # that leave a task together, about
-COMBINED_ROWS = 500_000  # anchors of a task looked at together, about
+COMBINED_ROWS = 250_000  # anchors of a task looked at together, about
+PART_BYTES = 8 << 20  # of texts whose anchors, half a million, are judged in one task
+PARCEL_BYTES = 1 << 20  # of parcels that leave a task together, about
 SAMPLE_DOCS = 20_000  # looked through for hot anchors, about
 HOT_ROWS = 100  # of an anchor in these, from which it counts as hot
 
@@ -73,70 +75,178 @@ def _combined(columns: list[np.ndarray], hot: np.ndarray) -> list[np.ndarray]:
     return [anchor, context, second, doc, place, kind]
 
 
-def _anchor_rows(docs: DataFrame, length: int, hot: np.ndarray) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(hot)
-    names = ["anchor", "context", "second", "doc", "place", "kind"]
+def _found(batches: Iterator[pa.RecordBatch], length: int, hot: np.ndarray) -> Iterator[list[np.ndarray]]:
+    """The anchors of (document, text) rows, about COMBINED_ROWS at a time, made ready by ``_combined``."""
+    found, n = [], 0
+    for batch in batches:
+        ids = batch.column(0).to_numpy()
+        for first, data, offsets in blocks(batch.column(1), AT_ONCE):
+            *hashes, owner, number = _contexts(data, length, offsets)
+            found.append((*(x.view(np.int64) for x in hashes), ids[first + owner], number.astype(np.int32)))
+            n += len(owner)
+            if n > COMBINED_ROWS:
+                columns = [np.concatenate(x) for x in zip(*found)]
+                found, n = [], 0
+                yield _combined(columns, hot)
+                give_back()
+    if found:
+        columns = [np.concatenate(x) for x in zip(*found)]
+        del found
+        yield _combined(columns, hot)
+        del columns
+        give_back()
+
+
+def _planes(values: np.ndarray, width: int) -> np.ndarray:
+    """The lower ``width`` bytes of whole numbers, byte by byte: what is the same in many of them stands together."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+
+
+def _width(values: np.ndarray) -> int:
+    return max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+
+
+HEAD = 6  # numbers in front of a parcel
+
 
-    def made(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in _combined([np.concatenate(x) for x in zip(*found)], sent.value)], names=names)
+def _parcels(columns: list[np.ndarray], parts: int) -> Iterator[pa.RecordBatch]:
+    """Anchors that are ready, as one binary value for each part that they are dealt to; what is COVERED only as document and place.
+
+    Rows of hashes hardly compress, and their other columns are mostly zeros: so packed an anchor takes 24 to 27 bytes instead of 32.
+    """
+    anchor, context, second, doc, place, kind = columns
+    unsigned, lowest = anchor.view(np.uint64), int(doc.min(initial=np.iinfo(np.int64).max))
+    part = (mix(unsigned) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)  # anchors are the smallest of many hashes, so not even themselves
+    known = np.flatnonzero(kind == COVERED)
+    known = known[np.argsort(part[known])]
+    rest = np.flatnonzero(kind != COVERED)
+    rest = rest[np.argsort(part[rest] << np.uint64(40) | unsigned[rest] >> np.uint64(24))]
+    cuts = [np.searchsorted(part[rows], np.arange(parts + 1, dtype=np.uint64)) for rows in (rest, known)]
+    docs = doc.view(np.uint64) - np.array([lowest]).view(np.uint64)
+    widths = _width(docs), _width(place)
+    steps = _planes(np.diff(unsigned[rest], prepend=np.uint64(0)), 8)
+    marked = [[_planes(x[rows], w) for x, w in zip((docs, place), widths)] for rows in (rest, known)]
+    hashes, hot = [x[rest] for x in (context, second)], (kind[rest] == HOT).astype(np.uint8)
+    numbers, parcels, size = [], [], 0
+
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(parcels, pa.binary())], names=["part", "rows"])
+
+    for p in np.unique(part).tolist():
+        (a, b), (c, d) = ((int(x[p]), int(x[p + 1])) for x in cuts)
+        head = np.array([b - a, d - c, lowest, *widths, anchor[rest[a]] if b > a else 0], "<i8")
+        pieces = [head, steps[:, a:b], *(x[a:b] for x in hashes), hot[a:b], *(x[:, a:b] for x in marked[0]), *(x[:, c:d] for x in marked[1])]
+        numbers.append(p)
+        parcels.append(b"".join(x.tobytes() for x in pieces))
+        size += len(parcels[-1])
+        if size > PARCEL_BYTES:
+            yield out()
+            numbers, parcels, size = [], [], 0
+    if numbers:
+        yield out()
+
+
+def _unpacked(parcel: bytes) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Of a parcel: anchor, context, second, doc, place, kind of what is open; doc and place of what is COVERED."""
+    n, known, lowest, *widths, first = np.frombuffer(parcel, "<i8", HEAD).tolist()
+    at = 8 * HEAD
+
+    def taken(rows: int, width: int) -> np.ndarray:
+        nonlocal at
+        planes = np.frombuffer(parcel, np.uint8, rows * width, at).reshape(width, rows)
+        at += rows * width
+        values = np.zeros((rows, 8), np.uint8)
+        values[:, :width] = planes.T
+        return values.view("<i8")[:, 0]
+
+    def marks(rows: int) -> list[np.ndarray]:
+        doc, place = (taken(rows, w) for w in widths)
+        return [doc + np.int64(lowest), place.astype(np.int32)]
+
+    steps = taken(n, 8)
+    steps[:1] = first
+    hashes = []
+    for _ in range(2):
+        hashes.append(np.frombuffer(parcel, "<i8", n, at))
+        at += 8 * n
+    hot = taken(n, 1)
+    return [np.cumsum(steps), *hashes, *marks(n), np.where(hot > 0, np.int8(HOT), np.int8(PLAIN))], marks(known)
+
+
+def _hot_anchors(docs: DataFrame, length: int, n: int) -> np.ndarray:
+    """Anchors that many of some documents have, SAMPLE_DOCS of ``n`` at most or so. They are only dealt otherwise; no result depends on them."""
+    if not n:
+        return np.zeros(0, np.int64)
+    names = ["anchor", "kind"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, n = [], 0
-        for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for first, data, offsets in blocks(batch.column(1), AT_ONCE):
-                *hashes, owner, number = _contexts(data, length, offsets)
-                found.append((*(x.view(np.int64) for x in hashes), ids[first + owner], number.astype(np.int32)))
-                n += len(owner)
-                if n > COMBINED_ROWS:
-                    yield made(found)
-                    found, n = [], 0
-                    give_back()
-        if found:
-            yield made(found)
-
-    return docs.select("doc", "text").mapInArrow(run, "anchor bigint, context bigint, second bigint, doc bigint, place int, kind tinyint")
-
-
-def _hot_anchors(docs: DataFrame, length: int) -> np.ndarray:
-    """Anchors that many of some documents have, SAMPLE_DOCS at most or so. They are only dealt otherwise; no result depends on them."""
-    n = docs.count()
-    some = _anchor_rows(docs.sample(min(1.0, SAMPLE_DOCS / max(n, 1)), seed=3), length, np.zeros(0, np.int64)) if n else None
-    rows = some.where(F.col("kind") == PLAIN).groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") >= HOT_ROWS).collect() if n else []
+        for columns in _found(batches, length, np.zeros(0, np.int64)):
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.array(columns[5])], names=names)
+
+    some = docs.select("doc", "text").sample(min(1.0, SAMPLE_DOCS / n), seed=3).mapInArrow(run, "anchor bigint, kind tinyint")
+    rows = some.where(F.col("kind") == PLAIN).groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") >= HOT_ROWS).collect()
     return np.sort(np.array([r["anchor"] for r in rows], np.int64))
 
 
-def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From anchors sorted by hash, both hashes of the context and document: those whose whole context an earlier document has
-    (``covered``), and those of the first document with a context, if the anchor has another context, too, or is a hot one."""
-    held = tuple(np.zeros(0, np.int64) for _ in range(6))  # the last context met, in its first document
-    other = False  # has the anchor of the held ones a context before theirs?
+def _dealt_anchors(docs: DataFrame, length: int) -> DataFrame:
+    """The anchors of all documents as parcels, those of equal anchors in one partition, and so many partitions that each is sorted in memory."""
+    spark = docs.sparkSession
+    n, size = docs.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    parts = max(spark.sparkContext.defaultParallelism, -(-(size or 0) // PART_BYTES))
+    sent = spark.sparkContext.broadcast(_hot_anchors(docs, length, n))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in _found(batches, length, sent.value):
+            yield from _parcels(columns, parts)
+
+    return docs.select("doc", "text").mapInArrow(run, "part int, rows binary").repartitionById(parts, "part").select("rows")
+
+
+def _out(anchor: np.ndarray, doc: np.ndarray, place: np.ndarray, covered: bool) -> pa.RecordBatch:
+    columns = [pa.array(anchor), pa.array(doc), pa.array(place), pa.array(np.full(len(doc), covered))]
+    return pa.RecordBatch.from_arrays(columns, names=["anchor", "doc", "place", "covered"])
+
+
+def _sorted_out(held: list[list]) -> Iterator[pa.RecordBatch]:
+    """The judgement on what is open in the parcels of a partition, whose columns are given up one by one."""
+    columns = []
+    for i in range(6):
+        columns.append(np.concatenate([x[i] for x in held]))
+        for x in held:
+            x[i] = None
+    order = np.argsort(columns[0])
+    same = np.diff(columns[0][order]) == 0
+    order = order[(columns[5][order] == HOT) | np.r_[same, False] | np.r_[False, same]]  # others are alone with their anchors
+    if not len(order):
+        return
+    columns = [x[order] for x in columns]
+    order = np.lexsort(columns[3::-1])
+    anchor, context, second, doc, place, kind = (x[order] for x in columns)
+    new = np.r_[True, (anchor[1:] != anchor[:-1]) | (context[1:] != context[:-1]) | (second[1:] != second[:-1])]
+    starts, run = np.flatnonzero(new), np.cumsum(new) - 1
+    same = anchor[starts[1:]] == anchor[starts[:-1]]
+    several = (np.r_[False, same] | np.r_[same, False])[run] | (kind == HOT)
+    first = doc == doc[starts][run]
+    real = anchor ^ np.where(kind == HOT, mix(context.view(np.uint64)).view(np.int64), 0)
+    for rows, covered in ((~first, True), (first & several, False)):
+        yield _out(real[rows], doc[rows], place[rows], covered)
 
-    def out(anchor, context, doc, place, kind, covered) -> pa.RecordBatch:
-        real = anchor ^ np.where(kind == HOT, mix(context.view(np.uint64)).view(np.int64), 0)
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (real, doc, place, covered)], names=["anchor", "doc", "place", "covered"])
 
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From the parcels of a partition, which has all that is PLAIN of an anchor or HOT of its context: those whose whole context an earlier document
+    has (``covered``), and those of the first document with a context, if the anchor has another context, too, or is a hot one."""
+    held = []
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(i).to_numpy().astype(np.int64) for i in range(6)]
-        known = columns[5] == COVERED
-        yield out(*(x[known] for x in columns[:2]), *(x[known] for x in columns[3:]), np.ones(known.sum(), bool))
-        if known.all():
-            continue
-        anchor, context, second, doc, place, kind = (np.r_[h, x[~known]] for h, x in zip(held, columns))
-        new = np.r_[True, (anchor[1:] != anchor[:-1]) | (context[1:] != context[:-1]) | (second[1:] != second[:-1])]
-        starts, run = np.flatnonzero(new), np.cumsum(new) - 1
-        same = anchor[starts[1:]] == anchor[starts[:-1]]
-        before, after = np.r_[other, same], np.r_[same, False]
-        first = doc == doc[starts][run]
-        last = run == run[-1]
-        yield out(*(x[~first] for x in (anchor, context, doc, place, kind)), np.ones((~first).sum(), bool))
-        open_ = first & ~last & ((before | after)[run] | (kind == HOT))
-        yield out(*(x[open_] for x in (anchor, context, doc, place, kind)), np.zeros(open_.sum(), bool))
-        held, other = tuple(x[first & last] for x in (anchor, context, second, doc, place, kind)), bool(before[-1])
-    if len(held[0]) and (other or held[5][0] == HOT):
-        yield out(held[0], held[1], held[3], held[4], held[5], np.zeros(len(held[0]), bool))
+        for parcel in batch.column(0):
+            open_, (doc, place) = _unpacked(parcel.as_buffer())
+            if len(open_[0]):
+                held.append(open_)
+            if len(doc):
+                yield _out(np.zeros(len(doc), np.int64), doc, place, True)
+    if held:
+        yield from _sorted_out(held)
+    del held
+    give_back()
 
 
 def _open_contexts(docs: DataFrame, length: int) -> DataFrame:
@@ -274,35 +384,35 @@ def repeated_strings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     suffixes of their windows are sorted (``suffixes.sort_suffixes``), and equal neighbours go by the smallest document.
     An anchor with more than CROWD contexts is not brought together: its windows are grouped by their bytes, each on its own.
     """
-    bound_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bound_batches(spark)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
     several = rows.where(F.octet_length("text") >= length).groupBy("digest").agg(F.min("doc").alias("first"), F.count("*").alias("n"))
-    several = small_side(settle(several.where("n > 1").select("digest", "first")))
-    rows = rows.join(several, "digest", "left").withColumn("copy", F.coalesce(F.col("first") < F.col("doc"), F.lit(False))).drop("digest", "first")
-    own = rows.where("not copy and doc is not null")
-
-    found = _anchor_rows(own, length, _hot_anchors(own, length)).repartition("anchor")
-    found = found.sortWithinPartitions("anchor", "context", "second", "doc")
-    judged = stored(found.mapInArrow(_judged, "anchor bigint, doc bigint, place bigint, covered boolean"))
-    several = judged.where("not covered").groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n"))
-    several = settle(several.where("low < high").select("anchor", (F.col("n") > CROWD).alias("crowd")))
-    open_ = judged.where("not covered").join(several, "anchor").select("doc", "place", "crowd")
-    every = judged.where("covered").select("doc", "place", F.lit(None).cast("boolean").alias("crowd")).union(open_)
-    place = F.col("place").cast("int")
-    marks = every.groupBy("doc").agg(
-        F.array_distinct(F.collect_list(F.when(F.col("crowd").isNull(), place))).alias("places"),
-        F.array_distinct(F.collect_list(F.when(~F.col("crowd"), place))).alias("alone"),
-        F.array_distinct(F.collect_list(F.when(F.col("crowd"), place))).alias("crowded"),
-    )
-    marks = stored(marks)
-
-    wanted = small_side(marks.where("size(alone) + size(crowded) > 0").select("doc", "alone", "crowded"), MARKS_BYTES)
-    contexts = stored(_open_contexts(own.join(wanted, "doc"), length))
-    windows = contexts.where("windows = 0")
-    lows = settle(windows.groupBy("key", "context").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("key", "context", "low"))
-    crowd = windows.join(lows, ["key", "context"]).where("low < doc").select("doc", "start", (F.col("start") + length).alias("end"))
-    spans = _sorted_spans(contexts.where("windows > 0"), length).union(crowd)
-    spans = spans.distinct().groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    made = stored(marks.where("size(places) > 0").select("doc", "places").join(spans, "doc", "full"))
-    return _results(rows.join(small_side(made, MARKS_BYTES), "doc", "left").select("doc", "text", "copy", "places", "spans"), length)
+    with shuffles_dropped(spark):
+        several = small_side(settle(several.where("n > 1").select("digest", "first")))
+        rows = rows.join(several, "digest", "left").withColumn("copy", F.coalesce(F.col("first") < F.col("doc"), F.lit(False))).drop("digest", "first")
+        own = rows.where("not copy and doc is not null")
+
+        judged = stored(_dealt_anchors(own, length).mapInArrow(_judged, "anchor bigint, doc bigint, place int, covered boolean"))
+        several = judged.where("not covered").groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n"))
+        several = settle(several.where("low < high").select("anchor", (F.col("n") > CROWD).alias("crowd")))
+        open_ = judged.where("not covered").join(several, "anchor").select("doc", "place", "crowd")
+        every = judged.where("covered").select("doc", "place", F.lit(None).cast("boolean").alias("crowd")).union(open_)
+        place = F.col("place")
+        marks = every.groupBy("doc").agg(
+            F.array_distinct(F.collect_list(F.when(F.col("crowd").isNull(), place))).alias("places"),
+            F.array_distinct(F.collect_list(F.when(~F.col("crowd"), place))).alias("alone"),
+            F.array_distinct(F.collect_list(F.when(F.col("crowd"), place))).alias("crowded"),
+        )
+        marks = stored(marks)
+
+        wanted = small_side(marks.where("size(alone) + size(crowded) > 0").select("doc", "alone", "crowded"), MARKS_BYTES)
+        contexts = stored(_open_contexts(own.join(wanted, "doc"), length))
+        windows = contexts.where("windows = 0")
+        lows = settle(windows.groupBy("key", "context").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("key", "context", "low"))
+        crowd = windows.join(lows, ["key", "context"]).where("low < doc").select("doc", "start", (F.col("start") + length).alias("end"))
+        spans = _sorted_spans(contexts.where("windows > 0"), length).union(crowd)
+        spans = spans.distinct().groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+        made = small_side(stored(marks.where("size(places) > 0").select("doc", "places").join(spans, "doc", "full")), MARKS_BYTES)
+    return _results(rows.join(made, "doc", "left").select("doc", "text", "copy", "places", "spans"), length)

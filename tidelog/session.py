@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ BROADCAST_BYTES = 64 << 20
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _LOCAL: dict[str, str] = {}  # by application, the folder of a local session without the setting
 
 
@@ -62,6 +66,17 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What is written down inside leaves no shuffle files behind; else they stay until the driver happens to collect its garbage."""
+    before = spark.conf.get(CLEANUP_CONF, None)
+    spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP_CONF) if before is None else spark.conf.set(CLEANUP_CONF, before)
+
+
 def small_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Marked for broadcast if its rows, measured as text, stay below the bound; else left to a shuffle join.
 
