@@ -2,8 +2,11 @@ import datetime as dt
 import random
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from tidelog.functions import offsets as O
 from tidelog.operators import coalesce as C
@@ -335,3 +338,131 @@ def test_staged_parts_have_equal_files(spark, n):
         own = spark.read.parquet(f"{path}/part={part}")
         assert len(own.inputFiles()) == files
         assert own.agg(F.min("pos"), F.max("pos")).first() == (part * n // 2, (part + 1) * n // 2 - 1)
+
+
+class Kept:
+    """A state of any kind, as Python values."""
+
+    def __init__(self):
+        self.one, self.many, self.by_key = None, [], {}
+
+    def exists(self):
+        return self.one is not None or bool(self.many)
+
+    def get(self):
+        return self.one if self.one is not None else iter(list(self.many))
+
+    def update(self, value):
+        self.one = value
+
+    def put(self, values):
+        self.many = list(values)
+
+    def appendList(self, values):  # noqa: N802
+        self.many += values
+
+    def clear(self):
+        self.one, self.many = None, []
+
+    def containsKey(self, key):  # noqa: N802
+        return key in self.by_key
+
+    def getValue(self, key):  # noqa: N802
+        return self.by_key.get(key)
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.by_key[key] = value
+
+    def removeKey(self, key):  # noqa: N802
+        self.by_key.pop(key)
+
+
+class Handle:
+    def __init__(self):
+        self.states, self.timers = {}, []
+
+    def state(self, name, *_):
+        return self.states.setdefault(name, Kept())
+
+    getListState = getValueState = getMapState = state  # noqa: N815
+
+    def listTimers(self):  # noqa: N802
+        return list(self.timers)
+
+    def deleteTimer(self, at):  # noqa: N802
+        self.timers.remove(at)
+
+    def registerTimer(self, at):  # noqa: N802
+        self.timers.append(at)
+
+
+class Watermark:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return self.ms
+
+
+def ordered_log(monkeypatch, batches, sorted_rows=1 << 14, piece_rows=1 << 8):
+    """Frames of a log through its operator, batch by batch as (frames, watermark): rows handed on, most Arrow bytes in use, the state."""
+    monkeypatch.setattr(L, "SORTED_ROWS", sorted_rows, raising=False)
+    monkeypatch.setattr(L, "PIECE_ROWS", piece_rows, raising=False)
+    monkeypatch.setattr(L, "ROWS_AT_ONCE", 1 << 12)
+    text, number = T_.StringType(), T_.LongType()
+    kept = [("pos", number), ("event_kind", text), ("event_at", number), ("event_type", text), ("gtid", text), ("table_id", number), ("db", text), ("tbl", text)]
+    out = [("server_id", number), *(x for x in kept if x[0] in ("pos", "event_at", "event_type")), ("gtid", text), ("tx_start", number), ("seq_no", number), ("db", text), ("tbl", text)]
+    schemas = [T_.StructType([T_.StructField(*x) for x in xs] + more) for xs, more in ((kept, []), (out, [T_.StructField(S.RELEASED, T_.TimestampType())]))]
+    log, handle, most, rows = L.LogOrder(["server_id"], "pos", *schemas), Handle(), 0, []
+    log.init(handle)
+    base = pa.total_allocated_bytes()
+    for frames, watermark in batches:
+
+        def fed():
+            nonlocal most
+            for frame in frames:
+                yield frame
+                most = max(most, pa.total_allocated_bytes() - base)
+
+        handed = log.handleInputRows((1,), fed(), Watermark(watermark)) if frames else log.handleExpiredTimer((1,), Watermark(watermark), None)
+        for frame in handed:
+            most = max(most, pa.total_allocated_bytes() - base)
+            rows += frame[["pos", "gtid", "tx_start", "seq_no", "db", "tbl"]].itertuples(index=False, name=None)
+    return rows, most, handle
+
+
+def log_frames(n, size, shuffled=True):
+    """A start, a map and two rows, over and over, in any order, a frame at a time; and what becomes of the rows."""
+    pos, k = np.arange(n), np.arange(n) % 4
+    kind = np.array(["start", "map", "row", "row"], object)[k]
+    gtid = np.where(k == 0, [f"u:{p // 4 + 1}" for p in pos], None)
+    db = np.where(k == 1, [f"d{p // 4 % 5}" for p in pos], None)
+    frame = pd.DataFrame({"pos": pos, "event_kind": kind, "event_at": pos * 1000, "event_type": kind, "gtid": gtid, "table_id": np.where(k == 0, np.nan, pos // 4 % 3), "db": db, "tbl": db})
+    order = np.random.default_rng(1).permutation(n) if shuffled else pos
+    wanted = [(p, f"u:{p // 4 + 1}", p - p % 4, p % 4 - 1, f"d{p // 4 % 5}", f"d{p // 4 % 5}") for p in pos.tolist() if p % 4 > 1]
+    return [frame.iloc[order[i : i + size]] for i in range(0, n, size)], wanted
+
+
+@pytest.mark.parametrize("shuffled", [True, False])
+def test_a_server_may_write_any_number_of_events_between_two_watermarks(monkeypatch, shuffled):
+    """A task has a part of them in memory, as they come in and as they are released."""
+    frames, wanted = log_frames(400_000, 10_000, shuffled)
+    whole = sum(pa.Table.from_pandas(f).nbytes for f in frames)
+    rows, most, handle = ordered_log(monkeypatch, [(frames, 0), ([], 10**9)])
+    assert rows == wanted and most < whole / 4
+    assert not handle.states["pieces"].by_key and not handle.states["bounds"].many and not handle.timers
+
+
+def test_a_log_is_released_up_to_the_last_event_that_is_due(monkeypatch):
+    """In any pieces: positions and times that do not agree, events that come twice or behind what was released, equal positions."""
+    draw = random.Random(8)
+    frames, wanted = log_frames(4000, 100)
+    frame = pd.concat(frames).sort_values("pos")
+    for sizes in ((1 << 14, 1 << 8), (150, 7), (1, 1)):
+        parts = [frame.iloc[1000 * i : 1000 * (i + 1)].sample(frac=1, random_state=i) for i in range(4)]
+        again = frame.iloc[[5, 400, 999]].assign(event_type="again", event_kind="row")
+        parts[1] = pd.concat([parts[1].sample(frac=1, random_state=9), again])  # released before
+        parts[2] = pd.concat([parts[2], parts[2].iloc[:50].assign(gtid="later")])  # the first of equal positions counts
+        batches = [([p.iloc[i : i + 90] for i in range(0, len(p), 90)], w) for p, w in zip(parts, (1001, 1990, draw.randint(2000, 2900), 3500))]
+        rows, _, handle = ordered_log(monkeypatch, [*batches, ([], 5000)], *sizes)
+        assert rows == wanted and not handle.states["pieces"].by_key

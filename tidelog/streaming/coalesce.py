@@ -136,7 +136,15 @@ class BlockBuffer(StatefulProcessor):
         self.arrow = held_schema(self.held_schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        self.held.appendList(packed(pa.concat_tables([as_table(pdf, self.arrow) for pdf in rows])))
+        new, n = [], 0
+        for pdf in rows:
+            new.append(as_table(pdf, self.arrow))
+            n += new[-1].num_rows
+            if n >= HELD_ROWS:
+                self.held.appendList(packed(pa.concat_tables(new)))
+                new, n = [], 0
+        if new:
+            self.held.appendList(packed(pa.concat_tables(new)))
         self.handle.registerTimer(-(-(int(key[-1]) + 1) * self.length // 1000))
         return iter(())
 

@@ -7,6 +7,7 @@ wrote them one after the other; what comes behind (filters, names, merging) is s
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -22,10 +23,29 @@ from tidelog.operators.ordering import SERVER
 from tidelog.streaming.coalesce import PACKED, RELEASED, as_table, held_schema, needs_rocksdb, packed, released, unpacked
 
 ROWS_AT_ONCE = 1 << 17  # of a frame handed on
+SORTED_ROWS = 1 << 19  # that came in are sorted together
+PIECE_ROWS = 1 << 13  # of a sorted piece in the state
+
+
+class Piece(NamedTuple):
+    """Bounds of a piece: its number, its first and last position, and the earliest and latest time in it."""
+
+    no: int
+    first: int
+    last: int
+    early: int
+    late: int
+
+
+BOUNDS = pa.schema([(c, pa.int64()) for c in Piece._fields])
 
 
 class LogOrder(StatefulProcessor):
-    """Per server: events that the watermark has not reached, the open transaction, and the last map of each table id."""
+    """Per server: events that the watermark has not reached, the open transaction, and the last map of each table id.
+
+    Events are held as sorted pieces with their bounds beside them. What is released is merged piece by piece, so that a task has
+    a few pieces in memory however many events a server writes between two watermarks.
+    """
 
     def __init__(self, keys: list[str], order: str, held: T.StructType, out: T.StructType):
         self.keys, self.order, self.held_schema, self.out_schema = keys, order, held, out
@@ -33,45 +53,96 @@ class LogOrder(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         text, number = T.StringType(), T.LongType()
         self.handle = handle
-        self.held = handle.getListState("held", PACKED)
+        self.pieces = handle.getMapState("pieces", T.StructType([T.StructField("no", number)]), PACKED)
+        self.bounds = handle.getListState("bounds", PACKED)
         self.arrow = held_schema(self.held_schema)
         self.open = handle.getValueState("open", T.StructType([T.StructField("gtid", text), T.StructField("start", number), T.StructField("seq_no", number)]))
         self.maps = handle.getMapState("maps", T.StructType([T.StructField("table_id", number)]), T.StructType([T.StructField("db", text), T.StructField("tbl", text)]))
         self.done = handle.getValueState("done", T.StructType([T.StructField("at", number)]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = pa.concat_tables([as_table(pdf, self.arrow) for pdf in rows])
-        yield from self._advance(key, new, timerValues.getCurrentWatermarkInMs())
+        done = self.done.get()[0] if self.done.exists() else None
+        held, new, n = self._held(), [], 0
+        for pdf in rows:
+            events = as_table(pdf, self.arrow)
+            if done is not None:  # delivered again, or too late to be put in its place
+                events = events.filter(pc.greater(events[self.order], done))
+            new.append(events)
+            n += events.num_rows
+            if n >= SORTED_ROWS:
+                self._hold(held, new)
+                new, n = [], 0
+        self._hold(held, new)
+        yield from self._advance(key, held, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._advance(key, self.arrow.empty_table(), timerValues.getCurrentWatermarkInMs())
+        yield from self._advance(key, self._held(), timerValues.getCurrentWatermarkInMs())
 
-    def _advance(self, key: tuple, new: pa.Table, watermark_ms: int) -> Iterator[pd.DataFrame]:
-        done = self.done.get()[0] if self.done.exists() else None
-        if done is not None:  # delivered again, or too late to be put in its place
-            new = new.filter(pc.greater(new[self.order], done))
-        held = unpacked(self.held.get() if self.held.exists() else (), self.arrow)
-        events = pa.concat_tables([held, new])
+    def _held(self) -> list[Piece]:
+        known = unpacked(self.bounds.get() if self.bounds.exists() else (), BOUNDS)
+        return [Piece(*x) for x in zip(*(c.to_pylist() for c in known.columns))]
+
+    def _piece(self, no: int, events: pa.Table) -> Piece:
+        """Sorted events put into the state under a number."""
+        self.pieces.updateValue((no,), packed(events)[0])
         places, at = events[self.order].to_numpy(), events["event_at"].to_numpy()
-        # nothing older than the watermark comes any more, so all up to the last event older than that are complete
-        due = at < watermark_ms * 1000
+        return Piece(no, int(places[0]), int(places[-1]), int(at.min()), int(at.max()))
+
+    def _events(self, piece: Piece) -> pa.Table:
+        return unpacked([self.pieces.getValue((piece.no,))], self.arrow)
+
+    def _hold(self, held: list[Piece], new: list[pa.Table]) -> None:
+        events = pa.concat_tables([self.arrow.empty_table(), *new])
+        events = events.take(np.argsort(events[self.order].to_numpy(), kind="stable"))
+        for start in range(0, events.num_rows, PIECE_ROWS):
+            held.append(self._piece(held[-1].no + 1 if held else 0, events.slice(start, PIECE_ROWS)))
+
+    def _upto(self, held: list[Piece], watermark: int) -> int | None:
+        """The last position with an event older than the watermark. Nothing older comes any more, so all up to it is complete."""
+        upto = max((p.last for p in held if p.late < watermark), default=None)
+        for piece in held:
+            if piece.early < watermark <= piece.late and (upto is None or piece.last > upto):
+                events = self._events(piece)
+                due = events[self.order].to_numpy()[events["event_at"].to_numpy() < watermark].max()
+                upto = int(due) if upto is None else max(upto, int(due))
+        return upto
+
+    def _advance(self, key: tuple, held: list[Piece], watermark_ms: int) -> Iterator[pd.DataFrame]:
+        upto = self._upto(held, watermark_ms * 1000)
         for expiry in list(self.handle.listTimers()):
             self.handle.deleteTimer(expiry)
-        if not due.any():
-            if new.num_rows:
-                self.held.appendList(packed(new))
+        if upto is not None:
+            self.done.update((upto,))
+            for events in self._released(held, upto):
+                yield from self._resolved(key, events, watermark_ms)
+        if held:
+            self.bounds.put(packed(pa.table([pa.array(c, pa.int64()) for c in zip(*held)], schema=BOUNDS)))
+            self.handle.registerTimer(min(p.early for p in held) // 1000 + 1)
         else:
-            upto = int(places[due].max())
-            ready = places <= upto
-            later, at = events.filter(pa.array(~ready)), at[~ready]
-            if later.num_rows:
-                self.held.put(packed(later))
+            self.bounds.clear()
+
+    def _released(self, held: list[Piece], upto: int) -> Iterator[pa.Table]:
+        """All events up to a position, in runs none of which reaches into the next; what is behind it stays held."""
+        due = sorted((p for p in held if p.first <= upto), key=lambda p: p.first)
+        kept = [p for p in held if p.first > upto]
+        merged: list[tuple[int, pa.Table]] = []
+        for i, piece in enumerate(due):
+            events = self._events(piece)
+            if piece.last > upto:
+                cut = int(np.searchsorted(events[self.order].to_numpy(), upto, "right"))
+                kept.append(self._piece(piece.no, events.slice(cut)))
+                events = events.slice(0, cut)
             else:
-                self.held.clear()
-            self.done.update((upto,))
-            yield from self._resolved(key, events.filter(pa.array(ready)), watermark_ms)
-        if len(at):
-            self.handle.registerTimer(int(at.min()) // 1000 + 1)
+                self.pieces.removeKey((piece.no,))
+            merged = sorted([*merged, (piece.no, events)], key=lambda x: x[0])  # of equal positions that which came first counts
+            if i + 1 < len(due) and sum(t.num_rows for _, t in merged) < ROWS_AT_ONCE:
+                continue
+            until = due[i + 1].first - 1 if i + 1 < len(due) else upto
+            cuts = [int(np.searchsorted(t[self.order].to_numpy(), until, "right")) for _, t in merged]
+            if any(cuts):
+                yield pa.concat_tables([t.slice(0, n) for (_, t), n in zip(merged, cuts)])
+            merged = [(no, t.slice(n)) for (no, t), n in zip(merged, cuts) if n < t.num_rows]
+        held[:] = sorted(kept)
 
     def _resolved(self, key: tuple, events: pa.Table, watermark_ms: int) -> Iterator[pd.DataFrame]:
         """The row events among ``events``, which are complete up to their last one."""
