@@ -1,6 +1,7 @@
 import random
 import time
 
+import pyarrow.parquet as pq
 import pytest
 from test_ordering import LOG, make_log, set_text, walk
 
@@ -124,3 +125,29 @@ def test_whole_sets_are_written_now_and_then(spark):
     places = log.where("pos % 50000 = 0").select("server_id", "pos")
     for r in gtid_set_at(blocks, changes, places, block_bits=10).collect():
         assert r.gtid_set == (":".join(["u", *(str(2 * i + 1) for i in range(r.pos // 100))]) if r.pos else "")
+
+
+def test_sets_are_text_again_after_every_change(monkeypatch):
+    """A part of the text is kept; what joins intervals in it, at its end or behind it is seen."""
+    monkeypatch.setattr(G, "TAIL", 2)
+    draw = random.Random(4)
+    for spread in (3, 40, 400):
+        known, seen = GtidSet("a:1-3"), {"a": {1, 2, 3}}
+        for i in range(400):
+            uuid, lo = draw.choice("ab"), max(1, 5 * i + draw.randint(-spread, spread))
+            known.add(uuid, lo, lo)
+            seen.setdefault(uuid, set()).add(lo)
+            assert known.text() == set_text(seen)
+
+
+def test_long_sets_are_written_in_pages_of_bounded_size(spark, tmp_path):
+    """However many long texts a file has, its writer holds a row group of them: not a hundred rows, of megabytes each in a long log."""
+    log = spark.range(16000).selectExpr("1 as server_id", "id * 100 as pos", "'GTID' as event_type", "concat('u:', 2 * id + 1) as gtid")
+    blocks, changes = gtid_deltas(log, block_bits=14)
+    places = log.where("pos % 8000 = 0 and pos > 1200000").select("server_id", "pos")
+    found = gtid_set_at(blocks, changes, places, block_bits=14)
+    found.coalesce(1).write.option("parquet.block.size", 1 << 20).option("parquet.enable.dictionary", "false").parquet(f"{tmp_path}/sets")
+    (file,) = tmp_path.glob("sets/*.parquet")
+    groups = pq.ParquetFile(file).metadata
+    sizes = [groups.row_group(i).column(2) for i in range(groups.num_row_groups)]
+    assert groups.num_rows == 49 and all(c.num_values <= 24 for c in sizes)
