@@ -114,8 +114,7 @@ def delta_join(spark, d):
         "timestamp '1995-01-01 00:00:00' + make_dt_interval(cast(day as int), hours) as ts_end",
     )
     source = table(spark, d, "orders").withColumnRenamed("o_orderstatus", "Database")
-    rows = I.delta_join(windows, source, "o_orderdate")
-    return rows.select("o_orderkey", plain("ts_start"), plain("ts_end"))
+    return I.delta_join(windows, source, "o_orderdate", pick=["o_orderkey", plain("ts_start"), plain("ts_end")])
 
 
 # the outer bounds lie among the orders and cut a day

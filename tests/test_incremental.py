@@ -177,6 +177,26 @@ def test_equal_windows_are_joined_once(spark):
     assert "_times" in rows._jdf.queryExecution().toString()
 
 
+def test_what_is_picked_is_computed_before_rows_are_repeated(spark):
+    windows = spark.createDataFrame([("a", at(0), at(10))] * 5 + [("a", at(5), at(10))], "Database string, ts_start timestamp, ts_end timestamp")
+    source = spark.createDataFrame([("a", at(1), 1), ("a", at(6), 2)], "Database string, changed timestamp, id int")
+    rows = I.delta_join(windows, source, "changed", pick=["id", F.unix_micros("ts_start").alias("start")])
+    zero, five = (int((x - dt.datetime(1970, 1, 1)).total_seconds() * 1e6) for x in (at(0), at(5)))
+    assert sorted(map(tuple, rows.collect())) == [(1, zero)] * 5 + [(2, zero)] * 5 + [(2, five)]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate explode(array_repeat") < plan.index("unix_micros(ts_start")
+
+
+def test_a_source_that_many_windows_read_is_dealt_evenly(spark):
+    """Of one file or not; where few windows lie over each other its rows stay where they are."""
+    source = spark.range(2000, numPartitions=1).selectExpr("'a' as Database", "timestamp_seconds(id) as changed", "id")
+    for n, parts in ((2 * I.DEEP, 4), (I.DEEP // 2, 1)):
+        windows = spark.range(n).selectExpr("'a' as Database", "timestamp_seconds(0) as ts_start", "timestamp_seconds(1900 + id) as ts_end")
+        rows = I.delta_join(windows, source, "changed")
+        counts = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(counts) == sum(1900 + i for i in range(n)) and len(counts) == parts and max(counts) < 1.2 * sum(counts) / parts
+
+
 def test_many_versions_of_a_table(spark):
     """Events meet the one version that reaches them, also where versions end, and keep their null places and keys."""
     n = 3 * E.FEW_SPANS

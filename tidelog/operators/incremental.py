@@ -17,6 +17,7 @@ from tidelog.operators.coalesce import DATABASE_GAP_MS, coalesce_by_database
 from tidelog.operators.records import flag_dirty, tag_tenant, type_result_set
 from tidelog.session import settle, small_side
 
+DEEP = 16  # windows over each other, on average, from which the rows of the source are moved
 PROGRESS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
 
 
@@ -92,22 +93,26 @@ def delta_join(
     database: str = "Database",
     unit: str = "DAY",
     until: Column | None = None,
+    pick: Sequence[Column | str] = (),
 ) -> DataFrame:
     """Source rows changed inside the windows of their database, with the window's bounds.
 
     The windows are written down first. Their outer bounds go into the scan of the
     source as plain values, which skips files and partitions outside; if the windows
-    are small they are broadcast and the source is not moved. They are spread over
+    are small they are broadcast and the source is not moved, unless so many lie over each other (DEEP) that its rows are little beside the result. They are spread over
     calendar units and joined on (database, unit), so that otherwise a database that
     owns most rows is split by time, and no row meets windows of other units. Equal
-    windows are joined as one, and their rows are repeated afterwards. A
+    windows are joined as one, and their rows are repeated afterwards. ``pick`` says what to take of a row and its window
+    (default: all columns of the source, and the bounds); it is computed before rows are repeated. A
     window without end reads up to ``until`` (default: now).
     """
     step = {"HOUR": "1 HOUR", "DAY": "1 DAY", "MONTH": "1 MONTH"}[unit]
     end = F.coalesce(F.col("ts_end"), until if until is not None else F.current_timestamp())
     wanted = windows.select(database, "ts_start", end.alias("ts_end")).filter(F.col("ts_start") < F.col("ts_end"))
     bounds = settle(wanted.groupBy(database, "ts_start", "ts_end").agg(F.count("*").cast("int").alias("_times")))
-    *outer, most = bounds.agg(F.min(F.unix_micros("ts_start")), F.max(F.unix_micros("ts_end")), F.max("_times")).first()
+    start, stop = F.unix_micros("ts_start"), F.unix_micros("ts_end")
+    covered = F.sum((stop - start) * F.col("_times").cast("double"))
+    *outer, most, covered = bounds.agg(F.min(start), F.max(stop), F.max("_times"), covered).first()
     kind = source.schema[ts].dataType
     lo, hi = (F.timestamp_micros(F.lit(v).cast("bigint")).cast(kind) for v in outer)
     spread = bounds.withColumn(
@@ -118,8 +123,11 @@ def delta_join(
         # a coarse bound: as dates both ends lose their time, so the last day belongs to it
         source.filter((F.col(ts) >= lo) & (F.col(ts) <= hi))
         .withColumn("_unit", F.date_trunc(unit, F.col(ts).cast("timestamp")))
-        .alias("r")
     )
+    if covered and covered > DEEP * (outer[1] - outer[0]):
+        # what comes out is many times the source, so its rows are dealt evenly, however its files are cut
+        rows = rows.repartition(int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = rows.alias("r")
     w, at = small_side(spread).alias("w"), F.col(f"r.{ts}").cast("timestamp")
     inside = (
         (F.col(f"r.{database}") == F.col(f"w.{database}"))
@@ -128,10 +136,11 @@ def delta_join(
         & (at < F.col("w.ts_end"))
     )
     columns = [*(F.col(f"r.`{c}`") for c in source.columns), "w.ts_start", "w.ts_end"]
-    joined = rows.join(w, inside)
+    joined = rows.join(w, inside).select(*columns, "w._times")
+    found = joined.select(*pick, "_times") if pick else joined
     if (most or 1) == 1:
-        return joined.select(*columns)
-    return joined.select(*columns, F.explode(F.array_repeat(F.lit(True), F.col("w._times"))).alias("_time")).drop("_time")
+        return found.drop("_times")
+    return found.withColumn("_time", F.explode(F.array_repeat(F.lit(True), F.col("_times")))).drop("_time", "_times")
 
 
 def backfill(source: DataFrame, ts_start: str, ts: str, until: Column | None = None) -> DataFrame:
