@@ -138,8 +138,7 @@ def delta_join_dates(spark, d):
         "timestamp '1995-01-01 00:00:00' + make_dt_interval(cast(day as int), hour + hours) as ts_end",
     )
     source = table(spark, d, "orders").withColumnRenamed("o_orderstatus", "Database").withColumn("changed", F.to_date("o_orderdate"))
-    rows = I.delta_join(windows, source, "changed")
-    return rows.select("o_orderkey", plain("ts_start"), plain("ts_end"))
+    return I.delta_join(windows, source, "changed", pick=["o_orderkey", plain("ts_start"), plain("ts_end")])
 
 
 EXTRACT_SQL = (
